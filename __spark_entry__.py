@@ -21,7 +21,11 @@ from pyspark.sql import functions as F  # noqa: E402
 import sql_oracle as S  # noqa: E402
 from topicforge.functions import text as TX  # noqa: E402
 from topicforge.functions import wikitext as WK  # noqa: E402
+from topicforge.functions import arrays as AR  # noqa: E402
+from topicforge.functions import html as HT  # noqa: E402
 from topicforge.operators import curate  # noqa: E402
+from topicforge.operators import encode as EN  # noqa: E402
+from topicforge.operators import splits as SP  # noqa: E402
 from topicforge.plans import extract as EX  # noqa: E402
 from topicforge.plans import standins as SI  # noqa: E402
 from topicforge.session import read_table  # noqa: E402
@@ -86,8 +90,129 @@ def q_extract_progress(spark, sf_dir):
     return curate.extract_progress(_page_topics(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- step 2: scalars, splits
+
+
+def _kept_normalised(spark, sf_dir):
+    pt = _page_topics(spark, sf_dir)
+    return pt.select("page_id", F.transform("categories", TX.normalise_topic).alias("cats"))
+
+
+def q_page_summary(spark, sf_dir):
+    p = SI.doc_pages(spark, sf_dir)
+    return p.select("page_id", curate.page_summary("summary", "text", 5).alias("summary"))
+
+
+def q_members_by_namespace(spark, sf_dir):
+    m = curate.members_by_namespace(SI.category_members(spark, sf_dir), "CATEGORY")
+    return m.select(TX.strip_prefix("category").alias("category"), TX.strip_prefix("title").alias("member"))
+
+
+def q_encode_categories(spark, sf_dir):
+    k = _kept_normalised(spark, sf_dir)
+    return k.select("page_id", TX.encode_categories("cats").alias("categories"))
+
+
+def q_render_prompt(spark, sf_dir):
+    p = SI.doc_pages(spark, sf_dir).withColumn("summary", curate.page_summary("summary", "text", 5))
+    return p.select(
+        "page_id",
+        TX.render_prompt("classify", title="title", summary="summary").alias("classify"),
+        TX.render_prompt("title", title="title").alias("title_only"),
+        TX.render_prompt("summarize", text="text").alias("summarize"),
+    )
+
+
+def _long_docs(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    lab = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("l_id"))
+    j = d.join(lab, d.doc_id == lab.l_id, "left")
+    return j.select(
+        "doc_id",
+        F.col("text").alias("chapter"),
+        F.when(F.col("l_id").isNotNull(), TX.lead_sentences("text", 1)).alias("summary_text"),
+        F.col("n_chars").alias("summary_length"),
+    )
+
+
+def q_filter_long_docs(spark, sf_dir):
+    f = curate.filter_long_docs(_long_docs(spark, sf_dir), 1024)
+    return f.select("doc_id", "summary_length", "summary_text")
+
+
+def q_html_title(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages")
+    return p.select("page_id", HT.html_title("html").alias("title"))
+
+
+def q_html_paragraphs(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages")
+    return p.select("page_id", HT.html_paragraphs("html").alias("paragraphs"))
+
+
+def q_page_card(spark, sf_dir):
+    p = read_table(spark, sf_dir, "pages")
+    return p.select("page_id", HT.html_title("html").alias("title"),
+                    HT.page_summary_from_html("html", 10).alias("summary"))
+
+
+def q_topic_ids(spark, sf_dir):
+    w = SI.wiki_pages(spark, sf_dir).select(
+        "page_id",
+        F.transform(WK.clean_categories(WK.extract_categories(F.col("text"))), TX.normalise_topic).alias("cats"))
+    t = EN.topic_ids(w, "page_id", "cats")
+    return t.select("page_id", "topic", F.coalesce("topic_id", F.lit(-1)).alias("topic_id"))
+
+
+def q_multi_hot(spark, sf_dir):
+    k = EN.add_multi_hot(_kept_normalised(spark, sf_dir), "cats", "labels")
+    return k.select("page_id", F.array_join(F.col("labels").cast("array<string>"), "").alias("labels"))
+
+
+def _split_docs(spark, sf_dir):
+    return SP.train_test_split(SI.doc_pages(spark, sf_dir), "page_id", 0.1)
+
+
+def q_train_test_split(spark, sf_dir):
+    return _split_docs(spark, sf_dir).select("page_id", "split")
+
+
+def q_split_sizes(spark, sf_dir):
+    return SP.split_sizes(_split_docs(spark, sf_dir))
+
+
+def q_percent_slice(spark, sf_dir):
+    train = _split_docs(spark, sf_dir).where(F.col("split") == "train")
+    return curate.select_features(SP.percent_slice(train, "page_id", 10), ["page_id", "title"])
+
+
+def q_assign_batches(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings")
+    return SP.assign_batches(e, "vec_id", 8).select("vec_id", "batch")
+
+
+def q_latest_revision(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    return curate.latest_by_key(ev, "user_id", ["ts", "event_id"], ["event_id", "event_type"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "page_summary": q_page_summary,
+        "members_by_namespace": q_members_by_namespace,
+        "encode_categories": q_encode_categories,
+        "render_prompt": q_render_prompt,
+        "filter_long_docs": q_filter_long_docs,
+        "html_title": q_html_title,
+        "html_paragraphs": q_html_paragraphs,
+        "page_card": q_page_card,
+        "topic_ids": q_topic_ids,
+        "multi_hot": q_multi_hot,
+        "train_test_split": q_train_test_split,
+        "split_sizes": q_split_sizes,
+        "percent_slice": q_percent_slice,
+        "assign_batches": q_assign_batches,
+        "latest_revision": q_latest_revision,
         "topic_counts": q_topic_counts,
         "extract_categories": q_extract_categories,
         "keep_topics": q_keep_topics,
@@ -104,8 +229,45 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _KEPT = S.keep(S.extract_clean_categories("text"))
 
 
+_NORM = f"list_transform({_KEPT}, lambda c: replace(c, ' ', '_'))"
+_BUCKET = "((('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 8))::BIGINT) % 1000)"
+_SPLIT_DOCS = f"""{S.DOC_PAGES},
+sp AS (SELECT *, CASE WHEN {_BUCKET} < 100 THEN 'test' ELSE 'train' END AS split FROM docp)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "page_summary": f"""WITH {S.DOC_PAGES}
+SELECT page_id, {S.lead("coalesce(nullif(summary, ''), text)", 5)} AS summary FROM docp""",
+        "members_by_namespace": f"""WITH {S.GRAPH}
+SELECT parent AS category, child AS member FROM edges""",
+        "encode_categories": f"""WITH {S.WIKI_PAGES}
+SELECT page_id, array_to_string(list_sort(list_distinct({_NORM})), ',') AS categories FROM wiki""",
+        "render_prompt": f"""WITH {S.DOC_PAGES},
+p AS (SELECT page_id, title, {S.lead("coalesce(nullif(summary, ''), text)", 5)} AS summary, text FROM docp)
+SELECT page_id, lower('cat: ' || title || '::' || summary) AS classify, 'cat: ' || title AS title_only,
+       'summarize: ' || text AS summarize FROM p""",
+        "filter_long_docs": f"""SELECT d.doc_id, d.n_chars AS summary_length, {S.lead('d.text', 1)} AS summary_text
+FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE d.n_chars <= 1024 AND d.text IS NOT NULL""",
+        "html_title": f"""SELECT page_id, {S.html_title('html')} AS title FROM pages""",
+        "html_paragraphs": f"""SELECT page_id, {S.html_paragraphs('html')} AS paragraphs FROM pages""",
+        "page_card": f"""SELECT page_id, {S.html_title('html')} AS title,
+       {S.strip_ws(S.lead(S.html_paragraphs('html'), 10))} AS summary FROM pages""",
+        "topic_ids": f"""WITH {S.WIKI_PAGES},
+t AS (SELECT page_id, unnest(list_transform({S.extract_clean_categories('text')}, lambda c: replace(c, ' ', '_'))) AS topic FROM wiki)
+SELECT page_id, topic, CAST(coalesce(list_position({S.TOPIC_LIST}, topic), 0) - 1 AS INTEGER) AS topic_id FROM t""",
+        "multi_hot": f"""WITH {S.WIKI_PAGES},
+k AS (SELECT page_id, {_NORM} AS cats FROM wiki)
+SELECT page_id, array_to_string(list_transform({S.TOPIC_LIST}, lambda t: CAST(list_contains(cats, t) AS INTEGER)), '') AS labels FROM k""",
+        "train_test_split": f"""WITH {_SPLIT_DOCS} SELECT page_id, split FROM sp""",
+        "split_sizes": f"""WITH {_SPLIT_DOCS} SELECT split, count(*) AS n FROM sp GROUP BY split""",
+        "percent_slice": f"""WITH {_SPLIT_DOCS},
+tr AS (SELECT * FROM sp WHERE split = 'train')
+SELECT page_id, title FROM tr ORDER BY page_id
+LIMIT (SELECT CAST(round_even(count(*) * 10 / 100.0, 0) AS BIGINT) FROM tr)""",
+        "assign_batches": """SELECT vec_id, CAST(floor(vec_id / 8) AS BIGINT) AS batch FROM embeddings""",
+        "latest_revision": """SELECT user_id, event_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
         "topic_counts": f"""WITH {S.WIKI_PAGES},
 t AS (SELECT unnest({_KEPT}) AS topic FROM wiki)
 SELECT topic, count(*) AS n FROM t GROUP BY topic HAVING count(*) >= 2""",
