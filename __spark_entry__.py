@@ -25,6 +25,8 @@ from topicforge.functions import arrays as AR  # noqa: E402
 from topicforge.functions import html as HT  # noqa: E402
 from topicforge.operators import curate  # noqa: E402
 from topicforge.operators import encode as EN  # noqa: E402
+from topicforge.operators import graph as GR  # noqa: E402
+from topicforge.plans import dataset as DS  # noqa: E402
 from topicforge.operators import splits as SP  # noqa: E402
 from topicforge.plans import extract as EX  # noqa: E402
 from topicforge.plans import standins as SI  # noqa: E402
@@ -196,8 +198,83 @@ def q_latest_revision(spark, sf_dir):
     return curate.latest_by_key(ev, "user_id", ["ts", "event_id"], ["event_id", "event_type"])
 
 
+# ---------------------------------------------------------------- step 3: graph, dataset
+
+
+def quota_for(spark, sf_dir) -> int:
+    """Per-root quota, derived from the data: one tenth of the part count
+    (200 at sf0.01, 2,000 -- the reference's quota -- at sf0.1)."""
+    return max(1, read_table(spark, sf_dir, "part").count() // 10)
+
+
+def _graph(spark, sf_dir):
+    return SI.category_edges(spark, sf_dir), SI.category_roots(spark, sf_dir), SI.category_pages(spark, sf_dir)
+
+
+def q_category_closure(spark, sf_dir):
+    edges, roots, _ = _graph(spark, sf_dir)
+    return GR.category_closure(edges, roots, 10)
+
+
+def _candidates(spark, sf_dir):
+    edges, roots, members = _graph(spark, sf_dir)
+    return GR.root_pages(GR.category_closure(edges, roots, 10), members)
+
+
+def q_quota_pages(spark, sf_dir):
+    return GR.quota_pages(_candidates(spark, sf_dir), quota_for(spark, sf_dir))
+
+
+def _hits(spark, sf_dir):
+    return GR.quota_pages(_candidates(spark, sf_dir), quota_for(spark, sf_dir))
+
+
+def q_merge_labels(spark, sf_dir):
+    m = GR.merge_labels(_hits(spark, sf_dir))
+    return m.select("page_id", F.array_join("categories", ",").alias("categories"))
+
+
+def q_upsert_pages(spark, sf_dir):
+    hits = _hits(spark, sf_dir)
+    content = SI.page_content(spark, sf_dir)
+    old = GR.merge_labels(hits.where(F.col("root").isin("R0", "R1", "R2"))).join(content, "page_id")
+    new = (GR.merge_labels(hits.where(F.col("root").isin("R2", "R3", "R4"))).join(content, "page_id")
+           .withColumn("title", F.concat("title", F.lit(" (new)"))))
+    up = GR.upsert_pages(old, new)
+    return up.select("page_id", "title", "summary", F.array_join("categories", ",").alias("categories"))
+
+
+def q_visit_counts(spark, sf_dir):
+    edges, roots, members = _graph(spark, sf_dir)
+    memberships = GR.category_closure(edges, roots, 10).join(members, "category")
+    return GR.visit_counts(memberships)
+
+
+def q_page_categories(spark, sf_dir):
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), F.col("p_name").alias("title"))
+    return GR.page_categories(part, SI.category_pages(spark, sf_dir)).select("page_id", "title", "category")
+
+
+def build_dataset_frame(spark, sf_dir):
+    edges, roots, members = _graph(spark, sf_dir)
+    return DS.build_dataset(edges, members, SI.page_content(spark, sf_dir), roots,
+                            limit=quota_for(spark, sf_dir))
+
+
+def q_build_dataset(spark, sf_dir):
+    ds = build_dataset_frame(spark, sf_dir)
+    return ds.select("page_id", "title", "summary", F.array_join("categories", ",").alias("categories"), "split")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "category_closure": q_category_closure,
+        "quota_pages": q_quota_pages,
+        "merge_labels": q_merge_labels,
+        "upsert_pages": q_upsert_pages,
+        "visit_counts": q_visit_counts,
+        "page_categories": q_page_categories,
+        "build_dataset": q_build_dataset,
         "page_summary": q_page_summary,
         "members_by_namespace": q_members_by_namespace,
         "encode_categories": q_encode_categories,
@@ -235,8 +312,41 @@ _SPLIT_DOCS = f"""{S.DOC_PAGES},
 sp AS (SELECT *, CASE WHEN {_BUCKET} < 100 THEN 'test' ELSE 'train' END AS split FROM docp)"""
 
 
+_QUOTA = "(SELECT count(*) // 10 FROM part)"
+_HITS = f"""{S.GRAPH},
+{S.closure(10)},
+{S.hits(_QUOTA)}"""
+_MERGED = f"""{_HITS},
+merged AS (SELECT page_id, list_sort(list(DISTINCT root)) AS cats FROM quota GROUP BY page_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "category_closure": f"""WITH RECURSIVE {S.GRAPH},
+{S.closure(10)}
+SELECT root, category, depth FROM clos""",
+        "quota_pages": f"""WITH RECURSIVE {_HITS} SELECT root, page_id, depth FROM quota""",
+        "merge_labels": f"""WITH RECURSIVE {_MERGED} SELECT page_id, array_to_string(cats, ',') AS categories FROM merged""",
+        "upsert_pages": f"""WITH RECURSIVE {_HITS}, {S.PAGE_CONTENT},
+old AS (SELECT page_id, list_sort(list(DISTINCT root)) AS cats FROM quota WHERE root IN ('R0','R1','R2') GROUP BY page_id),
+new AS (SELECT page_id, list_sort(list(DISTINCT root)) AS cats FROM quota WHERE root IN ('R2','R3','R4') GROUP BY page_id)
+SELECT coalesce(o.page_id, n.page_id) AS page_id,
+       CASE WHEN o.page_id IS NOT NULL THEN pc.title ELSE pc.title || ' (new)' END AS title,
+       pc.summary AS summary,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(o.cats, []), coalesce(n.cats, [])))), ',') AS categories
+FROM old o FULL OUTER JOIN new n ON o.page_id = n.page_id
+JOIN pc ON pc.page_id = coalesce(o.page_id, n.page_id)""",
+        "visit_counts": f"""WITH RECURSIVE {S.GRAPH},
+{S.closure(10)}
+SELECT p.page_id, count(*) AS n_visits, count(DISTINCT c.root) AS n_roots
+FROM clos c JOIN cpages p ON p.category = c.category GROUP BY p.page_id""",
+        "page_categories": f"""WITH {S.GRAPH}
+SELECT p_partkey AS page_id, p_name AS title, category FROM part JOIN cpages ON cpages.page_id = p_partkey""",
+        "build_dataset": f"""WITH RECURSIVE {_MERGED}, {S.PAGE_CONTENT}
+SELECT m.page_id, pc.title, {S.lead("coalesce(nullif(pc.summary, ''), pc.text)", 5)} AS summary,
+       array_to_string(m.cats, ',') AS categories,
+       CASE WHEN ((('0x' || substr(md5(CAST(m.page_id AS VARCHAR)), 1, 8))::BIGINT) % 1000) < 100 THEN 'test' ELSE 'train' END AS split
+FROM merged m JOIN pc ON pc.page_id = m.page_id""",
         "page_summary": f"""WITH {S.DOC_PAGES}
 SELECT page_id, {S.lead("coalesce(nullif(summary, ''), text)", 5)} AS summary FROM docp""",
         "members_by_namespace": f"""WITH {S.GRAPH}
