@@ -26,6 +26,9 @@ from topicforge.functions import html as HT  # noqa: E402
 from topicforge.operators import curate  # noqa: E402
 from topicforge.operators import encode as EN  # noqa: E402
 from topicforge.operators import graph as GR  # noqa: E402
+from topicforge.operators import distill as DI  # noqa: E402
+from topicforge.operators import rouge as RG  # noqa: E402
+from topicforge.operators import scoring as SC  # noqa: E402
 from topicforge.plans import dataset as DS  # noqa: E402
 from topicforge.operators import splits as SP  # noqa: E402
 from topicforge.plans import extract as EX  # noqa: E402
@@ -266,8 +269,129 @@ def q_build_dataset(spark, sf_dir):
     return ds.select("page_id", "title", "summary", F.array_join("categories", ",").alias("categories"), "split")
 
 
+# ---------------------------------------------------------------- step 4: scoring, metrics
+
+
+def _r6(c):
+    return F.round(c, 6)
+
+
+def _scored(spark, sf_dir):
+    """Stand-in model output with labels, predictions, top-3 and batches."""
+    sc = SI.scored_logits(spark, sf_dir)
+    sc = EN.add_multi_hot(sc, "categories", "labels")
+    sc = SC.add_predictions(sc, "logits")
+    sc = SC.top_topics(sc, "logits", 3)
+    return SP.assign_batches(sc, "ordinal", 8)
+
+
+def q_top_topics(spark, sf_dir):
+    t = _scored(spark, sf_dir)
+    return t.select("id", F.array_join("top_topics", ",").alias("top3"), _r6("p_top1").alias("p_top1"))
+
+
+def q_binarise(spark, sf_dir):
+    t = _scored(spark, sf_dir)
+    return t.select("id", F.array_join(F.col("preds").cast("array<string>"), "").alias("preds"))
+
+
+def q_argmax(spark, sf_dir):
+    t = SI.scored_logits(spark, sf_dir)
+    return t.select("id", AR.argmax("logits").alias("argmax"))
+
+
+def q_subset_accuracy(spark, sf_dir):
+    t = _scored(spark, sf_dir)
+    a = SC.subset_accuracy(t)
+    b = SC.batch_mean_accuracy(t)
+    return a.join(b).select(_r6("accuracy").alias("accuracy"), _r6("batch_mean_accuracy").alias("batch_mean_accuracy"))
+
+
+def q_bce_loss(spark, sf_dir):
+    t = _scored(spark, sf_dir)
+    a = SC.bce_loss(t)
+    b = SC.batch_mean_bce(t)
+    return a.join(b).select(_r6("loss").alias("loss"), _r6("batch_mean_loss").alias("batch_mean_loss"))
+
+
+def q_validate_top3(spark, sf_dir):
+    v = SC.validate_top3(_scored(spark, sf_dir))
+    return v.select("total", "good", "bad", _r6("bad_ratio").alias("bad_ratio"), _r6("ref_ratio").alias("ref_ratio"))
+
+
+def q_bad_rows(spark, sf_dir):
+    return SC.bad_rows(_scored(spark, sf_dir), "id")
+
+
+def q_intent_vote(spark, sf_dir):
+    t = _scored(spark, sf_dir)
+    return t.select("id", SC.intent_vote("top_topics").alias("intent"))
+
+
+def _pairs(spark, sf_dir):
+    return SI.summary_pairs(spark, sf_dir)
+
+
+def _rouge_query(n):
+    def q(spark, sf_dir):
+        r = RG.rouge_n(_pairs(spark, sf_dir), n)
+        return r.select("id", "system", _r6("precision").alias("precision"), _r6("recall").alias("recall"),
+                        _r6("f1").alias("f1"))
+    return q
+
+
+def _rouge_l_query(summary_level):
+    def q(spark, sf_dir):
+        r = RG.rouge_l(_pairs(spark, sf_dir), summary_level=summary_level)
+        return r.select("id", "system", _r6("precision").alias("precision"), _r6("recall").alias("recall"),
+                        _r6("f1").alias("f1"))
+    return q
+
+
+def q_distillation_loss(spark, sf_dir):
+    t = _scored(spark, sf_dir).withColumn(
+        "hard", SC.row_bce(F.col("student"), F.col("labels")) / F.size("student"))
+    d = DI.distillation_loss(t, teacher="logits", student="student", student_loss="hard",
+                             temperature=4.0, alpha=0.5)
+    return d.select(_r6("kl").alias("kl"), _r6("loss").alias("loss"))
+
+
+def q_compare_models(spark, sf_dir):
+    t = SI.scored_logits(spark, sf_dir)
+    teacher = t.select("id", AR.argmax("logits").alias("pred"))
+    student = t.select("id", AR.argmax("student").alias("pred"))
+    m = SC.model_agreement(teacher, student)
+    return m.select("n", "agree", _r6("agreement").alias("agreement"))
+
+
+def q_evaluate_summaries(spark, sf_dir):
+    e = RG.evaluate_summaries(_pairs(spark, sf_dir), with_lcs=False)
+    return e.select("system", "pairs", _r6("rouge1").alias("rouge1"), _r6("rouge2").alias("rouge2"))
+
+
+def q_rouge_table(spark, sf_dir):
+    e = RG.evaluate_summaries(_pairs(spark, sf_dir), with_lcs=True)
+    return e.select("system", "pairs", *[_r6(c).alias(c) for c in ("rouge1", "rouge2", "rougeL", "rougeLsum")])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "top_topics": q_top_topics,
+        "binarise": q_binarise,
+        "argmax": q_argmax,
+        "subset_accuracy": q_subset_accuracy,
+        "bce_loss": q_bce_loss,
+        "validate_top3": q_validate_top3,
+        "bad_rows": q_bad_rows,
+        "intent_vote": q_intent_vote,
+        "rouge_1": _rouge_query(1),
+        "rouge_2": _rouge_query(2),
+        "rouge_l": _rouge_l_query(False),
+        "rouge_lsum": _rouge_l_query(True),
+        "distillation_loss": q_distillation_loss,
+        "compare_models": q_compare_models,
+        "evaluate_summaries": q_evaluate_summaries,
+        "rouge_table": q_rouge_table,
         "category_closure": q_category_closure,
         "quota_pages": q_quota_pages,
         "merge_labels": q_merge_labels,
@@ -320,8 +444,101 @@ _MERGED = f"""{_HITS},
 merged AS (SELECT page_id, list_sort(list(DISTINCT root)) AS cats FROM quota GROUP BY page_id)"""
 
 
+_LABELS = f"list_transform({S.TOPIC_LIST}, lambda t: CAST(list_contains(categories, t) AS INTEGER))"
+_PREDS = "list_transform(logits, lambda z: CAST(1 / (1 + exp(-z)) > 0.5 AS INTEGER))"
+_ROWBCE = "list_sum(list_transform({z}, lambda v, i: greatest(v, 0) - v * labels[i] + ln(1 + exp(-abs(v)))))"
+_SCORED = f"""{S.LOGITS},
+sl AS (SELECT *, {_LABELS} AS labels, {_PREDS} AS preds, ordinal // 8 AS batch FROM sc),
+u AS (SELECT id, unnest(logits) AS z, unnest(range(0, len(logits))) AS i FROM sc),
+mx AS (SELECT id, max(z) AS m FROM u GROUP BY id),
+rk AS (SELECT u.id, u.z, u.i, mx.m, row_number() OVER (PARTITION BY u.id ORDER BY u.z DESC, u.i) AS r
+       FROM u JOIN mx ON mx.id = u.id),
+top AS (SELECT id, list({S.TOPIC_LIST}[i + 1] ORDER BY r) FILTER (WHERE r <= 3) AS top3,
+               1.0 / sum(exp(z - m)) AS p_top1 FROM rk GROUP BY id),
+full_ AS (SELECT sl.*, top.top3, top.p_top1 FROM sl JOIN top ON top.id = sl.id)"""
+
+
+def _tok(x):
+    return f"list_filter(regexp_split_to_array(lower({x}), '[^a-z0-9]+'), lambda t: t <> '')"
+
+
+def _grams(x, n):
+    t = _tok(x)
+    return (f"(CASE WHEN len({t}) >= {n} THEN list_transform(range(1, len({t}) - {n} + 2), "
+            f"lambda i: array_to_string(({t})[i:i + {n} - 1], ' ')) ELSE [] END)")
+
+
+_PAIRS = f"""sents AS (SELECT doc_id, {S.split_sentences('text')} AS s FROM documents),
+pairs AS (
+  SELECT doc_id AS id, 'lead1' AS system, array_to_string(s[1:1], chr(10)) AS prediction,
+         array_to_string(s[1:5], chr(10)) AS reference FROM sents
+  UNION ALL
+  SELECT doc_id, 'lead3', array_to_string(s[1:3], chr(10)), array_to_string(s[1:5], chr(10)) FROM sents)"""
+
+
+def _rouge_cte(n, name):
+    return f"""{name}_g AS (
+  SELECT id, system, unnest({_grams('prediction', n)}) AS g, 1 AS p, 0 AS r FROM pairs
+  UNION ALL SELECT id, system, unnest({_grams('reference', n)}), 0, 1 FROM pairs),
+{name}_c AS (SELECT id, system, g, sum(p) AS cp, sum(r) AS cr FROM {name}_g GROUP BY id, system, g),
+{name}_h AS (SELECT id, system, sum(least(cp, cr)) AS hits, sum(cp) AS np, sum(cr) AS nr FROM {name}_c GROUP BY id, system),
+{name} AS (
+  SELECT p.id, p.system, coalesce(h.hits, 0) / greatest(coalesce(h.np, 0), 1) AS precision,
+         coalesce(h.hits, 0) / greatest(coalesce(h.nr, 0), 1) AS recall
+  FROM pairs p LEFT JOIN {name}_h h ON h.id = p.id AND h.system = p.system),
+{name}_f AS (SELECT id, system, precision, recall,
+  CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM {name})"""
+
+
+def _lse(x):
+    return f"(list_max({x}) + ln(list_sum(list_transform({x}, lambda v: exp(v - list_max({x}))))))"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "top_topics": f"""WITH {_SCORED} SELECT id, array_to_string(top3, ',') AS top3, round(p_top1, 6) AS p_top1 FROM full_""",
+        "binarise": f"""WITH {_SCORED} SELECT id, array_to_string(preds, '') AS preds FROM sl""",
+        "argmax": f"""WITH {S.LOGITS} SELECT id, CAST(list_position(logits, list_max(logits)) - 1 AS INTEGER) AS argmax FROM sc""",
+        "subset_accuracy": f"""WITH {_SCORED},
+m AS (SELECT batch, CAST(preds = labels AS DOUBLE) AS ok FROM sl),
+b AS (SELECT batch, avg(ok) AS acc FROM m GROUP BY batch)
+SELECT round((SELECT avg(ok) FROM m), 6) AS accuracy, round((SELECT avg(acc) FROM b), 6) AS batch_mean_accuracy""",
+        "bce_loss": f"""WITH {_SCORED},
+m AS (SELECT batch, {_ROWBCE.format(z='logits')} AS l, len(logits) AS w FROM sl),
+b AS (SELECT batch, sum(l) / sum(w) AS bl FROM m GROUP BY batch)
+SELECT round((SELECT sum(l) / sum(w) FROM m), 6) AS loss, round((SELECT avg(bl) FROM b), 6) AS batch_mean_loss""",
+        "validate_top3": f"""WITH {_SCORED},
+g AS (SELECT len(list_filter(categories, lambda c: NOT list_contains(top3, c))) = 0 AS good FROM full_)
+SELECT count(*) AS total, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE NOT good) AS bad,
+       round(count(*) FILTER (WHERE NOT good) / count(*), 6) AS bad_ratio,
+       round(CASE WHEN count(*) FILTER (WHERE good) = 0 THEN NULL
+             ELSE count(*) FILTER (WHERE NOT good) / count(*) FILTER (WHERE good) / 100.0 END, 6) AS ref_ratio FROM g""",
+        "bad_rows": f"""WITH {_SCORED}
+SELECT id, array_to_string(categories, ',') AS true_topics, array_to_string(top3, ',') AS predicted
+FROM full_ WHERE len(list_filter(categories, lambda c: NOT list_contains(top3, c))) > 0""",
+        "intent_vote": f"""WITH {_SCORED}, {S.INTENT_CTE},
+ex AS (SELECT id, unnest(top3) AS topic FROM full_),
+v AS (SELECT ex.id, im.intent, im.intent_rank, count(*) AS n FROM ex JOIN intent_map im ON im.topic = ex.topic
+      GROUP BY ex.id, im.intent, im.intent_rank),
+best AS (SELECT id, intent FROM v QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, intent_rank) = 1)
+SELECT f.id, coalesce(best.intent, 'Information') AS intent FROM full_ f LEFT JOIN best ON best.id = f.id""",
+        "rouge_1": f"""WITH {_PAIRS}, {_rouge_cte(1, 'r1')}
+SELECT id, system, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM r1_f""",
+        "rouge_2": f"""WITH {_PAIRS}, {_rouge_cte(2, 'r2')}
+SELECT id, system, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM r2_f""",
+        "distillation_loss": f"""WITH {_SCORED},
+t AS (SELECT list_transform(logits, lambda v: v / 4.0) AS tl, list_transform(student, lambda v: v / 4.0) AS sl_,
+             {_ROWBCE.format(z='student')} / len(student) AS hard FROM sl),
+k AS (SELECT hard, tl, sl_, {_lse('tl')} AS lt, {_lse('sl_')} AS ls FROM t),
+r AS (SELECT hard, list_sum(list_transform(tl, lambda a, i: exp(a - lt) * ((a - lt) - (sl_[i] - ls)))) AS kl FROM k)
+SELECT round(sum(kl) / count(*), 6) AS kl, round(0.5 * avg(hard) + 0.5 * 16.0 * (sum(kl) / count(*)), 6) AS loss FROM r""",
+        "compare_models": f"""WITH {S.LOGITS},
+a AS (SELECT list_position(logits, list_max(logits)) AS t, list_position(student, list_max(student)) AS s FROM sc)
+SELECT count(*) AS n, count(*) FILTER (WHERE t = s) AS agree,
+       round(count(*) FILTER (WHERE t = s) / count(*), 6) AS agreement FROM a""",
+        "evaluate_summaries": f"""WITH {_PAIRS}, {_rouge_cte(1, 'r1')}, {_rouge_cte(2, 'r2')}
+SELECT r1_f.system, count(*) AS pairs, round(avg(r1_f.f1), 6) AS rouge1, round(avg(r2_f.f1), 6) AS rouge2
+FROM r1_f JOIN r2_f ON r1_f.id = r2_f.id AND r1_f.system = r2_f.system GROUP BY r1_f.system""",
         "category_closure": f"""WITH RECURSIVE {S.GRAPH},
 {S.closure(10)}
 SELECT root, category, depth FROM clos""",

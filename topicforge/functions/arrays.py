@@ -39,11 +39,13 @@ def multi_hot(categories: Column | str, names: Sequence[str] = TOPICS,
     """Width-``len(names)`` 0/1 vector with 1 at each category's index.
 
     ``on_unknown="error"`` raises for a name outside ``names`` (as the
-    reference's KeyError does); ``"drop"`` ignores such names.
+    reference's KeyError does); ``"drop"`` ignores such names.  The vector
+    is unrolled over the fixed names, so ``categories`` is never
+    re-evaluated inside a lambda.
     """
     cats = _col(categories)
     lits = F.array(*[F.lit(n) for n in names])
-    vec = F.transform(lits, lambda t: F.array_contains(cats, t).cast("int"))
+    vec = F.array(*[F.array_contains(cats, F.lit(n)).cast("int") for n in names])
     if on_unknown == "drop":
         return vec
     if on_unknown != "error":
@@ -82,17 +84,24 @@ def top_k_names(logits: Column | str, k: int = 3, names: Sequence[str] = TOPICS)
     return F.transform(top_k_indices(logits, k), lambda i: F.get(lits, i))
 
 
-def softmax_max(logits: Column | str) -> Column:
-    """Largest softmax probability, max-shifted for stability."""
-    z = _col(logits)
-    m = F.array_max(z)
-    denom = F.aggregate(z, F.lit(0.0), lambda acc, v: acc + F.exp(v - m))
-    return F.lit(1.0) / denom
+def log_sum_exp(z: Column) -> Column:
+    """Max-shifted log(sum(exp(z))) in one pass."""
+    return F.aggregate(_col(z), F.struct(F.lit(float("-inf")).alias("m"), F.lit(0.0).alias("s")),
+                       lambda acc, v: F.struct(
+                           F.when(v > acc["m"], v).otherwise(acc["m"]).alias("m"),
+                           F.when(v > acc["m"], acc["s"] * F.exp(acc["m"] - v) + F.lit(1.0))
+                           .otherwise(acc["s"] + F.exp(v - acc["m"])).alias("s")),
+                       lambda acc: acc["m"] + F.log(acc["s"]))
 
 
-def log_sum_exp(z: Column) -> Column:
-    m = F.array_max(z)
-    return m + F.log(F.aggregate(z, F.lit(0.0), lambda acc, v: acc + F.exp(v - m)))
+def softmax_max(logits: Column | str) -> Column:
+    """Largest softmax probability = 1 / sum(exp(z - max z))."""
+    return F.aggregate(_col(logits), F.struct(F.lit(float("-inf")).alias("m"), F.lit(0.0).alias("s")),
+                       lambda acc, v: F.struct(
+                           F.when(v > acc["m"], v).otherwise(acc["m"]).alias("m"),
+                           F.when(v > acc["m"], acc["s"] * F.exp(acc["m"] - v) + F.lit(1.0))
+                           .otherwise(acc["s"] + F.exp(v - acc["m"])).alias("s")),
+                       lambda acc: F.lit(1.0) / acc["s"])
 
 
 def to_double_array(arr: Column | str) -> Column:
