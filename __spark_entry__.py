@@ -29,6 +29,7 @@ from topicforge.operators import graph as GR  # noqa: E402
 from topicforge.operators import distill as DI  # noqa: E402
 from topicforge.operators import rouge as RG  # noqa: E402
 from topicforge.operators import scoring as SC  # noqa: E402
+from topicforge.operators import summary as SU  # noqa: E402
 from topicforge.plans import dataset as DS  # noqa: E402
 from topicforge.operators import splits as SP  # noqa: E402
 from topicforge.plans import extract as EX  # noqa: E402
@@ -374,8 +375,38 @@ def q_rouge_table(spark, sf_dir):
     return e.select("system", "pairs", *[_r6(c).alias(c) for c in ("rouge1", "rouge2", "rougeL", "rougeLsum")])
 
 
+# ---------------------------------------------------------------- step 5: vocabulary, encoding, summaries
+
+VOCAB_SIZE = 1000
+MAX_LENGTH = 512
+
+
+def q_build_vocab(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    return EN.build_vocab(d, "text", VOCAB_SIZE)
+
+
+def q_encode_tokens(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    vocab = EN.build_vocab(d, "text", VOCAB_SIZE)
+    enc = EN.encode_tokens(d, "doc_id", "text", vocab, MAX_LENGTH, vocab_rows=VOCAB_SIZE)
+    return enc.select(
+        "doc_id",
+        F.array_join(F.col("input_ids").cast("array<string>"), ",").alias("input_ids"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("bigint").alias("n_tokens"),
+    )
+
+
+def q_summarise(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    return SU.summarise(d, "doc_id", "text", 120)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "build_vocab": q_build_vocab,
+        "encode_tokens": q_encode_tokens,
+        "summarise": q_summarise,
         "top_topics": q_top_topics,
         "binarise": q_binarise,
         "argmax": q_argmax,
@@ -494,8 +525,44 @@ def _lse(x):
     return f"(list_max({x}) + ln(list_sum(list_transform({x}, lambda v: exp(v - list_max({x}))))))"
 
 
+def _words(x):
+    return f"list_filter(regexp_split_to_array(lower({x}), {S.q(TX.WS + '+')}), lambda w: w <> '')"
+
+
+_VOCAB = f"""wc AS (SELECT unnest({_words('text')}) AS word FROM documents),
+cnt AS (SELECT word, count(*) AS n FROM wc GROUP BY word),
+vocab AS (SELECT word, CAST(row_number() OVER (ORDER BY n DESC, word) + 1 AS INTEGER) AS id, n
+          FROM cnt ORDER BY n DESC, word LIMIT {1000})"""
+
+_SUMMARY = f"""ss AS (SELECT doc_id AS k, {S.split_sentences('text')} AS s FROM documents),
+st0 AS (SELECT k, unnest(s) AS sentence, unnest(range(0, len(s))) AS sidx FROM ss),
+st AS (SELECT k, sidx, sentence, len({_words('sentence')}) AS n_tokens FROM st0),
+toks AS (SELECT k, sidx, unnest({_words('sentence')}) AS word FROM st),
+dfc AS (SELECT word, count(DISTINCT k) AS df FROM toks GROUP BY word),
+idf AS (SELECT word, ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + df)) + 1.0 AS idf FROM dfc),
+tf AS (SELECT k, word, count(*) AS tf FROM toks GROUP BY k, word),
+ps AS (SELECT t.k, t.sidx, round(avg(tf.tf * idf.idf), 9) AS score
+       FROM toks t JOIN tf ON tf.k = t.k AND tf.word = t.word JOIN idf ON idf.word = t.word GROUP BY t.k, t.sidx),
+scd AS (SELECT st.*, coalesce(ps.score, 0.0) AS score FROM st LEFT JOIN ps ON ps.k = st.k AND ps.sidx = st.sidx),
+rk AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, sidx) AS r FROM scd),
+cum AS (SELECT *, sum(n_tokens) OVER (PARTITION BY k ORDER BY r ROWS UNBOUNDED PRECEDING) AS c FROM rk WHERE r <= 120),
+keep AS (SELECT k, sidx, CASE WHEN c > 120 THEN array_to_string(list_slice(regexp_split_to_array(sentence, {S.q(TX.WS + '+')}), 1, 120), ' ')
+                ELSE sentence END AS sentence FROM cum WHERE c <= 120 OR r = 1)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "build_vocab": f"""WITH {_VOCAB} SELECT word, id, n FROM vocab""",
+        "encode_tokens": f"""WITH {_VOCAB},
+tk AS (SELECT doc_id, list_slice({_words('text')}, 1, {MAX_LENGTH}) AS w FROM documents),
+ex AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM tk),
+ids AS (SELECT ex.doc_id, list(coalesce(v.id, 1) ORDER BY ex.pos) AS ids FROM ex LEFT JOIN vocab v ON v.word = ex.word GROUP BY ex.doc_id),
+full_ AS (SELECT d.doc_id, coalesce(ids.ids, []) AS ids FROM documents d LEFT JOIN ids ON ids.doc_id = d.doc_id)
+SELECT doc_id, array_to_string(list_concat(ids, list_transform(range(0, {MAX_LENGTH} - len(ids)), lambda x: 0)), ',') AS input_ids,
+       CAST(len(ids) AS BIGINT) AS n_tokens FROM full_""",
+        "summarise": f"""WITH {_SUMMARY}
+SELECT d.doc_id, coalesce(string_agg(keep.sentence, ' ' ORDER BY keep.sidx), '') AS summary
+FROM documents d LEFT JOIN keep ON keep.k = d.doc_id GROUP BY d.doc_id""",
         "top_topics": f"""WITH {_SCORED} SELECT id, array_to_string(top3, ',') AS top3, round(p_top1, 6) AS p_top1 FROM full_""",
         "binarise": f"""WITH {_SCORED} SELECT id, array_to_string(preds, '') AS preds FROM sl""",
         "argmax": f"""WITH {S.LOGITS} SELECT id, CAST(list_position(logits, list_max(logits)) - 1 AS INTEGER) AS argmax FROM sc""",

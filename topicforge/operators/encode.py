@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 from topicforge.functions.arrays import multi_hot as multi_hot_col
 from topicforge.functions.arrays import topic_id
 from topicforge.functions.text import words
+from topicforge.operators.skew import lookup_join
 
 PAD_ID = 0
 UNK_ID = 1
 FIRST_ID = 2
-BROADCAST_MAX_ROWS = 2_000_000
-SALT_BUCKETS = 32
 
 
 def build_vocab(df: DataFrame, text: str = "text", size: int = 30_000) -> DataFrame:
@@ -40,17 +39,6 @@ def build_vocab(df: DataFrame, text: str = "text", size: int = 30_000) -> DataFr
     return top.select("word", (F.row_number().over(w) + F.lit(FIRST_ID - 1)).cast("int").alias("id"), "n")
 
 
-def _join_vocab(tokens: DataFrame, vocab: DataFrame, vocab_rows: int | None) -> DataFrame:
-    v = vocab.select("word", "id")
-    if vocab_rows is None:
-        vocab_rows = v.count()
-    if vocab_rows <= BROADCAST_MAX_ROWS:
-        return tokens.join(F.broadcast(v), "word", "left")
-    salted_tokens = tokens.withColumn("_salt", F.pmod(F.xxhash64("word", "_key", "pos"), F.lit(SALT_BUCKETS)))
-    salted_vocab = v.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
-    return salted_tokens.join(salted_vocab, ["word", "_salt"], "left").drop("_salt")
-
-
 def encode_tokens(df: DataFrame, key: str, text: str, vocab: DataFrame, max_length: int = 512,
                   vocab_rows: int | None = None) -> DataFrame:
     """Key, input_ids array<int>[max_length], attention_mask array<int>[max_length].
@@ -62,7 +50,8 @@ def encode_tokens(df: DataFrame, key: str, text: str, vocab: DataFrame, max_leng
     toks = keys.select(
         "_key", F.posexplode(F.slice(words(F.col("_text")), 1, max_length)).alias("pos", "word")
     )
-    joined = _join_vocab(toks, vocab, vocab_rows).select(
+    joined = lookup_join(toks, vocab.select("word", "id"), "word", ["_key", "pos"], "left",
+                         lookup_rows=vocab_rows).select(
         "_key", "pos", F.coalesce(F.col("id"), F.lit(UNK_ID)).alias("id")
     )
     grouped = joined.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_s"))

@@ -14,12 +14,11 @@ is therefore done in two salted stages so no task ever sees more than
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicforge.session import reliable_checkpoint, tune_for_group_limits
-
-SALT_BUCKETS = 64
+from topicforge.operators.skew import top_k_per_group
+from topicforge.session import reliable_checkpoint
 
 
 def category_closure(edges: DataFrame, roots: DataFrame, max_depth: int = 10,
@@ -29,7 +28,6 @@ def category_closure(edges: DataFrame, roots: DataFrame, max_depth: int = 10,
 
     Cycle-safe: a (root, category) pair already visited is never expanded
     again, and the loop stops early when a level adds nothing."""
-    spark = roots.sparkSession
     e = edges.select(F.col("parent"), F.col("child"))
     level = reliable_checkpoint(
         roots.select(F.col(root).alias("root"), F.col(root).alias("category"), F.lit(0).alias("depth")).distinct()
@@ -47,7 +45,6 @@ def category_closure(edges: DataFrame, roots: DataFrame, max_depth: int = 10,
             break
         visited = visited.unionByName(nxt)
         level = nxt
-    del spark
     return visited
 
 
@@ -62,26 +59,11 @@ def root_pages(closure: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def top_k_per_group(df: DataFrame, group: str, order: list, k: int, salt_key: str,
-                    buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Exact top-k rows per ``group`` in two salted stages.
-
-    Stage 1 keeps the top k of each (group, salt) slice; stage 2 the top k
-    of the at most ``buckets * k`` survivors of each group.  Both are
-    ``row_number() <= k`` windows, planned as partial window-group-limits
-    before their shuffles."""
-    tune_for_group_limits(df.sparkSession, k)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_key)), F.lit(buckets)))
-    w1 = Window.partitionBy(group, "_salt").orderBy(*order)
-    stage1 = salted.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= k).drop("_rn", "_salt")
-    w2 = Window.partitionBy(group).orderBy(*order)
-    return stage1.withColumn("_rn", F.row_number().over(w2)).where(F.col("_rn") <= k).drop("_rn")
-
-
 def quota_pages(candidates: DataFrame, limit: int = 2000) -> DataFrame:
     """Per root, at most ``limit`` distinct pages, nearest levels first
     (ties by page_id)."""
-    return top_k_per_group(candidates, "root", [F.col("depth"), F.col("page_id")], limit, "page_id")
+    return top_k_per_group(candidates, "root", [F.col("depth"), F.col("page_id")], limit,
+                           "page_id").drop("_rank")
 
 
 def walk_with_quota(edges: DataFrame, roots: DataFrame, members: DataFrame, limit: int = 2000,
