@@ -29,7 +29,11 @@ from topicforge.operators import graph as GR  # noqa: E402
 from topicforge.operators import distill as DI  # noqa: E402
 from topicforge.operators import rouge as RG  # noqa: E402
 from topicforge.operators import scoring as SC  # noqa: E402
+from topicforge.operators import model as MO  # noqa: E402
 from topicforge.operators import summary as SU  # noqa: E402
+from topicforge.plans import evaluate as EV  # noqa: E402
+from topicforge.plans import intent as IN  # noqa: E402
+from topicforge.taxonomy import TOPICS  # noqa: E402
 from topicforge.plans import dataset as DS  # noqa: E402
 from topicforge.operators import splits as SP  # noqa: E402
 from topicforge.plans import extract as EX  # noqa: E402
@@ -302,17 +306,13 @@ def q_argmax(spark, sf_dir):
 
 
 def q_subset_accuracy(spark, sf_dir):
-    t = _scored(spark, sf_dir)
-    a = SC.subset_accuracy(t)
-    b = SC.batch_mean_accuracy(t)
-    return a.join(b).select(_r6("accuracy").alias("accuracy"), _r6("batch_mean_accuracy").alias("batch_mean_accuracy"))
+    a = SC.accuracy_report(_scored(spark, sf_dir))
+    return a.select(_r6("accuracy").alias("accuracy"), _r6("batch_mean_accuracy").alias("batch_mean_accuracy"))
 
 
 def q_bce_loss(spark, sf_dir):
-    t = _scored(spark, sf_dir)
-    a = SC.bce_loss(t)
-    b = SC.batch_mean_bce(t)
-    return a.join(b).select(_r6("loss").alias("loss"), _r6("batch_mean_loss").alias("batch_mean_loss"))
+    a = SC.loss_report(_scored(spark, sf_dir))
+    return a.select(_r6("loss").alias("loss"), _r6("batch_mean_loss").alias("batch_mean_loss"))
 
 
 def q_validate_top3(spark, sf_dir):
@@ -402,8 +402,79 @@ def q_summarise(spark, sf_dir):
     return SU.summarise(d, "doc_id", "text", 120)
 
 
+# ---------------------------------------------------------------- step 6: models (rows-only checks)
+
+BINARY = ("quality", "toxic")
+FIT = {"num_features": 1 << 16, "max_iter": 30}
+
+
+def _labelled_docs(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    lab = read_table(spark, sf_dir, "labels")
+    j = d.join(lab, "doc_id").withColumn("labels", F.array("quality", "toxic"))
+    return SP.train_test_split(j, "doc_id", 0.1)
+
+
+def _with_ordinal(ds):
+    test = SP.dense_ordinal(ds.where(F.col("split") == "test"), "doc_id", "ordinal")
+    return test
+
+
+def q_fit_topic_classifier(spark, sf_dir):
+    ds = _labelled_docs(spark, sf_dir)
+    model = EV.train(ds, "text", "labels", BINARY, **FIT)
+    return EV.evaluate(_with_ordinal(ds), model, "text", "labels", "ordinal").select(
+        "metric", _r6("value").alias("value"))
+
+
+def q_score_topics(spark, sf_dir):
+    ds = _labelled_docs(spark, sf_dir)
+    model = EV.train(ds, "text", "labels", BINARY, **FIT)
+    s = MO.score_topics(ds.where(F.col("split") == "test"), model, "logits")
+    return s.select("doc_id", F.array_join(F.transform("logits", lambda z: F.round(z, 4).cast("string")), ",")
+                    .alias("logits"))
+
+
+def q_fit_student(spark, sf_dir):
+    ds = _labelled_docs(spark, sf_dir)
+    teacher = EV.train(ds, "text", "labels", BINARY, **FIT)
+    train = MO.score_topics(ds.where(F.col("split") == "train"), teacher, "teacher")
+    student = MO.fit_student(train, "text", "labels", "teacher", BINARY, alpha=0.5, temperature=1.0,
+                             num_features=1 << 12, max_iter=30)
+    test = ds.where(F.col("split") == "test")
+    t = MO.score_topics(test, teacher, "teacher")
+    st = MO.score_topics(t, student, "student")
+    both = SC.add_predictions(SC.add_predictions(st, "teacher", out="teacher_pred"), "student", out="student_pred")
+    return both.select(
+        "doc_id",
+        F.array_join(F.col("teacher_pred").cast("array<string>"), "").alias("teacher_pred"),
+        F.array_join(F.col("student_pred").cast("array<string>"), "").alias("student_pred"),
+    )
+
+
+def topic_model(spark, sf_dir):
+    """40-topic classifier trained on document prompts with the wiki
+    stand-in topics as labels."""
+    docs = SI.doc_pages(spark, sf_dir).withColumn("summary", curate.page_summary("summary", "text", 5))
+    topics = _kept_normalised(spark, sf_dir)
+    ds = docs.join(topics, "page_id").select(
+        "page_id", TX.render_prompt("classify", title="title", summary="summary").alias("prompt"),
+        AR.multi_hot("cats").alias("labels"))
+    return MO.fit_topic_classifier(ds, "prompt", "labels", TOPICS, **FIT)
+
+
+def q_page_intent(spark, sf_dir):
+    model = topic_model(spark, sf_dir)
+    out = IN.page_intent(read_table(spark, sf_dir, "pages"), model)
+    return out.select("page_id", "title", F.array_join("top_topics", ",").alias("top3"), "intent")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "fit_topic_classifier": q_fit_topic_classifier,
+        "score_topics": q_score_topics,
+        "fit_student": q_fit_student,
+        "page_intent": q_page_intent,
         "build_vocab": q_build_vocab,
         "encode_tokens": q_encode_tokens,
         "summarise": q_summarise,

@@ -78,6 +78,29 @@ def top3_good(true_topics: Column, top3: Column) -> Column:
     return F.size(F.array_except(true_topics, top3)) == 0
 
 
+def accuracy_report(df: DataFrame, batch: str = "batch", preds: str = "preds",
+                    labels: str = "labels") -> DataFrame:
+    """E5 both ways in one plan: per-batch partial sums, then the global
+    accuracy and the mean of batch accuracies from the same rows."""
+    per = df.groupBy(batch).agg(F.sum(_row_match(preds, labels)).alias("ok"), F.count(F.lit(1)).alias("n"))
+    return per.agg(
+        (F.sum("ok") / F.sum("n")).alias("accuracy"),
+        F.avg(F.col("ok") / F.col("n")).alias("batch_mean_accuracy"),
+    )
+
+
+def loss_report(df: DataFrame, batch: str = "batch", logits: str = "logits",
+                labels: str = "labels") -> DataFrame:
+    """E6 both ways in one plan (global mean and mean of batch means)."""
+    per = df.groupBy(batch).agg(
+        F.sum(row_bce(F.col(logits), F.col(labels))).alias("l"), F.sum(F.size(F.col(logits))).alias("w")
+    )
+    return per.agg(
+        (F.sum("l") / F.sum("w")).alias("loss"),
+        F.avg(F.col("l") / F.col("w")).alias("batch_mean_loss"),
+    )
+
+
 def validate_top3(df: DataFrame, categories: str = "categories", top3: str = "top_topics") -> DataFrame:
     """Totals of good/bad rows; ``bad_ratio`` = bad/total and the
     reference's own figure ``ref_ratio`` = bad/good/100 (null when good=0)."""

@@ -41,30 +41,38 @@ def slice_size(n: int, percent: float) -> int:
     return int(round(n * percent / 100.0))
 
 
+def dense_ordinal(df: DataFrame, key: str, out: str = "ordinal") -> DataFrame:
+    """0-based position of each row in ``key`` order (``key`` unique),
+    without a single-partition window: range-partition, number rows
+    inside each partition, and add the partition's offset (a prefix sum
+    over one row per partition, broadcast -- bounded by the partition
+    count)."""
+    ranged = df.repartitionByRange(F.col(key)).sortWithinPartitions(F.col(key))
+    ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
+        "_local", F.monotonically_increasing_id()
+    )
+    ranged = ranged.withColumn("_local", F.col("_local") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.withColumn(
+        "_off", F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    ).select("_pid", F.coalesce(F.col("_off"), F.lit(0)).alias("_off"))
+    ranked = ranged.join(F.broadcast(offsets), "_pid")
+    return ranked.withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")
+
+
 def percent_slice(df: DataFrame, key: str, percent: float, topk_max: int = TOPK_MAX) -> DataFrame:
     """The first ``percent`` % of ``df`` in ``key`` order (``train[:p%]``).
 
     One count action fixes k.  Small k is a top-k (each task keeps k
     rows, then one merge); large k is cut by a global rank built from
-    per-partition counts after a range partitioning, so no single task
-    ever holds k rows.
+    per-partition counts (``dense_ordinal``), so no single task ever
+    holds k rows.
     """
     n = df.count()
     k = slice_size(n, percent)
     if k <= topk_max:
         return df.orderBy(F.col(key).asc()).limit(k)
-    ranged = df.repartitionByRange(F.col(key)).sortWithinPartitions(F.col(key))
-    ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_mid", F.monotonically_increasing_id()
-    )
-    ranged = ranged.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # one row per partition: small and bounded by the partition count
-    offsets = counts.withColumn(
-        "_off", F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
-    ).select("_pid", F.coalesce(F.col("_off"), F.lit(0)).alias("_off"))
-    ranked = ranged.join(F.broadcast(offsets), "_pid")
-    return ranked.where(F.col("_off") + F.col("_local") < F.lit(k)).drop("_pid", "_mid", "_local", "_off")
+    return dense_ordinal(df, key, "_ord").where(F.col("_ord") < F.lit(k)).drop("_ord")
 
 
 def assign_batches(df: DataFrame, ordinal: str, size: int = 8, batch_col: str = "batch") -> DataFrame:
