@@ -33,6 +33,7 @@ from topicforge.operators import model as MO  # noqa: E402
 from topicforge.operators import summary as SU  # noqa: E402
 from topicforge.plans import evaluate as EV  # noqa: E402
 from topicforge.plans import intent as IN  # noqa: E402
+from topicforge.streaming import ingest as ST  # noqa: E402
 from topicforge.taxonomy import TOPICS  # noqa: E402
 from topicforge.plans import dataset as DS  # noqa: E402
 from topicforge.operators import splits as SP  # noqa: E402
@@ -469,8 +470,53 @@ def q_page_intent(spark, sf_dir):
     return out.select("page_id", "title", F.array_join("top_topics", ",").alias("top3"), "intent")
 
 
+# ---------------------------------------------------------------- step 7: streaming
+
+STREAM_ROWS_PER_FILE = 2500
+STREAM_QUOTA = 100
+
+
+def _discoveries(spark, sf_dir):
+    """Discovery stream stand-in: page = user_id, root = event_type, arrival = event_id."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(F.col("user_id").alias("page_id"), F.col("event_type").alias("root"),
+                     F.col("event_id").alias("seq"))
+
+
+def _replayed(spark, sf_dir, name, df):
+    base = ST.work_dir(spark, name)
+    ST.replay_as_files(df, f"{base}/input", "seq", rows_per_file=STREAM_ROWS_PER_FILE)
+    return base, ST.file_stream(spark, f"{base}/input", df.schema)
+
+
+def q_stream_merge_labels(spark, sf_dir):
+    base, stream = _replayed(spark, sf_dir, "merge", _discoveries(spark, sf_dir))
+    ST.stream_merge_labels(stream.select("page_id", "root"), f"{base}/out", f"{base}/ckpt")
+    st = ST.merged_labels_state(spark, f"{base}/out")
+    return st.select("page_id", F.array_join("categories", ",").alias("categories"))
+
+
+def q_stream_upsert(spark, sf_dir):
+    d = _discoveries(spark, sf_dir).select(
+        "page_id", F.concat(F.lit("User "), F.col("page_id").cast("string")).alias("title"),
+        F.array("root").alias("categories"), "seq")
+    base, stream = _replayed(spark, sf_dir, "upsert", d)
+    ST.stream_upsert(stream, f"{base}/table", f"{base}/ckpt", fields=("title",))
+    t = ST.upserted_table(spark, f"{base}/table")
+    return t.select("page_id", "title", F.array_join("categories", ",").alias("categories"))
+
+
+def q_stream_quota(spark, sf_dir):
+    base, stream = _replayed(spark, sf_dir, "quota", _discoveries(spark, sf_dir))
+    ST.stream_quota(stream, f"{base}/out", f"{base}/ckpt", STREAM_QUOTA)
+    return ST.quota_state(spark, f"{base}/out")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "stream_merge_labels": q_stream_merge_labels,
+        "stream_upsert": q_stream_upsert,
+        "stream_quota": q_stream_quota,
         "fit_topic_classifier": q_fit_topic_classifier,
         "score_topics": q_score_topics,
         "fit_student": q_fit_student,
@@ -623,6 +669,12 @@ keep AS (SELECT k, sidx, CASE WHEN c > 120 THEN array_to_string(list_slice(regex
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "stream_merge_labels": """SELECT user_id AS page_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS categories
+FROM events GROUP BY user_id""",
+        "stream_upsert": """SELECT user_id AS page_id, 'User ' || CAST(user_id AS VARCHAR) AS title,
+       array_to_string(list_sort(list(DISTINCT event_type)), ',') AS categories FROM events GROUP BY user_id""",
+        "stream_quota": f"""WITH f AS (SELECT event_type AS root, user_id AS page_id, min(event_id) AS seq FROM events GROUP BY 1, 2)
+SELECT root, page_id, seq FROM f QUALIFY row_number() OVER (PARTITION BY root ORDER BY seq, page_id) <= {STREAM_QUOTA}""",
         "build_vocab": f"""WITH {_VOCAB} SELECT word, id, n FROM vocab""",
         "encode_tokens": f"""WITH {_VOCAB},
 tk AS (SELECT doc_id, list_slice({_words('text')}, 1, {MAX_LENGTH}) AS w FROM documents),
