@@ -461,7 +461,7 @@ def topic_model(spark, sf_dir):
     ds = docs.join(topics, "page_id").select(
         "page_id", TX.render_prompt("classify", title="title", summary="summary").alias("prompt"),
         AR.multi_hot("cats").alias("labels"))
-    return MO.fit_topic_classifier(ds, "prompt", "labels", TOPICS, **FIT)
+    return MO.fit_topic_classifier(ds, "prompt", "labels", TOPICS, max_iter=20, strategy="joint")
 
 
 def q_page_intent(spark, sf_dir):

@@ -36,6 +36,11 @@ class TopicModel:
     heads: list = field(default_factory=list)  # LogisticRegressionModel or float logit
     names: tuple[str, ...] = ()
     text_col: str = "text"
+    joint: LogisticRegressionModel | None = None  # set by the joint strategy
+
+
+JOINT_FEATURES = 1 << 18
+_SEP = "\u0001"
 
 
 def feature_pipeline(text: str, num_features: int = NUM_FEATURES) -> Pipeline:
@@ -58,11 +63,73 @@ def _constant_logit(pos: int, n: int) -> float:
     return math.log((pos + 0.5) / (n - pos + 0.5))
 
 
+def _label_rows(df: DataFrame, text: str, width: int, labels: str | None) -> DataFrame:
+    """One row per (row, label): the row's tokens prefixed with the label
+    index plus a per-label bias token, so one hashed feature space holds
+    an independent block of weights for every label."""
+    toks = F.filter(F.split(F.lower(F.col(text)), WS + "+"), lambda t: t != F.lit(""))
+    base = df.select(*([labels] if labels else []), "_rid", toks.alias("_tok0"))
+    ex = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("_k"))
+    prefix = F.concat(F.col("_k").cast("string"), F.lit(_SEP))
+    out = ex.select(
+        "_rid", "_k",
+        F.concat(F.transform("_tok0", lambda t: F.concat(prefix, t)), F.array(F.concat(prefix, F.lit("<bias>"))))
+        .alias("_ktok"),
+        *([F.get(F.col(labels), F.col("_k")).cast("double").alias("_y")] if labels else []),
+    )
+    return out
+
+
+def _joint_pipeline(num_features: int) -> Pipeline:
+    return Pipeline(stages=[
+        HashingTF(inputCol="_ktok", outputCol="_tf", numFeatures=num_features),
+        IDF(inputCol="_tf", outputCol="features"),
+    ])
+
+
+def fit_topic_classifier_joint(df: DataFrame, text: str, labels: str, names: tuple[str, ...],
+                               num_features: int = JOINT_FEATURES, max_iter: int = 50,
+                               reg: float = 0.0) -> TopicModel:
+    """E1, joint strategy: the same binary-relevance model fitted as ONE
+    logistic regression over (row, label) pairs with label-prefixed
+    features and a per-label bias feature.  The loss is the sum of the
+    per-label losses (separable), so it is one distributed optimisation
+    instead of ``len(names)`` small ones."""
+    rows = _label_rows(df.withColumn("_rid", F.lit(0)), text, len(names), labels)
+    pipe = _joint_pipeline(num_features).fit(rows)
+    feats = pipe.transform(rows).select("features", "_y").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        lr = LogisticRegression(featuresCol="features", labelCol="_y", maxIter=max_iter, regParam=reg,
+                                fitIntercept=False, standardization=False)
+        joint = lr.fit(feats)
+    finally:
+        feats.unpersist()
+    return TopicModel(features=pipe, heads=[], names=tuple(names), text_col=text, joint=joint)
+
+
+def _score_joint(df: DataFrame, model: TopicModel, out: str) -> DataFrame:
+    keyed = df.withColumn("_rid", F.monotonically_increasing_id())
+    rows = _label_rows(keyed, model.text_col, len(model.names), None)
+    m = model.joint.copy()
+    m.setRawPredictionCol("_raw").setProbabilityCol("").setPredictionCol("")
+    margins = m.transform(model.features.transform(rows)).select(
+        "_rid", F.struct("_k", F.get(vector_to_array(F.col("_raw")), 1).alias("z")).alias("_m"))
+    grouped = margins.groupBy("_rid").agg(F.array_sort(F.collect_list("_m")).alias("_ms"))
+    logits = grouped.select("_rid", F.transform("_ms", lambda x: x["z"]).alias(out))
+    return keyed.join(logits, "_rid").drop("_rid")
+
+
 def fit_topic_classifier(df: DataFrame, text: str, labels: str, names: tuple[str, ...],
                          num_features: int = NUM_FEATURES, max_iter: int = 50, reg: float = 0.0,
-                         parallelism: int = 8) -> TopicModel:
+                         parallelism: int = 8, strategy: str = "per_label") -> TopicModel:
     """One logistic regression per label over hashed TF-IDF of ``text``;
-    ``labels`` is an array<int> of width ``len(names)``."""
+    ``labels`` is an array<int> of width ``len(names)``.
+
+    ``strategy="joint"`` fits all labels in one optimisation (see
+    ``fit_topic_classifier_joint``); ``"per_label"`` fits one model per
+    label concurrently from a driver thread pool."""
+    if strategy == "joint":
+        return fit_topic_classifier_joint(df, text, labels, names, max_iter=max_iter, reg=reg)
     width = len(names)
     pipe = feature_pipeline(text, num_features).fit(df)
     feats = pipe.transform(df).select("features", labels).persist(StorageLevel.MEMORY_AND_DISK)
@@ -84,6 +151,8 @@ def fit_topic_classifier(df: DataFrame, text: str, labels: str, names: tuple[str
 
 def score_topics(df: DataFrame, model: TopicModel, out: str = "logits") -> DataFrame:
     """Append ``out`` = array<double> of per-label logits (margins)."""
+    if model.joint is not None:
+        return _score_joint(df, model, out)
     feats = model.features.transform(df)
     raw_cols = []
     for i, head in enumerate(model.heads):
