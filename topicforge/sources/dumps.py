@@ -60,15 +60,15 @@ def read_page_dump(spark: SparkSession, path: str) -> DataFrame:
 
 
 # One tuple: parentheses around unquoted chars or quoted strings with escapes.
-SQL_TUPLE = r"\((?:[^()']|'(?:[^'\\]|\\.)*')*\)"
+SQL_TUPLE = r"\((?:[^()']|'(?:[^'\\]|\\.|'')*')*\)"
 # One field inside a tuple.
-SQL_FIELD = r"'(?:[^'\\]|\\.)*'|[^,()']+"
+SQL_FIELD = r"'(?:[^'\\]|\\.|'')*'|[^,()']+"
 
 
 def _unescape(c):
     # MySQL escapes; "\\\\" is handled last via a placeholder so "\\'" works.
     x = F.replace(c, F.lit("\\\\"), F.lit("\u0000"))
-    for esc, ch in (("\\'", "'"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"),
+    for esc, ch in (("''", "'"), ("\\'", "'"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"),
                     ("\\t", "\t"), ("\\0", "\u0000")):
         x = F.replace(x, F.lit(esc), F.lit(ch))
     return F.replace(x, F.lit("\u0000"), F.lit("\\"))
