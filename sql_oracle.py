@@ -83,8 +83,10 @@ def lead_nl(x: str, n: int) -> str:
 
 
 def strip_markup(x: str) -> str:
-    for pattern, replacement in W.markup_rules():
+    for _, pattern, replacement in W.markup_rules():
         x = rx(x, pattern, replacement)
+    for ent, ch in W._ENTITIES:
+        x = f"replace({x}, {q(ent)}, {q(ch)})"
     return x
 
 

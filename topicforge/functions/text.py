@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 # Unicode whitespace as Python's str.isspace() sees it: ASCII space and
 # controls, the file/group/record/unit separators, NEL and every Z* char.
 WS = r"[\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}]"
+# The same set spelled out, derived by rule (all such chars are below U+3001).
+WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 TRIM = r"\A" + WS + r"+|" + WS + r"+\z"
 CATEGORY_LINE = r"(?m)^Category:.*$"
 WS_RUN = WS + r"{2,}"
@@ -43,20 +45,45 @@ def abbreviation_pattern(abbreviations: Sequence[str]) -> str:
     return r"(^|[\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}(])(" + alts + r")\."
 
 
+def sentence_end_pattern(abbreviations: Sequence[str]) -> str:
+    """Java-only one-pass form of (protect abbreviations, then SENT_END):
+    a run may not start with a '.' that closes an abbreviation at a word
+    start.  The bounded look-behind is only tried right after a '.'."""
+    if not abbreviations:
+        return SENT_END
+    alts = "|".join(a.replace(".", r"\.") for a in abbreviations)
+    ctx = r"(?:^|[\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}(])(?:" + alts + r")\."
+    return r"((?:\.(?<!" + ctx + r")|[!?])[.!?]*[\"'”’)\]]*)" + WS + r"+"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(x: Column, fn) -> Column:
+    """Evaluate ``x`` once and apply ``fn`` to it.  ``fn`` may use its
+    argument several times (a guard and a rewrite) without copying the
+    expression tree of ``x`` -- the value is bound to a lambda variable."""
+    return F.get(F.transform(F.array(x), fn), 0)
+
+
+def guarded(x: Column, needle: str, fn) -> Column:
+    """``fn(x)`` only when ``x`` contains ``needle``: a byte search on the
+    UTF-8 value skips the costly regex pass for text that cannot match."""
+    return bind(x, lambda v: F.when(F.contains(v, F.lit(needle)), fn(v)).otherwise(v))
+
+
 def strip_ws(c: Column | str) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_col(c), java(TRIM), "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace
+    (Spark's trim with an explicit character set; no regex)."""
+    return F.trim(_col(c), F.lit(WS_CHARS))
 
 
 def clean_text(c: Column | str) -> Column:
     """B2: drop ``Category:`` lines, ``|`` -> space, 2+ whitespace -> one
     space, strip.  A lone newline survives, as in the reference."""
-    x = F.regexp_replace(_col(c), java(CATEGORY_LINE), "")
-    x = F.regexp_replace(x, r"\|", " ")
+    x = guarded(_col(c), "Category:", lambda v: F.regexp_replace(v, java(CATEGORY_LINE), ""))
+    x = F.replace(x, F.lit("|"), F.lit(" "))
     x = F.regexp_replace(x, java(WS_RUN), " ")
     return strip_ws(x)
 
@@ -64,13 +91,14 @@ def clean_text(c: Column | str) -> Column:
 def split_sentences(
     c: Column | str, abbreviations: Sequence[str] = DEFAULT_ABBREVIATIONS
 ) -> Column:
-    """Rule-based sentence split -> array<string> (non-empty pieces)."""
+    """Rule-based sentence split -> array<string> (non-empty pieces).
+
+    Split after a run of ``.!?`` (plus closing quotes/brackets) followed
+    by whitespace, except after an abbreviation's dot.  One regex pass
+    marks the split points, then a literal split."""
     x = strip_ws(c)
-    if abbreviations:
-        x = F.regexp_replace(x, java(abbreviation_pattern(abbreviations)), "$1$2" + ABBR_MARK)
-    x = F.regexp_replace(x, java(SENT_END), "$1" + SENT_MARK)
-    parts = F.filter(F.split(x, SENT_MARK), lambda s: s != F.lit(""))
-    return F.transform(parts, lambda s: F.translate(s, ABBR_MARK, "."))
+    x = F.regexp_replace(x, java(sentence_end_pattern(abbreviations)), "$1" + SENT_MARK)
+    return F.filter(F.split(x, SENT_MARK), lambda s: s != F.lit(""))
 
 
 def lead_sentences(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from topicforge.functions.text import TRIM, java
+from topicforge.functions.text import guarded, java, strip_ws
 
 CATEGORY_LINK = r"\[\[Category:(.*?)\]\]"
 
@@ -30,35 +30,43 @@ _ENTITIES = (
 )
 
 
-def markup_rules() -> list[tuple[str, str]]:
-    """Ordered (pattern, replacement) passes of ``strip_markup``."""
-    rules: list[tuple[str, str]] = [
-        (r"(?s)<!--.*?-->", ""),                                  # comments
-        (r"(?is)<ref[^>]*/>", ""),                                # self-closed refs
-        (r"(?is)<ref[^>]*>.*?</ref>", ""),                        # refs with body
+def markup_rules() -> list[tuple[str, str, str]]:
+    """Ordered (needle, pattern, replacement) passes of ``strip_markup``.
+    A pass runs only on text containing its needle (a literal substring
+    every match must contain)."""
+    rules: list[tuple[str, str, str]] = [
+        ("<!--", r"(?s)<!--.*?-->", ""),                                  # comments
+        ("<", r"(?is)<ref[^>]*/>", ""),                                   # self-closed refs
+        ("<", r"(?is)<ref[^>]*>.*?</ref>", ""),                           # refs with body
     ]
-    rules += [(r"\{\{[^{}]*\}\}", "")] * TEMPLATE_PASSES          # templates
+    rules += [("{{", r"\{\{[^{}]*\}\}", "")] * TEMPLATE_PASSES            # templates
     rules += [
-        (r"(?s)\{\|.*?\|\}", ""),                                 # tables
-        (r"(?i)\[\[(?:File|Image):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", ""),
-        (r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"),                 # [[a|b]] -> b
-        (r"\[\[([^\[\]|]*)\]\]", "$1"),                           # [[a]] -> a
-        (r"\[(?:https?:)?//[^\s\]]+\s+([^\]]*)\]", "$1"),         # [url text] -> text
-        (r"\[(?:https?:)?//[^\s\]]+\]", ""),                      # [url] -> ''
-        (r"'{2,5}", ""),                                          # bold / italic
-        (r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", "$1"),             # headings
-        (r"<[^>]+>", ""),                                         # remaining tags
+        ("{|", r"(?s)\{\|.*?\|\}", ""),                                   # tables
+        ("[[", r"(?i)\[\[(?:File|Image):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", ""),
+        ("[[", r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"),                 # [[a|b]] -> b
+        ("[[", r"\[\[([^\[\]|]*)\]\]", "$1"),                             # [[a]] -> a
+        ("//", r"\[(?:https?:)?//[^\s\]]+\s+([^\]]*)\]", "$1"),           # [url text] -> text
+        ("//", r"\[(?:https?:)?//[^\s\]]+\]", ""),                        # [url] -> ''
+        ("''", r"'{2,5}", ""),                                          # bold / italic
+        ("=", r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", "$1"),               # headings
+        ("<", r"<[^>]+>", ""),                                          # remaining tags
     ]
-    rules += [(e, ch) for e, ch in _ENTITIES]
     return rules
 
 
 def strip_markup(c: Column | str) -> Column:
-    """B1: wiki markup -> plain text (see ``markup_rules``)."""
+    """B1: wiki markup -> plain text (see ``markup_rules``), then the
+    character references."""
     x = F.col(c) if isinstance(c, str) else c
-    for pattern, repl in markup_rules():
-        x = F.regexp_replace(x, java(pattern), repl)
-    return x
+    for needle, pattern, repl in markup_rules():
+        x = guarded(x, needle, lambda v, p=java(pattern), r=repl: F.regexp_replace(v, p, r))
+    return guarded(x, "&", _decode_entities)
+
+
+def _decode_entities(v: Column) -> Column:
+    for ent, ch in _ENTITIES:
+        v = F.replace(v, F.lit(ent), F.lit(ch))
+    return v
 
 
 def extract_categories(c: Column | str) -> Column:
@@ -75,7 +83,7 @@ def clean_category(c: Column, drop_sort_key: bool = False) -> Column:
     """
     if drop_sort_key:
         c = F.substring_index(c, "|", 1)
-    return F.regexp_replace(F.translate(c, "|,", ""), java(TRIM), "")
+    return strip_ws(F.translate(c, "|,", ""))
 
 
 def clean_categories(arr: Column | str, drop_sort_key: bool = False) -> Column:

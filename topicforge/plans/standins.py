@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.functions.text import WS, lead_sentences
+from topicforge.functions.text import WS, java, lead_sentences
 from topicforge.session import read_table
 from topicforge.taxonomy import NUM_TOPICS, topic_array
 
@@ -50,9 +50,14 @@ def category_lines(doc_id: Column) -> Column:
     )
 
 
+NON_WS = "[^" + WS[1:]
+
+
 def first_words(text: Column, n: int = 5) -> Column:
-    parts = F.filter(F.split(text, WS + "+"), lambda w: w != F.lit(""))
-    return F.array_join(F.slice(parts, 1, n), " ")
+    """The first ``n`` whitespace-separated words, joined by one space
+    (an anchored match: only the words needed are scanned)."""
+    head = F.regexp_extract(text, java("^" + WS + "*(" + NON_WS + "+(?:" + WS + "+" + NON_WS + f"+){{0,{n - 1}}})"), 1)
+    return F.regexp_replace(head, java(WS + "+"), " ")
 
 
 def stored_summary(key: Column, text: Column) -> Column:
