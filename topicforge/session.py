@@ -80,8 +80,28 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Tables whose rows carry whole texts: per-row work (regex, splitting,
+# tokenising) dominates, so their scans should use every core.
+TEXT_TABLES = frozenset({"documents", "pages", "conversations", "benchmark"})
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a narrow scan at least the cluster's default parallelism.
+
+    A big input already has thousands of splits and is returned as is; a
+    few large files (or a single row group) would otherwise put all the
+    per-row text work of a stage on one task.  The round-robin repartition
+    sorts before partitioning (Spark's default), so a retried task sees
+    the same rows."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def tune_for_group_limits(spark: SparkSession, k: int) -> None:
