@@ -58,8 +58,11 @@ def strip_markup(c: Column | str) -> Column:
     """B1: wiki markup -> plain text (see ``markup_rules``), then the
     character references."""
     x = F.col(c) if isinstance(c, str) else c
+    def rewrite(pattern: str, repl: str):
+        return lambda v: F.regexp_replace(v, java(pattern), repl)
+
     for needle, pattern, repl in markup_rules():
-        x = guarded(x, needle, lambda v, p=java(pattern), r=repl: F.regexp_replace(v, p, r))
+        x = guarded(x, needle, rewrite(pattern, repl))
     return guarded(x, "&", _decode_entities)
 
 

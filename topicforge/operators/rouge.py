@@ -46,26 +46,55 @@ def _prf(hits: Column, n_pred: Column, n_ref: Column) -> list[Column]:
     return [p.alias("precision"), r.alias("recall"), f.alias("f1")]
 
 
-def rouge_n(pairs: DataFrame, n: int = 1, keys: Sequence[str] = ("id", "system"),
-            prediction: str = "prediction", reference: str = "reference") -> DataFrame:
-    """Per pair, clipped n-gram precision / recall / F1."""
+def _tagged_grams(pairs: DataFrame, keys: list[str], ns: Sequence[int], prediction: str,
+                  reference: str) -> DataFrame:
+    """(keys, n, g, p, r): every n-gram of both sides, tagged by side,
+    from ONE generator per row (both sides, every n)."""
+    def tag(n: int, p: int, r: int):
+        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(p).alias("p"), F.lit(r).alias("r"))
+
+    entries = [F.transform(ngrams(col, n), tag(n, p, r))
+               for n in ns for col, p, r in ((prediction, 1, 0), (reference, 0, 1))]
+    return pairs.select(*keys, F.explode(F.concat(*entries)).alias("_e")).select(*keys, "_e.*")
+
+
+def rouge_n_multi(pairs: DataFrame, ns: Sequence[int] = (1, 2), keys: Sequence[str] = ("id", "system"),
+                  prediction: str = "prediction", reference: str = "reference") -> DataFrame:
+    """E11 for several n in one shuffle: (keys, n, precision, recall, f1)."""
     keys = list(keys)
-    side = pairs.select(*keys, F.explode(ngrams(prediction, n)).alias("g"), F.lit(1).alias("p"), F.lit(0).alias("r"))
-    side = side.unionByName(
-        pairs.select(*keys, F.explode(ngrams(reference, n)).alias("g"), F.lit(0).alias("p"), F.lit(1).alias("r"))
-    )
-    per_gram = side.groupBy(*keys, "g").agg(F.sum("p").alias("cp"), F.sum("r").alias("cr"))
-    per_pair = per_gram.groupBy(*keys).agg(
+    side = _tagged_grams(pairs, keys, ns, prediction, reference)
+    per_gram = side.groupBy(*keys, "n", "g").agg(F.sum("p").alias("cp"), F.sum("r").alias("cr"))
+    per_pair = per_gram.groupBy(*keys, "n").agg(
         F.sum(F.least("cp", "cr")).alias("hits"), F.sum("cp").alias("np"), F.sum("cr").alias("nr")
     )
-    j = pairs.select(*keys).join(per_pair, keys, "left")
+    every = pairs.select(*keys, F.explode(F.array(*[F.lit(n) for n in ns])).alias("n"))
+    j = every.join(per_pair, keys + ["n"], "left")
     z = F.lit(0).cast("bigint")
-    return j.select(*keys, *_prf(F.coalesce("hits", z), F.coalesce("np", z), F.coalesce("nr", z)))
+    return j.select(*keys, "n", *_prf(F.coalesce("hits", z), F.coalesce("np", z), F.coalesce("nr", z)))
+
+
+def rouge_n(pairs: DataFrame, n: int = 1, keys: Sequence[str] = ("id", "system"),
+            prediction: str = "prediction", reference: str = "reference") -> DataFrame:
+    """Per pair, clipped n-gram precision / recall / F1."""
+    return rouge_n_multi(pairs, (n,), keys, prediction, reference).drop("n")
+
+
+BOTH = T.StructType([T.StructField("L", SCORE), T.StructField("Lsum", SCORE)])
 
 
 def _lcs_udf(kind: str):
     from topicforge.functions import lcs
 
+    if kind == "both":
+        @F.pandas_udf(BOTH)
+        def both(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
+            cols = ["precision", "recall", "f1"]
+            a = pd.DataFrame([lcs.rouge_l(p, r) for p, r in zip(pred, ref)], columns=cols, dtype="float64")
+            b = pd.DataFrame([lcs.rouge_lsum(p, r) for p, r in zip(pred, ref)], columns=cols, dtype="float64")
+            return pd.DataFrame({"L": a.to_dict("records"), "Lsum": b.to_dict("records")})
+
+        return both
+
     fn = lcs.rouge_l if kind == "L" else lcs.rouge_lsum
 
     @F.pandas_udf(SCORE)
@@ -85,17 +114,20 @@ def rouge_l(pairs: DataFrame, keys: Sequence[str] = ("id", "system"), prediction
 
 def evaluate_summaries(pairs: DataFrame, keys: Sequence[str] = ("id", "system"),
                        group: str = "system", with_lcs: bool = True) -> DataFrame:
-    """Mean ROUGE F1 per system (rouge1, rouge2[, rougeL, rougeLsum])."""
+    """Mean ROUGE F1 per system (rouge1, rouge2[, rougeL, rougeLsum]).
+
+    ROUGE-1/2 come from one n-gram aggregate; ROUGE-L/Lsum from one
+    Arrow-batched UDF pass; the two per-pair tables are joined once."""
     keys = list(keys)
-    parts = [
-        rouge_n(pairs, 1, keys).select(*keys, F.col("f1").alias("rouge1")),
-        rouge_n(pairs, 2, keys).select(*keys, F.col("f1").alias("rouge2")),
-    ]
+    rn = rouge_n_multi(pairs, (1, 2), keys).groupBy(*keys).agg(
+        F.max(F.when(F.col("n") == 1, F.col("f1"))).alias("rouge1"),
+        F.max(F.when(F.col("n") == 2, F.col("f1"))).alias("rouge2"),
+    )
+    j = rn
     if with_lcs:
-        parts.append(rouge_l(pairs, keys).select(*keys, F.col("f1").alias("rougeL")))
-        parts.append(rouge_l(pairs, keys, summary_level=True).select(*keys, F.col("f1").alias("rougeLsum")))
-    j = parts[0]
-    for p in parts[1:]:
-        j = j.join(p, keys)
+        s = _lcs_udf("both")(F.col("prediction"), F.col("reference"))
+        lc = pairs.select(*keys, s.alias("_s")).select(
+            *keys, F.col("_s.L.f1").alias("rougeL"), F.col("_s.Lsum.f1").alias("rougeLsum"))
+        j = rn.join(lc, keys)
     metrics = [c for c in ("rouge1", "rouge2", "rougeL", "rougeLsum") if c in j.columns]
     return j.groupBy(group).agg(F.count(F.lit(1)).alias("pairs"), *[F.avg(m).alias(m) for m in metrics])

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,12 +73,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable (shared-storage) checkpoint.
+    """Cut lineage by writing ``df`` as a Parquet table in the shared
+    checkpoint folder and reading it back.
 
     Unlike a local checkpoint, the data survives the loss of the executor
-    that computed it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    that computed it; unlike ``Dataset.checkpoint(eager=True)`` (a count
+    job plus a second job that recomputes the plan to write the files) it
+    costs one job, and the re-read gives the optimizer exact sizes."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 # Tables whose rows carry whole texts: per-row work (regex, splitting,
