@@ -7,8 +7,8 @@ they are put back in document order.  Lead-n (B6) is the baseline.
 
 Plan: sentences and words are exploded per document; document
 frequencies are a partial aggregate per word; the idf lookup is joined
-by word (broadcast when the vocabulary is provably small, salted
-otherwise, so a frequent word does not land on one task); sentence
+by word (AQE broadcasts it when measured small and splits a hot word's
+partition otherwise); sentence
 ranking is a salted two-stage top-k per document bounded by the budget
 (a sentence has at least one token, so at most ``max_tokens`` sentences
 can be kept).
@@ -19,40 +19,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicforge.functions.text import WS, split_sentences, words
-from topicforge.operators.skew import lookup_join, top_k_per_group
+from topicforge.functions.text import WS, bind, split_sentences, words
+from topicforge.operators.skew import top_k_per_group
 
 SCORE_DIGITS = 9
 
 
-def sentence_table(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, sidx, sentence, n_tokens) for every sentence of every document."""
-    s = df.select(F.col(key).alias("_key"), F.posexplode(split_sentences(F.col(text))).alias("sidx", "sentence"))
-    return s.withColumn("n_tokens", F.size(words(F.col("sentence"))))
-
-
-def idf_table(tokens: DataFrame, n_docs: int) -> DataFrame:
-    """word -> smoothed idf = ln((1 + N) / (1 + df)) + 1."""
-    df_counts = tokens.select("_key", "word").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    return df_counts.select(
-        "word", (F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf")
-    )
-
-
 def sentence_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, sidx, sentence, n_tokens, score) with score = mean tf*idf of the
-    sentence's tokens (0 for a sentence without tokens)."""
-    sents = sentence_table(df, key, text)
+    """(_key, sidx, n_tokens, score): score = mean tf*idf over the
+    sentence's tokens.  Every sentence has at least one token (pieces are
+    non-empty and hold no whitespace at their ends).
+
+    One window keyed by (document, word) yields both the term frequency
+    and a first-occurrence flag; document frequencies are a partial
+    aggregate of the flags; idf is joined back by word.  That join is a
+    plain equi-join: AQE makes it a broadcast when the measured idf side
+    is small, and its skew handling splits a hot word's partition
+    otherwise."""
+    sents = df.select(F.col(key).alias("_key"),
+                      F.posexplode(split_sentences(F.col(text))).alias("sidx", "sentence"))
     toks = sents.select("_key", "sidx", F.explode(words(F.col("sentence"))).alias("word"))
     n_docs = df.count()
-    idf = idf_table(toks, n_docs)
-    tf = toks.groupBy("_key", "word").agg(F.count(F.lit(1)).alias("tf"))
-    weighted = lookup_join(toks.join(tf, ["_key", "word"]), idf, "word", ["_key", "sidx"], "inner")
-    per_sentence = weighted.groupBy("_key", "sidx").agg(
-        F.round(F.avg(F.col("tf") * F.col("idf")), SCORE_DIGITS).alias("score")
-    )
-    return sents.join(per_sentence, ["_key", "sidx"], "left").withColumn(
-        "score", F.coalesce(F.col("score"), F.lit(0.0))
+    w = Window.partitionBy("_key", "word")
+    ranked = toks.withColumn("tf", F.count(F.lit(1)).over(w)).withColumn(
+        "_first", F.row_number().over(w.orderBy("sidx")) == 1)
+    idf = ranked.where("_first").groupBy("word").agg(
+        (F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.count(F.lit(1)))) + F.lit(1.0)).alias("idf"))
+    return ranked.join(idf, "word").groupBy("_key", "sidx").agg(
+        F.count(F.lit(1)).alias("n_tokens"),
+        F.round(F.avg(F.col("tf") * F.col("idf")), SCORE_DIGITS).alias("score"),
     )
 
 
@@ -60,17 +55,30 @@ def summarise(df: DataFrame, key: str = "doc_id", text: str = "text", max_tokens
     """Key, summary -- the best-scoring sentences (ties -> earlier)
     that fit ``max_tokens`` together, in document order.  When even the
     best sentence is longer than the budget it is cut to ``max_tokens``
-    words.  Documents without sentences get an empty summary."""
+    words.  Documents without sentences get an empty summary.
+
+    The ranking runs on (doc, sentence index, size, score) only; the
+    chosen indices are collected per document (at most ``max_tokens``) and
+    the sentences are picked from a fresh split of each document's text
+    in the final projection."""
     scored = sentence_scores(df, key, text)
     order = [F.col("score").desc(), F.col("sidx").asc()]
     best = top_k_per_group(scored, "_key", order, max_tokens, ["_key", "sidx"])
     w = Window.partitionBy("_key").orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
     best = best.withColumn("_cum", F.sum("n_tokens").over(w))
-    first_cut = F.array_join(F.slice(F.split(F.col("sentence"), WS + "+"), 1, max_tokens), " ")
-    keep = best.where((F.col("_cum") <= max_tokens) | (F.col("_rank") == 1)).withColumn(
-        "sentence", F.when(F.col("_cum") > max_tokens, first_cut).otherwise(F.col("sentence"))
-    )
-    joined = keep.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("sidx", "sentence"))).alias("_s"))
-    out = df.select(F.col(key).alias("_key")).join(joined, "_key", "left")
-    summary = F.coalesce(F.array_join(F.transform("_s", lambda s: s["sentence"]), " "), F.lit(""))
-    return out.select(F.col("_key").alias(key), summary.alias("summary"))
+    keep = best.where((F.col("_cum") <= max_tokens) | (F.col("_rank") == 1)).select(
+        "_key", F.struct("sidx", (F.col("_cum") > max_tokens).alias("cut")).alias("_p"))
+    chosen = keep.groupBy("_key").agg(F.array_sort(F.collect_list("_p")).alias("_picks"))
+    docs = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    j = docs.join(chosen, "_key", "left")
+
+    def pick(sents):
+        def one(p):
+            sentence = F.get(sents, p["sidx"])
+            first_cut = F.array_join(F.slice(F.split(sentence, WS + "+"), 1, max_tokens), " ")
+            return F.when(p["cut"], first_cut).otherwise(sentence)
+        return F.array_join(F.transform(F.col("_picks"), one), " ")
+
+    summary = F.when(F.col("_picks").isNull(), F.lit("")).otherwise(
+        bind(split_sentences(F.col("_text")), pick))
+    return j.select(F.col("_key").alias(key), summary.alias("summary"))
