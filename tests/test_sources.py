@@ -110,3 +110,13 @@ def test_html_error_rows(spark):
     ok, bad = files.read_html_pages(df)
     assert [r["page_id"] for r in ok.collect()] == [1]
     assert [r["page_id"] for r in bad.collect()] == [2]
+
+
+def test_large_percent_slice_uses_dense_ordinal(spark):
+    from topicforge.operators.splits import dense_ordinal, percent_slice
+
+    df = spark.range(0, 1000, 1, 7).select((F.col("id") * 3).alias("k"))
+    got = sorted(r["k"] for r in percent_slice(df, "k", 25, topk_max=10).collect())
+    assert got == [3 * i for i in range(250)]
+    ords = {r["k"]: r["ordinal"] for r in dense_ordinal(df, "k").collect()}
+    assert all(ords[3 * i] == i for i in range(1000))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # Above this many rows a "first p percent" slice is cut by a global rank
 # computed from per-partition counts instead of a single top-k task.
-TOPK_MAX = 1_000_000
+TOPK_MAX = 10_000
 
 
 def hash_bucket(key: Column | str, buckets: int = 1000) -> Column:
