@@ -44,19 +44,18 @@ def encode_tokens(df: DataFrame, key: str, text: str, vocab: DataFrame, max_leng
     """Key, input_ids array<int>[max_length], attention_mask array<int>[max_length].
 
     Truncation happens before the join (at most ``max_length`` tokens per
-    row are exploded); missing words map to 1, padding is 0; an empty
-    text yields all padding."""
-    keys = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    toks = keys.select(
-        "_key", F.posexplode(F.slice(words(F.col("_text")), 1, max_length)).alias("pos", "word")
+    row are exploded); missing words map to 1, padding is 0; an empty or
+    null text yields all padding (``posexplode_outer`` keeps its row, so
+    no join back to the keys is needed)."""
+    toks = df.select(
+        F.col(key).alias("_key"),
+        F.posexplode_outer(F.slice(words(F.col(text)), 1, max_length)).alias("pos", "word"),
     )
     joined = lookup_join(toks, vocab.select("word", "id"), "word", ["_key", "pos"], "left",
-                         lookup_rows=vocab_rows).select(
-        "_key", "pos", F.coalesce(F.col("id"), F.lit(UNK_ID)).alias("id")
-    )
-    grouped = joined.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_s"))
-    full = keys.select("_key").join(grouped, "_key", "left")
-    ids = F.coalesce(F.transform(F.col("_s"), lambda s: s["id"]), F.array().cast("array<int>"))
+                         lookup_rows=vocab_rows)
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce(F.col("id"), F.lit(UNK_ID)).alias("id")))
+    full = joined.groupBy("_key").agg(F.array_sort(F.collect_list(entry)).alias("_s"))
+    ids = F.transform(F.col("_s"), lambda s: s["id"])
     pad = F.greatest(F.lit(max_length) - F.size(ids), F.lit(0))
     return full.select(
         F.col("_key").alias(key),
