@@ -51,6 +51,25 @@ def feature_pipeline(text: str, num_features: int = NUM_FEATURES) -> Pipeline:
     ])
 
 
+def _fit_features(rows: DataFrame, hashing: HashingTF, keep: list[str],
+                  pre: list | None = None) -> tuple[PipelineModel, DataFrame]:
+    """Hash once, fit IDF on the persisted term frequencies, and return the
+    (tokenise/hash/IDF) model plus the persisted training features.  The
+    source rows are computed exactly once."""
+    stages = list(pre or [])
+    cur = rows
+    for st in stages:
+        cur = st.transform(cur)
+    tf = hashing.transform(cur).select(hashing.getOutputCol(), *keep).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        idf_model = IDF(inputCol=hashing.getOutputCol(), outputCol="features").fit(tf)
+        feats = idf_model.transform(tf).select("features", *keep).persist(StorageLevel.MEMORY_AND_DISK)
+        feats.count()
+    finally:
+        tf.unpersist()
+    return PipelineModel(stages=stages + [hashing, idf_model]), feats
+
+
 def _label_stats(feats: DataFrame, labels: str, width: int) -> tuple[list[int], int]:
     row = feats.agg(
         F.count(F.lit(1)).alias("n"),
@@ -96,8 +115,7 @@ def fit_topic_classifier_joint(df: DataFrame, text: str, labels: str, names: tup
     per-label losses (separable), so it is one distributed optimisation
     instead of ``len(names)`` small ones."""
     rows = _label_rows(df.withColumn("_rid", F.lit(0)), text, len(names), labels)
-    pipe = _joint_pipeline(num_features).fit(rows)
-    feats = pipe.transform(rows).select("features", "_y").persist(StorageLevel.MEMORY_AND_DISK)
+    pipe, feats = _fit_features(rows, HashingTF(inputCol="_ktok", outputCol="_tf", numFeatures=num_features), ["_y"])
     try:
         lr = LogisticRegression(featuresCol="features", labelCol="_y", maxIter=max_iter, regParam=reg,
                                 fitIntercept=False, standardization=False)
@@ -108,15 +126,29 @@ def fit_topic_classifier_joint(df: DataFrame, text: str, labels: str, names: tup
 
 
 def _score_joint(df: DataFrame, model: TopicModel, out: str) -> DataFrame:
-    keyed = df.withColumn("_rid", F.monotonically_increasing_id())
-    rows = _label_rows(keyed, model.text_col, len(model.names), None)
-    m = model.joint.copy()
-    m.setRawPredictionCol("_raw").setProbabilityCol("").setPredictionCol("")
-    margins = m.transform(model.features.transform(rows)).select(
-        "_rid", F.struct("_k", F.get(vector_to_array(F.col("_raw")), 1).alias("z")).alias("_m"))
-    grouped = margins.groupBy("_rid").agg(F.array_sort(F.collect_list("_m")).alias("_ms"))
-    logits = grouped.select("_rid", F.transform("_ms", lambda x: x["z"]).alias(out))
-    return keyed.join(logits, "_rid").drop("_rid")
+    """Map-only scoring of a joint model: for every label, hash the row's
+    label-prefixed tokens into the shared feature space, weight them with
+    the fitted IDF, and read the margin from the same coefficient vector
+    through a per-label feature column.  Rows are never expanded,
+    shuffled or joined back."""
+    tf_stage, idf_model = model.features.stages
+    n_features = tf_stage.getNumFeatures()
+    toks = F.filter(F.split(F.lower(F.col(model.text_col)), WS + "+"), lambda t: t != F.lit(""))
+    cur = df.withColumn("_tok0", toks)
+    margins = []
+    for k in range(len(model.names)):
+        prefix = F.lit(f"{k}{_SEP}")
+        cur = cur.withColumn(f"_kt{k}", F.concat(F.transform("_tok0", lambda t: F.concat(prefix, t)),
+                                                 F.array(F.concat(prefix, F.lit("<bias>")))))
+        cur = HashingTF(inputCol=f"_kt{k}", outputCol=f"_tf{k}", numFeatures=n_features).transform(cur)
+        cur = idf_model.copy().setInputCol(f"_tf{k}").setOutputCol(f"_x{k}").transform(cur)
+        lr = model.joint.copy()
+        lr.setFeaturesCol(f"_x{k}").setRawPredictionCol(f"_raw{k}").setProbabilityCol("").setPredictionCol("")
+        cur = lr.transform(cur)
+        margins.append(F.get(vector_to_array(F.col(f"_raw{k}")), 1))
+        cur = cur.drop(f"_kt{k}", f"_tf{k}", f"_x{k}")
+    temp = ["_tok0"] + [f"_raw{k}" for k in range(len(model.names))]
+    return cur.withColumn(out, F.array(*margins)).drop(*temp)
 
 
 def fit_topic_classifier(df: DataFrame, text: str, labels: str, names: tuple[str, ...],
@@ -131,8 +163,9 @@ def fit_topic_classifier(df: DataFrame, text: str, labels: str, names: tuple[str
     if strategy == "joint":
         return fit_topic_classifier_joint(df, text, labels, names, max_iter=max_iter, reg=reg)
     width = len(names)
-    pipe = feature_pipeline(text, num_features).fit(df)
-    feats = pipe.transform(df).select("features", labels).persist(StorageLevel.MEMORY_AND_DISK)
+    tok = RegexTokenizer(inputCol=text, outputCol="_tok", pattern=WS + "+", toLowercase=True)
+    pipe, feats = _fit_features(df, HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
+                                [labels], pre=[tok])
     try:
         pos, n = _label_stats(feats, labels, width)
 
@@ -177,8 +210,9 @@ def fit_student(df: DataFrame, text: str, labels: str, teacher_logits: str, name
     Each row becomes (label 1, weight q) and (label 0, weight 1 - q); the
     weighted logistic loss then has the soft-target BCE gradient."""
     width = len(names)
-    pipe = feature_pipeline(text, num_features).fit(df)
-    feats = pipe.transform(df).select("features", labels, teacher_logits).persist(StorageLevel.MEMORY_AND_DISK)
+    tok = RegexTokenizer(inputCol=text, outputCol="_tok", pattern=WS + "+", toLowercase=True)
+    pipe, feats = _fit_features(df, HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
+                                [labels, teacher_logits], pre=[tok])
     try:
         def fit_one(i: int):
             q = (F.lit(alpha) * F.get(F.col(labels), i).cast("double")
