@@ -114,3 +114,11 @@ def test_kl_identical_zero_and_shape_mismatch(spark):
     bad = spark.createDataFrame([([1.0, 2.0], [1.0])], "teacher array<double>, student array<double>")
     with pytest.raises(Exception):
         D.distillation_loss(bad).collect()
+
+
+def test_kl_long_form_divides_by_sequences(spark):
+    rows = [(1, 0, [1.0, 2.0], [2.0, 1.0]), (1, 1, [0.5, 0.5], [0.0, 1.0]), (2, 0, [3.0, 0.0], [0.0, 3.0])]
+    df = spark.createDataFrame(rows, "id long, pos int, teacher array<double>, student array<double>")
+    got = D.distillation_loss(df, temperature=2.0, batch_key="id").first()["kl"]
+    expect = sum(_np_kl(t, s, 2.0) for _, _, t, s in rows) / 2
+    assert got == pytest.approx(expect)

@@ -127,7 +127,9 @@ def upsert_pages(existing: DataFrame, incoming: DataFrame, key: str = "page_id",
     merged per key.  The result is a new table (write it to a new path)."""
     inc = incoming.groupBy(key).agg(
         F.min(F.struct(*[F.col(f) for f in fields])).alias("_f"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.col(categories))))).alias("_c"),
+        # collect_set is deduplicated map-side: a page met a million times with
+        # the same labels contributes one array, not a million
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.col(categories))))).alias("_c"),
     )
     ex = existing.select(key, F.struct(*[F.col(f) for f in fields]).alias("_e"),
                          F.col(categories).alias("_ec"), F.lit(True).alias("_known"))
