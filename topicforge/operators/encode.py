@@ -9,13 +9,13 @@ frequent word does not land in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicforge.functions.arrays import multi_hot as multi_hot_col
 from topicforge.functions.arrays import topic_id
 from topicforge.functions.text import words
-from topicforge.operators.skew import lookup_join
+from topicforge.operators.skew import global_top_k, lookup_join
 
 PAD_ID = 0
 UNK_ID = 1
@@ -27,16 +27,15 @@ def build_vocab(df: DataFrame, text: str = "text", size: int = 30_000) -> DataFr
     (count desc, word asc); ids start at 2 (0 = pad, 1 = unknown).
 
     Word counts are a partial+final aggregate (hot words are reduced
-    map-side); the ordering is a top-k; ids are numbered on at most
-    ``size`` rows."""
+    map-side); the ordering is a salted two-stage top-k whose rank is the
+    id, so no task orders more than ``64 * size`` rows."""
     counts = (
         df.select(F.explode(words(F.col(text))).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    top = counts.orderBy(F.col("n").desc(), F.col("word").asc()).limit(size)
-    w = Window.orderBy(F.col("n").desc(), F.col("word").asc())
-    return top.select("word", (F.row_number().over(w) + F.lit(FIRST_ID - 1)).cast("int").alias("id"), "n")
+    top = global_top_k(counts, [F.col("n").desc(), F.col("word").asc()], size, "word")
+    return top.select("word", (F.col("_rank") + F.lit(FIRST_ID - 1)).cast("int").alias("id"), "n")
 
 
 def encode_tokens(df: DataFrame, key: str, text: str, vocab: DataFrame, max_length: int = 512,

@@ -41,6 +41,16 @@ def top_k_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[C
     return stage1.withColumn("_rank", F.row_number().over(w2)).where(F.col("_rank") <= k)
 
 
+def global_top_k(df: DataFrame, order: Sequence[Column], k: int, salt_key: str | Sequence[str],
+                 buckets: int = SALT_BUCKETS) -> DataFrame:
+    """The first ``k`` rows of ``df`` in ``order`` with their 1-based
+    ``_rank``.  Unlike ``orderBy().limit(k)``, whose single final task reads
+    every partition's local top-k, the final task here reads at most
+    ``buckets * k`` rows."""
+    one = df.withColumn("_all", F.lit(0))
+    return top_k_per_group(one, "_all", order, k, salt_key, buckets).drop("_all")
+
+
 def salted_join(big: DataFrame, lookup: DataFrame, on: str, spread: Sequence[str],
                 how: str = "left", buckets: int = SALT_BUCKETS) -> DataFrame:
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(buckets)))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicforge.operators.skew import global_top_k
+
 # Above this many rows a "first p percent" slice is cut by a global rank
 # computed from per-partition counts instead of a single top-k task.
 TOPK_MAX = 10_000
@@ -63,15 +65,17 @@ def dense_ordinal(df: DataFrame, key: str, out: str = "ordinal") -> DataFrame:
 def percent_slice(df: DataFrame, key: str, percent: float, topk_max: int = TOPK_MAX) -> DataFrame:
     """The first ``percent`` % of ``df`` in ``key`` order (``train[:p%]``).
 
-    One count action fixes k.  Small k is a top-k (each task keeps k
-    rows, then one merge); large k is cut by a global rank built from
-    per-partition counts (``dense_ordinal``), so no single task ever
-    holds k rows.
+    One count action fixes k.  Small k is a salted two-stage top-k (the
+    final task reads at most 64 * k rows); large k is cut by a global rank
+    built from per-partition counts (``dense_ordinal``), so no single task
+    ever holds k rows.
     """
     n = df.count()
     k = slice_size(n, percent)
+    if k == 0:
+        return df.limit(0)
     if k <= topk_max:
-        return df.orderBy(F.col(key).asc()).limit(k)
+        return global_top_k(df, [F.col(key).asc()], k, key).drop("_rank")
     return dense_ordinal(df, key, "_ord").where(F.col("_ord") < F.lit(k)).drop("_ord")
 
 
