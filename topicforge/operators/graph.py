@@ -73,8 +73,9 @@ def walk_with_quota(edges: DataFrame, roots: DataFrame, members: DataFrame, limi
     as ``quota_pages(root_pages(category_closure(...)))``.
 
     Per level: expand the frontier, drop visited categories, find the
-    level's new pages, checkpoint both, then read the per-root page counts
-    (one row per root) to retire full roots."""
+    level's new pages, checkpoint both, and add the level's per-root page
+    counts (one row per root) to the running totals that retire full
+    roots -- each level costs work proportional to its own rows."""
     e = edges.select("parent", "child")
     m = members.select("category", "page_id")
     level = reliable_checkpoint(
@@ -85,11 +86,17 @@ def walk_with_quota(edges: DataFrame, roots: DataFrame, members: DataFrame, limi
         level.join(m, "category").select("root", "page_id", "depth").distinct()
     )
     seen = pages
+    held: dict[str, int] = {}
+
+    def add_counts(new: DataFrame) -> None:
+        # one row per root: a bounded summary, read on the driver
+        for r in new.groupBy("root").agg(F.count(F.lit(1)).alias("n")).collect():
+            held[r["root"]] = held.get(r["root"], 0) + int(r["n"])
+
+    add_counts(pages)
     for depth in range(1, max_depth + 1):
-        counts = seen.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-        full = counts.where(F.col("n") >= limit).select("root")
-        # one row per root: bounded by the root list, safe to broadcast
-        frontier = level.join(F.broadcast(full), "root", "left_anti")
+        full = [r for r, n in held.items() if n >= limit]
+        frontier = level.where(~F.col("root").isin(full)) if full else level
         nxt = (
             frontier.join(e, frontier.category == e.parent)
             .select("root", F.col("child").alias("category"), F.lit(depth).alias("depth"))
@@ -104,6 +111,7 @@ def walk_with_quota(edges: DataFrame, roots: DataFrame, members: DataFrame, limi
             .join(seen.select("root", "page_id"), ["root", "page_id"], "left_anti")
         )
         new_pages = reliable_checkpoint(new_pages)
+        add_counts(new_pages)
         visited = visited.unionByName(nxt)
         seen = seen.unionByName(new_pages)
         level = nxt
