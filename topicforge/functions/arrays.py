@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from topicforge.constants import THRESHOLD, TOP_K_TOPICS
 from topicforge.taxonomy import TOPICS
 
 
@@ -23,7 +24,7 @@ def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
-def binarise(logits: Column | str, threshold: float = 0.5) -> Column:
+def binarise(logits: Column | str, threshold: float = THRESHOLD) -> Column:
     """``sigmoid(z) > threshold`` strictly, as 0/1 ints."""
     return F.transform(_col(logits), lambda z: (sigmoid(z) > F.lit(threshold)).cast("int"))
 
@@ -69,7 +70,7 @@ def topic_name(idx: Column | str, names: Sequence[str] = TOPICS) -> Column:
     return F.get(lits, _col(idx))
 
 
-def top_k_indices(logits: Column | str, k: int = 3) -> Column:
+def top_k_indices(logits: Column | str, k: int = TOP_K_TOPICS) -> Column:
     """E3 core: indices of the ``k`` largest values, descending; ties go
     to the lower index.  Softmax is monotone, so ranking the logits is
     the same as ranking the probabilities."""
@@ -79,7 +80,7 @@ def top_k_indices(logits: Column | str, k: int = 3) -> Column:
     return F.transform(F.slice(ranked, 1, k), lambda s: s["idx"])
 
 
-def top_k_names(logits: Column | str, k: int = 3, names: Sequence[str] = TOPICS) -> Column:
+def top_k_names(logits: Column | str, k: int = TOP_K_TOPICS, names: Sequence[str] = TOPICS) -> Column:
     lits = F.array(*[F.lit(n) for n in names])
     return F.transform(top_k_indices(logits, k), lambda i: F.get(lits, i))
 

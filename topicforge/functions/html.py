@@ -10,9 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from topicforge.constants import WEB_LEAD_SENTENCES
 from topicforge.functions.text import java, lead_sentences, strip_ws
 
+# --- fixed values (must equal the reference's) ---
 NO_TITLE = "No title found"
+# --- end of fixed values ---
 
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 # Removed before paragraphs are cut out: scripts, styles, comments.
@@ -69,6 +72,6 @@ def html_paragraphs(c: Column | str) -> Column:
     return F.array_join(html_paragraph_list(c), " ")
 
 
-def page_summary_from_html(c: Column | str, n: int = 10) -> Column:
+def page_summary_from_html(c: Column | str, n: int = WEB_LEAD_SENTENCES) -> Column:
     """B16 summary part: first ``n`` sentences of the paragraphs, stripped."""
     return strip_ws(lead_sentences(html_paragraphs(c), n))

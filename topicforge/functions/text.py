@@ -16,14 +16,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from topicforge.constants import LEAD_SENTENCES
+
 # Unicode whitespace as Python's str.isspace() sees it: ASCII space and
 # controls, the file/group/record/unit separators, NEL and every Z* char.
 WS = r"[\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}]"
 # The same set spelled out, derived by rule (all such chars are below U+3001).
 WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 TRIM = r"\A" + WS + r"+|" + WS + r"+\z"
+# --- fixed values (the text-cleaning rule; must equal the reference's) ---
+# 1. lines starting with "Category:" are emptied, 2. "|" becomes a space,
+# 3. runs of two or more whitespace characters become one space, 4. strip.
 CATEGORY_LINE = r"(?m)^Category:.*$"
+PIPE = "|"
 WS_RUN = WS + r"{2,}"
+# --- end of fixed values ---
 
 # Sentence rule: a run of terminators, optional closing quotes/brackets,
 # then whitespace.  Abbreviations are protected with \x02 first.
@@ -83,7 +90,7 @@ def clean_text(c: Column | str) -> Column:
     """B2: drop ``Category:`` lines, ``|`` -> space, 2+ whitespace -> one
     space, strip.  A lone newline survives, as in the reference."""
     x = guarded(_col(c), "Category:", lambda v: F.regexp_replace(v, java(CATEGORY_LINE), ""))
-    x = F.replace(x, F.lit("|"), F.lit(" "))
+    x = F.replace(x, F.lit(PIPE), F.lit(" "))
     x = F.regexp_replace(x, java(WS_RUN), " ")
     return strip_ws(x)
 
@@ -102,7 +109,7 @@ def split_sentences(
 
 
 def lead_sentences(
-    c: Column | str, n: int = 5, abbreviations: Sequence[str] = DEFAULT_ABBREVIATIONS
+    c: Column | str, n: int = LEAD_SENTENCES, abbreviations: Sequence[str] = DEFAULT_ABBREVIATIONS
 ) -> Column:
     """The first ``n`` sentences joined by one space."""
     return F.array_join(F.slice(split_sentences(c, abbreviations), 1, n), " ")

@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 from topicforge.functions.text import guarded, java, strip_ws
 
+# --- fixed values (must equal the reference's for the same categories) ---
+# Category link target: non-greedy, case-sensitive, not across lines.
 CATEGORY_LINK = r"\[\[Category:(.*?)\]\]"
+# Characters deleted from a category name before it is stripped.
+CATEGORY_DELETE = "|,"
+# --- end of fixed values ---
 
 # Nested templates are removed innermost-first, one level per pass.
 TEMPLATE_PASSES = 4
@@ -86,7 +91,7 @@ def clean_category(c: Column, drop_sort_key: bool = False) -> Column:
     """
     if drop_sort_key:
         c = F.substring_index(c, "|", 1)
-    return strip_ws(F.translate(c, "|,", ""))
+    return strip_ws(F.translate(c, CATEGORY_DELETE, ""))
 
 
 def clean_categories(arr: Column | str, drop_sort_key: bool = False) -> Column:

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from topicforge.constants import LEAD_SENTENCES, MAX_SUMMARY_LENGTH, MIN_REPORTED_COUNT
 from topicforge.functions.text import lead_sentences
 from topicforge.taxonomy import topics_spaced
 
@@ -66,7 +67,7 @@ def keep_topics(df: DataFrame, col: str = "categories",
     return df.withColumn(out, kept).where(F.size(F.col(out)) > 0)
 
 
-def page_summary(summary: Column | str, text: Column | str, n: int = 5) -> Column:
+def page_summary(summary: Column | str, text: Column | str, n: int = LEAD_SENTENCES) -> Column:
     """The summary if non-empty, else the text; then the first n sentences."""
     s = F.col(summary) if isinstance(summary, str) else summary
     t = F.col(text) if isinstance(text, str) else text
@@ -78,7 +79,7 @@ def members_by_namespace(members: DataFrame, ns: str, ns_col: str = "ns") -> Dat
     return members.where(F.col(ns_col) == F.lit(ns))
 
 
-def filter_long_docs(df: DataFrame, max_len: int = 1024, length: str = "summary_length",
+def filter_long_docs(df: DataFrame, max_len: int = MAX_SUMMARY_LENGTH, length: str = "summary_length",
                      summary: str = "summary_text", chapter: str = "chapter") -> DataFrame:
     """summary_length <= max_len, summary and chapter present.
     A null length drops the row."""
@@ -87,7 +88,7 @@ def filter_long_docs(df: DataFrame, max_len: int = 1024, length: str = "summary_
     )
 
 
-def topic_counts(df: DataFrame, col: str = "categories", min_count: int = 2,
+def topic_counts(df: DataFrame, col: str = "categories", min_count: int = MIN_REPORTED_COUNT,
                  name: str = "topic") -> DataFrame:
     """Hits per topic, repeats within a page counted, reporting
     topics with ``count >= min_count``."""

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from topicforge.constants import DISTIL_ALPHA, DISTIL_TEMPERATURE
+
 
 
 def row_kl(teacher: Column, student: Column, temperature: float) -> Column:
@@ -55,7 +57,8 @@ def row_kl(teacher: Column, student: Column, temperature: float) -> Column:
 
 
 def distillation_loss(df: DataFrame, teacher: str = "teacher", student: str = "student",
-                      student_loss: str | None = None, temperature: float = 4.0, alpha: float = 0.5,
+                      student_loss: str | None = None, temperature: float = DISTIL_TEMPERATURE,
+                      alpha: float = DISTIL_ALPHA,
                       batch_key: str | None = None) -> DataFrame:
     """Kl (batchmean), loss.  ``student_loss`` is a per-row hard-label
     loss column (averaged); without it the hard part is 0.

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicforge.constants import MAX_INPUT_TOKENS
 from topicforge.functions.arrays import multi_hot as multi_hot_col
 from topicforge.functions.arrays import topic_id
 from topicforge.functions.text import words
@@ -38,7 +39,7 @@ def build_vocab(df: DataFrame, text: str = "text", size: int = 30_000) -> DataFr
     return top.select("word", (F.col("_rank") + F.lit(FIRST_ID - 1)).cast("int").alias("id"), "n")
 
 
-def encode_tokens(df: DataFrame, key: str, text: str, vocab: DataFrame, max_length: int = 512,
+def encode_tokens(df: DataFrame, key: str, text: str, vocab: DataFrame, max_length: int = MAX_INPUT_TOKENS,
                   vocab_rows: int | None = None) -> DataFrame:
     """Key, input_ids array<int>[max_length], attention_mask array<int>[max_length].
 

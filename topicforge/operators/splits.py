@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicforge.constants import BATCH_SIZE, TEST_SHARE
 from topicforge.operators.skew import global_top_k
 
 # Above this many rows a "first p percent" slice is cut by a global rank
@@ -24,7 +25,7 @@ def hash_bucket(key: Column | str, buckets: int = 1000) -> Column:
     return F.pmod(h, F.lit(buckets))
 
 
-def train_test_split(df: DataFrame, key: str, test: float = 0.1, split_col: str = "split") -> DataFrame:
+def train_test_split(df: DataFrame, key: str, test: float = TEST_SHARE, split_col: str = "split") -> DataFrame:
     """``split`` = ``test`` for about ``test`` of the rows, else ``train``.
     Expected, not exact, proportions; stable across runs and partitionings."""
     cut = int(round(test * 1000))
@@ -79,7 +80,7 @@ def percent_slice(df: DataFrame, key: str, percent: float, topk_max: int = TOPK_
     return dense_ordinal(df, key, "_ord").where(F.col("_ord") < F.lit(k)).drop("_ord")
 
 
-def assign_batches(df: DataFrame, ordinal: str, size: int = 8, batch_col: str = "batch") -> DataFrame:
+def assign_batches(df: DataFrame, ordinal: str, size: int = BATCH_SIZE, batch_col: str = "batch") -> DataFrame:
     """Fixed-size batches in row order from a caller-supplied dense
     0-based ordinal (never a global row_number)."""
     return df.withColumn(batch_col, F.floor(F.col(ordinal) / F.lit(size)).cast("bigint"))

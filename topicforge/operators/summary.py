@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from topicforge.constants import MAX_SUMMARY_TOKENS
 from topicforge.functions.text import WS, bind, split_sentences, words
 from topicforge.operators.skew import top_k_per_group
 
@@ -51,7 +52,8 @@ def sentence_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
-def summarise(df: DataFrame, key: str = "doc_id", text: str = "text", max_tokens: int = 120) -> DataFrame:
+def summarise(df: DataFrame, key: str = "doc_id", text: str = "text",
+              max_tokens: int = MAX_SUMMARY_TOKENS) -> DataFrame:
     """Key, summary -- the best-scoring sentences (ties -> earlier)
     that fit ``max_tokens`` together, in document order.  When even the
     best sentence is longer than the budget it is cut to ``max_tokens``

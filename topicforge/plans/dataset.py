@@ -14,18 +14,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicforge.constants import LEAD_SENTENCES, MAX_DEPTH, PAGES_PER_ROOT, TEST_SHARE
 from topicforge.functions.text import strip_prefix
 from topicforge.operators.curate import page_summary
 from topicforge.operators.graph import merge_labels, walk_with_quota
 from topicforge.operators.splits import train_test_split
 
-LIMIT_PER_ROOT = 2000
-MAX_DEPTH = 10
+LIMIT_PER_ROOT = PAGES_PER_ROOT
 
 
 def build_dataset(edges: DataFrame, members: DataFrame, pages: DataFrame, roots: DataFrame,
-                  limit: int = LIMIT_PER_ROOT, max_depth: int = MAX_DEPTH, test: float = 0.1,
-                  n_sentences: int = 5) -> DataFrame:
+                  limit: int = LIMIT_PER_ROOT, max_depth: int = MAX_DEPTH, test: float = TEST_SHARE,
+                  n_sentences: int = LEAD_SENTENCES) -> DataFrame:
     """page_id, title, summary, text, categories array<string>, split."""
     hits = walk_with_quota(edges, roots, members, limit, max_depth)
     labels = merge_labels(hits.withColumn("root", strip_prefix("root")))

@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 
 from topicforge.operators.splits import percent_slice
 
+# --- fixed values (must equal the reference's) ---
 EXTRACT_HEADER = ("Page ID", "Page Title", "Categories", "Page Text")
+FETCH_ERROR = "Failed to retrieve the webpage"
+# --- end of fixed values ---
 EXTRACT_SCHEMA = T.StructType([
     T.StructField("Page ID", T.LongType()),
     T.StructField("Page Title", T.StringType()),
@@ -64,6 +67,6 @@ def read_html_pages(df: DataFrame, status: str | None = "status") -> tuple[DataF
         return df, df.limit(0).withColumn("error", F.lit(None).cast("string"))
     ok = df.where(F.col(status) == 200)
     bad = df.where((F.col(status) != 200) | F.col(status).isNull()).withColumn(
-        "error", F.lit("Failed to retrieve the webpage")
+        "error", F.lit(FETCH_ERROR)
     )
     return ok, bad
