@@ -105,7 +105,7 @@ def split_sentences(
     marks the split points, then a literal split."""
     x = strip_ws(c)
     x = F.regexp_replace(x, java(sentence_end_pattern(abbreviations)), "$1" + SENT_MARK)
-    return F.filter(F.split(x, SENT_MARK), lambda s: s != F.lit(""))
+    return F.array_remove(F.split(x, SENT_MARK), "")
 
 
 def lead_sentences(
@@ -162,11 +162,9 @@ def render_prompt(kind: str, title: Column | str | None = None,
 
 def tokens(c: Column | str) -> Column:
     """Metric tokenizer: lower case, split on non-alphanumerics, drop empties."""
-    parts = F.split(F.lower(_col(c)), "[^a-z0-9]+")
-    return F.filter(parts, lambda t: t != F.lit(""))
+    return F.array_remove(F.split(F.lower(_col(c)), "[^a-z0-9]+"), "")
 
 
 def words(c: Column | str) -> Column:
     """Whitespace word split (vocabulary / TF-IDF tokens), lower-cased."""
-    parts = F.split(F.lower(_col(c)), WS + "+")
-    return F.filter(parts, lambda t: t != F.lit(""))
+    return F.array_remove(F.split(F.lower(_col(c)), WS + "+"), "")

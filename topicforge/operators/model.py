@@ -86,7 +86,7 @@ def _label_rows(df: DataFrame, text: str, width: int, labels: str | None) -> Dat
     """One row per (row, label): the row's tokens prefixed with the label
     index plus a per-label bias token, so one hashed feature space holds
     an independent block of weights for every label."""
-    toks = F.filter(F.split(F.lower(F.col(text)), WS + "+"), lambda t: t != F.lit(""))
+    toks = F.array_remove(F.split(F.lower(F.col(text)), WS + "+"), "")
     base = df.select(*([labels] if labels else []), "_rid", toks.alias("_tok0"))
     ex = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("_k"))
     prefix = F.concat(F.col("_k").cast("string"), F.lit(_SEP))
@@ -133,7 +133,7 @@ def _score_joint(df: DataFrame, model: TopicModel, out: str) -> DataFrame:
     shuffled or joined back."""
     tf_stage, idf_model = model.features.stages
     n_features = tf_stage.getNumFeatures()
-    toks = F.filter(F.split(F.lower(F.col(model.text_col)), WS + "+"), lambda t: t != F.lit(""))
+    toks = F.array_remove(F.split(F.lower(F.col(model.text_col)), WS + "+"), "")
     cur = df.withColumn("_tok0", toks)
     margins = []
     for k in range(len(model.names)):
