@@ -21,7 +21,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicforge.functions.arrays import sigmoid
@@ -82,6 +82,17 @@ def _constant_logit(pos: int, n: int) -> float:
     return math.log((pos + 0.5) / (n - pos + 0.5))
 
 
+def _prefixed_tokens(tokens: Column, prefix: Column) -> Column:
+    """``prefix`` + every token, plus the label's bias token, without a
+    lambda: tokens never contain a space (they come from a whitespace
+    split), so joining with " " + prefix and splitting on " " prefixes
+    each one natively."""
+    spaced = F.replace(F.array_join(tokens, " "), F.lit(" "), F.concat(F.lit(" "), prefix))
+    joined = F.split(F.concat(prefix, spaced), " ")
+    body = F.when(F.size(tokens) > 0, joined).otherwise(F.array().cast("array<string>"))
+    return F.concat(body, F.array(F.concat(prefix, F.lit("<bias>"))))
+
+
 def _label_rows(df: DataFrame, text: str, width: int, labels: str | None) -> DataFrame:
     """One row per (row, label): the row's tokens prefixed with the label
     index plus a per-label bias token, so one hashed feature space holds
@@ -92,8 +103,7 @@ def _label_rows(df: DataFrame, text: str, width: int, labels: str | None) -> Dat
     prefix = F.concat(F.col("_k").cast("string"), F.lit(_SEP))
     out = ex.select(
         "_rid", "_k",
-        F.concat(F.transform("_tok0", lambda t: F.concat(prefix, t)), F.array(F.concat(prefix, F.lit("<bias>"))))
-        .alias("_ktok"),
+        _prefixed_tokens(F.col("_tok0"), prefix).alias("_ktok"),
         *([F.get(F.col(labels), F.col("_k")).cast("double").alias("_y")] if labels else []),
     )
     return out
@@ -137,9 +147,7 @@ def _score_joint(df: DataFrame, model: TopicModel, out: str) -> DataFrame:
     cur = df.withColumn("_tok0", toks)
     margins = []
     for k in range(len(model.names)):
-        prefix = F.lit(f"{k}{_SEP}")
-        cur = cur.withColumn(f"_kt{k}", F.concat(F.transform("_tok0", lambda t: F.concat(prefix, t)),
-                                                 F.array(F.concat(prefix, F.lit("<bias>")))))
+        cur = cur.withColumn(f"_kt{k}", _prefixed_tokens(F.col("_tok0"), F.lit(f"{k}{_SEP}")))
         cur = HashingTF(inputCol=f"_kt{k}", outputCol=f"_tf{k}", numFeatures=n_features).transform(cur)
         cur = idf_model.copy().setInputCol(f"_tf{k}").setOutputCol(f"_x{k}").transform(cur)
         lr = model.joint.copy()
