@@ -67,9 +67,25 @@ def html_paragraph_list(c: Column | str) -> Column:
     )
 
 
+PIECE = "\x01"
+# The same cut and tag rules confined to one piece of the marker-joined text.
+BLOCK_END_PIECE = BLOCK_END[:-2] + "[^\x01]*"
+TAG_PIECE = r"<[^>\x01]*>"
+
+
 def html_paragraphs(c: Column | str) -> Column:
-    """Paragraph texts joined by one space."""
-    return F.array_join(html_paragraph_list(c), " ")
+    """Paragraph texts joined by one space.
+
+    Same result as joining ``html_paragraph_list`` with spaces, computed
+    without a per-paragraph lambda: the pieces after each ``<p>`` are
+    joined with a marker, the cut-at-block-end and tag rules run once over
+    the joined text (confined to one piece by the marker), and the markers
+    become spaces."""
+    x = F.col(c) if isinstance(c, str) else c
+    body = F.regexp_replace(x, java(NOISE), "")
+    pieces = F.array_join(F.slice(F.split(body, java(P_OPEN)), 2, 1 << 30), PIECE)
+    cut = F.regexp_replace(F.regexp_replace(pieces, java(BLOCK_END_PIECE), ""), TAG_PIECE, "")
+    return F.replace(decode_entities(cut), F.lit(PIECE), F.lit(" "))
 
 
 def page_summary_from_html(c: Column | str, n: int = WEB_LEAD_SENTENCES) -> Column:
