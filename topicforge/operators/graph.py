@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicforge.operators.skew import top_k_per_group
-from topicforge.session import reliable_checkpoint, reliable_checkpoint_count
+from topicforge.session import reliable_checkpoint
 
 
 def category_closure(edges: DataFrame, roots: DataFrame, max_depth: int = 10,
@@ -40,8 +40,8 @@ def category_closure(edges: DataFrame, roots: DataFrame, max_depth: int = 10,
             .distinct()
             .join(visited.select("root", "category"), ["root", "category"], "left_anti")
         )
-        nxt, n_new = reliable_checkpoint_count(nxt)
-        if n_new == 0:
+        nxt = reliable_checkpoint(nxt)
+        if nxt.isEmpty():
             break
         visited = visited.unionByName(nxt)
         level = nxt
@@ -103,8 +103,8 @@ def walk_with_quota(edges: DataFrame, roots: DataFrame, members: DataFrame, limi
             .distinct()
             .join(visited.select("root", "category"), ["root", "category"], "left_anti")
         )
-        nxt, n_new = reliable_checkpoint_count(nxt)
-        if n_new == 0:
+        nxt = reliable_checkpoint(nxt)
+        if nxt.isEmpty():
             break
         new_pages = (
             nxt.join(m, "category").select("root", "page_id", "depth").distinct()

@@ -105,19 +105,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def reliable_checkpoint_count(df: DataFrame) -> tuple[DataFrame, int]:
-    """``reliable_checkpoint`` that also returns the row count, observed
-    while the table is written (no extra job)."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    obs = Observation(f"rows-{uuid.uuid4().hex}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(obs.get["n"])
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df) if name in TEXT_TABLES else df
