@@ -110,7 +110,11 @@ def extract_progress(df: DataFrame, col: str = "categories") -> DataFrame:
 
 
 def observe_progress(df: DataFrame, col: str = "categories") -> tuple[DataFrame, Observation]:
-    """C8 as a side channel: counters filled in by whatever action runs ``df``."""
+    """C8 as a side channel: counters filled in by whatever action runs ``df``.
+
+    Caveat (Spark 4.1): after an ``Observation`` has been used, later Spark
+    ML fits in the same session can fail with a non-serializable
+    ObservationManager; use ``extract_progress`` in sessions that train."""
     obs = Observation("extract_progress")
     observed = df.observe(
         obs,
