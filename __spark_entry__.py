@@ -41,6 +41,16 @@ from topicforge.plans import extract as EX  # noqa: E402
 from topicforge.plans import standins as SI  # noqa: E402
 from topicforge.session import read_table  # noqa: E402
 
+# The training-data operators are an optional part: without them the other queries still work.
+try:
+    from topicforge.llm import queries as LLM
+except ImportError:
+    LLM = None
+try:
+    import corpus_pipeline as PIPELINE
+except ImportError:
+    PIPELINE = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -514,6 +524,8 @@ def q_stream_quota(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        **(LLM.QUERIES if LLM else {}),
+        **({"pipeline": PIPELINE.run} if PIPELINE else {}),
         "stream_merge_labels": q_stream_merge_labels,
         "stream_upsert": q_stream_upsert,
         "stream_quota": q_stream_quota,
@@ -669,6 +681,8 @@ keep AS (SELECT k, sidx, CASE WHEN c > 120 THEN array_to_string(list_slice(regex
 
 def oracle_sql() -> dict[str, str]:
     return {
+        **(LLM.ORACLE_SQL if LLM else {}),
+        **({"pipeline": PIPELINE.ORACLE_SQL} if PIPELINE and PIPELINE.ORACLE_SQL else {}),
         "stream_merge_labels": """SELECT user_id AS page_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS categories
 FROM events GROUP BY user_id""",
         "stream_upsert": """SELECT user_id AS page_id, 'User ' || CAST(user_id AS VARCHAR) AS title,
