@@ -8,7 +8,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from topicforge.llm import bpe, token_counts, token_files
+from topicforge.llm import bpe, line_crf, quality_model, token_counts, token_files, toxicity
 from topicforge.llm.batches import table
 from topicforge.session import ensure_checkpoint_dir
 
@@ -21,6 +21,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), digest=True)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token_files/{uuid.uuid4().hex}"
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), END_ID)
@@ -31,10 +35,23 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), TOKEN_LIMIT)
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_model.score_quality(docs, quality_model.fit_quality(docs, table(spark, sf_dir, "labels")), threshold=0.5)
+
+
+def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.mark_lines(docs, line_crf.fit_lines(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op6_token_counts": op6_token_counts,
+    "op7_quality_model": op7_quality_model,
+    "op9_line_crf": op9_line_crf,
 }
 
 ORACLE_SQL: dict[str, str] = {}
