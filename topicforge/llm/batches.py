@@ -61,14 +61,22 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = fn() if getattr(fn, "per_task", False) else fn
         for b in batches:
-            if b.num_rows:
-                out = each(b)
+            for part in slices(b):
+                out = each(part)
                 if out is not None and out.num_rows:
                     yield out
 
     return map_arrow(df, run, schema)
 
 
+def slices(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``most`` bytes: as Python objects a batch would take many times
+    its size."""
+    rows = max(1, int(most * batch.num_rows / max(batch.nbytes, 1)))
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
+
+
 def per_task(factory):
     factory.per_task = True
     return factory

@@ -14,6 +14,7 @@ row; texts of any length are encoded whole; other columns of the input are ignor
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from functools import lru_cache
 
 import ahocorasick
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from topicforge.llm.batches import id_text, map_batches, per_task, record, texts_of
-from topicforge.llm.pretokens import Memo, Vocabulary, splitter, vocabulary
+from topicforge.llm.pretokens import Memo, Vocabulary, chunker, splitter, vocabulary
 
 NEVER = 1 << 60
 
@@ -159,16 +160,26 @@ def offset_table(path: str) -> OffsetTable:
 
 
 @lru_cache(maxsize=2)
-def piece_bytes(path: str) -> Memo:
-    """Piece -> its ids as little-endian unsigned 32-bit integers."""
-    one = encoder(path)
+def text_encoder(path: str) -> Callable[[str], bytes]:
+    """A function from a text to its ids as little-endian unsigned 32-bit integers.  What a chunk gives is
+    remembered, within bounds."""
+    one, split, cut = encoder(path), splitter(path), chunker(path)
     fixed = {s: np.array([i], dtype="<u4").tobytes() for s, i in vocabulary(path).special.items()}
-    return Memo(lambda piece: np.array(one.encode(piece), dtype="<u4").tobytes(), fixed=fixed)
 
+    piece = Memo(lambda p: fixed.get(p) or np.array(one.encode(p), dtype="<u4").tobytes(), most=400_000).__getitem__
 
-def encode_text(text: str, path: str) -> bytes:
-    """Ids of a whole text as little-endian unsigned 32-bit integers."""
-    return b"".join(map(piece_bytes(path).__getitem__, splitter(path)(text)))
+    def pieces(text: str) -> bytes:
+        return b"".join(map(piece, split(text)))
+
+    mark = cut("")[2]
+    known = Memo(lambda chunk: pieces(mark + chunk), most=400_000).__getitem__
+
+    def encode(text: str) -> bytes:
+        head, chunks, _ = cut(text)
+        ids = b"".join(map(known, chunks))
+        return pieces(head) + ids if head else ids
+
+    return encode
 
 
 def bpe_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -179,10 +190,10 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
     @per_task
     def start():
-        split, memo, offsets = splitter(tokenizer_path), piece_bytes(tokenizer_path).__getitem__, offset_table(tokenizer_path)
+        encode, offsets = text_encoder(tokenizer_path), offset_table(tokenizer_path)
 
         def each(b: pa.RecordBatch) -> pa.RecordBatch:
-            raw = [b"".join(map(memo, split(t))) for t in texts_of(b)]
+            raw = list(map(encode, texts_of(b)))
             ids = [np.frombuffer(r, dtype="<u4") for r in raw]
             back = [offsets.decode(i) for i in ids]
             n = pa.array([len(i) for i in ids], pa.int64())

@@ -129,17 +129,56 @@ def splitter(path: str) -> Callable[[str], list[str]]:
     return split
 
 
+#: White space that Python splits at but the formats do not count as white space.
+_NOT_SPACE = re.compile("[\x1c-\x1f]").search
+#: A space beside other white space: there a byte-level piece may hold both.
+_SPACE_RUN = re.compile(r" \s|[^\S ] ").search
+
+
+def chunker(path: str) -> Callable[[str], tuple[str, list[str], str]]:
+    """A function from a text to (head, chunks, mark): its pieces are those of ``head``, then those of
+    ``mark + chunk`` for each chunk.  Chunks are cut at white space, where no piece continues, so what is
+    known of a chunk holds wherever it stands.  Word pieces drop white space; byte-level pieces begin with
+    the space before a word.  A text with unusual white space is one head."""
+    if vocabulary(path).suffix:
+        return lambda text: (text, [], "") if _NOT_SPACE(text) else ("", text.split(), "")
+
+    def cut(text: str) -> tuple[str, list[str], str]:
+        if _SPACE_RUN(text):
+            return text, [], " "
+        head, *rest = text.split(" ")
+        return head, rest, " "
+
+    return cut
+
+
 class Memo(dict):
-    """A dictionary that computes what it lacks and forgets all once it holds ``most`` entries, so that
-    its memory is bounded whatever the number of different pieces."""
+    """A dictionary that computes what it lacks.  Once it holds ``most`` entries it starts anew, but takes
+    over what is asked for again from the entries before; keys longer than ``longest`` are not kept.  So its
+    memory is bounded whatever the texts hold, and frequent keys stay."""
 
-    def __init__(self, compute: Callable, most: int = 300_000, fixed: dict | None = None):
-        super().__init__(fixed or {})
-        self.compute, self.most, self.fixed = compute, most, fixed or {}
+    def __init__(self, compute: Callable | None = None, most: int = 300_000, longest: int = 48):
+        super().__init__()
+        self.compute, self.most, self.longest, self.before = compute, most, longest, {}
 
     def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.compute(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if isinstance(key, str) and len(key) > self.longest:
+            return
         if len(self) >= self.most:
+            self.before = dict(self)
             self.clear()
-            self.update(self.fixed)
-        value = self[key] = self.compute(key)
-        return value
+        self[key] = value
+
+    def renew(self, keys) -> set:
+        """The ``keys`` that are unknown; those known from before are taken over."""
+        lacking = set(keys).difference(self)
+        for k in lacking.intersection(self.before) if self.before else ():
+            self[k] = self.before[k]
+        return lacking.difference(self.before)

@@ -12,6 +12,7 @@ columns are ignored; a text of any length is counted whole.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicforge.llm.batches import id_text, map_batches, per_task, record, texts_of
-from topicforge.llm.pretokens import Memo, Vocabulary, splitter, vocabulary
+from topicforge.llm.pretokens import Memo, Vocabulary, chunker, splitter, vocabulary
 
 
 def merge(vocab: Vocabulary, spelled: str) -> list[int]:
@@ -60,10 +61,24 @@ def whole_tokens(path: str) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def _rest(path: str, proven: tuple[str, ...]) -> Memo:
-    v = vocabulary(path)
-    fixed = dict.fromkeys(proven, 1) | dict.fromkeys(v.special, 1)
-    return Memo(lambda piece: len(merge(v, v.spell(piece))), most=500_000, fixed=fixed)
+def counter(path: str, proven: tuple[str, ...]) -> Callable[[str], int]:
+    """A function from a text to its number of tokens.  What a chunk of pre-tokens counts is remembered,
+    within bounds."""
+    v, split, cut = vocabulary(path), splitter(path), chunker(path)
+    whole = frozenset(proven) | frozenset(v.special)
+    merged = Memo(lambda piece: len(merge(v, v.spell(piece))), most=200_000)
+
+    def pieces(text: str) -> int:
+        return sum([1 if p in whole else merged[p] for p in split(text)])
+
+    mark = cut("")[2]
+    known = Memo(lambda chunk: pieces(mark + chunk), most=500_000).__getitem__
+
+    def count(text: str) -> int:
+        head, chunks, _ = cut(text)
+        return pieces(head) + sum(map(known, chunks))
+
+    return count
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str = "doc_id",
@@ -74,10 +89,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str =
 
     @per_task
     def start():
-        split, count = splitter(tokenizer_path), _rest(tokenizer_path, proven.value).__getitem__
+        count = counter(tokenizer_path, proven.value)
 
         def each(b: pa.RecordBatch) -> pa.RecordBatch:
-            n = [sum(map(count, split(t))) for t in texts_of(b)]
+            n = list(map(count, texts_of(b)))
             return record(doc_id=b.column(0), n_bytes=b.column(1), n_tokens=pa.array(n, pa.int64()))
 
         return each

@@ -38,12 +38,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from topicforge.llm.batches import id_text, map_arrow, map_batches, per_task, record, texts_of
-from topicforge.llm.pretokens import Memo, splitter, vocabulary
+from topicforge.llm.pretokens import Memo, chunker, splitter, vocabulary
 from topicforge.session import reliable_checkpoint
 
 MAGIC = b"TIDSHRD1"
 SHARD_BYTES = 4 << 20
 SHARD_DOCS = 4096
+LEVEL = 3
 #: The dictionary is a fitted model: it learns from the documents with the smallest hashes of doc_id, at
 #: most so many, and from at most so many bytes of each.  Every document is then compressed whole with it.
 DICT_DOCS, DICT_DOC_BYTES, DICT_BYTES = 768, 8192, 64 << 10
@@ -53,30 +54,60 @@ class LibraryIds:
     """Ids of texts by the library, as little-endian integers of ``width`` bytes.  A batch's new pieces
     go to the library together; the memory of pieces is bounded."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         v = vocabulary(path)
         self.width = 2 if v.size <= 1 << 16 else 4
-        self.split, self.most = splitter(path), most
-        self.fixed = {s: self.pack([i]) for s, i in v.special.items()}
-        self.known = dict(self.fixed)
+        self.split, self.cut = splitter(path), chunker(path)
+        self.special = {s: self.pack([i]) for s, i in v.special.items()}
+        self.final = np.array([bool(v.suffix) and v.text_of.get(i, "").endswith(v.suffix) for i in range(v.size)])
+        self.chunks, self.pieces, self.most = Memo(most=most), Memo(most=most), most
 
     def pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=f"<u{self.width}").tobytes()
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of single pieces.  Where a vocabulary marks word ends, the pieces go to the library as one
+        text of words, and the marks part its ids again."""
+        if self.final.any() and pieces:
+            ids = np.array(self.library.encode(" ".join(pieces), add_special_tokens=False).ids, dtype=f"<u{self.width}")
+            ends = np.flatnonzero(self.final[ids]) + 1
+            if len(ends) == len(pieces):
+                raw, at = ids.tobytes(), [0, *(ends * self.width).tolist()]
+                return [raw[i:j] for i, j in zip(at, at[1:])]
+        return [self.pack(e.ids) for e in self.library.encode_batch(pieces, add_special_tokens=False)]
+
+    def _texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that are short or rare."""
+        split = [self.split(t) for t in texts]
+        fresh = list(self.pieces.renew(p for one in split for p in one).difference(self.special))
+        now = self.special | dict(zip(fresh, self._pieces(fresh)))
+        known = self.pieces
+        out = [b"".join([now[p] if p in now else known[p] for p in one]) for one in split]
+        for p in fresh:
+            known.keep(p, now[p])
+        return out
+
     def encode(self, texts: list[str], end_id: int | None) -> list[bytes]:
-        pieces = [self.split(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known = dict(self.fixed)
-        fresh = list({p for one in pieces for p in one}.difference(self.known))
-        for e, p in zip(self.library.encode_batch(fresh, add_special_tokens=False), fresh):
-            self.known[p] = self.pack(e.ids)
+        cut = [self.cut(t) for t in texts]
+        known = self.chunks
+        fresh = list(known.renew(c for _, chunks, _ in cut for c in chunks))
+        mark = cut[0][2] if cut else ""
+        ids = self._texts([mark + c for c in fresh] + [head for head, _, _ in cut])
+        known.update(zip(fresh, ids))  # the long ones for now
         tail = b"" if end_id is None else self.pack([end_id])
-        get = self.known.__getitem__
-        return [b"".join(map(get, one)) + tail for one in pieces]
+        get = known.__getitem__
+        out = [head + b"".join(map(get, chunks)) + tail for head, (_, chunks, _) in zip(ids[len(fresh):], cut)]
+        for c in fresh:
+            if len(c) > known.longest:
+                del known[c]
+        if len(known) > self.most:
+            known.before = dict(known)
+            known.clear()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -105,7 +136,15 @@ def train_dictionary(samples: list[bytes], size: int = DICT_BYTES) -> bytes:
 
 
 def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(raw) if raw else None
+    if not raw:
+        return None
+    d = zstandard.ZstdCompressionDict(raw)
+    d.precompute_compress(level=LEVEL)  # else every document would digest the dictionary anew
+    return d
+
+
+def compressor(raw: bytes) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(dict_data=_dictionary(raw)) if raw else zstandard.ZstdCompressor(level=LEVEL)
 
 
 def pack_shard(rows: list[tuple[int | None, int, bytes]], dict_sha256: str, width: int) -> bytes:
@@ -164,7 +203,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     @per_task
     def compress():
         lib = library_ids(tokenizer_path)
-        press = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(shared.value)) if shared.value else zstandard.ZstdCompressor(level=3)
+        press = compressor(shared.value)
 
         def each(b: pa.RecordBatch) -> pa.RecordBatch:
             ids = lib.encode(texts_of(b), end_id)
