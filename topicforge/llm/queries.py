@@ -7,8 +7,9 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from topicforge.llm import bpe, line_crf, quality_model, token_counts, token_files, toxicity
+from topicforge.llm import bpe, line_crf, mixing, quality_model, token_counts, token_files, topk, toxicity
 from topicforge.llm.batches import table
 from topicforge.session import ensure_checkpoint_dir
 
@@ -16,6 +17,19 @@ WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 END_ID = 1
 TOKEN_LIMIT = 512
 
+# The mix: sources fall into four domains by the last digit of their name; weights by path, 1 if not given.
+MIX_WEIGHTS = {"d0": 2, "d1": 3, "d2": 3, "d3": 2, **{f"d{k}/{lang}": w for k in range(4) for lang, w in (("en", 5), ("de", 2), ("fr", 2), ("es", 1))}}
+MIX_BUDGET_PERCENT, MIX_EPOCHS, MIX_SEED = 80, 2, "mix-1"
+
+
+def mix_levels() -> dict:
+    return {"domain": F.concat(F.lit("d"), F.coalesce(F.expr("try_cast(regexp_extract(coalesce(source, ''), '([0-9]+)$', 1) as bigint)") % 4, F.lit(0)).cast("string")),
+            "lang": F.col("lang"), "source": F.col("source")}
+
+
+def mix_weights(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(sorted(MIX_WEIGHTS.items()), "path string, weight bigint")
+
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), digest=True)
@@ -31,6 +45,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path, digest=True)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = mixing.mix(table(spark, sf_dir, "documents"), mix_levels(), mix_weights(spark), MIX_BUDGET_PERCENT, MIX_EPOCHS, MIX_SEED)
+    return rows
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), TOKEN_LIMIT)
 
@@ -45,13 +64,64 @@ def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.mark_lines(docs, line_crf.fit_lines(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
+    "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
     "op7_quality_model": op7_quality_model,
     "op9_line_crf": op9_line_crf,
+    "op10_topk": op10_topk,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+def _level_sql(k: int, names: list[str]) -> str:
+    """One level of the budgets in SQL: the shares of ``names[k]`` within the budgets of level k - 1."""
+    here, above = ", ".join(names[:k + 1]), names[:k]
+    part = f"PARTITION BY {', '.join(above)} " if above else ""
+    on = " AND ".join(f"n.{c} = b.{c}" for c in above) or "true"
+    path = " || '/' || ".join(f"l.{c}" for c in names[:k + 1])
+    order = f"{part}ORDER BY cap / weight, {names[k]}"
+    return f"""n{k} AS (SELECT {", ".join(f"l.{c}" for c in names[:k + 1])}, coalesce(w.weight, 1) AS weight, l.cap
+  FROM (SELECT {here}, CAST(sum(tokens) AS BIGINT) * {MIX_EPOCHS} AS cap FROM sizes GROUP BY {here}) l LEFT JOIN weights w ON w.path = {path}),
+a{k} AS (SELECT n.*, b.budget FROM n{k} n JOIN b{k} b ON {on}),
+s{k} AS (SELECT *, greatest(0, budget - coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS left_here,
+  sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_on FROM a{k}),
+o{k} AS (SELECT *, max(CASE WHEN cap * weight_on <= left_here * weight THEN 0 ELSE 1 END) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS opened FROM s{k}),
+r{k} AS (SELECT *, budget - sum(CASE WHEN opened = 0 THEN cap ELSE 0 END) OVER ({part}) AS rest,
+  sum(CASE WHEN opened = 1 THEN weight ELSE 0 END) OVER ({part}) AS rest_weight FROM o{k}),
+b{k + 1} AS (SELECT {here}, CAST(CASE WHEN opened = 0 THEN cap ELSE least(cap, (rest * weight) // greatest(rest_weight, 1)) END AS BIGINT) AS budget FROM r{k})"""
+
+
+def _mix_sql() -> str:
+    names = ["domain", "lang", "source"]
+    weights = ", ".join(f"('{p}', {w})" for p, w in sorted(MIX_WEIGHTS.items()))
+    return f"""WITH weights(path, weight) AS (VALUES {weights}),
+k AS (SELECT doc_id, 'd' || CAST(coalesce(TRY_CAST(regexp_extract(coalesce(source, ''), '([0-9]+)$', 1) AS BIGINT) % 4, 0) AS VARCHAR) AS domain,
+  coalesce(lang, '') AS lang, coalesce(source, '') AS source, md5(coalesce(text, '')) AS text_key,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
+sizes AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM k GROUP BY ALL),
+b0 AS (SELECT CAST(coalesce(sum(tokens), 0) * {MIX_BUDGET_PERCENT} // 100 AS BIGINT) AS budget FROM sizes),
+{", ".join(_level_sql(i, names) for i in range(3))},
+leaf AS (SELECT z.*, CASE WHEN tokens = 0 THEN 0 ELSE budget // tokens END AS whole, CASE WHEN tokens = 0 THEN 0 ELSE budget % tokens END AS part
+  FROM sizes z JOIN b3 USING (domain, lang, source)),
+placed AS (SELECT k.*, whole, part, md5('{MIX_SEED}:' || CAST(whole AS VARCHAR) || ':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || text_key) AS key
+  FROM k JOIN leaf USING (domain, lang, source)),
+ahead AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  - sum(n_tokens) OVER (PARTITION BY domain, lang, source, key) AS before FROM placed)
+SELECT doc_id, domain, lang, source, n_tokens, CAST(whole + CASE WHEN before < part THEN 1 ELSE 0 END AS BIGINT) AS epochs
+FROM ahead WHERE whole + CASE WHEN before < part THEN 1 ELSE 0 END > 0"""
+
+
+_TOPK_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+ORACLE_SQL: dict[str, str] = {"op5_mixing": _mix_sql(), "op10_topk": _TOPK_SQL}
