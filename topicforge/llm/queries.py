@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import bpe, line_crf, mixing, quality_model, token_counts, token_files, topk, toxicity
+from topicforge.llm import bpe, jaccard, line_crf, mixing, quality_model, token_counts, token_files, topk, toxicity
 from topicforge.llm.batches import table
 from topicforge.session import ensure_checkpoint_dir
 
@@ -59,6 +59,10 @@ def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_quality(docs, quality_model.fit_quality(docs, table(spark, sf_dir, "labels")), threshold=0.5)
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), jaccard.SHINGLE, jaccard.PERCENT)
+
+
 def op9_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return line_crf.mark_lines(docs, line_crf.fit_lines(docs, table(spark, sf_dir, "labels")))
@@ -75,6 +79,7 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
     "op7_quality_model": op7_quality_model,
+    "op8_jaccard": op8_jaccard,
     "op9_line_crf": op9_line_crf,
     "op10_topk": op10_topk,
 }
