@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import bpe, jaccard, line_crf, mixing, quality_model, token_counts, token_files, topk, toxicity
+from topicforge.llm import bpe, jaccard, line_crf, mixing, passages, quality_model, token_counts, token_files, topk, toxicity
 from topicforge.llm.batches import table
 from topicforge.session import ensure_checkpoint_dir
 
@@ -35,6 +35,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), digest=True)
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"), passages.MIN_WORDS, passages.PERCENT)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
@@ -74,6 +78,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_passages": op2_passages,
     "op3_toxicity": op3_toxicity,
     "op4_token_files": op4_token_files,
     "op5_mixing": op5_mixing,
