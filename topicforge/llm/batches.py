@@ -48,10 +48,27 @@ def ship_package(spark: SparkSession) -> None:
     sc._topicforge_shipped = True
 
 
+#: Rows of an Arrow batch.  Rows here are whole texts and sets; Spark's default of 10,000 would hold some
+#: hundred MB at a time in the executor and again in its Python worker.
+BATCH_ROWS = 1024
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` by a function of this package."""
-    ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    """``mapInArrow`` by a function of this package.  Lowers the session's Arrow batch size to
+    ``BATCH_ROWS`` if it is larger (that changes no result), and has a worker give free memory back when a
+    task is done."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(task, schema)
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

@@ -44,7 +44,7 @@ class Backtracking:
         for a, b, rank in self.made.values():
             if max(self.made.get(a, (0, 0, -1))[2], self.made.get(b, (0, 0, -1))[2]) >= rank:
                 raise ValueError("merges are not ordered: a token is merged before its parts exist")
-        self.fits = Memo(self._compatible, most=1_000_000)
+        self.fits = Memo(self._compatible, most=200_000)
         # Only tokens that the merges produce from their own spelling take part in the automaton.
         reachable = [i for i, s in self.spelled.items() if len(s) == 1 or i in self.made and self._stands(i)]
         self.finder = ahocorasick.Automaton()
@@ -166,13 +166,13 @@ def text_encoder(path: str) -> Callable[[str], bytes]:
     one, split, cut = encoder(path), splitter(path), chunker(path)
     fixed = {s: np.array([i], dtype="<u4").tobytes() for s, i in vocabulary(path).special.items()}
 
-    piece = Memo(lambda p: fixed.get(p) or np.array(one.encode(p), dtype="<u4").tobytes(), most=400_000).__getitem__
+    piece = Memo(lambda p: fixed.get(p) or np.array(one.encode(p), dtype="<u4").tobytes(), most=150_000).__getitem__
 
     def pieces(text: str) -> bytes:
         return b"".join(map(piece, split(text)))
 
     mark = cut("")[2]
-    known = Memo(lambda chunk: pieces(mark + chunk), most=400_000).__getitem__
+    known = Memo(lambda chunk: pieces(mark + chunk), most=150_000).__getitem__
 
     def encode(text: str) -> bytes:
         head, chunks, _ = cut(text)

@@ -42,7 +42,7 @@ def word_features(word: str) -> list[int]:
 class WordTable:
     """What is known of each word met so far, in arrays; forgets all beyond ``most`` words."""
 
-    def __init__(self, share: np.ndarray | None = None, most: int = 400_000):
+    def __init__(self, share: np.ndarray | None = None, most: int = 200_000):
         self.share, self.most = share, most
         self._clear()
 

@@ -66,13 +66,13 @@ def counter(path: str, proven: tuple[str, ...]) -> Callable[[str], int]:
     within bounds."""
     v, split, cut = vocabulary(path), splitter(path), chunker(path)
     whole = frozenset(proven) | frozenset(v.special)
-    merged = Memo(lambda piece: len(merge(v, v.spell(piece))), most=200_000)
+    merged = Memo(lambda piece: len(merge(v, v.spell(piece))), most=100_000)
 
     def pieces(text: str) -> int:
         return sum([1 if p in whole else merged[p] for p in split(text)])
 
     mark = cut("")[2]
-    known = Memo(lambda chunk: pieces(mark + chunk), most=500_000).__getitem__
+    known = Memo(lambda chunk: pieces(mark + chunk), most=200_000).__getitem__
 
     def count(text: str) -> int:
         head, chunks, _ = cut(text)

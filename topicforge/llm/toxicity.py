@@ -211,7 +211,7 @@ def _readers(cost: np.ndarray, weights: dict[str, object] | None) -> tuple[Memo,
             words += WORD.findall(r.restore(stretch[k:k + 2 * LONGEST]))
         return marks(words)
 
-    return Memo(lambda token: marks(words_of(token, r))), Memo(spaced, most=50_000)
+    return Memo(lambda token: marks(words_of(token, r)), most=150_000), Memo(spaced, most=50_000)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, cost: np.ndarray, label: str = "toxic",
