@@ -53,7 +53,7 @@ def ship_package(spark: SparkSession) -> None:
 BATCH_ROWS = 1024
 
 
-def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` by a function of this package.  Lowers the session's Arrow batch size to
     ``BATCH_ROWS`` if it is larger (that changes no result), and has a worker give free memory back when a
     task is done."""
@@ -71,7 +71,7 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(task, schema)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema) -> DataFrame:
     """Arrow mapping with a function of one record batch; ``None`` or an empty batch gives no rows.
     ``fn`` may be a zero-argument factory marked by ``per_task``: it is then called once in each task."""
 

@@ -183,10 +183,13 @@ def text_encoder(path: str) -> Callable[[str], bytes]:
 
 
 def bpe_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                   digest: bool = False) -> DataFrame:
-    """Encode every text and decode it again.  Returns doc_id, n_tokens and either ids array<int> and
-    decoded string, or with ``digest`` the SHA-256 of both (ids as little-endian unsigned 32-bit
-    integers, text as UTF-8).  Map-only: one scan, no shuffle."""
+                   give: str = "full") -> DataFrame:
+    """Encode every text and decode it again.  Returns doc_id, n_tokens and, as ``give`` says: "full"
+    ids array<int> and decoded string; "digest" the SHA-256 of both (ids as little-endian unsigned 32-bit
+    integers, text as UTF-8); "ids" the ids and the SHA-256 of the decoded text.  Map-only: one scan, no
+    shuffle."""
+    schema = {"full": "ids array<int>, decoded string", "digest": "ids_sha256 string, decoded_sha256 string",
+              "ids": "ids array<int>, decoded_sha256 string"}[give]
 
     @per_task
     def start():
@@ -197,13 +200,12 @@ def bpe_round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             ids = [np.frombuffer(r, dtype="<u4") for r in raw]
             back = [offsets.decode(i) for i in ids]
             n = pa.array([len(i) for i in ids], pa.int64())
-            if digest:
-                sha = lambda parts: pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string())
-                return record(doc_id=b.column(0), n_tokens=n, ids_sha256=sha(raw), decoded_sha256=sha(back))
-            return record(doc_id=b.column(0), n_tokens=n, ids=pa.array([i.astype("<i4") for i in ids], pa.list_(pa.int32())),
-                          decoded=pa.array([x.decode("utf-8", "replace") for x in back], pa.string()))
+            sha = lambda parts: pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string())
+            text = sha(back) if give != "full" else pa.array([x.decode("utf-8", "replace") for x in back], pa.string())
+            first = sha(raw) if give == "digest" else pa.array([i.astype("<i4") for i in ids], pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([b.column(0), n, first, text], ["doc_id", "n_tokens", *names])
 
         return each
 
-    out = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string"
-    return map_batches(id_text(docs, id_col, text_col), start, f"doc_id bigint, n_tokens bigint, {out}")
+    names = [part.split()[0] for part in schema.split(", ")]
+    return map_batches(id_text(docs, id_col, text_col), start, f"doc_id bigint, n_tokens bigint, {schema}")

@@ -140,6 +140,33 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most
     return train(data, np.array([min(max(r[1], 0), 1) for r in rows]))
 
 
+def _scorer(model: tuple[np.ndarray, float]):
+    share, bias = model
+    words = WordTable(share.astype(np.float64))
+
+    def score(text: str) -> float:
+        r = words.rows(text.split())
+        logit = bias
+        if len(r):
+            logit += (words.sums[r].sum() + share[words.pairs(r)].sum()) / (words.counts[r].sum() + len(r) - 1)
+        return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
+
+    return score
+
+
+def keep_quality(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all their columns, whose whole text scores ``threshold`` or more.  Map-only."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    @per_task
+    def start():
+        score = _scorer(shared.value)
+        return lambda b: b.filter(pa.array([score(t or "") >= threshold for t in b.column(at).to_pylist()], pa.bool_()))
+
+    return map_batches(docs, start, docs.schema)
+
+
 def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.5,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted of every row, from its whole text.  Map-only; the model (one
@@ -148,16 +175,7 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], threshold: f
 
     @per_task
     def start():
-        share, bias = shared.value
-        words = WordTable(share.astype(np.float64))
-
-        def score(text: str) -> float:
-            r = words.rows(text.split())
-            logit = bias
-            if len(r):
-                logit += (words.sums[r].sum() + share[words.pairs(r)].sum()) / (words.counts[r].sum() + len(r) - 1)
-            return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
-
+        score = _scorer(shared.value)
         return lambda b: record(doc_id=b.column(0), score=pa.array([score(t) for t in texts_of(b)], pa.float64()))
 
     scored = map_batches(id_text(docs, id_col, text_col), start, "doc_id bigint, score double")

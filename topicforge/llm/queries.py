@@ -28,11 +28,12 @@ def mix_levels() -> dict:
 
 
 def mix_weights(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(MIX_WEIGHTS.items()), "path string, weight bigint")
+    rows = ", ".join(f"('{path}', {weight}L)" for path, weight in sorted(MIX_WEIGHTS.items()))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS weights(path, weight)")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), digest=True)
+    return bpe.bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), give="digest")
 
 
 def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
