@@ -6,6 +6,8 @@ their names, are not read) and works on whole texts.  A null text is an empty te
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import zipfile
 from collections.abc import Callable, Iterator
@@ -48,6 +50,12 @@ def ship_package(spark: SparkSession) -> None:
     sc._topicforge_shipped = True
 
 
+def _trim() -> None:
+    """Hand the C allocator's free pages back to the system, where it can."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Rows of an Arrow batch.  Rows here are whole texts and sets; Spark's default of 10,000 would hold some
 #: hundred MB at a time in the executor and again in its Python worker.
 BATCH_ROWS = 1024
@@ -67,6 +75,7 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
             yield from run(batches)
         finally:
             pa.default_memory_pool().release_unused()
+            _trim()
 
     return df.mapInArrow(task, schema)
 

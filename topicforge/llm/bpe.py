@@ -166,13 +166,13 @@ def text_encoder(path: str) -> Callable[[str], bytes]:
     one, split, cut = encoder(path), splitter(path), chunker(path)
     fixed = {s: np.array([i], dtype="<u4").tobytes() for s, i in vocabulary(path).special.items()}
 
-    piece = Memo(lambda p: fixed.get(p) or np.array(one.encode(p), dtype="<u4").tobytes(), most=150_000).__getitem__
+    piece = Memo(lambda p: fixed.get(p) or np.array(one.encode(p), dtype="<u4").tobytes(), most=100_000).__getitem__
 
     def pieces(text: str) -> bytes:
         return b"".join(map(piece, split(text)))
 
     mark = cut("")[2]
-    known = Memo(lambda chunk: pieces(mark + chunk), most=150_000).__getitem__
+    known = Memo(lambda chunk: pieces(mark + chunk), most=100_000).__getitem__
 
     def encode(text: str) -> bytes:
         head, chunks, _ = cut(text)

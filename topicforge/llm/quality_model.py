@@ -25,7 +25,7 @@ from topicforge.llm.labelled import training_rows
 BUCKETS = 1 << 17
 GRAMS = (3, 4)
 REPEAT = 0  # the bucket of a word pair whose words are the same
-TRAINING_DOCS = 4000
+TRAINING_DOCS = 2000
 
 
 def _bucket(raw: bytes) -> int:
@@ -48,7 +48,6 @@ class WordTable:
 
     def _clear(self) -> None:
         self.at: dict[str, int] = {}
-        self.hashes: list[int] = []
         self.features: list[np.ndarray] = []
         self.sums, self.counts = np.zeros(1024), np.zeros(1024, dtype=np.int64)
         self.codes = np.zeros(1024, dtype=np.uint64)
@@ -90,7 +89,7 @@ def document_features(table: WordTable, text: str) -> tuple[np.ndarray, np.ndarr
     return ids, n.astype(np.float64)
 
 
-def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int = 12, epochs: int = 12,
+def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int = 12, epochs: int = 20,
           rate: float = 0.5, seed: int = 7) -> tuple[np.ndarray, float]:
     """Stochastic gradient descent on the cross-entropy of the softmax.  Returns each bucket's share of
     the logit of class 1, and the bias."""
@@ -134,10 +133,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most
     rows = map_batches(training_rows(docs, labels, label, most, id_col, text_col).select("doc_id", "text", "label"), start,
                        "doc_id bigint, label int, ids binary, n binary").collect()
     rows.sort(key=lambda r: (r[0], bytes(r[2])))
-    data = [(np.frombuffer(bytes(r[2]), "<i4"), np.frombuffer(bytes(r[3]), "<f4").astype(np.float64)) for r in rows]
-    if not data:
-        return np.zeros(BUCKETS, dtype=np.float32), 0.0
-    return train(data, np.array([min(max(r[1], 0), 1) for r in rows]))
+    data = [(np.frombuffer(bytes(r[2]), "<i4"), np.frombuffer(bytes(r[3]), "<f4")) for r in rows]
+    marks = np.array([min(max(r[1], 0), 1) for r in rows])
+    del rows
+    return train(data, marks) if data else (np.zeros(BUCKETS, dtype=np.float32), 0.0)
 
 
 def _scorer(model: tuple[np.ndarray, float]):

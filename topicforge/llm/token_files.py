@@ -54,7 +54,7 @@ class LibraryIds:
     """Ids of texts by the library, as little-endian integers of ``width`` bytes.  A batch's new pieces
     go to the library together; the memory of pieces is bounded."""
 
-    def __init__(self, path: str, most: int = 150_000):
+    def __init__(self, path: str, most: int = 120_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
