@@ -33,6 +33,7 @@ from topicforge.operators import model as MO  # noqa: E402
 from topicforge.operators import summary as SU  # noqa: E402
 from topicforge.plans import evaluate as EV  # noqa: E402
 from topicforge.plans import intent as IN  # noqa: E402
+from topicforge.sources import dumps, files  # noqa: E402
 from topicforge.streaming import ingest as ST  # noqa: E402
 from topicforge.taxonomy import TOPICS  # noqa: E402
 from topicforge.plans import dataset as DS  # noqa: E402
@@ -482,7 +483,6 @@ def q_page_intent(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 7: streaming
 
-STREAM_ROWS_PER_FILE = 2500
 STREAM_QUOTA = 100
 
 
@@ -495,10 +495,35 @@ def _discoveries(spark, sf_dir):
 
 def _replayed(spark, sf_dir, name, df):
     base = ST.work_dir(spark, name)
-    ST.replay_as_files(df, f"{base}/input", "seq", rows_per_file=STREAM_ROWS_PER_FILE)
+    df.write.parquet(f"{base}/input")
     return base, ST.file_stream(spark, f"{base}/input", df.schema)
 
 
+def q_read_sql_dump(spark, sf_dir):
+    """Every part as an INSERT statement of a dump in the shared folder, read back."""
+    quoted = lambda c: F.concat(F.lit("'"), F.replace(F.replace(F.col(c), F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("'"))
+    path = ST.work_dir(spark, "sql-dump")
+    part = read_table(spark, sf_dir, "part")
+    part.select(F.concat(F.lit("INSERT INTO `part` (`id`, `name`, `type`, `size`) VALUES\n("), F.col("p_partkey").cast("string"), F.lit(","),
+                         quoted("p_name"), F.lit(","), quoted("p_type"), F.lit(","), F.col("p_size").cast("string"), F.lit(");")).alias("value")).write.text(path)
+    return dumps.read_sql_dump(spark, path, "part", [("id", "bigint"), ("name", "string"), ("type", "string"), ("size", "int")])
+
+
+def q_extract_csv(spark, sf_dir):
+    """The extract written as CSV to the shared folder and read back."""
+    path = ST.work_dir(spark, "extract-csv")
+    files.write_extract_csv(EX.run_extract(SI.page_dump(spark, sf_dir)), path)
+    return files.read_extract_csv(spark, path).select(
+        F.col("Page ID").alias("page_id"), F.col("Page Title").alias("title"), F.col("Categories").alias("categories"), F.col("Page Text").alias("text"))
+
+
+def q_dataset_files(spark, sf_dir):
+    """The split documents written as a dataset, its training half read back and cut to the first 50 %."""
+    path = ST.work_dir(spark, "dataset")
+    files.write_dataset(SP.train_test_split(SI.doc_pages(spark, sf_dir), "page_id").select("page_id", "title", "split"), path)
+    return files.read_dataset(spark, path, "train", percent=50).select("page_id", "title")
+
+
 def q_stream_merge_labels(spark, sf_dir):
     base, stream = _replayed(spark, sf_dir, "merge", _discoveries(spark, sf_dir))
     ST.stream_merge_labels(stream.select("page_id", "root"), f"{base}/out", f"{base}/ckpt")
@@ -508,7 +533,7 @@ def q_stream_merge_labels(spark, sf_dir):
 
 def q_stream_upsert(spark, sf_dir):
     d = _discoveries(spark, sf_dir).select(
-        "page_id", F.concat(F.lit("User "), F.col("page_id").cast("string")).alias("title"),
+        "page_id", F.concat(F.lit("User "), F.col("page_id").cast("string"), F.lit(" #"), F.col("seq").cast("string")).alias("title"),
         F.array("root").alias("categories"), "seq")
     base, stream = _replayed(spark, sf_dir, "upsert", d)
     ST.stream_upsert(stream, f"{base}/table", f"{base}/ckpt", fields=("title",))
@@ -527,6 +552,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **(LLM.QUERIES if LLM else {}),
         **({"pipeline": PIPELINE.run} if PIPELINE else {}),
         "stream_merge_labels": q_stream_merge_labels,
+        "read_sql_dump": q_read_sql_dump,
+        "extract_csv": q_extract_csv,
+        "dataset_files": q_dataset_files,
         "stream_upsert": q_stream_upsert,
         "stream_quota": q_stream_quota,
         "fit_topic_classifier": q_fit_topic_classifier,
@@ -591,9 +619,9 @@ _KEPT = S.keep(S.extract_clean_categories("text"))
 
 
 _NORM = f"list_transform({_KEPT}, lambda c: replace(c, ' ', '_'))"
-_BUCKET = "((('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 8))::BIGINT) % 1000)"
+_BUCKET = "(('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 8))::BIGINT)"
 _SPLIT_DOCS = f"""{S.DOC_PAGES},
-sp AS (SELECT *, CASE WHEN {_BUCKET} < 100 THEN 'test' ELSE 'train' END AS split FROM docp)"""
+sp AS (SELECT *, CASE WHEN {_BUCKET} < 429496730 THEN 'test' ELSE 'train' END AS split FROM docp)"""
 
 
 _QUOTA = "(SELECT count(*) // 10 FROM part)"
@@ -683,9 +711,18 @@ def oracle_sql() -> dict[str, str]:
     return {
         **(LLM.ORACLE_SQL if LLM else {}),
         **({"pipeline": PIPELINE.ORACLE_SQL} if PIPELINE and PIPELINE.ORACLE_SQL else {}),
+        "read_sql_dump": "SELECT p_partkey AS id, p_name AS name, p_type AS type, p_size AS size FROM part",
+        "extract_csv": f"""WITH {S.WIKI_PAGES}
+SELECT page_id, title, array_to_string({_KEPT}, ',') AS categories,
+       {S.lead(S.clean_text(S.strip_markup('text')), 5)} AS text
+FROM wiki WHERE len({_KEPT}) > 0""",
+        "dataset_files": f"""WITH {_SPLIT_DOCS},
+tr AS (SELECT * FROM sp WHERE split = 'train')
+SELECT page_id, title FROM tr ORDER BY page_id
+LIMIT (SELECT CAST(round_even(count(*) * 50 / 100.0, 0) AS BIGINT) FROM tr)""",
         "stream_merge_labels": """SELECT user_id AS page_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS categories
 FROM events GROUP BY user_id""",
-        "stream_upsert": """SELECT user_id AS page_id, 'User ' || CAST(user_id AS VARCHAR) AS title,
+        "stream_upsert": """SELECT user_id AS page_id, 'User ' || CAST(user_id AS VARCHAR) || ' #' || CAST(min(event_id) AS VARCHAR) AS title,
        array_to_string(list_sort(list(DISTINCT event_type)), ',') AS categories FROM events GROUP BY user_id""",
         "stream_quota": f"""WITH f AS (SELECT event_type AS root, user_id AS page_id, min(event_id) AS seq FROM events GROUP BY 1, 2)
 SELECT root, page_id, seq FROM f QUALIFY row_number() OVER (PARTITION BY root ORDER BY seq, page_id) <= {STREAM_QUOTA}""",
@@ -766,7 +803,7 @@ SELECT p_partkey AS page_id, p_name AS title, category FROM part JOIN cpages ON
         "build_dataset": f"""WITH RECURSIVE {_MERGED}, {S.PAGE_CONTENT}
 SELECT m.page_id, pc.title, {S.lead("coalesce(nullif(pc.summary, ''), pc.text)", 5)} AS summary,
        array_to_string(m.cats, ',') AS categories,
-       CASE WHEN ((('0x' || substr(md5(CAST(m.page_id AS VARCHAR)), 1, 8))::BIGINT) % 1000) < 100 THEN 'test' ELSE 'train' END AS split
+       CASE WHEN ((('0x' || substr(md5(CAST(m.page_id AS VARCHAR)), 1, 8))::BIGINT) ) < 429496730 THEN 'test' ELSE 'train' END AS split
 FROM merged m JOIN pc ON pc.page_id = m.page_id""",
         "page_summary": f"""WITH {S.DOC_PAGES}
 SELECT page_id, {S.lead("coalesce(nullif(summary, ''), text)", 5)} AS summary FROM docp""",

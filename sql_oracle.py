@@ -151,7 +151,7 @@ GRAPH = """edges AS (
   UNION ALL SELECT 'N1', 'R1'),
 roots AS (SELECT 'R' || CAST(r_regionkey AS VARCHAR) AS root FROM region),
 cpages AS (SELECT DISTINCT 'S' || CAST(l_suppkey AS VARCHAR) AS category, l_partkey AS page_id
-           FROM lineitem WHERE l_linenumber = 1)"""
+           FROM lineitem)"""
 
 
 def closure(max_depth: int = 10) -> str:

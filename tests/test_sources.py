@@ -115,8 +115,30 @@ def test_html_error_rows(spark):
 def test_large_percent_slice_uses_dense_ordinal(spark):
     from topicforge.operators.splits import dense_ordinal, percent_slice
 
-    df = spark.range(0, 1000, 1, 7).select((F.col("id") * 3).alias("k"))
-    got = sorted(r["k"] for r in percent_slice(df, "k", 25, topk_max=10).collect())
-    assert got == [3 * i for i in range(250)]
-    ords = {r["k"]: r["ordinal"] for r in dense_ordinal(df, "k").collect()}
-    assert all(ords[3 * i] == i for i in range(1000))
+    n = 200_000  # wide rows in several partitions, where counts and rows could be planned apart
+    df = spark.range(0, n, 1, 7).select((F.col("id") * 3).alias("k"), F.repeat(F.md5(F.col("id").cast("string")), 8).alias("wide"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("16", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            half = percent_slice(df, "k", 50).agg(F.count("*"), F.countDistinct("k"), F.max("k")).first()
+            assert tuple(half) == (n // 2, n // 2, 3 * (n // 2 - 1))
+            assert percent_slice(df, "k", 0.001).count() == 2
+            o = dense_ordinal(df, "k").agg(F.count("*"), F.countDistinct("ordinal"), F.max(F.abs(F.col("ordinal") * 3 - F.col("k")))).first()
+            assert tuple(o) == (n, n, 0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_sql_dump_long_values_forms_and_errors(spark, tmp_path):
+    import pytest
+
+    big, escapes = "x" * 1_000_000, "\\'" * 200_000
+    (tmp_path / "a.sql").write_text(
+        "/* head */;\n-- c\nINSERT INTO `t` (`a`, `b`)\nVALUES\n(1,'" + big + "'),\n(2,'" + escapes + "');\n"
+        "insert into t values (3,'a\\0b\\Zc\\%d\\\\n');\nINSERT INTO `t2` VALUES (9,'no');\n")
+    rows = {r["a"]: r["b"] for r in dumps.read_sql_dump(spark, str(tmp_path / "a.sql"), "t", [("a", "int"), ("b", "string")]).collect()}
+    assert rows == {1: big, 2: "'" * 200_000, 3: "a\0b\x1ac\\%d\\n"}
+    (tmp_path / "b.sql").write_text("INSERT INTO `t` SELECT * FROM u;\n")
+    with pytest.raises(Exception, match="not a plain INSERT"):
+        dumps.read_sql_dump(spark, str(tmp_path / "b.sql"), "t", [("a", "int")]).collect()

@@ -4,6 +4,13 @@ from topicforge.operators.graph import merge_labels
 from topicforge.streaming import ingest as ST
 
 
+def replay(df, path, files):
+    """Arrivals in ``seq`` order as so many files, one after the other."""
+    n = df.count()
+    for k in range(files):
+        df.where((F.col("seq") >= k * n // files) & (F.col("seq") < (k + 1) * n // files)).coalesce(1).write.mode("append").parquet(path)
+
+
 def discoveries(spark):
     rows = [(1, "R1", 0), (1, "R1", 1), (2, "R1", 2), (1, "R2", 3), (3, "R1", 4), (4, "R1", 5),
             (2, "R2", 6), (5, "R1", 7), (1, "R1", 8)]
@@ -13,14 +20,14 @@ def discoveries(spark):
 def test_merge_labels_stream_equals_batch(spark):
     d = discoveries(spark)
     base = ST.work_dir(spark, "t-merge")
-    ST.replay_as_files(d, f"{base}/in", "seq", files=3)
-    stream = ST.file_stream(spark, f"{base}/in", d.schema)
+    replay(d, f"{base}/in", 3)
+    stream = ST.file_stream(spark, f"{base}/in", d.schema, 1)
     ST.stream_merge_labels(stream.select("page_id", "root"), f"{base}/out", f"{base}/ck")
     got = {r["page_id"]: r["categories"] for r in ST.merged_labels_state(spark, f"{base}/out").collect()}
     expect = {r["page_id"]: r["categories"] for r in merge_labels(d).collect()}
     assert got == expect
     # restart on the same checkpoint: nothing new, state unchanged
-    ST.stream_merge_labels(ST.file_stream(spark, f"{base}/in", d.schema).select("page_id", "root"),
+    ST.stream_merge_labels(ST.file_stream(spark, f"{base}/in", d.schema, 1).select("page_id", "root"),
                            f"{base}/out", f"{base}/ck")
     again = {r["page_id"]: r["categories"] for r in ST.merged_labels_state(spark, f"{base}/out").collect()}
     assert again == expect
@@ -29,8 +36,8 @@ def test_merge_labels_stream_equals_batch(spark):
 def test_quota_reached_mid_batch(spark):
     d = discoveries(spark)
     base = ST.work_dir(spark, "t-quota")
-    ST.replay_as_files(d, f"{base}/in", "seq", files=3)
-    ST.stream_quota(ST.file_stream(spark, f"{base}/in", d.schema), f"{base}/out", f"{base}/ck", limit=3)
+    replay(d, f"{base}/in", 3)
+    ST.stream_quota(ST.file_stream(spark, f"{base}/in", d.schema, 1), f"{base}/out", f"{base}/ck", limit=3)
     got = sorted((r["root"], r["page_id"]) for r in ST.quota_state(spark, f"{base}/out").collect())
     assert got == [("R1", 1), ("R1", 2), ("R1", 3), ("R2", 1), ("R2", 2)]
 
@@ -39,8 +46,8 @@ def test_upsert_stream_replay_safe(spark):
     d = discoveries(spark).select("page_id", F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("title"),
                                   F.array("root").alias("categories"), "seq")
     base = ST.work_dir(spark, "t-upsert")
-    ST.replay_as_files(d, f"{base}/in", "seq", files=3)
-    ST.stream_upsert(ST.file_stream(spark, f"{base}/in", d.schema), f"{base}/tab", f"{base}/ck", fields=("title",))
+    replay(d, f"{base}/in", 3)
+    ST.stream_upsert(ST.file_stream(spark, f"{base}/in", d.schema, 1), f"{base}/tab", f"{base}/ck", fields=("title",))
     got = {r["page_id"]: r["categories"] for r in ST.upserted_table(spark, f"{base}/tab").collect()}
     assert got == {1: ["R1", "R2"], 2: ["R1", "R2"], 3: ["R1"], 4: ["R1"], 5: ["R1"]}
 
@@ -51,8 +58,8 @@ def test_replayed_batch_is_idempotent(spark):
 
     d = discoveries(spark)
     base = ST.work_dir(spark, "t-replay")
-    ST.replay_as_files(d, f"{base}/in", "seq", files=3)
-    ST.stream_quota(ST.file_stream(spark, f"{base}/in", d.schema), f"{base}/out", f"{base}/ck", limit=3)
+    replay(d, f"{base}/in", 3)
+    ST.stream_quota(ST.file_stream(spark, f"{base}/in", d.schema, 1), f"{base}/out", f"{base}/ck", limit=3)
     before = sorted(map(tuple, ST.quota_state(spark, f"{base}/out").collect()))
     # simulate a crash after the last batch wrote its output but before it committed
     local = base.replace("file:", "")
@@ -62,6 +69,19 @@ def test_replayed_batch_is_idempotent(spark):
     crc = os.path.join(os.path.dirname(last), f".{os.path.basename(last)}.crc")
     if os.path.exists(crc):
         os.remove(crc)
-    ST.stream_quota(ST.file_stream(spark, f"{base}/in", d.schema), f"{base}/out", f"{base}/ck", limit=3)
+    ST.stream_quota(ST.file_stream(spark, f"{base}/in", d.schema, 1), f"{base}/out", f"{base}/ck", limit=3)
     after = sorted(map(tuple, ST.quota_state(spark, f"{base}/out").collect()))
     assert before == after
+
+
+def test_upsert_state_does_not_depend_on_batches(spark):
+    rows = [(1, "Zed", "first", ["a"], 0), (1, "Abe", None, ["b"], 1), (2, None, "x", ["a"], 2), (2, "B", "y", ["c"], 3),
+            (3, "C", None, ["a"], 4), (1, "Cy", "z", ["d"], 5), (3, "A", "w", ["b"], 6)]
+    d = spark.createDataFrame(rows, "page_id long, title string, summary string, categories array<string>, seq long")
+    expect = {1: ("Zed", "first", ["a", "b", "d"]), 2: (None, "x", ["a", "c"]), 3: ("C", None, ["a", "b"])}
+    for files in (1, 2, 7):
+        base = ST.work_dir(spark, f"t-upsert-{files}")
+        replay(d, f"{base}/in", files)
+        ST.stream_upsert(ST.file_stream(spark, f"{base}/in", d.schema, 1), f"{base}/tab", f"{base}/ck", fields=("title", "summary"))
+        got = {r["page_id"]: (r["title"], r["summary"], r["categories"]) for r in ST.upserted_table(spark, f"{base}/tab").collect()}
+        assert got == expect, files

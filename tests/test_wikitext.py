@@ -36,12 +36,9 @@ def test_strip_markup(spark):
     assert got == "Bold and it shown Plain  site & <b>\nHead\nend"
 
 
-def test_observed_progress(spark):
-    from topicforge.operators.curate import extract_progress, observe_progress
+def test_extract_progress(spark):
+    from topicforge.operators.curate import extract_progress
 
     df = spark.createDataFrame([(1, ["Law"]), (2, []), (3, ["Law", "Life"])], "id int, categories array<string>")
-    observed, obs = observe_progress(df)
-    observed.write.format("noop").mode("overwrite").save()
-    assert obs.get == {"pages": 3, "hits": 2}
     r = extract_progress(df).first()
     assert (r["pages"], r["hits"]) == (3, 2)

@@ -127,14 +127,17 @@ def merge_labels(hits: DataFrame, key: str = "page_id", label: str = "root",
 
 def upsert_pages(existing: DataFrame, incoming: DataFrame, key: str = "page_id",
                  fields: tuple[str, ...] = ("title", "summary", "text"),
-                 categories: str = "categories") -> DataFrame:
+                 categories: str = "categories", order: str | None = None) -> DataFrame:
     """C4: merge incoming pages into the stored table.
 
     A known page keeps its stored fields (even a null one) and gains the
-    incoming categories; a new page is inserted.  Incoming rows are first
-    merged per key.  The result is a new table (write it to a new path)."""
+    incoming categories; a new page is inserted with the fields of its
+    first arrival: the incoming row with the smallest ``order`` (equal
+    orders, or none given: the smallest fields).  The result is a new
+    table (write it to a new path)."""
+    arrival = [F.col(order).alias("_o")] if order else []
     inc = incoming.groupBy(key).agg(
-        F.min(F.struct(*[F.col(f) for f in fields])).alias("_f"),
+        F.min(F.struct(*arrival, F.struct(*[F.col(f) for f in fields]).alias("f")))["f"].alias("_f"),
         # collect_set is deduplicated map-side: a page met a million times with
         # the same labels contributes one array, not a million
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.col(categories))))).alias("_c"),

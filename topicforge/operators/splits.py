@@ -11,26 +11,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicforge.constants import BATCH_SIZE, TEST_SHARE
-from topicforge.operators.skew import global_top_k
+from topicforge.session import reliable_checkpoint
 
-# Above this many rows a "first p percent" slice is cut by a global rank
-# computed from per-partition counts instead of a single top-k task.
-TOPK_MAX = 10_000
 
-
-def hash_bucket(key: Column | str, buckets: int = 1000) -> Column:
-    """0..buckets-1 from the first 32 bits of md5(key as string)."""
+def hash32(key: Column | str) -> Column:
+    """0..2^32-1: the first 32 bits of md5(key as string)."""
     k = F.col(key) if isinstance(key, str) else key
-    h = F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h, F.lit(buckets))
+    return F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("bigint")
 
 
 def train_test_split(df: DataFrame, key: str, test: float = TEST_SHARE, split_col: str = "split") -> DataFrame:
     """``split`` = ``test`` for about ``test`` of the rows, else ``train``.
     Expected, not exact, proportions; stable across runs and partitionings."""
-    cut = int(round(test * 1000))
+    cut = int(round(test * (1 << 32)))
     return df.withColumn(
-        split_col, F.when(hash_bucket(key) < F.lit(cut), F.lit("test")).otherwise(F.lit("train"))
+        split_col, F.when(hash32(key) < F.lit(cut), F.lit("test")).otherwise(F.lit("train"))
     )
 
 
@@ -49,12 +44,17 @@ def dense_ordinal(df: DataFrame, key: str, out: str = "ordinal") -> DataFrame:
     without a single-partition window: range-partition, number rows
     inside each partition, and add the partition's offset (a prefix sum
     over one row per partition, broadcast -- bounded by the partition
-    count)."""
+    count).
+
+    The numbered frame is written once and read back, so that the counts
+    and the rows see the same partitions whatever the planner does with
+    either of them."""
     ranged = df.repartitionByRange(F.col(key)).sortWithinPartitions(F.col(key))
     ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_local", F.monotonically_increasing_id()
     )
-    ranged = ranged.withColumn("_local", F.col("_local") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    ranged = reliable_checkpoint(
+        ranged.withColumn("_local", F.col("_local") - F.shiftleft(F.col("_pid").cast("bigint"), 33)))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.withColumn(
         "_off", F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
@@ -63,20 +63,13 @@ def dense_ordinal(df: DataFrame, key: str, out: str = "ordinal") -> DataFrame:
     return ranked.withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")
 
 
-def percent_slice(df: DataFrame, key: str, percent: float, topk_max: int = TOPK_MAX) -> DataFrame:
+def percent_slice(df: DataFrame, key: str, percent: float) -> DataFrame:
     """The first ``percent`` % of ``df`` in ``key`` order (``train[:p%]``).
 
-    One count action fixes k.  Small k is a salted two-stage top-k (the
-    final task reads at most 64 * k rows); large k is cut by a global rank
-    built from per-partition counts (``dense_ordinal``), so no single task
-    ever holds k rows.
-    """
-    n = df.count()
-    k = slice_size(n, percent)
-    if k == 0:
-        return df.limit(0)
-    if k <= topk_max:
-        return global_top_k(df, [F.col(key).asc()], k, key).drop("_rank")
+    One count action fixes k; the cut is by a global rank built from
+    per-partition counts (``dense_ordinal``) for every k, so no single
+    task ever holds k rows."""
+    k = slice_size(df.count(), percent)
     return dense_ordinal(df, key, "_ord").where(F.col("_ord") < F.lit(k)).drop("_ord")
 
 

@@ -113,8 +113,7 @@ def category_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     return (
-        li.where(F.col("l_linenumber") == 1)
-        .select(
+        li.select(
             F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("category"),
             F.col("l_partkey").alias("page_id"),
         )

@@ -9,6 +9,7 @@ fields, all as native expressions.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,19 +60,26 @@ def read_page_dump(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-# One tuple: parentheses around unquoted chars or quoted strings with escapes.
-SQL_TUPLE = r"\((?:[^()']|'(?:[^'\\]|\\.|'')*')*\)"
+# A quoted value: escapes or doubled quotes inside.  Possessive runs: matching takes no stack per character.
+SQL_QUOTED = r"'[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'"
+# One tuple: parentheses around unquoted chars or quoted strings.
+SQL_TUPLE = rf"(?s)\((?:[^()']++|{SQL_QUOTED})*+\)"
 # One field inside a tuple.
-SQL_FIELD = r"'(?:[^'\\]|\\.|'')*'|[^,()']+"
+SQL_FIELD = rf"(?s){SQL_QUOTED}|[^,()']++"
+# What may stand before a statement: white space and comments.
+_LEAD = r"(?:\s++|--[^\n]*+(?:\n|$)|/\*(?:[^*]++|\*(?!/))*+\*/;?+)*+"
 
 
 def _unescape(c):
-    # MySQL escapes; "\\\\" is handled last via a placeholder so "\\'" works.
-    x = F.replace(c, F.lit("\\\\"), F.lit("\u0000"))
-    for esc, ch in (("''", "'"), ("\\'", "'"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"),
-                    ("\\t", "\t"), ("\\0", "\u0000")):
-        x = F.replace(x, F.lit(esc), F.lit(ch))
-    return F.replace(x, F.lit("\u0000"), F.lit("\\"))
+    # Escaped backslashes part the value first, so what is left of each other escape is unambiguous.
+    def part(x):
+        for esc, ch in (("''", "'"), ("\\'", "'"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"),
+                        ("\\t", "\t"), ("\\0", "\u0000"), ("\\Z", "\u001a"), ("\\b", "\b")):
+            x = F.replace(x, F.lit(esc), F.lit(ch))
+        # \% and \_ keep their backslash; any other escaped character stands for itself.
+        return F.regexp_replace(x, r"\\([^%_])", "$1")
+
+    return F.array_join(F.transform(F.split(c, r"\\\\"), part), "\\")
 
 
 def read_sql_dump(spark: SparkSession, path: str, table: str,
@@ -80,11 +88,18 @@ def read_sql_dump(spark: SparkSession, path: str, table: str,
 
     ``columns`` is the caller's (name, Spark type) list in column order;
     values are converted with ``try_cast`` so bad values become null.
-    """
-    prefix = f"INSERT INTO `{table}` VALUES "
-    lines = spark.read.text(path).where(F.startswith(F.col("value"), F.lit(prefix)))
-    body = F.substring(F.col("value"), len(prefix) + 1, 1 << 30)
-    tuples = lines.select(F.explode(F.regexp_extract_all(body, F.lit(SQL_TUPLE), 0)).alias("t"))
+    Records are statements (they end with ``;`` at a line's end); a column
+    list and line breaks around VALUES are allowed.  A statement that
+    inserts into ``table`` and is not wholly made of tuples is an error."""
+    into = rf"INSERT\s+(?:IGNORE\s+)?INTO\s+`?{re.escape(table)}`?[\s(]"
+    head = rf"(?is)^{_LEAD}INSERT\s+(?:IGNORE\s+)?INTO\s+`?{re.escape(table)}`?\s*(?:\([^()]*\)\s*)?VALUES\s*"
+    stmts = spark.read.option("lineSep", ";\n").text(path).where(F.col("value").rlike(rf"(?i)^{_LEAD}{into}"))
+    body = F.regexp_replace(F.regexp_replace("value", head, ""), r"[;\s]+$", "")
+    rest = F.regexp_replace(body, SQL_TUPLE, "")
+    ok = F.col("value").rlike(head) & rest.rlike(r"^[\s,]*$")
+    checked = F.when(ok, F.regexp_extract_all(body, F.lit(SQL_TUPLE), 0)).otherwise(
+        F.raise_error(F.concat(F.lit(f"not a plain INSERT into {table}: "), F.substring("value", 1, 80))))
+    tuples = stmts.select(F.explode(checked).alias("t"))
     fields = tuples.select(F.regexp_extract_all(F.col("t"), F.lit(SQL_FIELD), 0).alias("f"))
     out = []
     for i, (name, typ) in enumerate(columns):
@@ -92,7 +107,7 @@ def read_sql_dump(spark: SparkSession, path: str, table: str,
         quoted = F.startswith(raw, F.lit("'"))
         val = (
             F.when(raw == F.lit("NULL"), F.lit(None).cast("string"))
-            .when(quoted, _unescape(F.regexp_extract(raw, r"(?s)^'(.*)'$", 1)))
+            .when(quoted, _unescape(F.substring(raw, F.lit(2), F.length(raw) - 2)))
             .otherwise(raw)
         )
         out.append(val.try_cast(typ).alias(name) if typ != "string" else val.alias(name))

@@ -39,30 +39,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def replay_as_files(df: DataFrame, path: str, order: str, files: int | None = None,
-                    rows_per_file: int = 50_000) -> int:
-    """Write ``df`` as a sequence of files in ``order`` ranges, one write
-    per range, so a file source sees them in arrival order (one file per
-    micro-batch with ``maxFilesPerTrigger=1``).  Without ``files``, the
-    range count keeps files near ``rows_per_file`` rows.  Returns the
-    number of files."""
-    bounds = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if bounds["n"] == 0:
-        return 0
-    chunks = files or max(1, -(-int(bounds["n"]) // rows_per_file))
-    lo, hi = bounds["lo"], bounds["hi"]
-    width = (hi - lo) / chunks
-    for i in range(chunks):
-        a = lo + i * width
-        cond = F.col(order) >= F.lit(a)
-        if i < chunks - 1:
-            cond = cond & (F.col(order) < F.lit(lo + (i + 1) * width))
-        df.where(cond).coalesce(1).write.mode("append").parquet(path)
-    return chunks
-
-
-def file_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """A Parquet folder as a stream; ``files_per_trigger`` bounds a micro-batch, by default it takes all
+    files that have arrived."""
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
 def _run(writer, checkpoint: str) -> None:
@@ -99,13 +80,18 @@ def merged_labels_state(spark: SparkSession, out: str, key: str = "page_id") ->
 
 
 def stream_upsert(stream: DataFrame, table: str, checkpoint: str, key: str = "page_id",
-                  fields: tuple[str, ...] = ("title", "summary", "text")) -> None:
+                  fields: tuple[str, ...] = ("title", "summary", "text"), order: str = "seq") -> None:
     """Upsert each micro-batch into a versioned table: version ``b`` is
-    C4(version before ``b``, batch ``b``) written to ``table/v=<b>``, and
-    ``table/_log`` records committed versions.  Replaying ``b`` recomputes
-    the same version from the same inputs."""
+    the version before ``b`` merged with batch ``b``, written to
+    ``table/v=<b>``, and ``table/_log`` records committed versions.
+    Replaying ``b`` recomputes the same version from the same inputs.
+
+    The table keeps each page's smallest ``order``: a page holds the fields
+    of its first arrival whichever micro-batch brought it, so the end state
+    does not depend on how arrivals fall into batches."""
     spark = stream.sparkSession
     log = f"{table}/_log"
+    fields = (order, *fields)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         prev = None
@@ -116,7 +102,7 @@ def stream_upsert(stream: DataFrame, table: str, checkpoint: str, key: str = "pa
         incoming = batch.select(key, *fields, "categories")
         if prev is None:
             prev = incoming.limit(0)
-        upsert_pages(prev, incoming, key, fields).write.mode("overwrite").parquet(f"{table}/v={batch_id}")
+        upsert_pages(prev.limit(0), prev.unionByName(incoming), key, fields, order=order).write.mode("overwrite").parquet(f"{table}/v={batch_id}")
         spark.createDataFrame([(batch_id,)], "version long").write.mode("append").parquet(log)
 
     _run(stream.writeStream.foreachBatch(sink), checkpoint)
