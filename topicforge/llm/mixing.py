@@ -75,10 +75,11 @@ def leaf_budgets(sizes: DataFrame, levels: list[str], weights: DataFrame, budget
 def mix(docs: DataFrame, levels: dict[str, Column], weights: DataFrame, budget_percent: int = 60, max_epochs: int = 2,
         seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Returns (rows, cuts).  ``rows``: doc_id, the levels, n_tokens and epochs (how often the document is
-    taken, 1 at least) of the selected documents.  ``cuts``: one row a leaf with its budget, its whole epochs
-    and the last key of its prefix; ``apply_cuts`` selects from any table with it."""
-    names = list(levels)
-    keyed = _keyed(docs, levels, id_col, text_col).select("doc_id", *names, F.col("__md5_text").alias("text_key"), word_count(F.col("__text")).alias("n_tokens"))
+    taken, 1 at least) of the selected documents.  ``cuts``: one row a leaf (levels as __level0, ...) with its budget, its whole
+    epochs and the last key of its prefix; ``apply_cuts`` selects from any table with it."""
+    inner = _inner(levels)
+    names = list(inner)
+    keyed = _keyed(docs, inner, id_col, text_col).select("doc_id", *names, F.col("__md5_text").alias("text_key"), word_count(F.col("__text")).alias("n_tokens"))
     keyed = reliable_checkpoint(keyed)
     sizes = keyed.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"))
     budgets = reliable_checkpoint(
@@ -99,7 +100,13 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: DataFrame, budget_p
             .agg(F.max("ahead").alias("upto"), F.sum("n_tokens").alias("own"))
             .where("upto - own < part").groupBy(*names).agg(F.max("key").alias("last_key")))
     cuts = reliable_checkpoint(budgets.join(F.broadcast(last), names, "left"))
-    return apply_cuts(keyed, names, cuts, seed).select("doc_id", *names, "n_tokens", "epochs"), cuts
+    own = [F.col(i).alias(n) for i, n in zip(names, levels)]
+    return apply_cuts(keyed, names, cuts, seed).select("doc_id", *own, "n_tokens", "epochs"), cuts
+
+
+def _inner(levels: dict[str, Column]) -> dict[str, Column]:
+    """The levels under names that cannot clash with the columns made here."""
+    return {f"__level{k}": c for k, c in enumerate(levels.values())}
 
 
 def _keyed(docs: DataFrame, levels: dict[str, Column], id_col: str, text_col: str) -> DataFrame:
@@ -125,12 +132,13 @@ def apply_cuts(keyed: DataFrame, names: list[str], cuts: DataFrame, seed: str) -
 def mixed_documents(docs: DataFrame, levels: dict[str, Column], weights: DataFrame, budget_percent: int, max_epochs: int,
                     seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the mix takes, all their columns, each as often as it has epochs."""
-    names = list(levels)
+    inner = _inner(levels)
+    names = list(inner)
     _, cuts = mix(docs, levels, weights, budget_percent, max_epochs, seed, id_col, text_col)
     own = docs.columns
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("__row"), F.col(id_col).cast("bigint").alias("doc_id"),
                          F.md5(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")).alias("text_key"),
-                         *(F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()))
+                         *(F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in inner.items()))
     taken = apply_cuts(packed, names, cuts, seed)
     return (taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("epochs").cast("bigint"))))
             .select(*(F.col("__row").getField(c).alias(c) for c in own)))
