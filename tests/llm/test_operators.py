@@ -154,6 +154,19 @@ def test_repeated_passages(spark):
     assert passages.repeated_passages(empty(spark)).count() == 0
 
 
+def test_runs_of_one_word_are_passages(spark):
+    head = [" ".join(f"{name}{i}" for i in range(20)) for name in "ab"]
+    rows = [(1, f"{head[0]} {'buy ' * 120}"), (2, f"{head[1]} {'buy ' * 90}")]
+    got = {(r.doc_id, r.start_word, r.end_word) for r in passages.repeated_passages(docs(spark, rows)).collect()}
+    assert (2, 20, 110) in got
+    assert {r[0] for r in got} == {2}
+
+
+def test_ordinals_count_equal_keys_before():
+    assert passages.ordinals(np.array([7, 3, 7, 7, 3], dtype=np.uint64)).tolist() == [0, 0, 1, 2, 1]
+    assert passages.ordinals(np.zeros(0, dtype=np.uint64)).tolist() == []
+
+
 def test_chains_take_the_best_collinear_path():
     assert passages.chains([(0, 0), (5, 5), (6, 40), (10, 10)])[0] == [(0, 0), (5, 5), (10, 10)]
     assert passages.chains([(0, 0), (200, 200)]) == [[(0, 0)], [(200, 200)]] or len(passages.chains([(0, 0), (200, 200)])) == 2

@@ -5,8 +5,10 @@ Finds passages that a document shares, exactly or with small changes, with a doc
 1. Texts that are equal word by word are one class; all but its smallest doc_id repeat that one wholly.
 2. Of every class's text, the k-mers of words that are the smallest (by hash) of some window are its seeds; so
    any two texts with a run of k + window - 1 words in common share a seed there.
-3. Seeds are joined by k-mer: each occurrence is matched with the first one (smallest doc_id).  That is one row
-   an occurrence, however many documents hold the k-mer.
+3. Seeds are joined by k-mer: each occurrence is matched with the first one (smallest doc_id), and the second,
+   third ... occurrence inside a document also with the first document that has so many, so that runs of one
+   repeated phrase ascend in both texts.  That is at most two rows an occurrence, however many documents hold
+   the k-mer.
 4. The matches of a document with one source are chained: the best path of matches that ascend in both texts,
    each worth a point less the cost of the gap before it, found with a Fenwick tree of best scores by source
    position.  Chains are parted where a gap is long.
@@ -54,11 +56,22 @@ def seeds_of(hashes: np.ndarray) -> np.ndarray:
     return np.unique(view.argmin(axis=1) + np.arange(len(view)))
 
 
+def ordinals(keys: np.ndarray) -> np.ndarray:
+    """How many equal keys stand before each key."""
+    order = np.argsort(keys, kind="stable")
+    held = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]])) if len(keys) else order
+    out = np.empty(len(keys), dtype=np.int32)
+    out[order] = np.arange(len(keys)) - np.repeat(starts, np.diff(np.append(starts, len(keys))))
+    return out
+
+
 def seed_table(rows: DataFrame) -> DataFrame:
-    """(doc_id, n_words, s1, s2, pos array<int>, kmer array<bigint>)."""
+    """(doc_id, n_words, s1, s2, pos array<int>, nth array<int>, kmer array<bigint>); nth counts the k-mer's
+    seeds before this one in the text."""
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        n, digest, pos, kmer = [], [], [], []
+        n, digest, pos, nth, kmer = [], [], [], [], []
         for t in texts_of(b):
             w = Words(t)
             h = w.hashes(K)
@@ -66,12 +79,13 @@ def seed_table(rows: DataFrame) -> DataFrame:
             n.append(w.n)
             digest.append(np.frombuffer(xxhash.xxh3_128_digest(w.norm), dtype=np.int64))
             pos.append(p.astype(np.int32))
+            nth.append(ordinals(h[p]))
             kmer.append(h[p].view(np.int64))
         d = np.array(digest).reshape(-1, 2)
         return record(doc_id=b.column(0), n_words=pa.array(n, pa.int64()), s1=pa.array(d[:, 0]), s2=pa.array(d[:, 1]),
-                      pos=pa.array(pos, pa.list_(pa.int32())), kmer=pa.array(kmer, pa.list_(pa.int64())))
+                      pos=pa.array(pos, pa.list_(pa.int32())), nth=pa.array(nth, pa.list_(pa.int32())), kmer=pa.array(kmer, pa.list_(pa.int64())))
 
-    return map_batches(rows, each, "doc_id bigint, n_words bigint, s1 bigint, s2 bigint, pos array<int>, kmer array<bigint>")
+    return map_batches(rows, each, "doc_id bigint, n_words bigint, s1 bigint, s2 bigint, pos array<int>, nth array<int>, kmer array<bigint>")
 
 
 class Fenwick:
@@ -98,8 +112,8 @@ class Fenwick:
 
 
 def chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Collinear chains of matches (position, source position), which come in ascending position; the best
-    first, each match in one chain at most, parted at long gaps."""
+    """Collinear chains of matches (position, source position), which come in ascending position, of equal
+    ones the largest source position first (so that no two of them follow each other in a chain); the best first, each match in one chain at most, parted at long gaps."""
     rank = {a: k for k, a in enumerate(sorted({a for _, a in matches}))}
     tree, score, came = Fenwick(len(rank)), [], []
     for i, (p, a) in enumerate(matches):
@@ -168,7 +182,7 @@ def align(path: list[tuple[int, int]], doc: np.ndarray, doc_at: int, source: np.
 
 def _chain_table(matches: DataFrame) -> DataFrame:
     """Chains of two seeds or more: doc_id, source, path (positions and source positions)."""
-    dealt = matches.repartition("doc_id", "source").sortWithinPartitions("doc_id", "source", "pos", "source_pos")
+    dealt = matches.repartition("doc_id", "source").sortWithinPartitions("doc_id", "source", "pos", F.desc("source_pos"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
@@ -265,8 +279,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, percent: int
               .select("doc_id", F.lit(0).cast("bigint").alias("start_word"), F.col("n_words").alias("end_word"), F.col("rep").alias("source_doc_id"),
                       F.lit(0).cast("bigint").alias("source_start"), F.col("n_words").alias("source_end"), F.col("n_words").alias("n_equal")))
     reps = seeds.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "s1", "s2", "n_words"]).dropDuplicates(["doc_id"])
-    every = reps.select("doc_id", F.explode(F.arrays_zip("kmer", "pos")).alias("s")).select(F.col("s.kmer").alias("kmer"), "doc_id", F.col("s.pos").alias("pos"))
-    first = F.min(F.struct("doc_id", "pos")).over(Window.partitionBy("kmer"))
+    every = reps.select("doc_id", F.explode(F.arrays_zip("kmer", "nth", "pos")).alias("s")).select(F.col("s.kmer").alias("kmer"), F.col("s.nth").alias("nth"), "doc_id", F.col("s.pos").alias("pos"))
+    every = every.withColumn("nth", F.explode(F.when(F.col("nth") == 0, F.array("nth")).otherwise(F.array("nth", F.lit(0)))))
+    first = F.min(F.struct("doc_id", "pos")).over(Window.partitionBy("kmer", "nth"))
     matches = (every.withColumn("first", first).where(F.col("first.doc_id") < F.col("doc_id"))
                .select("doc_id", F.col("first.doc_id").alias("source"), "pos", F.col("first.pos").alias("source_pos")))
     # A chain's number is drawn from what it is, so that a repeated task draws the same.
