@@ -162,6 +162,18 @@ def test_runs_of_one_word_are_passages(spark):
     assert {r[0] for r in got} == {2}
 
 
+def test_hot_seeds_have_the_same_matches(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(d, [k * 3 for k in range(40)], [0] * 40, [rng.choice([1, 2, 3, 100 + k]) for k in range(40)]) for d in range(60)]
+    for _, _, nth, kmer in rows:
+        nth[:] = passages.ordinals(np.array(kmer)).tolist()
+    seeds = spark.createDataFrame(rows, "doc_id long, pos array<int>, nth array<int>, kmer array<long>")
+    plain = sorted(map(tuple, passages.seed_matches(seeds).collect()))
+    monkeypatch.setattr(passages, "HOT_ROWS", 2)
+    monkeypatch.setattr(passages, "HOT_PROBE", 2)
+    assert plain and sorted(map(tuple, passages.seed_matches(seeds).collect())) == plain
+
+
 def test_ordinals_count_equal_keys_before():
     assert passages.ordinals(np.array([7, 3, 7, 7, 3], dtype=np.uint64)).tolist() == [0, 0, 1, 2, 1]
     assert passages.ordinals(np.zeros(0, dtype=np.uint64)).tolist() == []

@@ -44,6 +44,9 @@ GAP_COST, LONGEST_GAP = 0.01, 30
 MARGIN = 64
 #: Up to so many rows a list of documents or spans is broadcast to the texts; beyond, texts are shuffled to it.
 BROADCAST_ROWS = 1_000_000
+#: A k-mer with so many rows, estimated from one row of ``HOT_PROBE``, is hot; at most the ``MOST_HOT`` hottest
+#: are treated so, which bounds what is broadcast.
+HOT_ROWS, HOT_PROBE, MOST_HOT = 100_000, 64, 100_000
 #: Spans of one document that travel in one row.
 SPANS = 64
 
@@ -88,6 +91,29 @@ def seed_table(rows: DataFrame) -> DataFrame:
     return map_batches(rows, each, "doc_id bigint, n_words bigint, s1 bigint, s2 bigint, pos array<int>, nth array<int>, kmer array<bigint>")
 
 
+def seed_matches(seeds: DataFrame) -> DataFrame:
+    """(doc_id, source, pos, source_pos): each occurrence of a k-mer with the first of its k-mer and number.
+
+    Most k-mers have few rows, and one exchange brings them together.  The first occurrence of those that
+    have very many is found by an aggregate, which is combined before it is shuffled, and broadcast to
+    the rows.  Which k-mers those are is estimated from a share of the rows: it moves work, not results."""
+    every = (seeds.select("doc_id", F.explode(F.arrays_zip("kmer", "nth", "pos")).alias("s"))
+             .select("doc_id", F.col("s.kmer").alias("kmer"), F.col("s.pos").alias("pos"),
+                     F.explode(F.when(F.col("s.nth") == 0, F.array("s.nth")).otherwise(F.array("s.nth", F.lit(0)))).alias("nth")))
+    probe = every.where(F.pmod(F.xxhash64("doc_id", "pos"), F.lit(HOT_PROBE)) == 0)
+    hot = reliable_checkpoint(probe.groupBy("kmer", "nth").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_ROWS // HOT_PROBE)
+                              .orderBy(F.desc("n"), "kmer", "nth").limit(MOST_HOT).select("kmer", "nth"))
+    place = F.struct("doc_id", "pos")
+    if hot.isEmpty():
+        common = every.withColumn("first", F.min(place).over(Window.partitionBy("kmer", "nth")))
+    else:
+        firsts = reliable_checkpoint(every.join(F.broadcast(hot), ["kmer", "nth"]).groupBy("kmer", "nth").agg(F.min(place).alias("first")))
+        few = every.join(F.broadcast(hot), ["kmer", "nth"], "left_anti").withColumn("first", F.min(place).over(Window.partitionBy("kmer", "nth")))
+        common = few.unionByName(every.join(F.broadcast(firsts), ["kmer", "nth"]))
+    return (common.where(F.col("first.doc_id") < F.col("doc_id"))
+            .select("doc_id", F.col("first.doc_id").alias("source"), "pos", F.col("first.pos").alias("source_pos")))
+
+
 class Fenwick:
     """Largest values over prefixes of 0..n-1, with who holds them."""
 
@@ -279,11 +305,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, percent: int
               .select("doc_id", F.lit(0).cast("bigint").alias("start_word"), F.col("n_words").alias("end_word"), F.col("rep").alias("source_doc_id"),
                       F.lit(0).cast("bigint").alias("source_start"), F.col("n_words").alias("source_end"), F.col("n_words").alias("n_equal")))
     reps = seeds.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "s1", "s2", "n_words"]).dropDuplicates(["doc_id"])
-    every = reps.select("doc_id", F.explode(F.arrays_zip("kmer", "nth", "pos")).alias("s")).select(F.col("s.kmer").alias("kmer"), F.col("s.nth").alias("nth"), "doc_id", F.col("s.pos").alias("pos"))
-    every = every.withColumn("nth", F.explode(F.when(F.col("nth") == 0, F.array("nth")).otherwise(F.array("nth", F.lit(0)))))
-    first = F.min(F.struct("doc_id", "pos")).over(Window.partitionBy("kmer", "nth"))
-    matches = (every.withColumn("first", first).where(F.col("first.doc_id") < F.col("doc_id"))
-               .select("doc_id", F.col("first.doc_id").alias("source"), "pos", F.col("first.pos").alias("source_pos")))
+    reps = reliable_checkpoint(reps.select("doc_id", "pos", "nth", "kmer"))
+    matches = seed_matches(reps)
     # A chain's number is drawn from what it is, so that a repeated task draws the same.
     found = reliable_checkpoint(_chain_table(matches).select(F.xxhash64("doc_id", "source", "pos", "source_pos").alias("chain"), "doc_id", "source", "pos", "source_pos"))
     return copies.unionByName(_aligned(found, rows, min_words, percent))
