@@ -104,7 +104,7 @@ def q_run_extract(spark, sf_dir):
 
 
 def q_strip_markup(spark, sf_dir):
-    w = SI.wiki_pages(spark, sf_dir)
+    w = SI.nested_markup(spark, sf_dir)
     return w.select("page_id", WK.strip_markup(F.col("text")).alias("text"))
 
 
@@ -126,8 +126,11 @@ def q_page_summary(spark, sf_dir):
 
 
 def q_members_by_namespace(spark, sf_dir):
-    m = curate.members_by_namespace(SI.category_members(spark, sf_dir), "CATEGORY")
-    return m.select(TX.strip_prefix("category").alias("category"), TX.strip_prefix("title").alias("member"))
+    listing = SI.category_members(spark, sf_dir)
+    sides = [curate.members_by_namespace(listing, ns).select(
+        F.lit(ns).alias("ns"), TX.strip_prefix("category").alias("category"), TX.strip_prefix("title").alias("member"))
+        for ns in ("CATEGORY", "MAIN")]
+    return sides[0].unionByName(sides[1])
 
 
 def q_encode_categories(spark, sf_dir):
@@ -442,7 +445,7 @@ def q_fit_topic_classifier(spark, sf_dir):
 def q_score_topics(spark, sf_dir):
     ds = _labelled_docs(spark, sf_dir)
     model = EV.train(ds, "text", "labels", BINARY, **FIT)
-    s = MO.score_topics(ds.where(F.col("split") == "test"), model, "logits")
+    s = MO.score_topics(read_table(spark, sf_dir, "documents"), model, "logits")
     return s.select("doc_id", F.array_join(F.transform("logits", lambda z: F.round(z, 4).cast("string")), ",")
                     .alias("logits"))
 
@@ -453,8 +456,7 @@ def q_fit_student(spark, sf_dir):
     train = MO.score_topics(ds.where(F.col("split") == "train"), teacher, "teacher")
     student = MO.fit_student(train, "text", "labels", "teacher", BINARY, alpha=0.5, temperature=1.0,
                              num_features=1 << 12, max_iter=30)
-    test = ds.where(F.col("split") == "test")
-    t = MO.score_topics(test, teacher, "teacher")
+    t = MO.score_topics(read_table(spark, sf_dir, "documents"), teacher, "teacher")
     st = MO.score_topics(t, student, "student")
     both = SC.add_predictions(SC.add_predictions(st, "teacher", out="teacher_pred"), "student", out="student_pred")
     return both.select(
@@ -808,7 +810,8 @@ FROM merged m JOIN pc ON pc.page_id = m.page_id""",
         "page_summary": f"""WITH {S.DOC_PAGES}
 SELECT page_id, {S.lead("coalesce(nullif(summary, ''), text)", 5)} AS summary FROM docp""",
         "members_by_namespace": f"""WITH {S.GRAPH}
-SELECT parent AS category, child AS member FROM edges""",
+SELECT 'CATEGORY' AS ns, parent AS category, child AS member FROM edges
+UNION ALL SELECT 'MAIN', category, 'Page ' || CAST(page_id AS VARCHAR) FROM cpages""",
         "encode_categories": f"""WITH {S.WIKI_PAGES}
 SELECT page_id, array_to_string(list_sort(list_distinct({_NORM})), ',') AS categories FROM wiki""",
         "render_prompt": f"""WITH {S.DOC_PAGES},
@@ -851,6 +854,8 @@ SELECT page_id, {S.clean_text('text')} AS text FROM wiki""",
 SELECT page_id, title, array_to_string({_KEPT}, ',') AS categories,
        {S.lead(S.clean_text(S.strip_markup('text')), 5)} AS text
 FROM wiki WHERE len({_KEPT}) > 0""",
+        "strip_markup": f"""WITH {S.WIKI_PAGES}, {S.MARKED}
+SELECT page_id, {S.strip_markup('text')} AS text FROM marked""",
         "extract_progress": f"""WITH {S.WIKI_PAGES}
 SELECT count(*) AS pages, count(*) FILTER (WHERE len({_KEPT}) > 0) AS hits FROM wiki""",
     }

@@ -82,12 +82,26 @@ def lead_nl(x: str, n: int) -> str:
     return f"array_to_string(list_slice({split_sentences(x)}, 1, {n}), chr(10))"
 
 
+# The references that the inputs hold, written out here and not taken from the library.
+REFERENCES = (
+    ("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+    ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"),
+    ("&eacute;", "\u00e9"), ("&rsquo;", "\u2019"), ("&hellip;", "\u2026"), ("&#8217;", "\u2019"),
+    ("&#x27;", "'"), ("&amp;", "&"),
+)
+
+
+def decode_references(x: str) -> str:
+    for ref, ch in REFERENCES:
+        x = f"replace({x}, {q(ref)}, {q(ch)})"
+    return x
+
+
 def strip_markup(x: str) -> str:
-    for _, pattern, replacement in W.markup_rules():
+    """Of text without templates and tables that nest."""
+    for _, pattern, replacement in (*W.RULES_BEFORE, *W.RULES_AFTER):
         x = rx(x, pattern, replacement)
-    for ent, ch in W._ENTITIES:
-        x = f"replace({x}, {q(ent)}, {q(ch)})"
-    return x
+    return decode_references(x)
 
 
 def clean_category(c: str) -> str:
@@ -134,6 +148,12 @@ WIKI_PAGES = f"""wiki AS (
          text || {category_lines('doc_id')} AS text
   FROM documents)"""
 
+# The stand-in of ``strip_markup``, its nested templates and tables left out by construction.
+MARKED = f"""marked AS (
+  SELECT page_id, text || chr(10) || {q("''Caf&eacute;'' ")}
+         || CASE WHEN page_id % 9 > 0 THEN {q("it&rsquo;s [[A|b]] ")} ELSE {q("&#8217;&#x27;&hellip;")} END
+         || {q(" <ref name=n>note</ref>[[File:f.png|thumb|a [[b]] c]]&amp;lt; end")} AS text FROM wiki)"""
+
 DOC_PAGES = f"""docp AS (
   SELECT doc_id AS page_id, {first_words('text')} AS title,
          {stored_summary('doc_id', 'text')} AS summary, text
@@ -181,20 +201,14 @@ LOGITS = """sc AS (
 
 
 def html_title(x: str) -> str:
-    t = decode_entities(f"regexp_extract({x}, {q(H.TITLE)}, 1)")
+    t = decode_references(f"regexp_extract({x}, {q(H.TITLE)}, 1)")
     return f"(CASE WHEN {t} = '' THEN {q(H.NO_TITLE)} ELSE {t} END)"
 
 
-def decode_entities(x: str) -> str:
-    for ent, ch in H.ENTITIES:
-        x = f"replace({x}, {q(ent)}, {q(ch)})"
-    return x
-
-
 def html_paragraph_list(x: str) -> str:
     body = rx(x, H.NOISE, "")
     pieces = f"list_slice(regexp_split_to_array({body}, {q(H.P_OPEN)}), 2, 1073741824)"
-    inner = decode_entities(rx(rx("p", H.BLOCK_END, ""), H.TAG, ""))
+    inner = decode_references(rx(rx("p", H.BLOCK_END, ""), H.TAG, ""))
     return f"list_transform({pieces}, lambda p: {inner})"
 
 

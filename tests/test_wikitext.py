@@ -36,6 +36,40 @@ def test_strip_markup(spark):
     assert got == "Bold and it shown Plain  site & <b>\nHead\nend"
 
 
+# (markup, what is left), written by hand
+NESTED = [
+    ("a{{1{{2{{3{{4{{5{{6}}}}}}}}}}}}b", "ab"),
+    ("a{{x|{{{1}}}}}b", "ab"),
+    ("open {{ never closed {{t}} end", "open {{ never closed  end"),
+    ("closed }} only", "closed }} only"),
+    ("x{|\n|a\n{|\n|in\n|}\n|}y", "xy"),
+    ("x{|\n|{{t|{{u}}}}\n|}y", "xy"),
+    ("{single} { { }", "{single} { { }"),
+    ("&eacute;&#8217;&#x27;&rsquo;&hellip;&nbsp;&amp;lt;&bogus;", "\u00e9\u2019'\u2019\u2026\u00a0&lt;&bogus;"),
+    ("", ""),
+    (None, None),
+]
+
+
+def test_nested_markup_and_references(spark):
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(NESTED)], "k int, t string")
+    got = {r["k"]: r["s"] for r in df.select("k", W.strip_markup("t").alias("s")).collect()}
+    assert [got[k] for k in range(len(NESTED))] == [left for _, left in NESTED]
+
+
+def test_a_long_deep_template_is_removed(spark):
+    text = "a" + "{{x" * 5000 + "}}" * 5000 + "b"
+    assert spark.createDataFrame([(text,)], "t string").select(W.strip_markup("t").alias("s")).first()["s"] == "ab"
+
+
+def test_html_references_and_markers(spark):
+    from topicforge.functions import html as H
+
+    page = "<title>Caf&eacute; &#8217;&#x27;</title><p>one \x01&rsquo;</p><p>two&hellip;"
+    r = spark.createDataFrame([(page,)], "t string").select(H.html_title("t").alias("a"), H.html_paragraphs("t").alias("b")).first()
+    assert r["a"] == "Caf\u00e9 \u2019'" and r["b"] == "one \u2019 two\u2026"
+
+
 def test_extract_progress(spark):
     from topicforge.operators.curate import extract_progress
 

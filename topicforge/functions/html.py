@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from topicforge.constants import WEB_LEAD_SENTENCES
+from topicforge.functions.references import decode_references
 from topicforge.functions.text import java, lead_sentences, strip_ws
 
 # --- fixed values (must equal the reference's) ---
@@ -27,46 +28,14 @@ BLOCK_END = (
 )
 TAG = r"<[^>]*>"
 
-# --- fixed values: character references decoded in text (&amp; last) ---
-ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
-
-
-def decode_entities(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
-
 
 def html_title(c: Column | str) -> Column:
     """Decoded ``<title>`` text, or ``No title found``."""
     x = F.col(c) if isinstance(c, str) else c
-    t = decode_entities(F.regexp_extract(x, java(TITLE), 1))
+    t = decode_references(F.regexp_extract(x, java(TITLE), 1))
     return F.when(t == F.lit(""), F.lit(NO_TITLE)).otherwise(t)
 
 
-def html_paragraph_list(c: Column | str) -> Column:
-    """Text of each ``<p>`` element, in order, as array<string>."""
-    x = F.col(c) if isinstance(c, str) else c
-    body = F.regexp_replace(x, java(NOISE), "")
-    pieces = F.slice(F.split(body, java(P_OPEN)), 2, 1 << 30)  # text before the first <p> is not a paragraph
-    return F.transform(
-        pieces,
-        lambda p: decode_entities(
-            F.regexp_replace(F.regexp_replace(p, java(BLOCK_END), ""), TAG, "")
-        ),
-    )
-
-
 PIECE = "\x01"
 # The same cut and tag rules confined to one piece of the marker-joined text.
 BLOCK_END_PIECE = BLOCK_END[:-2] + "[^\x01]*"
@@ -76,16 +45,15 @@ TAG_PIECE = r"<[^>\x01]*>"
 def html_paragraphs(c: Column | str) -> Column:
     """Paragraph texts joined by one space.
 
-    Same result as joining ``html_paragraph_list`` with spaces, computed
-    without a per-paragraph lambda: the pieces after each ``<p>`` are
-    joined with a marker, the cut-at-block-end and tag rules run once over
+    Computed without a per-paragraph lambda: the pieces after each ``<p>``
+    are joined with a marker (deleted from the input first), the cut-at-block-end and tag rules run once over
     the joined text (confined to one piece by the marker), and the markers
     become spaces."""
     x = F.col(c) if isinstance(c, str) else c
-    body = F.regexp_replace(x, java(NOISE), "")
+    body = F.regexp_replace(F.translate(x, PIECE, ""), java(NOISE), "")
     pieces = F.array_join(F.slice(F.split(body, java(P_OPEN)), 2, 1 << 30), PIECE)
     cut = F.regexp_replace(F.regexp_replace(pieces, java(BLOCK_END_PIECE), ""), TAG_PIECE, "")
-    return F.replace(decode_entities(cut), F.lit(PIECE), F.lit(" "))
+    return decode_references(F.replace(cut, F.lit(PIECE), F.lit(" ")))
 
 
 def page_summary_from_html(c: Column | str, n: int = WEB_LEAD_SENTENCES) -> Column:

@@ -1,7 +1,8 @@
 """Wiki markup scalars.
 
 ``strip_markup`` is a documented subset of a wiki-markup renderer built
-from ordered ``regexp_replace`` passes.  Each rule is (pattern,
+from ordered ``regexp_replace`` passes and the nesting rules of
+``references.py``.  Each rule is (pattern,
 replacement) in the portable regex subset described in ``text.py``;
 replacements use ``$1`` group references.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from topicforge.functions.references import decode_references, remove_nested
 from topicforge.functions.text import guarded, java, strip_ws
 
 # --- fixed values (must equal the reference's for the same categories) ---
@@ -20,61 +22,37 @@ CATEGORY_LINK = r"\[\[Category:(.*?)\]\]"
 CATEGORY_DELETE = "|,"
 # --- end of fixed values ---
 
-# Nested templates are removed innermost-first, one level per pass.
-TEMPLATE_PASSES = 4
-
-_ENTITIES = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&amp;", "&"),  # last, so "&amp;lt;" stays "&lt;"
-)
-
 
-def markup_rules() -> list[tuple[str, str, str]]:
-    """Ordered (needle, pattern, replacement) passes of ``strip_markup``.
-    A pass runs only on text containing its needle (a literal substring
-    every match must contain)."""
-    rules: list[tuple[str, str, str]] = [
-        ("<!--", r"(?s)<!--.*?-->", ""),                                  # comments
-        ("<", r"(?is)<ref[^>]*/>", ""),                                   # self-closed refs
-        ("<", r"(?is)<ref[^>]*>.*?</ref>", ""),                           # refs with body
-    ]
-    rules += [("{{", r"\{\{[^{}]*\}\}", "")] * TEMPLATE_PASSES            # templates
-    rules += [
-        ("{|", r"(?s)\{\|.*?\|\}", ""),                                   # tables
-        ("[[", r"(?i)\[\[(?:File|Image):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", ""),
-        ("[[", r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"),                 # [[a|b]] -> b
-        ("[[", r"\[\[([^\[\]|]*)\]\]", "$1"),                             # [[a]] -> a
-        ("//", r"\[(?:https?:)?//[^\s\]]+\s+([^\]]*)\]", "$1"),           # [url text] -> text
-        ("//", r"\[(?:https?:)?//[^\s\]]+\]", ""),                        # [url] -> ''
-        ("''", r"'{2,5}", ""),                                          # bold / italic
-        ("=", r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", "$1"),               # headings
-        ("<", r"<[^>]+>", ""),                                          # remaining tags
-    ]
-    return rules
+# Ordered (needle, pattern, replacement) passes.  A pass runs only on text containing its needle (a literal
+# substring every match must contain).  Templates and tables, which nest, go between the two groups.
+RULES_BEFORE = (
+    ("<!--", r"(?s)<!--.*?-->", ""),                                  # comments
+    ("<", r"(?is)<ref[^>]*/>", ""),                                   # self-closed refs
+    ("<", r"(?is)<ref[^>]*>.*?</ref>", ""),                           # refs with body
+)
+RULES_AFTER = (
+    # links of the File and Image kinds go with their caption, which is no part of the running text
+    ("[[", r"(?i)\[\[(?:File|Image):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]", ""),
+    ("[[", r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"),                 # [[a|b]] -> b
+    ("[[", r"\[\[([^\[\]|]*)\]\]", "$1"),                             # [[a]] -> a
+    ("//", r"\[(?:https?:)?//[^\s\]]+\s+([^\]]*)\]", "$1"),           # [url text] -> text
+    ("//", r"\[(?:https?:)?//[^\s\]]+\]", ""),                        # [url] -> ''
+    ("''", r"'{2,5}", ""),                                          # bold / italic
+    ("=", r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", "$1"),               # headings
+    ("<", r"<[^>]+>", ""),                                          # remaining tags
+)
 
 
 def strip_markup(c: Column | str) -> Column:
-    """B1: wiki markup -> plain text (see ``markup_rules``), then the
-    character references."""
-    x = F.col(c) if isinstance(c, str) else c
-    def rewrite(pattern: str, repl: str):
-        return lambda v: F.regexp_replace(v, java(pattern), repl)
-
-    for needle, pattern, repl in markup_rules():
-        x = guarded(x, needle, rewrite(pattern, repl))
-    return guarded(x, "&", _decode_entities)
-
-
-def _decode_entities(v: Column) -> Column:
-    for ent, ch in _ENTITIES:
-        v = F.replace(v, F.lit(ent), F.lit(ch))
-    return v
+    """B1: wiki markup -> plain text: comments and notes, templates and tables of any depth, links, styles,
+    headings and tags, then the character references."""
+    def passes(x: Column, rules) -> Column:
+        for needle, pattern, repl in rules:
+            x = guarded(x, needle, lambda v, p=pattern, r=repl: F.regexp_replace(v, java(p), r))
+        return x
+
+    x = passes(F.col(c) if isinstance(c, str) else c, RULES_BEFORE)
+    return decode_references(passes(remove_nested(x), RULES_AFTER))
 
 
 def extract_categories(c: Column | str) -> Column:

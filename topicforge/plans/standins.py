@@ -79,6 +79,18 @@ def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, text: the wiki text with templates and a table nested
+    ``page_id % 9`` deep, a note, links and character references."""
+    depth = F.col("page_id").cast("int") % 9
+    nested = F.concat(F.repeat(F.lit("{{t|x {{{1|}}} "), depth), F.lit("{{in}}"), F.repeat(F.lit("}}"), depth))
+    table = F.concat(F.repeat(F.lit("{|\n| a "), depth), F.repeat(F.lit("\n|}"), depth))
+    marked = F.concat(
+        F.col("text"), F.lit("\n''Caf&eacute;'' "), F.when(depth > 0, F.lit("it&rsquo;s [[A|b]] ")).otherwise(F.lit("&#8217;&#x27;&hellip;")),
+        nested, table, F.lit(" <ref name=n>note {{x}}</ref>[[File:f.png|thumb|a [[b]] c]]&amp;lt; end"))
+    return wiki_pages(spark, sf_dir).select("page_id", marked.alias("text"))
+
+
 def page_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dump-shaped pages: one revision holding the wiki text."""
     w = wiki_pages(spark, sf_dir)
