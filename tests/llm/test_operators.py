@@ -162,6 +162,38 @@ def test_runs_of_one_word_are_passages(spark):
     assert {r[0] for r in got} == {2}
 
 
+def uncovered(rows, got, size=50):
+    """Windows of words that a document before holds, word by word, and of which a word is in no passage."""
+    seen, out = set(), []
+    for d, t in sorted(rows):
+        w = (t or "").lower().split()
+        cut = {k for r in got if r.doc_id == d for k in range(r.start_word, r.end_word)}
+        mine = [tuple(w[k:k + size]) for k in range(len(w) - size + 1)]
+        out += [(d, k) for k, x in enumerate(mine) if x in seen and not cut.issuperset(range(k, k + size))]
+        seen.update(mine)
+    return out
+
+
+def test_passages_whose_pieces_stand_in_documents_before(spark):
+    rng = random.Random(9)
+    p, own = words(rng, 60).split(), [words(rng, 40) for _ in range(8)]
+    long = words(rng, 400).split()
+    rows = [(k + 1, f"{own[2 * k]} {' '.join(x)} {own[2 * k + 1]}") for k, x in enumerate((p[:40], p[20:], p, p))]
+    # pieces of one long text, at random, before it and its repeat; runs of a word longer than in each text before
+    rows += [(10 + k, " ".join(long[a:a + rng.randint(20, 90)]) + " " + words(rng, 30)) for k in range(25) for a in [rng.randrange(350)]]
+    rows += [(40, " ".join(long)), (41, words(rng, 9) + " " + " ".join(long)), (50, "buy " * 60 + own[0]), (51, own[1] + " buy" * 170 + " " + own[2])]
+    got = passages.repeated_passages(docs(spark, rows)).collect()
+    assert (4, 40, 100, 3, 40, 100, 60) in {tuple(r) for r in got}
+    assert uncovered(rows, got) == []
+    assert all(r.source_doc_id < r.doc_id and r.end_word <= len(dict(rows)[r.doc_id].split()) for r in got)
+
+
+def test_windows_are_covered_by_few_runs():
+    assert passages.cover([(0, 9), (1, 10), (2, 11)], 5) == [(0, 7, 9)]
+    assert passages.cover([(k, 0) for k in range(11)], 5) == [(0, 5, 0), (5, 10, 0), (10, 15, 0)]
+    assert passages.cover([(0, 0), (20, 0)], 5) == [(0, 5, 0), (20, 25, 0)]
+
+
 def test_hot_seeds_have_the_same_matches(spark, monkeypatch):
     rng = random.Random(8)
     rows = [(d, [k * 3 for k in range(40)], [0] * 40, [rng.choice([1, 2, 3, 100 + k]) for k in range(40)]) for d in range(60)]

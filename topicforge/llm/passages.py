@@ -15,6 +15,10 @@ Finds passages that a document shares, exactly or with small changes, with a doc
 5. Chains are aligned: stretches between neighbouring matches are compared word by word, by least edits where
    their lengths differ, and both ends are extended as far as the words agree.  Passages of at least
    ``min_words`` words, of which ``percent`` percent agree, come out.
+6. What the first occurrences leave: windows of ``min_words`` words that no passage so far holds, and whose
+   seeds all stand in documents before, are matched as wholes with the first document that holds the window.
+   Runs of such windows are passages too; so each run of ``min_words`` words that any document before holds,
+   word by word, is covered (``min_words`` of ``K`` or more).
 
 Defined results: null and empty texts, and texts under ``min_words``, have no passages; rows that repeat a
 doc_id count as one document (the first text by digest); a null doc_id is left out; other columns are ignored;
@@ -92,7 +96,13 @@ def seed_table(rows: DataFrame) -> DataFrame:
 
 
 def seed_matches(seeds: DataFrame) -> DataFrame:
-    """(doc_id, source, pos, source_pos): each occurrence of a k-mer with the first of its k-mer and number.
+    """(doc_id, source, pos, source_pos): each occurrence of a k-mer with the first of its k-mer and number."""
+    return shared_seeds(seeds).where("source < doc_id").drop("nth")
+
+
+def shared_seeds(seeds: DataFrame) -> DataFrame:
+    """(doc_id, source, pos, source_pos, nth): the rows of ``seed_matches``, and as number 0 each occurrence of
+    a k-mer that a later document holds too, whose source is then its own document.
 
     Most k-mers have few rows, and one exchange brings them together.  The first occurrence of those that
     have very many is found by an aggregate, which is combined before it is shuffled, and broadcast to
@@ -103,15 +113,16 @@ def seed_matches(seeds: DataFrame) -> DataFrame:
     probe = every.where(F.pmod(F.xxhash64("doc_id", "pos"), F.lit(HOT_PROBE)) == 0)
     hot = reliable_checkpoint(probe.groupBy("kmer", "nth").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT_ROWS // HOT_PROBE)
                               .orderBy(F.desc("n"), "kmer", "nth").limit(MOST_HOT).select("kmer", "nth"))
-    place = F.struct("doc_id", "pos")
+    ends = {"first": F.min(F.struct("doc_id", "pos")), "last": F.max("doc_id")}
+    equal = {name: e.over(Window.partitionBy("kmer", "nth")) for name, e in ends.items()}
     if hot.isEmpty():
-        common = every.withColumn("first", F.min(place).over(Window.partitionBy("kmer", "nth")))
+        common = every.withColumns(equal)
     else:
-        firsts = reliable_checkpoint(every.join(F.broadcast(hot), ["kmer", "nth"]).groupBy("kmer", "nth").agg(F.min(place).alias("first")))
-        few = every.join(F.broadcast(hot), ["kmer", "nth"], "left_anti").withColumn("first", F.min(place).over(Window.partitionBy("kmer", "nth")))
+        firsts = reliable_checkpoint(every.join(F.broadcast(hot), ["kmer", "nth"]).groupBy("kmer", "nth").agg(*[e.alias(name) for name, e in ends.items()]))
+        few = every.join(F.broadcast(hot), ["kmer", "nth"], "left_anti").withColumns(equal)
         common = few.unionByName(every.join(F.broadcast(firsts), ["kmer", "nth"]))
-    return (common.where(F.col("first.doc_id") < F.col("doc_id"))
-            .select("doc_id", F.col("first.doc_id").alias("source"), "pos", F.col("first.pos").alias("source_pos")))
+    return (common.where((F.col("first.doc_id") < F.col("doc_id")) | ((F.col("nth") == 0) & (F.col("last") > F.col("doc_id"))))
+            .select("doc_id", F.col("first.doc_id").alias("source"), "pos", F.col("first.pos").alias("source_pos"), "nth"))
 
 
 class Fenwick:
@@ -290,6 +301,148 @@ def _aligned(found: DataFrame, rows: DataFrame, min_words: int, percent: int) ->
     return map_arrow(dealt, run, PASSAGE)
 
 
+def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
+    """Starts and ends of the runs of true flags."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+def whole_windows(pos: np.ndarray, kmer: np.ndarray, n_words: int, known: np.ndarray, size: int) -> np.ndarray:
+    """For each window of ``size`` words whether all seeds that it has by itself, whatever stands beside it,
+    are at ``known`` positions."""
+    reach = size - (K + WINDOW - 1) + 1
+    if reach < 1:
+        return np.ones(n_words - size + 1, dtype=bool)
+    hashes = np.full(n_words - K + 1, np.iinfo(np.uint64).max, dtype=np.uint64)
+    hashes[pos] = kmer.view(np.uint64)
+    held = np.zeros(len(hashes), dtype=bool)
+    held[known] = True
+    view = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)
+    missing = np.concatenate([[0], np.cumsum(~held[view.argmin(axis=1) + np.arange(len(view))])])
+    return missing[reach:] == missing[:-reach]
+
+
+def _open_windows(reps: DataFrame, shared: DataFrame, passages: DataFrame, size: int) -> DataFrame:
+    """(doc_id, s1, s2, repeats, lo, hi): the first words lo to hi - 1 of windows whose seeds all stand in other
+    documents too; with ``repeats`` of those whose seeds stand in documents before and that no passage holds."""
+    known = shared.where("nth = 0").groupBy("doc_id").agg(
+        F.collect_list("pos").alias("shared"), F.collect_list(F.when(F.col("source") < F.col("doc_id"), F.col("pos"))).alias("before"))
+    spans = passages.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans"))
+    joined = (reps.join(known, "doc_id", "inner" if size >= K + WINDOW - 1 else "left").join(spans, "doc_id", "left")
+              .select("doc_id", "s1", "s2", "n_words", "pos", "kmer", "shared", "before", "spans"))
+
+    def each(b: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for doc, s1, s2, n, pos, kmer, both, before, spans_ in zip(*(c.to_pylist() for c in b.columns)):
+            at, key = np.array(pos, dtype=np.int64), np.array(kmer, dtype=np.int64)
+            held = whole_windows(at, key, n, np.array(both or [], dtype=np.int64), size)
+            asked = whole_windows(at, key, n, np.array(before or [], dtype=np.int64), size)
+            for s in spans_ or ():
+                asked[s["start_word"]:max(s["start_word"], s["end_word"] - size + 1)] = False
+            out += [(doc, s1, s2, kind, lo, hi) for kind, flags in ((False, held), (True, asked)) for lo, hi in _runs(flags)]
+        kinds = ("doc_id", "s1", "s2", "repeats", "lo", "hi")
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32())
+        return record(**{k: pa.array([r[i] for r in out], t) for i, (k, t) in enumerate(zip(kinds, types))})
+
+    return map_batches(joined, each, "doc_id bigint, s1 bigint, s2 bigint, repeats boolean, lo int, hi int")
+
+
+def _window_keys(rows: DataFrame, spans: DataFrame, size: int) -> DataFrame:
+    """(doc_id, pos, key): the hash of each window of ``size`` words that starts in a span (doc_id, s1, s2, lo, hi)."""
+    packed = spans.groupBy("doc_id", "s1", "s2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    side = F.broadcast(packed) if spans.count() <= BROADCAST_ROWS else packed.hint("shuffle_hash")
+
+    def each(b: pa.RecordBatch) -> pa.RecordBatch:
+        doc, pos, key = [], [], []
+        for d, t, s1, s2, spans_ in zip(b.column(0).to_pylist(), texts_of(b), *(b.column(k).to_pylist() for k in (2, 3, 4))):
+            w = Words(t)
+            if np.frombuffer(xxhash.xxh3_128_digest(w.norm), dtype=np.int64).tolist() != [s1, s2]:
+                continue  # another text under the same doc_id
+            h = w.hashes(size)
+            at = np.concatenate([np.arange(s["lo"], s["hi"], dtype=np.int32) for s in spans_])
+            doc.append(np.full(len(at), d, dtype=np.int64))
+            pos.append(at)
+            key.append(h[at].view(np.int64))
+        join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.zeros(0, dtype=kind))
+        return record(doc_id=join(doc, np.int64), pos=join(pos, np.int32), key=join(key, np.int64))
+
+    return map_batches(rows.join(side, "doc_id").select("doc_id", "text", "s1", "s2", "spans"), each, "doc_id bigint, pos int, key bigint")
+
+
+def cover(places: list[tuple[int, int]], size: int) -> list[tuple[int, int, int]]:
+    """Fewest runs (start, end, source start) that cover the same words as the windows (position, source
+    position), which come in ascending position."""
+    open_: dict[int, list[int]] = {}
+    runs = []
+    for p, a in places:
+        run = open_.get(a - p)
+        if run is None or p > run[1]:
+            run = open_[a - p] = [p, p, a]
+            runs.append(run)
+        run[1] = p + size
+    runs.sort(key=lambda r: (r[0], -r[1]))
+    out, end, i = [], -1, 0
+    while i < len(runs):
+        reach, best = max(end, runs[i][0]), runs[i]
+        while i < len(runs) and runs[i][0] <= reach:
+            best = max(best, runs[i], key=lambda r: r[1])
+            i += 1
+        if best[1] > end:
+            out.append(tuple(best))
+            end = best[1]
+    return out
+
+
+def _exact_runs(rows: DataFrame, reps: DataFrame, shared: DataFrame, passages: DataFrame, size: int) -> DataFrame | None:
+    """Chains (doc_id, source, pos, source_pos) of windows of ``size`` words that a document before holds as
+    wholes and no passage does; none if there are no such windows.
+
+    The first holder of a window is found by an aggregate, which is combined before it is shuffled."""
+    spans = reliable_checkpoint(_open_windows(reps, shared, passages, size))
+    if spans.where("repeats").isEmpty():
+        return None
+    asked = reliable_checkpoint(_window_keys(rows, spans.where("repeats"), size))
+    keys = reliable_checkpoint(asked.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    held, few = _window_keys(rows, spans.where("not repeats"), size), keys.count() <= BROADCAST_ROWS // 4
+    if few:
+        held = held.join(F.broadcast(keys.select("key")), "key", "left_semi")
+    firsts = reliable_checkpoint(held.groupBy("key").agg(F.min(F.struct("doc_id", "pos")).alias("first")).join(keys, "key"))
+    if few:
+        both = asked.join(F.broadcast(firsts), "key")
+    else:
+        hot = reliable_checkpoint(firsts.where(F.col("n") >= HOT_ROWS))
+        both = (asked.join(F.broadcast(hot), "key")
+                .unionByName(asked.join(F.broadcast(hot.select("key")), "key", "left_anti").join(firsts.where(F.col("n") < HOT_ROWS), "key")))
+    places = (both.where(F.col("first.doc_id") < F.col("doc_id"))
+              .select("doc_id", F.col("first.doc_id").alias("source"), "pos", F.col("first.pos").alias("source_pos"))
+              .repartition("doc_id", "source").sortWithinPartitions("doc_id", "source", "pos"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def shut() -> list[tuple]:
+            return [(at[0], at[1], [lo, hi - K], [a, a + hi - lo - K]) for lo, hi, a in cover(held, size)]
+
+        def rows(out: list[tuple]) -> pa.RecordBatch:
+            return record(doc_id=pa.array([r[0] for r in out], pa.int64()), source=pa.array([r[1] for r in out], pa.int64()),
+                          pos=pa.array([r[2] for r in out], pa.list_(pa.int32())), source_pos=pa.array([r[3] for r in out], pa.list_(pa.int32())))
+
+        for b in batches:
+            out = []
+            for doc, source, p, a in zip(*(c.to_pylist() for c in b.columns)):
+                if (doc, source) != at:
+                    if held:
+                        out += shut()
+                    at, held = (doc, source), []
+                held.append((p, a))
+            if out:
+                yield rows(out)
+        if held:
+            yield rows(shut())
+
+    return map_arrow(places, run, "doc_id bigint, source bigint, pos array<int>, source_pos array<int>")
+
+
 PASSAGE = "doc_id bigint, start_word bigint, end_word bigint, source_doc_id bigint, source_start bigint, source_end bigint, n_equal bigint"
 
 
@@ -305,11 +458,19 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, percent: int
               .select("doc_id", F.lit(0).cast("bigint").alias("start_word"), F.col("n_words").alias("end_word"), F.col("rep").alias("source_doc_id"),
                       F.lit(0).cast("bigint").alias("source_start"), F.col("n_words").alias("source_end"), F.col("n_words").alias("n_equal")))
     reps = seeds.join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "s1", "s2", "n_words"]).dropDuplicates(["doc_id"])
-    reps = reliable_checkpoint(reps.select("doc_id", "pos", "nth", "kmer"))
-    matches = seed_matches(reps)
-    # A chain's number is drawn from what it is, so that a repeated task draws the same.
-    found = reliable_checkpoint(_chain_table(matches).select(F.xxhash64("doc_id", "source", "pos", "source_pos").alias("chain"), "doc_id", "source", "pos", "source_pos"))
-    return copies.unionByName(_aligned(found, rows, min_words, percent))
+    reps = reliable_checkpoint(reps.select("doc_id", "s1", "s2", "n_words", "pos", "nth", "kmer"))
+    shared = reliable_checkpoint(shared_seeds(reps))
+
+    def numbered(chained: DataFrame) -> DataFrame:
+        # A chain's number is drawn from what it is, so that a repeated task draws the same.
+        return reliable_checkpoint(chained.select(F.xxhash64("doc_id", "source", "pos", "source_pos").alias("chain"), "doc_id", "source", "pos", "source_pos"))
+
+    found = numbered(_chain_table(shared.where("source < doc_id").drop("nth")))
+    near = reliable_checkpoint(_aligned(found, rows, min_words, percent))
+    exact = _exact_runs(rows, reps, shared, near, min_words) if min_words >= K else None
+    if exact is not None:
+        near = near.unionByName(_aligned(numbered(exact), rows, min_words, percent))
+    return copies.unionByName(near)
 
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
