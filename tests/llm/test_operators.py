@@ -188,6 +188,18 @@ def test_passages_whose_pieces_stand_in_documents_before(spark):
     assert all(r.source_doc_id < r.doc_id and r.end_word <= len(dict(rows)[r.doc_id].split()) for r in got)
 
 
+def test_passages_go_on_past_changes_near_their_ends(spark):
+    equal = np.array([1, 1, 0, 1, 1, 1, 1, 0, 1, 0, 0, 1], dtype=bool)
+    assert passages.extension(equal, 80) == (7, 6) and passages.extension(equal, 100) == (2, 2)
+    assert passages.extension(equal[:0], 80) == (0, 0) and passages.extension(~equal[:2], 80) == (0, 0)
+    rng = random.Random(11)
+    p, own = words(rng, 55).split(), [words(rng, 20) for _ in range(4)]
+    changed = list(p)
+    changed[5] = changed[49] = "changed"
+    rows = [(1, f"{own[0]} {' '.join(p)} {own[1]}"), (2, f"{own[2]} {' '.join(changed)} {own[3]}")]
+    assert [tuple(r) for r in passages.repeated_passages(docs(spark, rows)).collect()] == [(2, 20, 75, 1, 20, 75, 53)]
+
+
 def test_windows_are_covered_by_few_runs():
     assert passages.cover([(0, 9), (1, 10), (2, 11)], 5) == [(0, 7, 9)]
     assert passages.cover([(k, 0) for k in range(11)], 5) == [(0, 5, 0), (5, 10, 0), (10, 15, 0)]

@@ -13,7 +13,8 @@ Finds passages that a document shares, exactly or with small changes, with a doc
    each worth a point less the cost of the gap before it, found with a Fenwick tree of best scores by source
    position.  Chains are parted where a gap is long.
 5. Chains are aligned: stretches between neighbouring matches are compared word by word, by least edits where
-   their lengths differ, and both ends are extended as far as the words agree.  Passages of at least
+   their lengths differ, and both ends are extended, past words that differ too, while ``percent`` percent of
+   the words added agree, however the extension is cut short.  Passages of at least
    ``min_words`` words, of which ``percent`` percent agree, come out.
 6. What the first occurrences leave: windows of ``min_words`` words that no passage so far holds, and whose
    seeds all stand in documents before, are matched as wholes with the first document that holds the window.
@@ -186,16 +187,25 @@ def _least_edits(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def align(path: list[tuple[int, int]], doc: np.ndarray, doc_at: int, source: np.ndarray, source_at: int) -> tuple[int, int, int, int, int]:
+def extension(equal: np.ndarray, percent: int) -> tuple[int, int]:
+    """How many words to go on, given which of them agree, and how many of those agree: the end of the best
+    score, where an agreeing word gains 100 - ``percent`` and another loses ``percent``; the furthest of
+    equal ones.  So the share of ``percent`` holds in the extension and in each end piece of it."""
+    score = np.cumsum(np.where(equal, 100 - percent, -percent))
+    if not len(score) or score.max() < 0:
+        return 0, 0
+    run = len(score) - int(score[::-1].argmax())
+    return run, int(equal[:run].sum())
+
+
+def align(path: list[tuple[int, int]], doc: np.ndarray, doc_at: int, source: np.ndarray, source_at: int,
+          percent: int = PERCENT) -> tuple[int, int, int, int, int]:
     """(start, end, source start, source end, agreeing words) of a chain.  ``doc`` and ``source`` are word
     hashes from the positions ``doc_at`` and ``source_at`` on."""
     x, y = path[0][0] - doc_at, path[0][1] - source_at
-    start, source_start, agree = x, y, 0
     back = min(x, y)
-    if back:
-        differ = np.flatnonzero(doc[x - back:x][::-1] != source[y - back:y][::-1])
-        run = int(differ[0]) if len(differ) else back
-        start, source_start, agree = x - run, y - run, run
+    run, agree = extension(doc[x - back:x][::-1] == source[y - back:y][::-1], percent)
+    start, source_start = x - run, y - run
     for p, a in path:
         p, a = p - doc_at, a - source_at
         if p < x or a < y:  # the match overlaps what is aligned already, on another diagonal
@@ -212,9 +222,8 @@ def align(path: list[tuple[int, int]], doc: np.ndarray, doc_at: int, source: np.
         agree += size
         x, y = p + size, a + size
     on = min(len(doc) - x, len(source) - y)
-    differ = np.flatnonzero(doc[x:x + on] != source[y:y + on])
-    run = int(differ[0]) if len(differ) else on
-    return start + doc_at, x + run + doc_at, source_start + source_at, y + run + source_at, agree + run
+    run, more = extension(doc[x:x + on] == source[y:y + on], percent)
+    return start + doc_at, x + run + doc_at, source_start + source_at, y + run + source_at, agree + more
 
 
 def _chain_table(matches: DataFrame) -> DataFrame:
@@ -292,7 +301,7 @@ def _aligned(found: DataFrame, rows: DataFrame, min_words: int, percent: int) ->
                     if role == 2 and 0 in held and 1 in held:
                         _, _, d, s, dp, sp = held[0]
                         mine, theirs = np.frombuffer(held[1][1], dtype=np.uint32), np.frombuffer(words, dtype=np.uint32)
-                        lo, hi, slo, shi, agree = align(list(zip(dp, sp)), mine, held[1][0], theirs, start)
+                        lo, hi, slo, shi, agree = align(list(zip(dp, sp)), mine, held[1][0], theirs, start, percent)
                         if hi - lo >= min_words and 100 * agree >= percent * max(hi - lo, shi - slo):
                             out.append((d, lo, hi, s, slo, shi, agree))
             kinds = ("doc_id", "start_word", "end_word", "source_doc_id", "source_start", "source_end", "n_equal")
