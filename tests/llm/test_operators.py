@@ -319,6 +319,22 @@ def test_toxicity_sees_through_disguise(spark):
     assert toxicity.toxicity(empty(spark), lab).count() == 0
 
 
+def test_long_and_unevenly_spaced_disguises_are_restored_whole():
+    plain = toxicity.Restorer(np.zeros((toxicity.SYMBOLS,) * 3))
+    _, spaced = toxicity._readers(np.zeros((toxicity.SYMBOLS,) * 3), None)
+    for n in (31, 32, 33, 63, 64, 65, 129, 400):
+        word = "".join("abcdefgh"[k * k % 7 + k % 2] for k in range(n))
+        word = "".join(c for k, c in enumerate(word) if not k or word[k - 1] != c)
+        assert word in toxicity.words_of(".".join(word), plain)
+        assert f"={word}" in spaced[" ".join(word)]
+    for gap in ("  ", "\t", "\n", " \r\n ", "\u00a0"):
+        assert list(toxicity.stretches("you " + gap.join("scoundrel") + " there"))[0] == "s c o u n d r e l"
+    assert "s c o u n d r e l" in toxicity.stretches("y o u  s c o u n d r e l")
+    assert toxicity.words_of("@$$", plain) == ["as"] and toxicity.words_of("455", plain) == ["as"]
+    assert toxicity.words_of("5", plain) == [] and toxicity.words_of("...", plain) == []
+    assert plain.restore("a" * 20_000) == "a" * 20_000 and len(plain.restore("ab" * 100_000)) == 200_000
+
+
 def test_registered_names():
     assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)

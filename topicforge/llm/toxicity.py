@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -100,12 +101,12 @@ class Restorer:
         self.cost = cost.tolist()
         self.codes = symbol_table()
 
-    def _arcs(self, stretch: str) -> list[list[tuple[str, float, int]]]:
+    def _arcs(self, stretch: str) -> Iterator[list[tuple[str, float, int]]]:
         """For each position, what may have been meant: (letters, channel cost, next position)."""
-        n, arcs = len(stretch), []
+        n, run = len(stretch), 0
         for i, c in enumerate(stretch):
             here: list[tuple[str, float, int]] = []
-            run = i + 1
+            run = max(run, i + 1)
             while run < n and stretch[run] == c:
                 run += 1
             signs = LOOKALIKES.get(c)
@@ -121,19 +122,19 @@ class Restorer:
                         here.append((letter, SIGN_COST + REPEAT_COST * (run - i - 1), run))
                 if c in SEPARATORS:
                     here.append(("", SEPARATOR_COST, i + 1))
-            arcs.append(here)
-        return arcs
+            yield here
 
     def restore(self, stretch: str) -> str:
-        """The likeliest letters behind a stretch of text."""
+        """The likeliest letters behind a stretch of text, however long: time grows with its length, and
+        positions that are passed are given up."""
         text = stretch.lower()
-        n, arcs, cost, codes = len(text), self._arcs(text), self.cost, self.codes
+        n, cost, codes = len(text), self.cost, self.codes
         # best[i]: (last two symbols) -> (cost, text so far, as a linked list)
-        best: list[dict[tuple[int, int], tuple[float, tuple | None]]] = [{} for _ in range(n + 1)]
+        best: defaultdict[int, dict[tuple[int, int], tuple[float, tuple | None]]] = defaultdict(dict)
         best[0][0, 0] = (0.0, None)
-        for i in range(n):
-            for (a, b), (so_far, path) in best[i].items():
-                for letters, price, to in arcs[i]:
+        for i, arcs in enumerate(self._arcs(text)):
+            for (a, b), (so_far, path) in best.pop(i, {}).items():
+                for letters, price, to in arcs:
                     total, x, y, p = so_far + price, a, b, path
                     if letters:
                         z = int(codes[ord(letters)])
@@ -153,35 +154,41 @@ class Restorer:
         return "".join(reversed(out))
 
 
-SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+SPACED = re.compile(r"(?<!\S)\S(?:\s++\S){2,}(?!\S)")
+EVENLY = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+SPACE = re.compile(r"\s+")
 WORD = re.compile(r"[^\W\d_]+")
 PLAIN = re.compile(r"\W*[^\W\d_]+\W*\Z")
 THREE = re.compile(r"(.)\1\1")
 SIGNED = re.compile(r"[^\W_].*[\W\d_].*[^\W_]|[$@!|+(<€£¡\d][^\W\d_]|[^\W\d_][$@!|+\d]")
-LONGEST = 64
 
 
 def suspicious(token: str) -> bool:
-    """A token with a look-alike sign or a separator among letters, or a letter three times in a row."""
+    """A token with a look-alike sign or a separator among letters, or a letter three times in a row, or
+    without letters but with two look-alike signs."""
     if not any(c.isalpha() for c in token):
-        return False
+        return sum(c in LOOKALIKES for c in token) >= 2
     return bool(THREE.search(token)) or bool(SIGNED.search(token.strip(".,;:?\"')]}")))
 
 
 def words_of(token: str, restorer: Restorer) -> list[str]:
-    """The lower-case words of one token, as written and, if it is suspicious, as restored.  A token
-    longer than ``LONGEST`` is restored in stretches of that length, all of it."""
+    """The lower-case words of one token, as written and, if it is suspicious, as restored, as a whole."""
     out = WORD.findall(token.lower())
     if suspicious(token):
-        for k in range(0, len(token), LONGEST):
-            out += WORD.findall(restorer.restore(token[k:k + LONGEST]))
+        out += WORD.findall(restorer.restore(token))
     return out
 
 
 def stretches(text: str) -> Iterator[str]:
-    """Runs of single characters with one space between, as in 's p a c e d'."""
+    """Runs of single characters with white space between, as in 's p a c e d', each gap as one space; of
+    a run with other gaps than single spaces also its parts that have those alone."""
     for m in SPACED.finditer(text):
-        yield m.group()
+        run = m.group()
+        even = SPACE.sub(" ", run)
+        yield even
+        if even != run:
+            for part in EVENLY.finditer(run):
+                yield part.group()
 
 
 def word_marks(word: str) -> list[str]:
@@ -206,10 +213,7 @@ def _readers(cost: np.ndarray, weights: dict[str, object] | None) -> tuple[Memo,
         return tuple(every) if weights is None else tuple(weights[m] for m in every if m in weights)
 
     def spaced(stretch: str) -> tuple:
-        words = []
-        for k in range(0, len(stretch), 2 * LONGEST):
-            words += WORD.findall(r.restore(stretch[k:k + 2 * LONGEST]))
-        return marks(words)
+        return marks(WORD.findall(r.restore(stretch)))
 
     return Memo(lambda token: marks(words_of(token, r)), most=150_000), Memo(spaced, most=50_000)
 
