@@ -336,7 +336,7 @@ def test_long_and_unevenly_spaced_disguises_are_restored_whole():
 
 
 def test_registered_names():
-    assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 

@@ -9,11 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import bpe, jaccard, line_crf, mixing, passages, quality_model, token_counts, token_files, topk, toxicity
+from topicforge.llm import (bpe, byte_bpe, jaccard, line_crf, mixing, passages, prefix_trie, quality_model, token_counts,
+                            token_files, topk, toxicity)
 from topicforge.llm.batches import table
-from topicforge.session import ensure_checkpoint_dir
+from topicforge.session import ensure_checkpoint_dir, reliable_checkpoint
 
-WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_BPE, BYTE_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"
 END_ID = 1
 TOKEN_LIMIT = 512
 
@@ -77,6 +78,31 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.byte_bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS),
+                                        public_tokenizers.PATTERN, give="digest")
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """The conversations that op12 works on, of numbered turns: conversation c has the first h turns of
+    conversation c - c % 20 (h is crc32 of c as text, mod 4), then its own turns after its first h."""
+    shared = F.crc32(F.encode(F.col("conv_id").cast("string"), "UTF-8")) % 4
+    own = turns.where(F.col("ord") > shared).select("conv_id", F.col("ord").alias("turn"), "digest", "n_words")
+    heads = turns.where("conv_id % 20 = 0 AND ord <= 3").withColumnRenamed("conv_id", "head")
+    lent = (turns.select("conv_id").distinct().withColumns({"head": F.expr("conv_id - conv_id % 20"), "h": shared})
+            .join(heads, "head").where("ord <= h").select("conv_id", F.col("ord").alias("turn"), "digest", "n_words"))
+    return own.unionByName(lent)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12(table(spark, sf_dir, "conversations"))
+
+
+def op12(conversations: DataFrame) -> DataFrame:
+    turns = reliable_checkpoint(prefix_trie.ordinals(prefix_trie.turn_digests(conversations)))
+    return prefix_trie.trie(prefix_trie.ordinals(rebuilt(turns)), turns)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_passages": op2_passages,
@@ -88,6 +114,8 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_line_crf": op9_line_crf,
     "op10_topk": op10_topk,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 def _level_sql(k: int, names: list[str]) -> str:
