@@ -11,10 +11,12 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 import tiktoken
-from test_operators import TRICKY, docs, empty, texts, words
+from test_operators import docs, empty, texts, words
+from tokenizers import Tokenizer
 
-from topicforge.llm import byte_bpe, ordered_hash, prefix_trie, queries
+from topicforge.llm import alignment, byte_bpe, ordered_hash, prefix_trie, queries
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -149,3 +151,103 @@ def test_hashes_of_groups_in_order(spark, monkeypatch):
         packed = ordered_hash.packed(df, ["a", "b"], "at", "part", b",")
         assert packed.count() < df.count()
         assert {r.a: r.h for r in ordered_hash.hashed(packed, ["a", "b"], "at", "part", b",", "h").collect()} == want
+
+
+JSON, MODEL = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(JSON)
+    a.encode_special_tokens = True
+    back = {c: b for b, c in enumerate(byte_bpe.LETTERS)}
+    spell_a = lambda i: bytes(back[c] for c in a.id_to_token(i))
+    b = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+    def spell_b(i):
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("\u2581", " ").encode()
+
+    def tokens(text):
+        """(id, end) of both sides, or None."""
+        if not text:
+            return None
+        out = []
+        for ids, spell in ((a.encode(" " + text, add_special_tokens=False).ids, spell_a), (b.encode(text), spell_b)):
+            parts = [spell(i) for i in ids]
+            if b"".join(parts) != (" " + text).encode():
+                return None
+            out.append(list(zip(ids, np.cumsum([len(p) for p in parts]).tolist())))
+        return out
+
+    return tokens
+
+
+def brute_alignment(rows, tokens):
+    made = []
+    for i, t in rows:
+        both = tokens(t)
+        if both is None:
+            made.append((i, 0, 0, "", []))
+            continue
+        a, b = both
+        common = sorted({e for _, e in a} & {e for _, e in b})
+        text = ";".join(",".join(str(x) for x, e in a if lo < e <= hi) + "|" + ",".join(str(x) for x, e in b if lo < e <= hi) for lo, hi in zip([0, *common], common))
+        by_end = {e: x for x, e in b}
+        made.append((i, len(a), len(b), sha(text.encode()), [(x, by_end[e]) for x, e in a if e in by_end]))
+    counts, best = defaultdict(int), defaultdict(int)
+    for *_, links in made:
+        for link in links:
+            counts[link] += 1
+    for (_, y), n in counts.items():
+        best[y] = max(best[y], n)
+    return sorted(((i is not None, i or 0), n_a, n_b, len(x), len(x), sum(counts[p] == best[p[1]] for p in x), sum(counts[p] for p in x), h) for i, n_a, n_b, h, x in made)
+
+
+def aligned(df):
+    return sorted(((r.doc_id is not None, r.doc_id or 0), r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in df.collect())
+
+
+def long_texts():
+    rng = random.Random(3)
+    mixed = "".join(rng.choice(["\n", "\n\n", " ", "  ", "\t", "\u00a0", "日本語", "é", "'s", "x" * 30, "word", "1999", "!?"]) for _ in range(400))
+    return [(800, mixed), (801, "z" * 900), (802, mixed.replace(" ", "\n")), (803, words(rng, 300)), (804, words(rng, 200) + " \u2581 " + words(rng, 50)), (800, mixed),
+            (805, "\n".join(words(rng, 300).split()))]
+
+
+def test_alignment_against_brute_force(spark, libraries):
+    rows = [*texts(), *long_texts(), (901, "<|endoftext|> <unk> <s> <0x41>"), (902, "a\u2581b"), (903, " lead"), (904, "\nlead"), (905, "end "), (906, "e\u0301 \u0301x"), (None, "no id"), (3, "again")]
+    want = brute_alignment(rows, libraries)
+    run = lambda **more: aligned(alignment.cross_alignment(docs(spark, rows), JSON, MODEL, **more))
+    assert run() == want
+    assert run(chunk=37, fan=2) == want
+    assert run(chunk=100, fan=3, broadcast_pairs=0) == want
+    none = alignment.cross_alignment(empty(spark), JSON, MODEL)
+    assert none.count() == 0
+
+
+def test_fragments_compose_in_any_order():
+    sides = alignment.Sides(alignment.read_spec(JSON, MODEL))
+    rng, text = random.Random(7), " " + long_texts()[2][1][:600]
+    a, b = sides.encode_a([text])[0], sides.encode_b([text])[0]
+    ends_a, ends_b = np.cumsum(sides.size_a[a]), np.cumsum(sides.size_b[b])
+    whole, closed = alignment.align(alignment.Open(np.array(a, np.int32), np.array(b, np.int32), 0, 0), sides)
+    for _ in range(60):
+        n = rng.randint(1, 9)
+        ca, cb = ([0, *sorted(rng.choices(range(len(x) + 1), k=n)), len(x)] for x in (a, b))  # the sides' cuts need not agree
+        parts = []
+        for k in range(n + 1):
+            at = [int(e[c[k] - 1]) if c[k] else 0 for e, c in ((ends_a, ca), (ends_b, cb))]
+            f, c = alignment.align(alignment.Open(np.array(a[ca[k]:ca[k + 1]], np.int32), np.array(b[cb[k]:cb[k + 1]], np.int32), *at), sides)
+            parts.append((f, [(2 * k, c)], k))
+        while len(parts) > 1:
+            k = rng.randrange(len(parts) - 1)
+            (f, x, last), (g, y, end) = parts[k:k + 2]
+            h, c = alignment.compose(f, g, sides)
+            parts[k:k + 2] = [(h, [*x, *y, (2 * last + 1, c)], end)]
+        f, got, _ = parts[0]
+        made = alignment.Closed()
+        for _, c in sorted(got, key=lambda p: p[0]):
+            made = made + c
+        assert f.tail is not None and f.tail.empty
+        assert (made.text, made.a.tolist(), f.head.a.tolist(), f.head.b.tolist()) == (closed.text, closed.a.tolist(), whole.head.a.tolist(), whole.head.b.tolist())

@@ -80,13 +80,13 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
 
 
 #: A space beside other white space, and a space between two characters that are none.
-_UNEVEN, _GAP = re.compile(r" (?:\s|(?<=\s ))").search, re.compile(r"(?<=\S) (?=\S)")
+_UNEVEN, GAP = re.compile(r" (?:\s|(?<=\s ))").search, re.compile(r"(?<=\S) (?=\S)")
 
 
 def units(text: str) -> list[str]:
     """The text cut before single spaces, across which no pre-token goes on; all units but the first lack
     the space they begin with."""
-    return _GAP.split(text) if _UNEVEN(text) else text.split(" ")
+    return GAP.split(text) if _UNEVEN(text) else text.split(" ")
 
 
 class ByteBpe:

@@ -9,12 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicforge.llm import (bpe, byte_bpe, jaccard, line_crf, mixing, passages, prefix_trie, quality_model, token_counts,
+from topicforge.llm import (alignment, bpe, byte_bpe, jaccard, line_crf, mixing, passages, prefix_trie, quality_model, token_counts,
                             token_files, topk, toxicity)
 from topicforge.llm.batches import table
 from topicforge.session import ensure_checkpoint_dir, reliable_checkpoint
 
-WORD_BPE, BYTE_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"
+WORD_BPE, BYTE_BPE, BYTE_RANKS, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
 END_ID = 1
 TOKEN_LIMIT = 512
 
@@ -103,6 +103,10 @@ def op12(conversations: DataFrame) -> DataFrame:
     return prefix_trie.trie(prefix_trie.ordinals(rebuilt(turns)), turns)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.cross_alignment(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_passages": op2_passages,
@@ -116,6 +120,7 @@ QUERIES = {
     "op10_topk": op10_topk,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_alignment": op13_alignment,
 }
 
 def _level_sql(k: int, names: list[str]) -> str:
