@@ -183,10 +183,27 @@ def align(x: Open, sides: Sides) -> tuple[Fragment, Closed]:
 
 
 def _closed(x: Open, cut_a: np.ndarray, cut_b: np.ndarray) -> Closed:
-    a, b = list(map(str, x.a.tolist())), list(map(str, x.b.tolist()))
-    ca, cb = cut_a.tolist(), cut_b.tolist()
-    text = ";".join([f"{','.join(a[i:j])}|{','.join(b[k:m])}" for i, j, k, m in zip(ca, ca[1:], cb, cb[1:])])
-    return Closed(text.encode(), x.a[cut_a[1:] - 1], x.b[cut_b[1:] - 1])
+    """The groups between the cuts, which are counts of tokens from the left."""
+    a, b = x.a[cut_a[0]:cut_a[-1]], x.b[cut_b[0]:cut_b[-1]]
+    last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    last_a[cut_a[1:] - cut_a[0] - 1] = last_b[cut_b[1:] - cut_b[0] - 1] = True
+    return Closed(written(a, b, last_a, last_b)[0][:-1], a[last_a], b[last_b])
+
+
+@lru_cache(maxsize=1)
+def _names(size: int) -> tuple[list[str], np.ndarray]:
+    """Every id below ``size`` with each of the signs that may follow it, and the lengths."""
+    table = [f"{i}{sign}" for i in range(size) for sign in ",|;"]
+    return table, np.array(list(map(len, table)), dtype=np.int64)
+
+
+def written(a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The text of groups, a sign after each, and the length of it up to each token (those of side a of a
+    group, then of side b, group by group).  ``last_a`` and ``last_b`` mark the last tokens of groups."""
+    table, lengths = _names(1 << 16 if max(a.max(initial=0), b.max(initial=0)) < 1 << 16 else 1 << 21)
+    group = np.concatenate([2 * (np.cumsum(last_a) - last_a), 2 * (np.cumsum(last_b) - last_b) + 1])
+    codes = np.concatenate([3 * a.astype(np.int64) + last_a, 3 * b.astype(np.int64) + 2 * last_b])[np.argsort(group, kind="stable")]
+    return "".join(map(table.__getitem__, codes.tolist())).encode(), np.cumsum(lengths[codes])
 
 
 def close(x: Open) -> Closed:
@@ -227,23 +244,31 @@ class Aligner:
 
     def __init__(self, spec: Spec):
         self.sides, self.cut_b = Sides(spec), spec.cut_b
-        self.known = Memo(most=100_000)
+        self.known = Memo(most=200_000)
 
     def units(self, texts: list[str]) -> list[tuple | None]:
         """(text of groups, links as pairs of 32-bit ids, tokens of both sides in one number) of each text
         that begins with a space; None if its tokens do not spell it."""
-        out, s = [], self.sides
-        for t, a, b in zip(texts, s.encode_a(texts), s.encode_b(texts)):
-            if not s.spelled(a, b, t, t):
-                out.append(None)
-                continue
-            if len(a) == 1 == len(b):
-                out.append((b"%d|%d" % (a[0], b[0]), np.array([a[0], b[0]], dtype="<i4").tobytes(), 1 << 32 | 1))
-                continue
-            fragment, closed = align(Open(np.array(a, np.int32), np.array(b, np.int32), 0, 0), s)
-            whole = close(fragment.head) + closed
-            out.append((whole.text, np.stack([whole.a, whole.b], axis=1).astype("<i4").tobytes(), len(a) << 32 | len(b)))
-        return out
+        s, flat = self.sides, itertools.chain.from_iterable
+        if not texts:
+            return []
+        raw, all_a, all_b = [t.encode("utf-8") for t in texts], s.encode_a(texts), s.encode_b(texts)
+        sizes, n_a, n_b = (np.cumsum(list(map(len, x))) for x in (raw, all_a, all_b))
+        a, b = (np.array(list(flat(x)), dtype=np.int32) for x in (all_a, all_b))
+        ends_a, ends_b = np.cumsum(s.size_a[a]), np.cumsum(s.size_b[b])
+        # All at once: one stream of bytes in which both sides reach the end of every unit.
+        if not (b"".join(map(s.bytes_a.__getitem__, a.tolist())) == b"".join(raw) == b"".join(map(s.bytes_b.__getitem__, b.tolist()))
+                and n_b[0] and (ends_a[n_a - 1] == sizes).all() and (ends_b[n_b - 1] == sizes).all()):
+            if len(texts) == 1:
+                return [None]
+            return [x for k, t in enumerate(texts) for x in (self.units([t]) if s.spelled(all_a[k], all_b[k], t, t) else [None])]
+        at = np.minimum(np.searchsorted(ends_b, ends_a), len(b) - 1)
+        last_a, last_b = ends_b[at] == ends_a, np.zeros(len(b), bool)
+        last_b[at[last_a]] = True
+        text, length = written(a, b, last_a, last_b)
+        links = np.stack([a[last_a], b[last_b]], axis=1).astype("<i4").tobytes()
+        to, link = length[n_a + n_b - 1].tolist(), (8 * np.cumsum(last_a)[n_a - 1]).tolist()
+        return [(text[i:j - 1], links[k:m], len(x) << 32 | len(y)) for i, j, k, m, x, y in zip([0, *to], to, [0, *link], link, all_a, all_b)]
 
     def texts(self, texts: list[str]) -> list[tuple | None]:
         """The same of each whole text, a space before it."""
