@@ -466,15 +466,30 @@ def q_fit_student(spark, sf_dir):
     )
 
 
-def topic_model(spark, sf_dir):
-    """40-topic classifier trained on document prompts with the wiki
-    stand-in topics as labels."""
+def _topic_dataset(spark, sf_dir):
+    """Document prompts with the wiki stand-in topics as labels."""
     docs = SI.doc_pages(spark, sf_dir).withColumn("summary", curate.page_summary("summary", "text", 5))
     topics = _kept_normalised(spark, sf_dir)
-    ds = docs.join(topics, "page_id").select(
+    return docs.join(topics, "page_id").select(
         "page_id", TX.render_prompt("classify", title="title", summary="summary").alias("prompt"),
-        AR.multi_hot("cats").alias("labels"))
-    return MO.fit_topic_classifier(ds, "prompt", "labels", TOPICS, max_iter=20, strategy="joint")
+        AR.multi_hot("cats").alias("labels"), F.col("cats").alias("categories"))
+
+
+TOPIC_FIT = {"max_iter": 20, "reg": 1e-3, "strategy": "matrix"}
+
+
+def topic_model(spark, sf_dir):
+    """40-topic classifier trained on all document prompts."""
+    return MO.fit_topic_classifier(_topic_dataset(spark, sf_dir), "prompt", "labels", TOPICS, **TOPIC_FIT)
+
+
+def q_train_evaluate_topics(spark, sf_dir):
+    """L3: the 40 topics fitted on the train split; accuracy, loss and top-3 validation on the test split."""
+    ds = SP.train_test_split(_topic_dataset(spark, sf_dir), "page_id", 0.1)
+    model = EV.train(ds, "prompt", "labels", TOPICS, **TOPIC_FIT)
+    test = SP.dense_ordinal(ds.where(F.col("split") == "test"), "page_id", "ordinal")
+    return EV.evaluate(test, model, "prompt", "labels", "ordinal", categories="categories").select(
+        "metric", _r6("value").alias("value"))
 
 
 def q_page_intent(spark, sf_dir):
@@ -495,10 +510,18 @@ def _discoveries(spark, sf_dir):
                      F.col("event_id").alias("seq"))
 
 
+# Arrivals come as so many folders of files, one micro-batch each.
+BATCHES, BATCH_FILES = 4, 2
+
+
 def _replayed(spark, sf_dir, name, df):
+    """The rows as files that arrive in the order of ``seq``, and the stream that takes them in micro-batches."""
     base = ST.work_dir(spark, name)
-    df.write.parquet(f"{base}/input")
-    return base, ST.file_stream(spark, f"{base}/input", df.schema)
+    lo, hi = df.agg(F.min("seq"), F.max("seq")).first()
+    slot = F.floor((F.col("seq") - F.lit(lo)) * BATCHES / F.lit((hi or 0) - (lo or 0) + 1))
+    for k in range(BATCHES):
+        df.where(slot == k).repartition(BATCH_FILES).write.mode("append").parquet(f"{base}/input")
+    return base, ST.file_stream(spark, f"{base}/input", df.schema, BATCH_FILES)
 
 
 def q_read_sql_dump(spark, sf_dir):
@@ -562,6 +585,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fit_topic_classifier": q_fit_topic_classifier,
         "score_topics": q_score_topics,
         "fit_student": q_fit_student,
+        "train_evaluate_topics": q_train_evaluate_topics,
         "page_intent": q_page_intent,
         "build_vocab": q_build_vocab,
         "encode_tokens": q_encode_tokens,

@@ -2,12 +2,12 @@
 
 Re-aimed from fine-tuning a transformer: the same multi-label task and
 loss (one independent sigmoid per label, binary cross-entropy) with a
-linear model over hashed TF-IDF features -- binary relevance, one
-``LogisticRegression`` per label.  Training is distributed by Spark ML
-(tree-aggregated gradients); the shared features are computed once and
-persisted, and the per-label fits run concurrently from a small driver
-thread pool.  A label with a single class gets a constant logit instead
-of a degenerate fit.
+linear model over hashed TF-IDF features -- binary relevance.  Features
+are computed once and persisted.  Two strategies fit the same model:
+``"per_label"``, one ``LogisticRegression`` per label from a small driver
+thread pool, and ``"matrix"``, all labels in shared passes over the rows
+(``matrix_fit``), for many labels.  A label with a single class gets a
+constant logit instead of a degenerate fit.
 """
 
 from __future__ import annotations
@@ -21,11 +21,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicforge.functions.arrays import sigmoid
 from topicforge.functions.text import WS
+from topicforge.operators.matrix_fit import fit_matrix, scorer
 
 NUM_FEATURES = 1 << 18
 
@@ -36,11 +37,11 @@ class TopicModel:
     heads: list = field(default_factory=list)  # LogisticRegressionModel or float logit
     names: tuple[str, ...] = ()
     text_col: str = "text"
-    joint: LogisticRegressionModel | None = None  # set by the joint strategy
+    matrix: LogisticRegressionModel | None = None  # all heads in one, set by the matrix strategy
 
 
-JOINT_FEATURES = 1 << 18
-_SEP = "\u0001"
+# The matrix strategy holds features x labels weights in the driver, with some copies.
+MATRIX_FEATURES = 1 << 14
 
 
 def feature_pipeline(text: str, num_features: int = NUM_FEATURES) -> Pipeline:
@@ -82,94 +83,34 @@ def _constant_logit(pos: int, n: int) -> float:
     return math.log((pos + 0.5) / (n - pos + 0.5))
 
 
-def _prefixed_tokens(tokens: Column, prefix: Column) -> Column:
-    """``prefix`` + every token, plus the label's bias token, without a
-    lambda: tokens never contain a space (they come from a whitespace
-    split), so joining with " " + prefix and splitting on " " prefixes
-    each one natively."""
-    spaced = F.replace(F.array_join(tokens, " "), F.lit(" "), F.concat(F.lit(" "), prefix))
-    joined = F.split(F.concat(prefix, spaced), " ")
-    body = F.when(F.size(tokens) > 0, joined).otherwise(F.array().cast("array<string>"))
-    return F.concat(body, F.array(F.concat(prefix, F.lit("<bias>"))))
-
-
-def _label_rows(df: DataFrame, text: str, width: int, labels: str | None) -> DataFrame:
-    """One row per (row, label): the row's tokens prefixed with the label
-    index plus a per-label bias token, so one hashed feature space holds
-    an independent block of weights for every label."""
-    toks = F.array_remove(F.split(F.lower(F.col(text)), WS + "+"), "")
-    base = df.select(*([labels] if labels else []), "_rid", toks.alias("_tok0"))
-    ex = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("_k"))
-    prefix = F.concat(F.col("_k").cast("string"), F.lit(_SEP))
-    out = ex.select(
-        "_rid", "_k",
-        _prefixed_tokens(F.col("_tok0"), prefix).alias("_ktok"),
-        *([F.get(F.col(labels), F.col("_k")).cast("double").alias("_y")] if labels else []),
-    )
-    return out
-
-
-def _joint_pipeline(num_features: int) -> Pipeline:
-    return Pipeline(stages=[
-        HashingTF(inputCol="_ktok", outputCol="_tf", numFeatures=num_features),
-        IDF(inputCol="_tf", outputCol="features"),
-    ])
-
-
-def fit_topic_classifier_joint(df: DataFrame, text: str, labels: str, names: tuple[str, ...],
-                               num_features: int = JOINT_FEATURES, max_iter: int = 50,
-                               reg: float = 0.0) -> TopicModel:
-    """E1, joint strategy: the same binary-relevance model fitted as ONE
-    logistic regression over (row, label) pairs with label-prefixed
-    features and a per-label bias feature.  The loss is the sum of the
-    per-label losses (separable), so it is one distributed optimisation
-    instead of ``len(names)`` small ones."""
-    rows = _label_rows(df.withColumn("_rid", F.lit(0)), text, len(names), labels)
-    pipe, feats = _fit_features(rows, HashingTF(inputCol="_ktok", outputCol="_tf", numFeatures=num_features), ["_y"])
+def _fit_matrix_model(df: DataFrame, text: str, targets: str, names: tuple[str, ...], num_features: int,
+                      max_iter: int, reg: float) -> TopicModel:
+    """All heads in one matrix: each row is read once a pass, whatever the number of labels."""
+    tok = RegexTokenizer(inputCol=text, outputCol="_tok", pattern=WS + "+", toLowercase=True)
+    pipe, feats = _fit_features(df, HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
+                                [targets], pre=[tok])
     try:
-        lr = LogisticRegression(featuresCol="features", labelCol="_y", maxIter=max_iter, regParam=reg,
-                                fitIntercept=False, standardization=False)
-        joint = lr.fit(feats)
+        fit = fit_matrix(feats, "features", targets, num_features, len(names), max_passes=max_iter, reg=reg)
     finally:
         feats.unpersist()
-    return TopicModel(features=pipe, heads=[], names=tuple(names), text_col=text, joint=joint)
-
-
-def _score_joint(df: DataFrame, model: TopicModel, out: str) -> DataFrame:
-    """Map-only scoring of a joint model: for every label, hash the row's
-    label-prefixed tokens into the shared feature space, weight them with
-    the fitted IDF, and read the margin from the same coefficient vector
-    through a per-label feature column.  Rows are never expanded,
-    shuffled or joined back."""
-    tf_stage, idf_model = model.features.stages
-    n_features = tf_stage.getNumFeatures()
-    toks = F.array_remove(F.split(F.lower(F.col(model.text_col)), WS + "+"), "")
-    cur = df.withColumn("_tok0", toks)
-    margins = []
-    for k in range(len(model.names)):
-        cur = cur.withColumn(f"_kt{k}", _prefixed_tokens(F.col("_tok0"), F.lit(f"{k}{_SEP}")))
-        cur = HashingTF(inputCol=f"_kt{k}", outputCol=f"_tf{k}", numFeatures=n_features).transform(cur)
-        cur = idf_model.copy().setInputCol(f"_tf{k}").setOutputCol(f"_x{k}").transform(cur)
-        lr = model.joint.copy()
-        lr.setFeaturesCol(f"_x{k}").setRawPredictionCol(f"_raw{k}").setProbabilityCol("").setPredictionCol("")
-        cur = lr.transform(cur)
-        margins.append(F.get(vector_to_array(F.col(f"_raw{k}")), 1))
-        cur = cur.drop(f"_kt{k}", f"_tf{k}", f"_x{k}")
-    temp = ["_tok0"] + [f"_raw{k}" for k in range(len(model.names))]
-    return cur.withColumn(out, F.array(*margins)).drop(*temp)
+    return TopicModel(features=pipe, names=tuple(names), text_col=text, matrix=scorer(fit, "features", "_raw"))
 
 
 def fit_topic_classifier(df: DataFrame, text: str, labels: str, names: tuple[str, ...],
-                         num_features: int = NUM_FEATURES, max_iter: int = 50, reg: float = 0.0,
+                         num_features: int | None = None, max_iter: int = 50, reg: float = 0.0,
                          parallelism: int = 8, strategy: str = "per_label") -> TopicModel:
     """One logistic regression per label over hashed TF-IDF of ``text``;
     ``labels`` is an array<int> of width ``len(names)``.
 
-    ``strategy="joint"`` fits all labels in one optimisation (see
-    ``fit_topic_classifier_joint``); ``"per_label"`` fits one model per
-    label concurrently from a driver thread pool."""
-    if strategy == "joint":
-        return fit_topic_classifier_joint(df, text, labels, names, max_iter=max_iter, reg=reg)
+    ``strategy="matrix"`` fits all labels in shared passes (at most
+    ``max_iter``); ``"per_label"`` fits one model per label concurrently
+    from a driver thread pool.  ``num_features`` is ``MATRIX_FEATURES`` or
+    ``NUM_FEATURES`` if not given."""
+    if strategy == "matrix":
+        return _fit_matrix_model(df, text, labels, names, num_features or MATRIX_FEATURES, max_iter, reg)
+    if strategy != "per_label":
+        raise ValueError(f"no strategy {strategy!r}")
+    num_features = num_features or NUM_FEATURES
     width = len(names)
     tok = RegexTokenizer(inputCol=text, outputCol="_tok", pattern=WS + "+", toLowercase=True)
     pipe, feats = _fit_features(df, HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
@@ -192,9 +133,10 @@ def fit_topic_classifier(df: DataFrame, text: str, labels: str, names: tuple[str
 
 def score_topics(df: DataFrame, model: TopicModel, out: str = "logits") -> DataFrame:
     """Append ``out`` = array<double> of per-label logits (margins)."""
-    if model.joint is not None:
-        return _score_joint(df, model, out)
     feats = model.features.transform(df)
+    if model.matrix is not None:  # one pass over each row's features for all labels
+        margins = F.slice(vector_to_array(F.col("_raw")), 1, len(model.names))
+        return model.matrix.transform(feats).withColumn(out, margins).drop("_raw", "_tok", "_tf", "features")
     raw_cols = []
     for i, head in enumerate(model.heads):
         if isinstance(head, LogisticRegressionModel):
@@ -211,32 +153,12 @@ def score_topics(df: DataFrame, model: TopicModel, out: str = "logits") -> DataF
 
 def fit_student(df: DataFrame, text: str, labels: str, teacher_logits: str, names: tuple[str, ...],
                 alpha: float = 0.5, temperature: float = 1.0, num_features: int = 1 << 12,
-                max_iter: int = 50, parallelism: int = 8) -> TopicModel:
+                max_iter: int = 50) -> TopicModel:
     """A smaller student trained on soft targets
     q = alpha * y + (1 - alpha) * sigmoid(teacher / T).
 
-    Each row becomes (label 1, weight q) and (label 0, weight 1 - q); the
-    weighted logistic loss then has the soft-target BCE gradient."""
-    width = len(names)
-    tok = RegexTokenizer(inputCol=text, outputCol="_tok", pattern=WS + "+", toLowercase=True)
-    pipe, feats = _fit_features(df, HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
-                                [labels, teacher_logits], pre=[tok])
-    try:
-        def fit_one(i: int):
-            q = (F.lit(alpha) * F.get(F.col(labels), i).cast("double")
-                 + F.lit(1.0 - alpha) * sigmoid(F.get(F.col(teacher_logits), i) / F.lit(temperature)))
-            rows = feats.select("features", q.alias("_q")).select(
-                "features",
-                F.explode(F.array(
-                    F.struct(F.lit(1.0).alias("y"), F.col("_q").alias("w")),
-                    F.struct(F.lit(0.0).alias("y"), (F.lit(1.0) - F.col("_q")).alias("w")),
-                )).alias("_r"),
-            ).select("features", F.col("_r.y").alias("_y"), F.col("_r.w").alias("_w"))
-            lr = LogisticRegression(featuresCol="features", labelCol="_y", weightCol="_w", maxIter=max_iter)
-            return lr.fit(rows)
-
-        with ThreadPoolExecutor(max(1, min(parallelism, width))) as pool:
-            heads = list(pool.map(fit_one, range(width)))
-    finally:
-        feats.unpersist()
-    return TopicModel(features=pipe, heads=heads, names=tuple(names), text_col=text)
+    The targets go as they are into the matrix fit, whose loss on soft
+    targets has the distillation gradient; no row is repeated."""
+    q = F.transform(F.arrays_zip(F.col(labels).alias("y"), F.col(teacher_logits).alias("t")), lambda x:
+                    F.lit(alpha) * x["y"].cast("double") + F.lit(1.0 - alpha) * sigmoid(x["t"] / F.lit(temperature)))
+    return _fit_matrix_model(df.select(text, q.alias("_q")), text, "_q", names, num_features, max_iter, 0.0)

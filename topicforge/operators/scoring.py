@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from topicforge.constants import THRESHOLD, TOP_K_TOPICS
 from topicforge.functions.arrays import binarise, sigmoid, softmax_max, top_k_names
-from topicforge.taxonomy import INTENTS
+from topicforge.taxonomy import INTENTS, TOPICS
 
 
-def top_topics(df: DataFrame, logits: str = "logits", k: int = TOP_K_TOPICS, out: str = "top_topics") -> DataFrame:
+def top_topics(df: DataFrame, logits: str = "logits", k: int = TOP_K_TOPICS, out: str = "top_topics",
+               names: Sequence[str] = TOPICS) -> DataFrame:
     """The ``k`` most probable topic names (ties -> lower index) and
     the top probability."""
-    return df.withColumn(out, top_k_names(F.col(logits), k)).withColumn("p_top1", softmax_max(F.col(logits)))
+    return df.withColumn(out, top_k_names(F.col(logits), k, names)).withColumn("p_top1", softmax_max(F.col(logits)))
 
 
 def add_predictions(df: DataFrame, logits: str = "logits", threshold: float = THRESHOLD,

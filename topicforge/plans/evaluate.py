@@ -31,7 +31,7 @@ def evaluate(dataset: DataFrame, model: TopicModel, text: str, labels: str, ordi
     scored = assign_batches(scored, ordinal, batch_size)
     parts = [accuracy_report(scored, "batch", "preds", labels), loss_report(scored, "batch", "logits", labels)]
     if categories:
-        parts.append(validate_top3(top_topics(scored, "logits", 3), categories, "top_topics"))
+        parts.append(validate_top3(top_topics(scored, "logits", 3, names=model.names), categories, "top_topics"))
     out = None
     for p in parts:
         long = p.select(F.explode(F.array(*[
