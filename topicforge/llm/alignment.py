@@ -244,7 +244,7 @@ class Aligner:
 
     def __init__(self, spec: Spec):
         self.sides, self.cut_b = Sides(spec), spec.cut_b
-        self.known = Memo(most=200_000)
+        self.known = Memo(most=120_000)
 
     def units(self, texts: list[str]) -> list[tuple | None]:
         """(text of groups, links as pairs of 32-bit ids, tokens of both sides in one number) of each text
