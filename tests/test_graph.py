@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from topicforge.operators import graph as G
@@ -55,6 +57,59 @@ def test_quota_met_inside_level_and_walk_equivalence(spark):
     assert a == b == [("R", 1, 1), ("R", 2, 1), ("R", 3, 1)]
 
 
+def random_graph(n_roots):
+    rng = random.Random(n_roots)
+    roots = [f"R{i}" for i in range(n_roots)]
+    names = roots + [f"C{i}" for i in range(60)]
+    edges = [(rng.choice(names), rng.choice(names)) for _ in range(130)] + [(r, "hub") for r in roots] + [("hub", f"C{i}") for i in range(5)]
+    members = [(rng.choice(names), rng.randrange(80)) for _ in range(250)]
+    return roots, edges, members
+
+
+def brute_closure(roots, edges, depth):
+    out = {}
+    for r in roots:
+        seen = level = {r}
+        out[r, r] = 0
+        for d in range(1, depth + 1):
+            level = {c for p, c in edges if p in level} - seen
+            seen = seen | level
+            out.update({(r, c): d for c in level})
+    return out
+
+
+def test_walk_from_many_roots_at_once(spark, monkeypatch):
+    roots, edges, members = random_graph(70)  # more than one bitmap holds
+    levels = []
+    plain = G.reliable_checkpoint
+    monkeypatch.setattr(G, "reliable_checkpoint", lambda df: levels.append(plain(df)) or levels[-1])
+    want = brute_closure(roots, edges, 3)
+    assert closure(spark, edges, [*roots, "R0", None], 3) == want
+    categories = {c for _, c in want}
+    for df in levels:  # a row a category and bitmap, not a row a root and category
+        if "mask" in df.columns:
+            assert df.count() <= 2 * len(categories) < len(want) / 4
+    best = {}
+    for (r, c), d in want.items():
+        for cat, p in members:
+            if cat == c:
+                best[r, p] = min(d, best.get((r, p), d))
+    m = spark.createDataFrame(members, "category string, page_id long")
+    for limit in (1, 4, 1000):
+        expect = sorted((r, p, d) for r in roots for (d, p) in sorted((d, p) for (x, p), d in best.items() if x == r)[:limit])
+        got = G.walk_with_quota(edges_df(spark, edges), roots_df(spark, roots), m, limit, 3)
+        assert sorted((r["root"], r["page_id"], r["depth"]) for r in got.collect()) == expect, limit
+
+
+def test_walk_without_roots_or_edges(spark):
+    none = edges_df(spark, [("A", "B")]).limit(0)
+    assert closure(spark, [("A", "B")], [None]) == {}
+    assert G.category_closure(none, roots_df(spark, ["A"])).collect() == [("A", "A", 0)]
+    m = spark.createDataFrame([("A", 1)], "category string, page_id long")
+    assert G.walk_with_quota(none, roots_df(spark, ["A"]), m, 5).collect() == [("A", 1, 0)]
+    assert G.walk_with_quota(none, roots_df(spark, ["A"]), m.limit(0), 5).count() == 0
+
+
 def test_quota_is_exact_top_k_under_skew(spark):
     # one root holds almost every candidate; salting must not change the answer
     rows = [("hot", i, i % 3) for i in range(3000)] + [("cold", i, 0) for i in range(5)]

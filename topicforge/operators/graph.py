@@ -2,9 +2,13 @@
 
 The graph is two tables: ``edges(parent, child)`` between categories and
 ``members(category, page_id)`` from categories to pages.  The walk is a
-breadth-first frontier loop, one Spark job per level; each level's new
-rows are written with a reliable checkpoint, so the lineage stays one
-level deep and a lost executor costs one level, not the whole walk.
+breadth-first frontier loop from all roots at once: a row holds a category
+and a bitmap of the roots that reach it (one row for each ``BANK`` roots),
+and a level is the bitwise or of the bitmaps over the edges, less what was
+reached before.  So the frontier grows with the categories, not with roots
+times categories.  Each level's rows are written with a reliable
+checkpoint, so the lineage stays one level deep and a lost executor costs
+one level, not the whole walk.
 
 Per-root quotas are exact top-k by (depth, page_id).  Because there are
 only a few roots, a root can hold a third of all candidates; the top-k
@@ -18,34 +22,68 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicforge.operators.skew import top_k_per_group
+from topicforge.operators.splits import dense_ordinal
 from topicforge.session import reliable_checkpoint
 
 
+#: Roots of one bitmap.
+BANK = 64
+
+
+def _by_key(df: DataFrame, *key: str) -> DataFrame:
+    """Stored once, sorted by ``key``, and dealt by ranges of it, which part the rows of a hot first column."""
+    return reliable_checkpoint(df.select(*key).distinct().repartitionByRange(*key).sortWithinPartitions(*key))
+
+
+def _numbered(roots: DataFrame, root: str) -> DataFrame:
+    """root, and its place in the bitmaps: bank and bit."""
+    names = dense_ordinal(roots.select(F.col(root).alias("root")).where(F.col("root").isNotNull()).distinct(), "root", "_n")
+    return reliable_checkpoint(names.select("root", F.floor(F.col("_n") / BANK).alias("bank"), (F.col("_n") % BANK).cast("int").alias("bit")))
+
+
+def _any(rows: DataFrame, *key: str) -> DataFrame:
+    return rows.groupBy(*key).agg(F.bit_or("mask").alias("mask"))
+
+
+def _unseen(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """The bits of ``rows`` that are new, by ``key`` and bank."""
+    before = _any(seen, key, "bank").withColumnRenamed("mask", "_seen")
+    new = _any(rows, key, "bank").join(before, [key, "bank"], "left")
+    mask = F.col("mask").bitwiseAND(F.bitwise_not(F.coalesce("_seen", F.lit(0).cast("bigint"))))
+    return new.select(key, "bank", mask.alias("mask")).where("mask <> 0")
+
+
+def _roots_of(rows: DataFrame, numbered: DataFrame, key: str) -> DataFrame:
+    """One row a set bit: (root, key, depth)."""
+    return rows.join(numbered, "bank").where("getbit(mask, bit) = 1").select("root", key, "depth")
+
+
+def _start(numbered: DataFrame) -> DataFrame:
+    own = numbered.select(F.col("root").alias("category"), "bank", F.expr("shiftleft(1L, bit)").alias("mask"))
+    return _any(own, "category", "bank").withColumn("depth", F.lit(0))
+
+
+def _next(level: DataFrame, edges: DataFrame, reached: DataFrame, depth: int) -> DataFrame:
+    over = level.join(edges, level["category"] == edges["parent"]).select(F.col("child").alias("category"), "bank", "mask")
+    return reliable_checkpoint(_unseen(over, reached, "category").withColumn("depth", F.lit(depth)))
+
+
 def category_closure(edges: DataFrame, roots: DataFrame, max_depth: int = 10,
                      root: str = "root") -> DataFrame:
     """(root, category, depth) for every category reachable from a
     root within ``max_depth`` steps, at its smallest depth.
 
-    Cycle-safe: a (root, category) pair already visited is never expanded
-    again, and the loop stops early when a level adds nothing."""
-    e = edges.select(F.col("parent"), F.col("child"))
-    level = reliable_checkpoint(
-        roots.select(F.col(root).alias("root"), F.col(root).alias("category"), F.lit(0).alias("depth")).distinct()
-    )
-    visited = level
+    Cycle-safe: a category already reached from a root is never expanded
+    for it again, and the loop stops early when a level adds nothing."""
+    e, numbered = _by_key(edges, "parent", "child"), _numbered(roots, root)
+    level = reliable_checkpoint(_start(numbered))
+    reached = level
     for depth in range(1, max_depth + 1):
-        nxt = (
-            level.join(e, level.category == e.parent)
-            .select("root", F.col("child").alias("category"), F.lit(depth).alias("depth"))
-            .distinct()
-            .join(visited.select("root", "category"), ["root", "category"], "left_anti")
-        )
-        nxt = reliable_checkpoint(nxt)
-        if nxt.isEmpty():
+        level = _next(level, e, reached, depth)
+        if level.isEmpty():
             break
-        visited = visited.unionByName(nxt)
-        level = nxt
-    return visited
+        reached = reached.unionByName(level)
+    return _roots_of(reached, numbered, "category")
 
 
 def root_pages(closure: DataFrame, members: DataFrame) -> DataFrame:
@@ -66,56 +104,45 @@ def quota_pages(candidates: DataFrame, limit: int = 2000) -> DataFrame:
                            "page_id").drop("_rank")
 
 
+def _full(seen: DataFrame, limit: int) -> DataFrame:
+    """A bitmap a bank of the roots that hold ``limit`` pages or more: at most one row for ``BANK`` roots.  Pages are
+    counted bit by bit, without a row for each root and page."""
+    counts = seen.groupBy("bank").agg(*[F.sum(F.getbit(F.col("mask"), F.lit(i)).cast("bigint")).alias(f"n{i}") for i in range(BANK)])
+    mask = F.lit(0).cast("bigint")
+    for i in range(BANK):
+        mask = mask.bitwiseOR(F.when(F.col(f"n{i}") >= limit, F.expr(f"shiftleft(1L, {i})")).otherwise(F.lit(0).cast("bigint")))
+    return counts.select("bank", mask.alias("_full"))
+
+
 def walk_with_quota(edges: DataFrame, roots: DataFrame, members: DataFrame, limit: int = 2000,
                     max_depth: int = 10) -> DataFrame:
     """C1+C2 with the reference's early stop: a root whose quota is already
     filled by levels <= d is not expanded further.  Returns the same rows
     as ``quota_pages(root_pages(category_closure(...)))``.
 
-    Per level: expand the frontier, drop visited categories, find the
-    level's new pages, checkpoint both, and add the level's per-root page
-    counts (one row per root) to the running totals that retire full
-    roots -- each level costs work proportional to its own rows."""
-    e = edges.select("parent", "child")
-    m = members.select("category", "page_id")
-    level = reliable_checkpoint(
-        roots.select(F.col("root"), F.col("root").alias("category"), F.lit(0).alias("depth")).distinct()
-    )
-    visited = level
-    pages = reliable_checkpoint(
-        level.join(m, "category").select("root", "page_id", "depth").distinct()
-    )
-    seen = pages
-    held: dict[str, int] = {}
+    Pages carry bitmaps of roots like categories do.  Full roots are bits
+    of a table that is joined to the frontier; nothing is collected.  Edges
+    and members are stored once and read by every level."""
+    e, m = _by_key(edges, "parent", "child"), _by_key(members, "category", "page_id")
+    numbered = _numbered(roots, "root")
 
-    def add_counts(new: DataFrame) -> None:
-        # one row per root: a bounded summary, read on the driver
-        for r in new.groupBy("root").agg(F.count(F.lit(1)).alias("n")).collect():
-            held[r["root"]] = held.get(r["root"], 0) + int(r["n"])
+    def pages_of(level: DataFrame, seen: DataFrame, depth: int) -> DataFrame:
+        met = level.join(m, "category").select("page_id", "bank", "mask")
+        return reliable_checkpoint(_unseen(met, seen, "page_id").withColumn("depth", F.lit(depth)))
 
-    add_counts(pages)
+    level = reliable_checkpoint(_start(numbered))
+    reached = level
+    nothing = m.select("page_id", F.lit(0).cast("bigint").alias("bank"), F.lit(0).cast("bigint").alias("mask")).limit(0)
+    seen = pages_of(level, nothing, 0)
     for depth in range(1, max_depth + 1):
-        full = [r for r, n in held.items() if n >= limit]
-        frontier = level.where(~F.col("root").isin(full)) if full else level
-        nxt = (
-            frontier.join(e, frontier.category == e.parent)
-            .select("root", F.col("child").alias("category"), F.lit(depth).alias("depth"))
-            .distinct()
-            .join(visited.select("root", "category"), ["root", "category"], "left_anti")
-        )
-        nxt = reliable_checkpoint(nxt)
-        if nxt.isEmpty():
+        open_ = F.col("mask").bitwiseAND(F.bitwise_not(F.coalesce("_full", F.lit(0).cast("bigint"))))
+        frontier = level.join(_full(seen, limit), "bank", "left").select("category", "bank", open_.alias("mask")).where("mask <> 0")
+        level = _next(frontier, e, reached, depth)
+        if level.isEmpty():
             break
-        new_pages = (
-            nxt.join(m, "category").select("root", "page_id", "depth").distinct()
-            .join(seen.select("root", "page_id"), ["root", "page_id"], "left_anti")
-        )
-        new_pages = reliable_checkpoint(new_pages)
-        add_counts(new_pages)
-        visited = visited.unionByName(nxt)
-        seen = seen.unionByName(new_pages)
-        level = nxt
-    return quota_pages(seen, limit)
+        reached = reached.unionByName(level)
+        seen = seen.unionByName(pages_of(level, seen, depth))
+    return quota_pages(_roots_of(seen, numbered, "page_id"), limit)
 
 
 def merge_labels(hits: DataFrame, key: str = "page_id", label: str = "root",
