@@ -672,38 +672,6 @@ top AS (SELECT id, list({S.TOPIC_LIST}[i + 1] ORDER BY r) FILTER (WHERE r <= 3)
 full_ AS (SELECT sl.*, top.top3, top.p_top1 FROM sl JOIN top ON top.id = sl.id)"""
 
 
-def _tok(x):
-    return f"list_filter(regexp_split_to_array(lower({x}), '[^a-z0-9]+'), lambda t: t <> '')"
-
-
-def _grams(x, n):
-    t = _tok(x)
-    return (f"(CASE WHEN len({t}) >= {n} THEN list_transform(range(1, len({t}) - {n} + 2), "
-            f"lambda i: array_to_string(({t})[i:i + {n} - 1], ' ')) ELSE [] END)")
-
-
-_PAIRS = f"""sents AS (SELECT doc_id, {S.split_sentences('text')} AS s FROM documents),
-pairs AS (
-  SELECT doc_id AS id, 'lead1' AS system, array_to_string(s[1:1], chr(10)) AS prediction,
-         array_to_string(s[1:5], chr(10)) AS reference FROM sents
-  UNION ALL
-  SELECT doc_id, 'lead3', array_to_string(s[1:3], chr(10)), array_to_string(s[1:5], chr(10)) FROM sents)"""
-
-
-def _rouge_cte(n, name):
-    return f"""{name}_g AS (
-  SELECT id, system, unnest({_grams('prediction', n)}) AS g, 1 AS p, 0 AS r FROM pairs
-  UNION ALL SELECT id, system, unnest({_grams('reference', n)}), 0, 1 FROM pairs),
-{name}_c AS (SELECT id, system, g, sum(p) AS cp, sum(r) AS cr FROM {name}_g GROUP BY id, system, g),
-{name}_h AS (SELECT id, system, sum(least(cp, cr)) AS hits, sum(cp) AS np, sum(cr) AS nr FROM {name}_c GROUP BY id, system),
-{name} AS (
-  SELECT p.id, p.system, coalesce(h.hits, 0) / greatest(coalesce(h.np, 0), 1) AS precision,
-         coalesce(h.hits, 0) / greatest(coalesce(h.nr, 0), 1) AS recall
-  FROM pairs p LEFT JOIN {name}_h h ON h.id = p.id AND h.system = p.system),
-{name}_f AS (SELECT id, system, precision, recall,
-  CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM {name})"""
-
-
 def _lse(x):
     return f"(list_max({x}) + ln(list_sum(list_transform({x}, lambda v: exp(v - list_max({x}))))))"
 
@@ -733,6 +701,37 @@ keep AS (SELECT k, sidx, CASE WHEN c > 120 THEN array_to_string(list_slice(regex
                 ELSE sentence END AS sentence FROM cum WHERE c <= 120 OR r = 1)"""
 
 
+def _tok(x):
+    return f"list_filter(regexp_split_to_array(lower({x}), '[^a-z0-9]+'), lambda t: t <> '')"
+
+
+# Lead-1, lead-3 and the summary of each document against its whole text, one sentence a line.
+_PAIRS = f"""{_SUMMARY},
+sm AS (SELECT k, string_agg(sentence, chr(10) ORDER BY sidx) AS summary FROM keep GROUP BY k),
+docs AS (SELECT ss.k AS id, s, coalesce(summary, '') AS summary, {_tok("array_to_string(s, chr(10))")} AS rt FROM ss LEFT JOIN sm ON sm.k = ss.k),
+pairs AS (
+  SELECT id, 'lead1' AS system, {_tok("array_to_string(s[1:1], chr(10))")} AS pt FROM docs
+  UNION ALL SELECT id, 'lead3', {_tok("array_to_string(s[1:3], chr(10))")} FROM docs
+  UNION ALL SELECT id, 'summarise', {_tok("summary")} FROM docs)"""
+
+
+def _grams(x, n):
+    gram = " || ' ' || ".join(f"{x}[i + {k}]" for k in range(n))
+    return f"unnest(list_transform(range(1, len({x}) - {n - 2}), lambda i: {gram}))"
+
+
+def _rouge_cte(n, name):
+    return f"""{name}_p AS (SELECT id, system, g, count(*) AS c FROM (SELECT id, system, {_grams('pt', n)} AS g FROM pairs) GROUP BY ALL),
+{name}_r AS (SELECT id, g, count(*) AS c FROM (SELECT id, {_grams('rt', n)} AS g FROM docs) GROUP BY ALL),
+{name}_h AS (SELECT p.id, p.system, sum(least(p.c, r.c)) AS hits FROM {name}_p p JOIN {name}_r r ON r.id = p.id AND r.g = p.g GROUP BY ALL),
+{name} AS (
+  SELECT p.id, p.system, coalesce(h.hits, 0) / greatest(len(p.pt) - {n - 1}, 1) AS precision,
+         coalesce(h.hits, 0) / greatest(len(d.rt) - {n - 1}, 1) AS recall
+  FROM pairs p JOIN docs d ON d.id = p.id LEFT JOIN {name}_h h ON h.id = p.id AND h.system = p.system),
+{name}_f AS (SELECT id, system, precision, recall,
+  CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM {name})"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         **(LLM.ORACLE_SQL if LLM else {}),

@@ -1,8 +1,11 @@
 import random
+import re
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from topicforge.functions import lcs
 from topicforge.operators import rouge as R
@@ -55,3 +58,39 @@ def test_lcs_random_strings_stable():
         a = [rnd.choice("xyz") for _ in range(rnd.randint(0, 80))]
         b = [rnd.choice("xyz") for _ in range(rnd.randint(0, 80))]
         assert lcs.lcs_length(a, b) == dp_lcs(a, b)
+
+
+def brute_rouge_n(pred, ref, n):
+    toks = [[t for t in re.split("[^a-z0-9]+", x.lower()) if t] for x in (pred, ref)]
+    a, b = (Counter(tuple(t[i:i + n]) for i in range(len(t) - n + 1)) for t in toks)
+    hits = sum((a & b).values())
+    p, r = hits / max(sum(a.values()), 1), hits / max(sum(b.values()), 1)
+    return 2 * p * r / (p + r) if p + r else 0.0
+
+
+def test_summary_systems_are_scored_against_whole_texts(spark):
+    from topicforge.functions.text import split_sentences
+    from topicforge.operators.summary import summarise
+    from topicforge.plans.standins import summary_pairs
+
+    sf = "/root/testdata/sf0.001"
+    got = {(r["id"], r["system"]): r for r in summary_pairs(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r["doc_id"]: r["s"] or [] for r in docs.select("doc_id", split_sentences(F.col("text")).alias("s")).collect()}
+    summaries = {r["doc_id"]: r["summary"] for r in summarise(docs, "doc_id", "text").collect()}
+    assert len(got) == 3 * len(texts) and max(len(s) for s in texts.values()) > 5
+    for (i, system), r in got.items():
+        assert r["reference"] == "\n".join(texts[i])
+        want = {"lead1": "\n".join(texts[i][:1]), "lead3": "\n".join(texts[i][:3])}.get(system)
+        assert r["prediction"] == want if want is not None else r["prediction"].replace("\n", " ") == summaries[i].replace("\n", " ")
+    table = {r["system"]: r for r in R.evaluate_summaries(summary_pairs(spark, sf)).collect()}
+    for system, r in table.items():
+        mine = [x for (_, s), x in got.items() if s == system]
+        assert r["pairs"] == len(texts)
+        for n, name in ((1, "rouge1"), (2, "rouge2")):
+            assert r[name] == pytest.approx(sum(brute_rouge_n(x["prediction"], x["reference"], n) for x in mine) / len(mine))
+        assert r["rougeL"] == pytest.approx(sum(lcs.rouge_l(x["prediction"], x["reference"])[2] for x in mine) / len(mine))
+        for x in mine[:12]:
+            a, b = ([t for t in re.split("[^a-z0-9]+", v.lower()) if t] for v in (x["prediction"], x["reference"]))
+            hits = dp_lcs(a, b)
+            assert lcs.rouge_l(x["prediction"], x["reference"])[:2] == pytest.approx((hits / max(len(a), 1), hits / max(len(b), 1)))

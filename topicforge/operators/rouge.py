@@ -49,12 +49,14 @@ def _prf(hits: Column, n_pred: Column, n_ref: Column) -> list[Column]:
 def _tagged_grams(pairs: DataFrame, keys: list[str], ns: Sequence[int], prediction: str,
                   reference: str) -> DataFrame:
     """(keys, n, g, p, r): every n-gram of both sides, tagged by side,
-    from ONE generator per row (both sides, every n)."""
+    from ONE generator per row (both sides, every n).  The empty gram,
+    counted on no side, stands for a pair without n-grams."""
     def tag(n: int, p: int, r: int):
         return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(p).alias("p"), F.lit(r).alias("r"))
 
     entries = [F.transform(ngrams(col, n), tag(n, p, r))
                for n in ns for col, p, r in ((prediction, 1, 0), (reference, 0, 1))]
+    entries.append(F.array(*[F.struct(F.lit(n).alias("n"), F.lit("").alias("g"), F.lit(0).alias("p"), F.lit(0).alias("r")) for n in ns]))
     return pairs.select(*keys, F.explode(F.concat(*entries)).alias("_e")).select(*keys, "_e.*")
 
 
@@ -67,10 +69,7 @@ def rouge_n_multi(pairs: DataFrame, ns: Sequence[int] = (1, 2), keys: Sequence[s
     per_pair = per_gram.groupBy(*keys, "n").agg(
         F.sum(F.least("cp", "cr")).alias("hits"), F.sum("cp").alias("np"), F.sum("cr").alias("nr")
     )
-    every = pairs.select(*keys, F.explode(F.array(*[F.lit(n) for n in ns])).alias("n"))
-    j = every.join(per_pair, keys + ["n"], "left")
-    z = F.lit(0).cast("bigint")
-    return j.select(*keys, "n", *_prf(F.coalesce("hits", z), F.coalesce("np", z), F.coalesce("nr", z)))
+    return per_pair.select(*keys, "n", *_prf(F.col("hits"), F.col("np"), F.col("nr")))
 
 
 def rouge_n(pairs: DataFrame, n: int = 1, keys: Sequence[str] = ("id", "system"),

@@ -53,9 +53,9 @@ def sentence_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 
 def summarise(df: DataFrame, key: str = "doc_id", text: str = "text",
-              max_tokens: int = MAX_SUMMARY_TOKENS) -> DataFrame:
+              max_tokens: int = MAX_SUMMARY_TOKENS, sep: str = " ") -> DataFrame:
     """Key, summary -- the best-scoring sentences (ties -> earlier)
-    that fit ``max_tokens`` together, in document order.  When even the
+    that fit ``max_tokens`` together, in document order, joined by ``sep``.  When even the
     best sentence is longer than the budget it is cut to ``max_tokens``
     words.  Documents without sentences get an empty summary.
 
@@ -79,7 +79,7 @@ def summarise(df: DataFrame, key: str = "doc_id", text: str = "text",
             sentence = F.get(sents, p["sidx"])
             first_cut = F.array_join(F.slice(F.split(sentence, WS + "+"), 1, max_tokens), " ")
             return F.when(p["cut"], first_cut).otherwise(sentence)
-        return F.array_join(F.transform(F.col("_picks"), one), " ")
+        return F.array_join(F.transform(F.col("_picks"), one), sep)
 
     summary = F.when(F.col("_picks").isNull(), F.lit("")).otherwise(
         bind(split_sentences(F.col("_text")), pick))
