@@ -534,6 +534,33 @@ def q_read_sql_dump(spark, sf_dir):
     return dumps.read_sql_dump(spark, path, "part", [("id", "bigint"), ("name", "string"), ("type", "string"), ("size", "int")])
 
 
+def q_read_page_dump(spark, sf_dir):
+    """Every document as a page element of a dump in the shared folder, some with a page id that is no number, read
+    back as pages and as rejected elements.  Texts are compared by their ASCII letters and digits."""
+    allowed = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", "")
+    key = F.col("doc_id").cast("string")
+    path = ST.work_dir(spark, "page-dump")
+    read_table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("Page "), key).alias("title"), F.lit(0).alias("ns"), F.concat(F.when(F.col("doc_id") % 50 == 3, "x").otherwise(""), key).alias("id"),
+        F.struct(F.col("doc_id").alias("id"), F.struct(allowed.alias("_VALUE"), F.length("text").alias("_bytes")).alias("text")).alias("revision"),
+    ).write.format("xml").option("rootTag", "mediawiki").option("rowTag", "page").save(path)
+    pages, rejected = dumps.page_dump_parts(spark, path)
+    letters = lambda c: F.md5(F.regexp_replace(c, "[^A-Za-z0-9]", ""))
+    good = pages.select(F.lit("page").alias("kind"), "page_id", "title", letters(F.get("revisions", F.lit(0))["text"]).alias("text_md5"))
+    raw = lambda path: F.get_json_object("raw", f"$.{path}")
+    return good.unionByName(rejected.select(
+        F.lit("rejected").alias("kind"), F.substring(raw("id"), 2, 30).cast("bigint").alias("page_id"), raw("title").alias("title"),
+        letters(F.coalesce(raw("revision[0].text._VALUE"), F.lit(""))).alias("text_md5")))
+
+
+def q_read_html_pages(spark, sf_dir):
+    """Fetched pages parted by status; the statuses are a stand-in."""
+    pages = read_table(spark, sf_dir, "pages").withColumn("status", F.when(F.col("page_id") % 7 == 2, 404).when(F.col("page_id") % 11 != 5, 200))
+    ok, bad = files.read_html_pages(pages)
+    return ok.select("page_id", "status", F.md5("html").alias("html_md5"), F.lit(None).cast("string").alias("error")).unionByName(
+        bad.select("page_id", "status", F.md5("html").alias("html_md5"), "error"))
+
+
 def q_extract_csv(spark, sf_dir):
     """The extract written as CSV to the shared folder and read back."""
     path = ST.work_dir(spark, "extract-csv")
@@ -578,6 +605,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **({"pipeline": PIPELINE.run} if PIPELINE else {}),
         "stream_merge_labels": q_stream_merge_labels,
         "read_sql_dump": q_read_sql_dump,
+        "read_page_dump": q_read_page_dump,
+        "read_html_pages": q_read_html_pages,
         "extract_csv": q_extract_csv,
         "dataset_files": q_dataset_files,
         "stream_upsert": q_stream_upsert,
@@ -736,6 +765,10 @@ def oracle_sql() -> dict[str, str]:
     return {
         **(LLM.ORACLE_SQL if LLM else {}),
         **({"pipeline": PIPELINE.ORACLE_SQL} if PIPELINE and PIPELINE.ORACLE_SQL else {}),
+        "read_page_dump": r"""SELECT CASE WHEN doc_id % 50 = 3 THEN 'rejected' ELSE 'page' END AS kind, doc_id AS page_id,
+       'Page ' || CAST(doc_id AS VARCHAR) AS title, md5(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9]', '', 'g')) AS text_md5 FROM documents""",
+        "read_html_pages": f"""SELECT page_id, s AS status, md5(html) AS html_md5, CASE WHEN s IS DISTINCT FROM 200 THEN '{files.FETCH_ERROR}' END AS error
+FROM (SELECT *, CAST(CASE WHEN page_id % 7 = 2 THEN 404 WHEN page_id % 11 <> 5 THEN 200 END AS INTEGER) AS s FROM pages)""",
         "read_sql_dump": "SELECT p_partkey AS id, p_name AS name, p_type AS type, p_size AS size FROM part",
         "extract_csv": f"""WITH {S.WIKI_PAGES}
 SELECT page_id, title, array_to_string({_KEPT}, ',') AS categories,

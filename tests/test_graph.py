@@ -140,3 +140,15 @@ def test_visit_counts(spark):
     m = spark.createDataFrame([("R1", 1), ("R1", 1), ("R2", 1), ("R2", 2)], "root string, page_id long")
     got = {r["page_id"]: (r["n_visits"], r["n_roots"]) for r in G.visit_counts(m).collect()}
     assert got == {1: (3, 2), 2: (1, 1)}
+
+
+def test_top_k_gives_out_k_rows_of_a_group_per_task(spark):
+    from topicforge.operators.skew import top_k_per_group
+
+    rows = [("hot", i * 7919 % 10007) for i in range(4000)] + [("cold", i) for i in range(3)]
+    df = spark.createDataFrame(rows, "g string, v long").repartition(4)
+    top = top_k_per_group(df, "g", [F.col("v")], 5)
+    want = [("cold", v, v + 1) for v in range(3)] + [("hot", v, k + 1) for k, v in enumerate(sorted(v for g, v in rows if g == "hot")[:5])]
+    assert sorted((r["g"], r["v"], r["_rank"]) for r in top.collect()) == want
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -1,3 +1,4 @@
+import json
 import os
 import tempfile
 
@@ -142,3 +143,69 @@ def test_sql_dump_long_values_forms_and_errors(spark, tmp_path):
     (tmp_path / "b.sql").write_text("INSERT INTO `t` SELECT * FROM u;\n")
     with pytest.raises(Exception, match="not a plain INSERT"):
         dumps.read_sql_dump(spark, str(tmp_path / "b.sql"), "t", [("a", "int")]).collect()
+
+
+MIXED = (
+    "LOCK TABLES `t` WRITE;INSERT INTO `t` VALUES (1,'a;b'),(2,'c;\nd');\r\n"
+    "-- it's a comment; with a quote\r\n/* ; ' */ INSERT INTO `t` VALUES\r\n(3,'e\\'f;\\\\');INSERT INTO `u` VALUES (9,'no;');\r\n"
+    "# another ' one\nINSERT INTO `t` VALUES (4,'x--y'),(5,'/* no comment */'),(6,'line\r\nend\\\nsame');\n"
+    "INSERT INTO `t` VALUES (7,'\"'),(8,'`;`'),(9,'it''s; fine'); INSERT INTO `t` VALUES (10,'')")
+
+
+def test_sql_statements_end_outside_quotes_only(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "m.sql").write_bytes(MIXED.encode())
+    want = {1: "a;b", 2: "c;\nd", 3: "e'f;\\", 4: "x--y", 5: "/* no comment */", 6: "line\r\nend\nsame", 7: '"', 8: "`;`", 9: "it's; fine", 10: ""}
+    columns = [("a", "int"), ("b", "string")]
+    read = lambda: {r["a"]: r["b"] for r in dumps.read_sql_dump(spark, str(tmp_path / "m.sql"), "t", columns).collect()}
+    assert read() == want
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("7b", "23b", "90b"):  # values, comments and statements that cross splits
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+            assert read() == want, size
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    (tmp_path / "open.sql").write_text("INSERT INTO `t` VALUES (1,'a);\n")
+    with pytest.raises(Exception, match="ends inside"):
+        dumps.read_sql_dump(spark, str(tmp_path / "open.sql"), "t", columns).collect()
+    (tmp_path / "none.sql").write_text("")
+    assert dumps.read_sql_dump(spark, str(tmp_path / "none.sql"), "t", columns).count() == 0
+
+
+def test_pages_that_cannot_be_read_are_kept_aside(spark, tmp_path):
+    page = "<page><title>T{0}</title><ns>0</ns><id>{1}</id><revision><id>{0}</id><timestamp>{2}</timestamp><text>x {0}</text></revision></page>\n"
+    day = "2020-01-02T00:00:00Z"
+    no_id = "<page><title>none</title><ns>0</ns></page>\n"
+    (tmp_path / "p.xml").write_text("<mediawiki>" + page.format(1, 1, day) + page.format(2, "two", day) + page.format(3, 3, day) + no_id
+                                    + page.format(4, 4, "then") + page.format(5, 5, day) + "</mediawiki>")
+    good, bad = dumps.page_dump_parts(spark, str(tmp_path / "p.xml"))
+    assert {r["page_id"]: (r["ns"], r["revisions"][0]["rev_id"], r["revisions"][0]["text"], str(r["revisions"][0]["ts"])[:10]) for r in good.collect()} == {
+        k: (0, k, f"x {k}", "2020-01-02") for k in (1, 3, 5)}
+    raw = {json.loads(r["raw"])["title"]: json.loads(r["raw"]) for r in bad.collect()}
+    assert set(raw) == {"T2", "T4", "none"} and raw["T2"]["id"] == "two" and raw["T2"]["revision"][0]["text"]["_VALUE"] == "x 2"
+    assert {r["page_id"] for r in dumps.read_page_dump(spark, str(tmp_path / "p.xml")).collect()} == {1, 3, 5}
+
+
+def test_first_rows_by_selection(spark, monkeypatch):
+    import random
+
+    from topicforge.operators import splits as SP
+
+    rng = random.Random(1)
+    wide = [rng.choice([-2**63, 2**63 - 1, 0, 5, 5, 5, rng.randrange(-2**62, 2**62)]) for _ in range(300)] + [None] * 4
+    for bins in (4096, 3):
+        monkeypatch.setattr(SP, "BINS", bins)
+        df = spark.createDataFrame([(v, i // 3, "x") for i, v in enumerate(wide)], "key long, row int, k string").repartition(5)
+        order = sorted(wide, key=lambda v: (v is not None, v or 0))
+        for k in (0, 1, 4, 5, 60, 150, 200, 303, 304, 900):
+            got = [r["key"] for r in SP.first_rows(df, "key", k).collect()]
+            assert sorted(got, key=lambda v: (v is not None, v or 0)) == order[:k], k
+    # the boundary's rows are the same on any partitioning; equal rows are taken as often as is due
+    some = sorted(map(tuple, SP.first_rows(df, "key", 150).collect()), key=str)
+    assert some == sorted(map(tuple, SP.first_rows(df.coalesce(1), "key", 150).collect()), key=str)
+    same = spark.createDataFrame([(7, "a")] * 20, "key int, k string")
+    assert SP.first_rows(same, "key", 6).count() == 6 and SP.first_rows(same.limit(0), "key", 6).count() == 0

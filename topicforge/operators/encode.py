@@ -35,7 +35,7 @@ def build_vocab(df: DataFrame, text: str = "text", size: int = 30_000) -> DataFr
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    top = global_top_k(counts, [F.col("n").desc(), F.col("word").asc()], size, "word")
+    top = global_top_k(counts, [F.col("n").desc(), F.col("word").asc()], size)
     return top.select("word", (F.col("_rank") + F.lit(FIRST_ID - 1)).cast("int").alias("id"), "n")
 
 

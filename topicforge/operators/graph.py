@@ -100,8 +100,7 @@ def root_pages(closure: DataFrame, members: DataFrame) -> DataFrame:
 def quota_pages(candidates: DataFrame, limit: int = 2000) -> DataFrame:
     """Per root, at most ``limit`` distinct pages, nearest levels first
     (ties by page_id)."""
-    return top_k_per_group(candidates, "root", [F.col("depth"), F.col("page_id")], limit,
-                           "page_id").drop("_rank")
+    return top_k_per_group(candidates, "root", [F.col("depth"), F.col("page_id")], limit).drop("_rank")
 
 
 def _full(seen: DataFrame, limit: int) -> DataFrame:

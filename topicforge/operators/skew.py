@@ -2,7 +2,9 @@
 
 * ``top_k_per_group``: exact top-k per group in two salted stages, so a
   group holding a third of all rows is ranked by many tasks, and the
-  final ranking task sees at most ``buckets * k`` rows of it.
+  final ranking task sees at most ``buckets * k`` rows of it.  The salt is
+  the number of the map task, so that a task's local top-k before the
+  first shuffle is ``k`` rows a group.
 * ``salted_join``: equi-join a large table to a per-key lookup table
   when the lookup is too large to broadcast; the large side is spread
   over ``buckets`` salts and the lookup replicated per salt, so a hot key
@@ -25,30 +27,29 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def top_k_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[Column], k: int,
-                    salt_key: str | Sequence[str], buckets: int = SALT_BUCKETS) -> DataFrame:
+                    buckets: int = SALT_BUCKETS) -> DataFrame:
     """Rows ranked 1..k within each group by ``order`` (exact).
 
     ``order`` must be a total order within the group.  Both stages are
     ``row_number() <= k`` windows, planned as partial window-group-limits
-    before their shuffles."""
+    before their shuffles: a map task gives out ``k`` rows of a group at
+    most.  Which task a row is in decides no result."""
     groups = [group] if isinstance(group, str) else list(group)
-    salts = [salt_key] if isinstance(salt_key, str) else list(salt_key)
     tune_for_group_limits(df.sparkSession, k)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in salts]), F.lit(buckets)))
+    salted = df.withColumn("_salt", F.spark_partition_id() % buckets)
     w1 = Window.partitionBy(*groups, "_salt").orderBy(*order)
     stage1 = salted.withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") <= k).drop("_rn", "_salt")
     w2 = Window.partitionBy(*groups).orderBy(*order)
     return stage1.withColumn("_rank", F.row_number().over(w2)).where(F.col("_rank") <= k)
 
 
-def global_top_k(df: DataFrame, order: Sequence[Column], k: int, salt_key: str | Sequence[str],
-                 buckets: int = SALT_BUCKETS) -> DataFrame:
+def global_top_k(df: DataFrame, order: Sequence[Column], k: int, buckets: int = SALT_BUCKETS) -> DataFrame:
     """The first ``k`` rows of ``df`` in ``order`` with their 1-based
     ``_rank``.  Unlike ``orderBy().limit(k)``, whose single final task reads
     every partition's local top-k, the final task here reads at most
     ``buckets * k`` rows."""
     one = df.withColumn("_all", F.lit(0))
-    return top_k_per_group(one, "_all", order, k, salt_key, buckets).drop("_all")
+    return top_k_per_group(one, "_all", order, k, buckets).drop("_all")
 
 
 def salted_join(big: DataFrame, lookup: DataFrame, on: str, spread: Sequence[str],

@@ -65,7 +65,7 @@ def summarise(df: DataFrame, key: str = "doc_id", text: str = "text",
     in the final projection."""
     scored = sentence_scores(df, key, text)
     order = [F.col("score").desc(), F.col("sidx").asc()]
-    best = top_k_per_group(scored, "_key", order, max_tokens, ["_key", "sidx"])
+    best = top_k_per_group(scored, "_key", order, max_tokens)
     w = Window.partitionBy("_key").orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
     best = best.withColumn("_cum", F.sum("n_tokens").over(w))
     keep = best.where((F.col("_cum") <= max_tokens) | (F.col("_rank") == 1)).select(

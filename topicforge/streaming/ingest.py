@@ -228,7 +228,7 @@ def stream_quota(stream: DataFrame, out: str, checkpoint: str, limit: int, key:
         try:
             if new.isEmpty():
                 return
-            ranked = top_k_per_group(new, label, [F.col(order), F.col(key)], limit, key)
+            ranked = top_k_per_group(new, label, [F.col(order), F.col(key)], limit)
             before = [b for b in _batches(spark, f"{out}/held") if b < batch_id]
             held = spark.createDataFrame([], f"{label} string, held bigint")
             if before:
