@@ -23,6 +23,7 @@ from topicforge.functions import text as TX  # noqa: E402
 from topicforge.functions import wikitext as WK  # noqa: E402
 from topicforge.functions import arrays as AR  # noqa: E402
 from topicforge.functions import html as HT  # noqa: E402
+from topicforge.operators import abbreviations as AB  # noqa: E402
 from topicforge.operators import curate  # noqa: E402
 from topicforge.operators import encode as EN  # noqa: E402
 from topicforge.operators import graph as GR  # noqa: E402
@@ -98,6 +99,11 @@ def q_lead_sentences(spark, sf_dir):
     return d.select("doc_id", TX.lead_sentences(F.col("text"), 5).alias("lead"))
 
 
+def q_abbreviation_scores(spark, sf_dir):
+    a = AB.abbreviation_scores(read_table(spark, sf_dir, "documents"))
+    return a.select("word", "n_period", "n_plain", _r6("score").alias("score"))
+
+
 def q_run_extract(spark, sf_dir):
     out = EX.run_extract(SI.page_dump(spark, sf_dir))
     return out.select("page_id", "title", F.array_join("categories", ",").alias("categories"), "text")
@@ -606,6 +612,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_merge_labels": q_stream_merge_labels,
         "read_sql_dump": q_read_sql_dump,
         "read_page_dump": q_read_page_dump,
+        "abbreviation_scores": q_abbreviation_scores,
         "read_html_pages": q_read_html_pages,
         "extract_csv": q_extract_csv,
         "dataset_files": q_dataset_files,
@@ -765,6 +772,14 @@ def oracle_sql() -> dict[str, str]:
     return {
         **(LLM.ORACLE_SQL if LLM else {}),
         **({"pipeline": PIPELINE.ORACLE_SQL} if PIPELINE and PIPELINE.ORACLE_SQL else {}),
+        "abbreviation_scores": r"""WITH t AS (SELECT unnest(regexp_split_to_array(text, '[\t\n\x0b\f\r \x1c-\x1f\x85\p{Z}]+')) AS t FROM documents),
+m AS (SELECT regexp_extract(t, '^["''(\[“‘]*(\p{L}+(?:\.\p{L}+)*)(\.?)[,;:!?"'')\]”’]*$', ['word', 'dot']) AS m FROM t
+      WHERE regexp_matches(t, '^["''(\[“‘]*(\p{L}+(?:\.\p{L}+)*)(\.?)[,;:!?"'')\]”’]*$')),
+w AS (SELECT m.word AS word, count(*) FILTER (WHERE m.dot = '.') AS a, count(*) FILTER (WHERE m.dot <> '.') AS b FROM m GROUP BY m.word),
+p AS (SELECT sum(a) / sum(a + b) AS p FROM w),
+s AS (SELECT word, a, b, length(replace(word, '.', '')) AS k, length(word) AS l,
+        2 * (a * ln(0.99) + b * ln(0.01) - a * ln(p) - b * ln(greatest(1 - p, 1e-12))) AS ratio FROM w, p WHERE a > 0)
+SELECT word, a AS n_period, b AS n_plain, round(ratio * exp(-k) * (l - k + 1) * pow(CAST(k AS DOUBLE), -b), 6) AS score FROM s""",
         "read_page_dump": r"""SELECT CASE WHEN doc_id % 50 = 3 THEN 'rejected' ELSE 'page' END AS kind, doc_id AS page_id,
        'Page ' || CAST(doc_id AS VARCHAR) AS title, md5(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9]', '', 'g')) AS text_md5 FROM documents""",
         "read_html_pages": f"""SELECT page_id, s AS status, md5(html) AS html_md5, CASE WHEN s IS DISTINCT FROM 200 THEN '{files.FETCH_ERROR}' END AS error
