@@ -103,14 +103,10 @@ def quota_pages(candidates: DataFrame, limit: int = 2000) -> DataFrame:
     return top_k_per_group(candidates, "root", [F.col("depth"), F.col("page_id")], limit).drop("_rank")
 
 
-def _full(seen: DataFrame, limit: int) -> DataFrame:
-    """A bitmap a bank of the roots that hold ``limit`` pages or more: at most one row for ``BANK`` roots.  Pages are
-    counted bit by bit, without a row for each root and page."""
-    counts = seen.groupBy("bank").agg(*[F.sum(F.getbit(F.col("mask"), F.lit(i)).cast("bigint")).alias(f"n{i}") for i in range(BANK)])
-    mask = F.lit(0).cast("bigint")
-    for i in range(BANK):
-        mask = mask.bitwiseOR(F.when(F.col(f"n{i}") >= limit, F.expr(f"shiftleft(1L, {i})")).otherwise(F.lit(0).cast("bigint")))
-    return counts.select("bank", mask.alias("_full"))
+def _full(seen: DataFrame, numbered: DataFrame, limit: int) -> DataFrame:
+    """A bitmap a bank of the roots that hold ``limit`` pages or more: at most one row for ``BANK`` roots."""
+    held = seen.join(numbered, "bank").where("getbit(mask, bit) = 1").groupBy("bank", "bit").agg(F.count(F.lit(1)).alias("n"))
+    return held.where(F.col("n") >= limit).groupBy("bank").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("_full"))
 
 
 def walk_with_quota(edges: DataFrame, roots: DataFrame, members: DataFrame, limit: int = 2000,
@@ -135,7 +131,7 @@ def walk_with_quota(edges: DataFrame, roots: DataFrame, members: DataFrame, limi
     seen = pages_of(level, nothing, 0)
     for depth in range(1, max_depth + 1):
         open_ = F.col("mask").bitwiseAND(F.bitwise_not(F.coalesce("_full", F.lit(0).cast("bigint"))))
-        frontier = level.join(_full(seen, limit), "bank", "left").select("category", "bank", open_.alias("mask")).where("mask <> 0")
+        frontier = level.join(_full(seen, numbered, limit), "bank", "left").select("category", "bank", open_.alias("mask")).where("mask <> 0")
         level = _next(frontier, e, reached, depth)
         if level.isEmpty():
             break

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicforge.functions.text import tokens
+from topicforge.functions.text import bind, tokens
 
 SCORE = T.StructType([
     T.StructField("precision", T.DoubleType()),
@@ -26,13 +26,10 @@ SCORE = T.StructType([
 ])
 
 
-def ngrams(c: Column | str, n: int) -> Column:
-    """Space-joined n-grams of the metric tokens (empty if fewer than n).
-
-    Built by zipping the token array with its shifted copies, so the
-    token array is never referenced inside a lambda (which would
-    re-tokenise the text once per element)."""
-    t = tokens(c)
+def ngrams(t: Column, n: int) -> Column:
+    """Space-joined n-grams of a token array (empty if fewer than n): the
+    array zipped with its shifted copies.  ``t`` is used several times, so
+    give a bound value (``bind(tokens(c), ...)``), not an expression."""
     grams = t
     for k in range(2, n + 1):
         grams = F.zip_with(grams, F.slice(t, k, 1 << 30), lambda g, w: F.concat(g, F.lit(" "), w))
@@ -54,8 +51,10 @@ def _tagged_grams(pairs: DataFrame, keys: list[str], ns: Sequence[int], predicti
     def tag(n: int, p: int, r: int):
         return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(p).alias("p"), F.lit(r).alias("r"))
 
-    entries = [F.transform(ngrams(col, n), tag(n, p, r))
-               for n in ns for col, p, r in ((prediction, 1, 0), (reference, 0, 1))]
+    def side(col: str, p: int, r: int) -> Column:  # each text is tokenised once
+        return bind(tokens(col), lambda t: F.concat(*[F.transform(ngrams(t, n), tag(n, p, r)) for n in ns]))
+
+    entries = [side(prediction, 1, 0), side(reference, 0, 1)]
     entries.append(F.array(*[F.struct(F.lit(n).alias("n"), F.lit("").alias("g"), F.lit(0).alias("p"), F.lit(0).alias("r")) for n in ns]))
     return pairs.select(*keys, F.explode(F.concat(*entries)).alias("_e")).select(*keys, "_e.*")
 
