@@ -246,6 +246,71 @@ def test_mix_budgets_and_selection(spark):
     assert mixing.mix(empty(spark), levels, none)[0].count() == 0
 
 
+def brute_shares(budget, children):
+    """{name: tokens} of (name, weight, cap): a level of water found by trying every child's own, then single tokens."""
+    open_, got = {n: (w, c) for n, w, c in children if w and c}, {n: 0 for n, _, _ in children}
+    budget = min(budget, sum(c for _, c in open_.values()))
+    while full := [n for n, (w, c) in open_.items() if c * sum(x for x, _ in open_.values()) <= budget * w]:
+        for n in full:
+            got[n] = open_[n][1]
+            budget -= open_.pop(n)[1]
+    whole = sum(w for w, _ in open_.values())
+    for n, (w, _) in open_.items():
+        got[n] = budget * w // whole
+    for n in sorted(open_, key=lambda n: (-(budget * open_[n][0] % whole), n))[:budget - sum(got[n] for n in open_)]:
+        got[n] += 1
+    return got
+
+
+def test_mix_budgets_against_brute_force(spark):
+    rng = random.Random(11)
+    for trial in range(4):
+        sizes = {(d, s): rng.choice([0, 1, 7, 50, rng.randint(1, 2000)]) for d in "abc" for s in "uvwxyz" if rng.random() < 0.9}
+        weights = {p: rng.choice([0, 1, 1, 2, 3, 9]) for p in [*"abc", *(f"{d}/{s}" for d in "abc" for s in "uvw")]}
+        percent, epochs = rng.choice([30, 80, 150]), rng.choice([1, 2])
+        cap = {k: t * epochs * (weights.get(k[0], 1) > 0 and weights.get("/".join(k), 1) > 0) for k, t in sizes.items()}
+        top = brute_shares(sum(sizes.values()) * percent // 100, [(d, weights.get(d, 1), sum(c for k, c in cap.items() if k[0] == d)) for d in {k[0] for k in sizes}])
+        want = {}
+        for d in top:
+            family = brute_shares(top[d], [(s, weights.get(f"{e}/{s}", 1), cap[e, s]) for e, s in sizes if e == d])
+            assert sum(family.values()) == top[d]
+            want.update({(d, s): b for s, b in family.items()})
+        got = mixing.leaf_budgets(spark.createDataFrame([(*k, t) for k, t in sizes.items()], "d string, s string, tokens long"), ["d", "s"],
+                                  spark.createDataFrame(list(weights.items()), "path string, weight long"), percent, epochs)
+        assert {(r.d, r.s): r.budget for r in got.collect()} == want, trial
+
+
+def test_mix_remainders_zero_and_negative_weights(spark):
+    none = spark.createDataFrame([], "path string, weight long")
+    equal = spark.createDataFrame([("x", 30), ("y", 30), ("z", 40)], "s string, tokens long")
+    assert {r.s: r.budget for r in mixing.leaf_budgets(equal, ["s"], none, 50, 1).collect()} == {"x": 17, "y": 17, "z": 16}
+    out = spark.createDataFrame([("x", 0)], "path string, weight long")
+    assert {r.s: r.budget for r in mixing.leaf_budgets(equal, ["s"], out, 50, 1).collect()} == {"x": 0, "y": 25, "z": 25}
+    with pytest.raises(Exception, match="negative weight of x"):
+        mixing.leaf_budgets(equal, ["s"], out.selectExpr("path", "weight - 1 AS weight"), 50, 1).collect()
+
+
+def test_mix_prefix_against_brute_force(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(k, words(rng, rng.randint(0, 30))) for k in range(150)] + [(7, "same row"), (7, "same row"), (8, "other text"), (None, "no id"), (151, None), (152, "long " * 400)]
+    levels, none = {"a": F.lit("x"), "b": F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 3)}, spark.createDataFrame([], "path string, weight long")
+    for digits, ordered in ((3, 10_000), (1, 2)):
+        monkeypatch.setattr(mixing, "DIGITS", digits)
+        monkeypatch.setattr(mixing, "ORDERED", ordered)
+        got, cuts = mixing.mix(docs(spark, rows), levels, none, 70, 2)
+        budget = {r["__level1"]: r.budget for r in cuts.collect()}
+        want = []
+        for leaf in budget:
+            mine = [(i, t or "") for i, t in rows if ("" if not (i or 0) % 3 else str(i % 3)) == leaf]
+            whole, part = divmod(budget[leaf], sum(len(t.split()) for _, t in mine))
+            order = sorted((hashlib.md5(f"mix-1:{whole}:{'' if i is None else i}:{hashlib.md5(t.encode()).hexdigest()}".encode()).hexdigest(), i, t) for i, t in mine)
+            for key, i, t in order:
+                before = sum(len(u.split()) for other, _, u in order if other < key)
+                if epochs := whole + (before < part):
+                    want.append((i, leaf, len(t.split()), epochs))
+        assert sorted(((r.doc_id, r.b, r.n_tokens, r.epochs) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(3)
     v = np.round(rng.normal(size=(400, 8)), 3)

@@ -124,21 +124,23 @@ QUERIES = {
 }
 
 def _level_sql(k: int, names: list[str]) -> str:
-    """One level of the budgets in SQL: the shares of ``names[k]`` within the budgets of level k - 1."""
+    """One level of the budgets in SQL: the shares of ``names[k]`` within the budgets of level k - 1.  A node is
+    full if all its siblings, filled to its own cap per weight or their caps, take no more than the budget."""
     here, above = ", ".join(names[:k + 1]), names[:k]
-    part = f"PARTITION BY {', '.join(above)} " if above else ""
+    family = f"PARTITION BY {', '.join(above)} " if above else ""
     on = " AND ".join(f"n.{c} = b.{c}" for c in above) or "true"
     path = " || '/' || ".join(f"l.{c}" for c in names[:k + 1])
-    order = f"{part}ORDER BY cap / weight, {names[k]}"
-    return f"""n{k} AS (SELECT {", ".join(f"l.{c}" for c in names[:k + 1])}, coalesce(w.weight, 1) AS weight, l.cap
-  FROM (SELECT {here}, CAST(sum(tokens) AS BIGINT) * {MIX_EPOCHS} AS cap FROM sizes GROUP BY {here}) l LEFT JOIN weights w ON w.path = {path}),
-a{k} AS (SELECT n.*, b.budget FROM n{k} n JOIN b{k} b ON {on}),
-s{k} AS (SELECT *, greatest(0, budget - coalesce(sum(cap) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS left_here,
-  sum(weight) OVER ({order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_on FROM a{k}),
-o{k} AS (SELECT *, max(CASE WHEN cap * weight_on <= left_here * weight THEN 0 ELSE 1 END) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS opened FROM s{k}),
-r{k} AS (SELECT *, budget - sum(CASE WHEN opened = 0 THEN cap ELSE 0 END) OVER ({part}) AS rest,
-  sum(CASE WHEN opened = 1 THEN weight ELSE 0 END) OVER ({part}) AS rest_weight FROM o{k}),
-b{k + 1} AS (SELECT {here}, CAST(CASE WHEN opened = 0 THEN cap ELSE least(cap, (rest * weight) // greatest(rest_weight, 1)) END AS BIGINT) AS budget FROM r{k})"""
+    mine = ", ".join(f"n.{c}" for c in names[:k + 1])
+    return f"""n{k} AS (SELECT {", ".join(f"l.{c}" for c in names[:k + 1])}, CAST(coalesce(w.weight, 1) AS HUGEINT) AS weight, l.cap
+  FROM (SELECT {here}, CAST(sum(tokens) AS HUGEINT) * {MIX_EPOCHS} AS cap FROM sizes GROUP BY {here}) l LEFT JOIN weights w ON w.path = {path}),
+f{k} AS (SELECT {mine}, n.weight, n.cap, any_value(s.budget) AS budget,
+  CAST(sum(least(s.cap * n.weight, n.cap * s.weight)) AS HUGEINT) <= any_value(s.budget) * n.weight AS is_full
+  FROM n{k} n JOIN (SELECT n.*, b.budget FROM n{k} n JOIN b{k} b ON {on}) s ON {on.replace("b.", "s.")} GROUP BY {mine}, n.weight, n.cap),
+r{k} AS (SELECT *, budget - CAST(sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER ({family}) AS HUGEINT) AS rest,
+  CAST(sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER ({family}) AS HUGEINT) AS w FROM f{k}),
+q{k} AS (SELECT *, CASE WHEN is_full THEN cap ELSE rest * weight // w END AS base,
+  row_number() OVER ({family}ORDER BY CASE WHEN is_full THEN -1 ELSE rest * weight % w END DESC, {names[k]}) AS nth FROM r{k}),
+b{k + 1} AS (SELECT {here}, CAST(base + CASE WHEN NOT is_full AND nth <= budget - sum(base) OVER ({family}) THEN 1 ELSE 0 END AS BIGINT) AS budget FROM q{k})"""
 
 
 def _mix_sql() -> str:
