@@ -328,6 +328,41 @@ def test_top_k_against_brute_force(spark):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_top_k_of_repeated_rows_and_ids(spark):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(60, 4)).round(2).tolist()
+    rows = list(enumerate(v)) + [(3, v[3])] * 3 + [(0, v[0])] * 2 + [(0, [1.0, 1.0, -1.0, 0.0])] + [(7, [9.0, 9.0, 9.0, 9.0])] * 9
+    df = spark.createDataFrame([(i, x, 1, "b") for i, x in rows], "vec_id long, embedding array<double>, copies int, block string")
+    whole = [(i, np.floor(1024 * np.array(x)).astype(int)) for i, x in rows]
+    want = set()
+    for i, q in {(i, tuple(x)) for i, x in whole if i % 20 == 0}:
+        best = sorted((-int(np.array(q) @ x), j) for j, x in whole if j != i)[:6]
+        want |= {(i, q, n + 1, j, -s) for n, (s, j) in enumerate(best)}
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=6)
+    keys = {(r.vec_id, r.key): tuple(r.v) for r in topk.whole_vectors(df, F.lit(True), "vec_id", "embedding", 1024, 6).withColumn("key", F.xxhash64("v")).collect()}
+    rows_got = [(r.query_id, keys[r.query_id, r.query_key], r["rank"], r.vec_id, r.score) for r in got.collect()]
+    assert len(rows_got) == len(want) and set(rows_got) == want
+    with pytest.raises(Exception, match="different lengths"):
+        topk.top_k(spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>"), F.lit(True)).collect()
+
+
+def test_sorted_lists_end_by_bounds():
+    rng = np.random.default_rng(9)
+    near = rng.integers(-1000, 1000, size=(20, 6))
+    vectors = np.concatenate([near + 4000, rng.integers(-1000, 1000, size=(5000, 6)), np.zeros((30, 6), dtype=int)])
+    ids = rng.permutation(len(vectors))
+    lists = topk.SortedLists(ids, np.ones(len(ids), dtype=int), vectors)
+    for query in [near[0] + 4000, -near[1] - 4000, rng.integers(-9, 9, size=6), np.array([5, 0, 0, 0, 0, 0]), np.zeros(6, dtype=int)]:
+        before = lists.read
+        got = lists.search(query, -1, 10)
+        want = sorted(zip((-(vectors @ query)).tolist(), ids.tolist()))[:10]
+        assert list(zip((-got[1]).tolist(), got[0].tolist())) == want
+        assert lists.read - before <= vectors.size
+    only = topk.SortedLists(ids, np.ones(len(ids), dtype=int), vectors)
+    only.search(np.full(6, 4000), -1, 10)
+    assert only.read < vectors.size // 4  # a clear lead ends the reading early
+
+
 def labelled(spark, rng):
     rows = [(k, words(rng, 60) + (" ### $$$ ||| " * 30 if k % 3 == 0 else "")) for k in range(120)]
     return docs(spark, [*rows, (900, ""), (901, None)]), spark.createDataFrame([(k, int(k % 3 != 0)) for k, _ in rows], "doc_id long, quality int")
