@@ -453,3 +453,46 @@ def test_pipeline_stages(spark):
     want = brute_components([(r.doc_id, r.text) for r in kept.select("doc_id", "text").collect()])
     assert sorted(r.doc_id for r in one.select("doc_id").collect()) == sorted(i for i, (_, c) in want.items() if i == c)
     assert P.run(spark, d).columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+
+
+#: Names that the operators use inside, as columns of the input.
+CLASHES = ["__gone", "__twice", "__n", "__doc", "__spans", "__row", "__level0", "count", "budget"]
+
+
+def clashing(spark, rows):
+    df = docs(spark, rows)
+    for k, name in enumerate(CLASHES):
+        df = df.withColumn(name, F.lit(k))
+    return df.withColumns({"lang": F.lit(None).cast("string"), "source": F.lit("host7")})
+
+
+def test_names_of_columns_cannot_clash(spark):
+    rng = random.Random(21)
+    a, b, c = words(rng, 80), words(rng, 40), words(rng, 90)
+    rows = [(1, a), (2, a), (3, f"{b} {a} {b[::-1]}"), (4, c), (4, "second text of four"), (None, c), (5, None), (6, "")]
+    df = clashing(spark, rows)
+    one = jaccard.one_of_each(df)
+    assert one.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in one.collect()), key=str) == sorted(
+        [(1, a), (3, rows[2][1]), (4, min(c, "second text of four")), (None, c), (5, None), (6, "")], key=str)
+    assert all(r[name] == k for r in one.collect() for k, name in enumerate(CLASHES))
+    cut = passages.cut_passages(df, spark.createDataFrame([(3, 40, 120)], "doc_id long, start_word long, end_word long"))
+    assert cut.columns == df.columns and {r.doc_id: r.text for r in cut.where("doc_id = 3").collect()} == {3: f"{b} {b[::-1]}"}
+    assert cut.count() == len(rows) and all(r[name] == k for r in cut.collect() for k, name in enumerate(CLASHES))
+
+
+def test_pipeline_takes_nulls_repeats_clashing_names_and_empty_tables(spark):
+    import corpus_pipeline as P
+
+    d, rng = "/root/testdata/sf0.001", random.Random(22)
+    a = words(rng, 120)
+    rows = [(10**9 + k, words(rng, 60)) for k in range(5)] + [(10**9 + 9, a), (10**9 + 10, a), (None, "no id"), (10**9 + 11, None), (10**9 + 12, "")]
+    odd = clashing(spark, rows)
+    whole = P.table(spark, d, "documents").unionByName(odd, allowMissingColumns=True)
+    for start in (whole, odd.limit(0)):
+        at = P.reliable_checkpoint(start)
+        for name, stage in P.STAGES:
+            after = P.reliable_checkpoint(stage(spark, at, d))
+            assert (after.columns == at.columns) == (name != "token_ids")
+            at = after
+        assert (at.count() > 0) == (start is whole)

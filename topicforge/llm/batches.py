@@ -27,6 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, with underscores before them until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no model may learn from: crc32(doc_id as text) mod 3 is 1."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1, F.lit(False))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicforge.llm.batches import id_text, map_arrow, map_batches, per_task, record, slices, texts_of
+from topicforge.llm.batches import free_names, id_text, map_arrow, map_batches, per_task, record, slices, texts_of
 from topicforge.llm.components import components
 from topicforge.llm.shingles import Words
 from topicforge.session import reliable_checkpoint
@@ -248,17 +248,18 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id
     doc_id stays.  Of rows that repeat a doc_id the one with the smallest text stays; rows without a doc_id
     stay."""
     found = jaccard_components(docs, size, percent, id_col, text_col)
-    gone = reliable_checkpoint(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")))
+    gone_col, twice_col, nth_col = free_names(docs, "__gone", "__twice", "__n")
+    gone = reliable_checkpoint(found.where("doc_id <> component_id").select(F.col("doc_id").alias(gone_col)))
     side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone.hint("shuffle_hash")
-    left = docs.join(side, docs[id_col].cast("bigint") == F.col("__gone"), "left_anti")
-    twice = reliable_checkpoint(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("__twice"))
-                                .count().where("count > 1").select("__twice"))
+    left = docs.join(side, docs[id_col].cast("bigint") == F.col(gone_col), "left_anti")
+    twice = reliable_checkpoint(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias(twice_col))
+                                .agg(F.count(F.lit(1)).alias(nth_col)).where(F.col(nth_col) > 1).select(twice_col))
     if twice.isEmpty():
         return left
-    again = left[id_col].cast("bigint") == F.col("__twice")
+    again = left[id_col].cast("bigint") == F.col(twice_col)
     first = Window.partitionBy(id_col).orderBy(text_col, F.xxhash64(*docs.columns))
     return (left.join(twice, again, "left_anti")
-            .unionByName(left.join(twice, again, "left_semi").withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")))
+            .unionByName(left.join(twice, again, "left_semi").withColumn(nth_col, F.row_number().over(first)).where(F.col(nth_col) == 1).drop(nth_col)))
 
 
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",

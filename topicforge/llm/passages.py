@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from topicforge.llm.batches import id_text, map_arrow, map_batches, record, slices, texts_of
+from topicforge.llm.batches import free_names, id_text, map_arrow, map_batches, record, slices, texts_of
 from topicforge.llm.shingles import Words
 from topicforge.session import reliable_checkpoint
 
@@ -489,12 +489,13 @@ def cut_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", t
                  size_col: str | None = None) -> DataFrame:
     """``docs`` without the words of the passages; the other columns stay, ``size_col`` gets the new length in
     characters.  A document of which nothing is left is dropped; one that has no passage is not touched."""
-    spans = reliable_checkpoint(passages.select(F.col("doc_id").alias("__doc"), "start_word", "end_word").distinct()
-                                .groupBy("__doc").agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("__spans")))
+    doc_name, spans_name = free_names(docs, "__doc", "__spans")
+    spans = reliable_checkpoint(passages.select(F.col("doc_id").alias(doc_name), "start_word", "end_word").distinct()
+                                .groupBy(doc_name).agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias(spans_name)))
     side = F.broadcast(spans) if spans.count() <= BROADCAST_ROWS else spans.hint("shuffle_hash")
-    joined = docs.join(side, docs[id_col].cast("bigint") == F.col("__doc"), "left").drop("__doc")
-    untouched = joined.where("__spans is null").drop("__spans")
-    hit = joined.where("__spans is not null")
+    joined = docs.join(side, docs[id_col].cast("bigint") == F.col(doc_name), "left").drop(doc_name)
+    untouched = joined.where(F.col(spans_name).isNull()).drop(spans_name)
+    hit = joined.where(F.col(spans_name).isNotNull())
     schema, text_at = docs.schema, docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
