@@ -3,6 +3,7 @@ columns with clashing names, each against brute force, an exact round trip or th
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -379,6 +380,44 @@ def test_quality_scores(spark):
     assert quality_model.score_quality(empty(spark), quality_model.fit_quality(empty(spark), labels)).count() == 0
 
 
+def test_reduced_quality_scores_are_those_of_averaged_vectors():
+    rng, gen = random.Random(6), np.random.default_rng(6)
+    vectors, layer, bias = gen.normal(size=(quality_model.BUCKETS, 3)), gen.normal(size=(2, 3)), gen.normal(size=2)
+    score = quality_model._scorer((vectors @ (layer[1] - layer[0]), bias[1] - bias[0]))
+
+    def pair(a, b):
+        a, b = zlib.crc32(a.encode()), zlib.crc32(b.encode())
+        mixed = (a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F) % 2**64 >> 29
+        return quality_model.REPEAT if a == b else mixed % (quality_model.BUCKETS - 1) + 1
+
+    for text in ["", "one", "same same same", "日本語 été", "a b\n\nc", words(rng, 30), words(rng, 5000), *(words(rng, n) for n in range(2, 12))]:
+        ws = text.split()
+        features = [f for w in ws for f in quality_model.word_features(w)] + [pair(a, b) for a, b in zip(ws, ws[1:])]
+        z = layer @ (vectors[features].mean(axis=0) if features else np.zeros(3)) + bias
+        assert score(text) == pytest.approx(np.exp(z[1]) / np.exp(z).sum(), abs=1e-9)
+
+
+def brute_line_counts(text):
+    ws, lines = re.findall(r"[^\x20\x09-\x0D]+", text), text.split("\n")
+    windows = [tuple(ws[i:i + 3]) for i in range(len(ws) - 2)]
+    twice = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 3)}
+    dup = sum(bool(re.search(r"[^\x20\x09-\x0D]", line)) and line in lines[:k] for k, line in enumerate(lines))
+    return (len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(twice), len(ws) < 50 or 100 * len(twice) > 50 * len(ws))
+
+
+def test_line_counts_against_brute_force(spark):
+    d, labels = labelled(spark, random.Random(2))
+    rng = random.Random(12)
+    bits = ["a", "bb", "a", "c#", "*$%", "日本", "x\x1cy", "\u00a0", "<b>"]
+    texts_ = ["", None, "\n\n", " a \n a \n a ", "a b c a b c", "a\r\na\r\na", "same line\n" * 40, words(rng, 3000) + "\n" + words(rng, 20)]
+    texts_ += ["".join(rng.choice(bits) + rng.choice([" ", " ", "\n", "\t", "  ", "\r\n", "\x0b"]) for _ in range(rng.randint(1, 120))) for _ in range(60)]
+    rows = list(enumerate(texts_)) + [(5, texts_[5])]
+    got = line_crf.mark_lines(docs(spark, rows), line_crf.fit_lines(d, labels)).collect()
+    want = [(i, *brute_line_counts(t or "")) for i, t in rows]
+    assert sorted((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == sorted(want)
+    assert not any(r.kept for r in got if r.base_failed)
+
+
 def test_line_marks_and_counts(spark):
     d, labels = labelled(spark, random.Random(2))
     field = line_crf.fit_lines(d, labels)
