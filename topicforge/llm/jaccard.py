@@ -10,7 +10,7 @@ its transpose holds the overlaps.  Only what can reach the threshold is multipli
 3. The product of these columns, blocked by column, accumulates the overlap of every pair that meets.  With
    p kept columns and n in all, the whole overlap is at most the accumulated one plus the larger n - p; pairs
    whose sizes demand more are discarded.  A column that one row alone has cannot add to any overlap, so the
-   number of the others bounds the overlap of a row before any pair is formed.
+   number of the others bounds the overlap of a row before any pair is formed, and rows with too few go.
 4. The pairs left are multiplied out over all columns, and linked if they reach the threshold.
 
 A large group of near copies would meet in nearly all pairs.  So the product is first taken with one row of
@@ -74,6 +74,14 @@ def _can_reach(percent: int, over: Column) -> Column:
             & (over + F.when(F.col("x.e") <= F.col("y.e"), rest(xn)).otherwise(rest(yn)) >= _needed(xn, yn, percent)))
 
 
+def least_shared(n: Column, percent: int) -> Column:
+    """How many kept columns a row of size n must have in common with others to link with any.  Of sizes that
+    can link, each is at least ``percent`` percent of the other, and so is the overlap of each: what
+    ``_can_reach`` asks of a pair is never less than this asks of either row."""
+    share = lambda m: F.ceil(F.lit(percent) * m / F.lit(100)).cast("bigint")
+    return F.least(share(share(n)), F.lit(1 + EXTRA))
+
+
 def _frequent(rows: DataFrame, size: int, percent: int) -> np.ndarray:
     """The frequent columns, counted over the columns that an order by hash alone would keep."""
 
@@ -269,18 +277,19 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     links of the class that were used (enough to tie the component together, not all there are)."""
     rows = id_text(docs, id_col, text_col).where("doc_id is not null")
     sets = reliable_checkpoint(shingle_sets(rows, size, percent))
-    classes = sets.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
-    member = reliable_checkpoint(sets.select("doc_id", "n", "s1", "s2").distinct().join(classes, ["s1", "s2", "n"], "left")
+    # Of each class the row of the smallest doc_id, in one exchange that is combined before it.
+    reps = reliable_checkpoint(sets.where("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "common", "e", "kept")).alias("r"))
+                               .select("s1", "s2", "n", F.col("r.doc_id").alias("rep"), "r.common", "r.e", "r.kept"))
+    member = reliable_checkpoint(sets.select("doc_id", "n", "s1", "s2").distinct().join(reps.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left")
                                  .select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")))
     # A doc_id that is repeated with other texts joins their classes.
     same = member.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    reps = sets.join(classes, ["s1", "s2", "n"]).where("doc_id = rep").dropDuplicates(["doc_id", "s1", "s2"])
     meeting = reps.select("rep", "n", "common", "e", F.explode("kept").alias("h"))
     shared = meeting.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("df > 1").drop("df")
-    shared = reliable_checkpoint(shared)
-    # k: kept columns that some other row has too
-    rich = shared.groupBy("rep", "n").agg(F.count(F.lit(1)).alias("k"))
-    table = reliable_checkpoint(shared.join(rich, ["rep", "n"]))
+    # k: kept columns that some other row has too; rows with too few to reach the threshold go
+    rich = reliable_checkpoint(shared.groupBy("rep", "n", "common", "e").agg(F.collect_list("h").alias("hs"))
+                               .withColumn("k", F.size("hs").cast("bigint")).where(F.col("k") >= least_shared(F.col("n"), percent)))
+    table = rich.select("rep", "n", "common", "e", "k", F.explode("hs").alias("h"))
     pivot = table.groupBy("h").agg(F.max(F.struct((F.col("common") / F.col("n")).alias("alike"), (F.col("k") / F.col("n")).alias("own"), (-F.col("rep")).alias("first"), "rep", "n", "k", "e")).alias("p"))
     star = (table.alias("y").join(pivot.select("h", "p.rep", "p.n", "p.k", "p.e").alias("x"), "h")
             .where((F.col("x.rep") != F.col("y.rep")) & _can_reach(percent, F.least("x.k", "y.k")))
@@ -291,10 +300,11 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     # Overlaps are compared in whole numbers, so the rounded percentage is no second opinion on the threshold.
     links = near.where(F.col("percent") >= percent).select("a", "b")
     label = lambda c, name: c.select(F.col("node").alias("rep"), F.col("component").alias(name))
-    placed = reliable_checkpoint(
-        table.join(label(components(links), "component"), "rep", "left").join(label(components(near), "family"), "rep", "left")
-        .select("h", "rep", "n", "k", "e", F.coalesce("component", "rep").alias("component"), F.coalesce("family", "rep").alias("family")))
-    member_of = placed.select(F.col("rep").alias("doc_id"), "family", "component", "n").distinct()
+    labelled = reliable_checkpoint(
+        rich.join(label(components(links), "component"), "rep", "left").join(label(components(near), "family"), "rep", "left")
+        .select("hs", "rep", "n", "k", "e", F.coalesce("component", "rep").alias("component"), F.coalesce("family", "rep").alias("family")))
+    placed = labelled.select(F.explode("hs").alias("h"), "rep", "n", "k", "e", "component", "family")
+    member_of = labelled.select(F.col("rep").alias("doc_id"), "family", "component", "n").distinct()
     split = member_of.groupBy("family").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("family")
     within = reliable_checkpoint(family_links(reliable_checkpoint(member_of.join(split, "family")), cols, percent))
     open_ = placed.groupBy("h").agg(F.min("family").alias("lo"), F.max("family").alias("hi")).where("lo <> hi").select("h")
