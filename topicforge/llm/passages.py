@@ -14,9 +14,13 @@ Finds passages that a document shares, exactly or with small changes, with a doc
    position.  Chains are parted where a gap is long.
 5. Chains are aligned: stretches between neighbouring matches are compared word by word, by least edits where
    their lengths differ, and both ends are extended, past words that differ too, while ``percent`` percent of
-   the words added agree, however the extension is cut short.  Passages of at least
-   ``min_words`` words, of which ``percent`` percent agree, come out.
-6. What the first occurrences leave: windows of ``min_words`` words that no passage so far holds, and whose
+   the words added agree, however the extension is cut short, until the texts end or differ by as much as
+   ``LONGEST_GAP`` words.  Passages of at least ``min_words`` words, of which ``percent`` percent agree, come out.
+6. A changed passage whose seeds stand scattered over several documents before has none of those as its
+   source.  So seeds that no passage holds are matched once more in pairs that stand near each other, each with
+   the first document that holds both near each other, and those matches are chained and aligned alike.  Only
+   documents before that hold two of a passage's seeds together, for each of its pairs, can hide its source now.
+7. What the first occurrences leave: windows of ``min_words`` words that no passage so far holds, and whose
    seeds all stand in documents before, are matched as wholes with the first document that holds the window.
    Runs of such windows are passages too; so each run of ``min_words`` words that any document before holds,
    word by word, is covered (``min_words`` of ``K`` or more).
@@ -38,15 +42,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicforge.llm.batches import free_names, id_text, map_arrow, map_batches, record, slices, texts_of
-from topicforge.llm.shingles import Words
+from topicforge.llm.shingles import Words, mix
 from topicforge.session import reliable_checkpoint
 
 K, WINDOW = 6, 12
 MIN_WORDS, PERCENT = 50, 80
 #: The cost of a gap, a word of it in either text; the longest gap inside a passage, in words.
 GAP_COST, LONGEST_GAP = 0.01, 30
-#: Words beside a chain that are fetched to extend it.
-MARGIN = 64
+#: Words beside a chain that are fetched to extend it, at first; chains that go on there are fetched anew with
+#: ``MORE`` times as many, until none does.
+MARGIN, MORE = 64, 8
+#: With so many shared seeds after it a shared seed forms pairs, as far as they stand near each other.
+AHEAD = 4
 #: Up to so many rows a list of documents or spans is broadcast to the texts; beyond, texts are shuffled to it.
 BROADCAST_ROWS = 1_000_000
 #: A k-mer with so many rows, estimated from one row of ``HOT_PROBE``, is hot; at most the ``MOST_HOT`` hottest
@@ -191,20 +198,31 @@ def extension(equal: np.ndarray, percent: int) -> tuple[int, int]:
     """How many words to go on, given which of them agree, and how many of those agree: the end of the best
     score, where an agreeing word gains 100 - ``percent`` and another loses ``percent``; the furthest of
     equal ones.  So the share of ``percent`` holds in the extension and in each end piece of it."""
-    score = np.cumsum(np.where(equal, 100 - percent, -percent))
+    score = np.cumsum(np.where(equal, 100 - percent, -percent))[:last_word(equal, percent)]
     if not len(score) or score.max() < 0:
         return 0, 0
     run = len(score) - int(score[::-1].argmax())
     return run, int(equal[:run].sum())
 
 
+def last_word(equal: np.ndarray, percent: int) -> int | None:
+    """The word at which an extension's score has fallen from its best by what ``LONGEST_GAP`` differing words
+    lose; there it is given up, whatever follows.  None if that happens nowhere."""
+    score = np.cumsum(np.where(equal, 100 - percent, -percent))
+    fallen = np.maximum(np.maximum.accumulate(score), 0) - score > percent * LONGEST_GAP
+    return int(fallen.argmax()) if fallen.any() else None
+
+
 def align(path: list[tuple[int, int]], doc: np.ndarray, doc_at: int, source: np.ndarray, source_at: int,
-          percent: int = PERCENT) -> tuple[int, int, int, int, int]:
-    """(start, end, source start, source end, agreeing words) of a chain.  ``doc`` and ``source`` are word
-    hashes from the positions ``doc_at`` and ``source_at`` on."""
+          percent: int = PERCENT, more: bool = False) -> tuple[int, int, int, int, int, bool]:
+    """(start, end, source start, source end, agreeing words, unfinished) of a chain.  ``doc`` and ``source``
+    are word hashes from the positions ``doc_at`` and ``source_at`` on; with ``more`` both texts may go on
+    after them.  Unfinished: an end was still being extended where the words given end."""
     x, y = path[0][0] - doc_at, path[0][1] - source_at
     back = min(x, y)
-    run, agree = extension(doc[x - back:x][::-1] == source[y - back:y][::-1], percent)
+    before = doc[x - back:x][::-1] == source[y - back:y][::-1]
+    run, agree = extension(before, percent)
+    unfinished = doc_at > 0 and source_at > 0 and last_word(before, percent) is None
     start, source_start = x - run, y - run
     for p, a in path:
         p, a = p - doc_at, a - source_at
@@ -222,8 +240,10 @@ def align(path: list[tuple[int, int]], doc: np.ndarray, doc_at: int, source: np.
         agree += size
         x, y = p + size, a + size
     on = min(len(doc) - x, len(source) - y)
-    run, more = extension(doc[x:x + on] == source[y:y + on], percent)
-    return start + doc_at, x + run + doc_at, source_start + source_at, y + run + source_at, agree + more
+    after = doc[x:x + on] == source[y:y + on]
+    run, added = extension(after, percent)
+    unfinished = unfinished or (more and last_word(after, percent) is None)
+    return start + doc_at, x + run + doc_at, source_start + source_at, y + run + source_at, agree + added, unfinished
 
 
 def _chain_table(matches: DataFrame) -> DataFrame:
@@ -259,8 +279,10 @@ def _chain_table(matches: DataFrame) -> DataFrame:
 def _slices(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """(chain, role, at, words binary): the word hashes of each span (doc_id, chain, role, lo, hi).  A
     document's text is read once for up to ``SPANS`` of its spans."""
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("chain", "role"))
-    packed = reliable_checkpoint(spans.withColumn("part", F.floor(number / SPANS)).groupBy("doc_id", "part")
+    # The first holder of a common passage has a span for each document that repeats it: dealt over parts.
+    many = spans.groupBy("doc_id").agg(F.ceil(F.count(F.lit(1)) / SPANS).alias("parts")).where("parts > 1")
+    part = F.coalesce(F.pmod(F.xxhash64("chain", "role"), F.col("parts")), F.lit(0)).alias("part")
+    packed = reliable_checkpoint(spans.join(many, "doc_id", "left").select("doc_id", "chain", "role", "lo", "hi", part).groupBy("doc_id", "part")
                                  .agg(F.collect_list(F.struct("chain", "role", "lo", "hi")).alias("spans")).drop("part"))
     side = F.broadcast(packed) if spans.count() <= BROADCAST_ROWS else packed.hint("shuffle_hash")
 
@@ -278,10 +300,24 @@ def _slices(rows: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def _aligned(found: DataFrame, rows: DataFrame, min_words: int, percent: int) -> DataFrame:
-    """Passages of the chains ``found`` (chain, doc_id, source, pos, source_pos)."""
+    """Passages of the chains ``found`` (chain, doc_id, source, pos, source_pos).  Each round fetches more words
+    for the chains that were still being extended, as many rounds as the longest passage's length has digits."""
+    margin, out = MARGIN, None
+    while True:
+        done = reliable_checkpoint(_aligned_within(found, rows, min_words, percent, margin))
+        part = done.where("not unfinished").drop("chain", "unfinished")
+        out = part if out is None else out.unionByName(part)
+        left = done.where("unfinished").select("chain")
+        if left.isEmpty():
+            return out
+        found, margin = reliable_checkpoint(found.join(left, "chain", "left_semi")), margin * MORE
+
+
+def _aligned_within(found: DataFrame, rows: DataFrame, min_words: int, percent: int, margin: int) -> DataFrame:
+    """Passages of the chains with ``margin`` words at both ends, and as ``unfinished`` the chains that need more."""
     span = lambda doc, p, role: found.select(
-        F.col(doc).alias("doc_id"), "chain", F.lit(role).alias("role"), (F.element_at(p, 1) - MARGIN).alias("lo"),
-        (F.element_at(p, -1) + K + MARGIN).alias("hi"))
+        F.col(doc).alias("doc_id"), "chain", F.lit(role).alias("role"), (F.element_at(p, 1) - margin).alias("lo"),
+        (F.element_at(p, -1) + K + margin).alias("hi"))
     none = F.lit(None)
     parts = (_slices(rows, span("doc_id", "pos", 1).unionByName(span("source", "source_pos", 2)))
              .withColumns({"doc_id": none.cast("bigint"), "source": none.cast("bigint"), "pos": none.cast("array<int>"), "source_pos": none.cast("array<int>")}))
@@ -301,13 +337,77 @@ def _aligned(found: DataFrame, rows: DataFrame, min_words: int, percent: int) ->
                     if role == 2 and 0 in held and 1 in held:
                         _, _, d, s, dp, sp = held[0]
                         mine, theirs = np.frombuffer(held[1][1], dtype=np.uint32), np.frombuffer(words, dtype=np.uint32)
-                        lo, hi, slo, shi, agree = align(list(zip(dp, sp)), mine, held[1][0], theirs, start, percent)
-                        if hi - lo >= min_words and 100 * agree >= percent * max(hi - lo, shi - slo):
-                            out.append((d, lo, hi, s, slo, shi, agree))
-            kinds = ("doc_id", "start_word", "end_word", "source_doc_id", "source_start", "source_end", "n_equal")
-            yield record(**{k: pa.array([r[i] for r in out], pa.int64()) for i, k in enumerate(kinds)})
+                        more = held[1][0] + len(mine) == dp[-1] + K + margin and start + len(theirs) == sp[-1] + K + margin
+                        lo, hi, slo, shi, agree, unfinished = align(list(zip(dp, sp)), mine, held[1][0], theirs, start, percent, more)
+                        if unfinished or hi - lo >= min_words and 100 * agree >= percent * max(hi - lo, shi - slo):
+                            out.append((d, lo, hi, s, slo, shi, agree, chain, unfinished))
+            kinds = ("doc_id", "start_word", "end_word", "source_doc_id", "source_start", "source_end", "n_equal", "chain", "unfinished")
+            yield record(**{k: pa.array([r[i] for r in out], pa.bool_() if k == "unfinished" else pa.int64()) for i, k in enumerate(kinds)})
+
+    return map_arrow(dealt, run, PASSAGE + ", chain bigint, unfinished boolean")
+
+
+def _near_pairs(reps: DataFrame, shared: DataFrame, passages: DataFrame | None) -> DataFrame:
+    """(doc_id, pos, pos2, key): pairs of shared seeds that stand near each other.  With ``passages``, only those
+    asked for: both seeds stand in documents before, but the first that hold them do not hold them near each
+    other, and no passage holds both."""
+    known = shared.where("nth = 0").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "source", "source_pos"))).alias("shared"))
+    none = F.lit(None).cast("array<struct<start_word:bigint,end_word:bigint>>")
+    joined = reps.select("doc_id", "pos", "kmer").join(known, "doc_id")
+    if passages is None:
+        joined = joined.withColumn("spans", none)
+    else:
+        joined = joined.join(passages.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("spans")), "doc_id", "left")
+    asking, reach = passages is not None, K + LONGEST_GAP
+
+    def each(b: pa.RecordBatch) -> pa.RecordBatch:
+        docs, first, second, keys = [], [], [], []
+        for doc, pos, kmer, seeds, spans_ in zip(*(c.to_pylist() for c in b.columns)):
+            at, source, there = (np.array([s[k] for s in seeds], dtype=np.int64) for k in ("pos", "source", "source_pos"))
+            kmers = np.array(kmer, dtype=np.int64).view(np.uint64)[np.searchsorted(np.array(pos, dtype=np.int64), at)]
+            for step in range(1, min(AHEAD, len(at) - 1) + 1):
+                flags = at[step:] - at[:-step] <= reach
+                if asking:
+                    apart = there[step:] - there[:-step]
+                    flags &= (source[step:] < doc) & (source[:-step] < doc)
+                    flags &= (source[step:] != source[:-step]) | (apart <= 0) | (apart > reach)
+                    for s in spans_ or ():
+                        flags &= (at[:-step] < s["start_word"]) | (at[step:] + K > s["end_word"])
+                i = np.flatnonzero(flags)
+                docs.append(np.full(len(i), doc, dtype=np.int64))
+                first.append(at[i].astype(np.int32))
+                second.append(at[i + step].astype(np.int32))
+                keys.append(mix(kmers[i] * np.uint64(0x9E3779B97F4A7C15) + kmers[i + step]).view(np.int64))
+        join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.zeros(0, dtype=kind))
+        return record(doc_id=join(docs, np.int64), pos=join(first, np.int32), pos2=join(second, np.int32), key=join(keys, np.int64))
 
-    return map_arrow(dealt, run, PASSAGE)
+    return map_batches(joined.select("doc_id", "pos", "kmer", "shared", "spans"), each, "doc_id bigint, pos int, pos2 int, key bigint")
+
+
+def _with_first(asked: DataFrame, held: DataFrame, *places: str) -> DataFrame:
+    """The rows ``asked`` (doc_id, key, ...) with ``first``: doc_id and ``places`` of the first of ``held`` that
+    has their key.  It is found by an aggregate, which is combined before it is shuffled."""
+    keys = reliable_checkpoint(asked.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    few = keys.count() <= BROADCAST_ROWS // 4
+    if few:
+        held = held.join(F.broadcast(keys.select("key")), "key", "left_semi")
+    firsts = reliable_checkpoint(held.groupBy("key").agg(F.min(F.struct("doc_id", *places)).alias("first")).join(keys, "key"))
+    if few:
+        return asked.join(F.broadcast(firsts), "key")
+    hot = reliable_checkpoint(firsts.where(F.col("n") >= HOT_ROWS))
+    return (asked.join(F.broadcast(hot), "key")
+            .unionByName(asked.join(F.broadcast(hot.select("key")), "key", "left_anti").join(firsts.where(F.col("n") < HOT_ROWS), "key")))
+
+
+def scattered_matches(reps: DataFrame, shared: DataFrame, passages: DataFrame) -> DataFrame | None:
+    """(doc_id, source, pos, source_pos) of seeds in pairs whose first seeds stand in different documents; none
+    if there are no such pairs."""
+    asked = reliable_checkpoint(_near_pairs(reps, shared, passages))
+    if asked.isEmpty():
+        return None
+    both = _with_first(asked, _near_pairs(reps, shared, None), "pos", "pos2").where(F.col("first.doc_id") < F.col("doc_id"))
+    match = F.explode(F.array(F.struct("pos", F.col("first.pos").alias("source_pos")), F.struct(F.col("pos2").alias("pos"), F.col("first.pos2").alias("source_pos"))))
+    return both.select("doc_id", F.col("first.doc_id").alias("source"), match.alias("m")).select("doc_id", "source", "m.pos", "m.source_pos").distinct()
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -404,24 +504,12 @@ def cover(places: list[tuple[int, int]], size: int) -> list[tuple[int, int, int]
 
 def _exact_runs(rows: DataFrame, reps: DataFrame, shared: DataFrame, passages: DataFrame, size: int) -> DataFrame | None:
     """Chains (doc_id, source, pos, source_pos) of windows of ``size`` words that a document before holds as
-    wholes and no passage does; none if there are no such windows.
-
-    The first holder of a window is found by an aggregate, which is combined before it is shuffled."""
+    wholes and no passage does; none if there are no such windows."""
     spans = reliable_checkpoint(_open_windows(reps, shared, passages, size))
     if spans.where("repeats").isEmpty():
         return None
     asked = reliable_checkpoint(_window_keys(rows, spans.where("repeats"), size))
-    keys = reliable_checkpoint(asked.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
-    held, few = _window_keys(rows, spans.where("not repeats"), size), keys.count() <= BROADCAST_ROWS // 4
-    if few:
-        held = held.join(F.broadcast(keys.select("key")), "key", "left_semi")
-    firsts = reliable_checkpoint(held.groupBy("key").agg(F.min(F.struct("doc_id", "pos")).alias("first")).join(keys, "key"))
-    if few:
-        both = asked.join(F.broadcast(firsts), "key")
-    else:
-        hot = reliable_checkpoint(firsts.where(F.col("n") >= HOT_ROWS))
-        both = (asked.join(F.broadcast(hot), "key")
-                .unionByName(asked.join(F.broadcast(hot.select("key")), "key", "left_anti").join(firsts.where(F.col("n") < HOT_ROWS), "key")))
+    both = _with_first(asked, _window_keys(rows, spans.where("not repeats"), size), "pos")
     places = (both.where(F.col("first.doc_id") < F.col("doc_id"))
               .select("doc_id", F.col("first.doc_id").alias("source"), "pos", F.col("first.pos").alias("source_pos"))
               .repartition("doc_id", "source").sortWithinPartitions("doc_id", "source", "pos"))
@@ -475,7 +563,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, percent: int
         return reliable_checkpoint(chained.select(F.xxhash64("doc_id", "source", "pos", "source_pos").alias("chain"), "doc_id", "source", "pos", "source_pos"))
 
     found = numbered(_chain_table(shared.where("source < doc_id").drop("nth")))
-    near = reliable_checkpoint(_aligned(found, rows, min_words, percent))
+    near = _aligned(found, rows, min_words, percent)
+    scattered = scattered_matches(reps, shared, near)
+    if scattered is not None:
+        near = near.unionByName(_aligned(numbered(_chain_table(scattered)), rows, min_words, percent))
     exact = _exact_runs(rows, reps, shared, near, min_words) if min_words >= K else None
     if exact is not None:
         near = near.unionByName(_aligned(numbered(exact), rows, min_words, percent))
