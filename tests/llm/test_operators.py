@@ -201,18 +201,6 @@ def test_passages_go_on_past_changes_near_their_ends(spark):
     assert [tuple(r) for r in passages.repeated_passages(docs(spark, rows)).collect()] == [(2, 20, 75, 1, 20, 75, 53)]
 
 
-def test_changed_passages_whose_pieces_stand_in_documents_before(spark):
-    rng = random.Random(21)
-    p, own = words(rng, 120).split(), [words(rng, 30) for _ in range(40)]
-    changed = [f"changed{k}" if k % 10 == 9 else w for k, w in enumerate(p)]
-    rows = [(1 + k, f"{own[2 * k]} {' '.join(p[8 * k:8 * k + 14])} {own[2 * k + 1]}") for k in range(14)]
-    rows += [(50, f"{own[30]} {' '.join(p)} {own[31]}"), (60, f"{own[32]} {' '.join(changed)} {own[33]}")]
-    got = [r for r in passages.repeated_passages(docs(spark, rows)).collect()]
-    held = {k for r in got if r.doc_id == 60 for k in range(r.start_word, r.end_word)}
-    assert held and held <= set(range(30, 150)) and len(held) >= 115
-    assert {r.doc_id for r in got} == {60} and {r.source_doc_id for r in got} == {50}
-
-
 def test_passages_go_on_as_far_as_the_texts_agree(spark):
     rng = random.Random(22)
     p, own = words(rng, 900).split(), [words(rng, 40) for _ in range(4)]
