@@ -5,50 +5,101 @@ tokens).  Here each sentence is scored by the mean TF-IDF weight of its
 words, the best sentences are kept while they fit the token budget, and
 they are put back in document order.  Lead-n (B6) is the baseline.
 
-Plan: sentences and words are exploded per document; document
-frequencies are a partial aggregate per word; the idf lookup is joined
-by word (AQE broadcasts it when measured small and splits a hot word's
-partition otherwise); sentence
-ranking is a salted two-stage top-k per document bounded by the budget
-(a sentence has at least one token, so at most ``max_tokens`` sentences
-can be kept).
+Plan: document frequencies are one partial aggregate per word.  A row's
+words are counted where the row is (an Arrow helper that splits and
+counts; no shuffle), and come out as one row per different word with the
+sentences it is in; only rows whose key repeats are counted over a
+window.  The idf lookup holds words of two documents or more (a word
+that it lacks is in one) and is broadcast while its measured size is
+small, else joined by word.  Sentence ranking is a salted two-stage top-k
+per document bounded by the budget (a sentence has at least one token, so
+at most ``max_tokens`` sentences can be kept).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topicforge.constants import MAX_SUMMARY_TOKENS
 from topicforge.functions.text import WS, bind, split_sentences, words
-from topicforge.operators.skew import top_k_per_group
+from topicforge.llm.batches import map_batches, record
+from topicforge.operators.skew import BROADCAST_MAX_ROWS, top_k_per_group
+from topicforge.session import reliable_checkpoint
 
 SCORE_DIGITS = 9
 
 
+def _word_places(sents: DataFrame) -> DataFrame:
+    """(_key, word, places): for every row of (_key, sents) and every different word of its sentences, the
+    index of the sentence of each of the word's occurrences.  Sentences come in lower case; ``str.split``
+    parts them at the whitespace that ``words`` parts them at."""
+    def each(b: pa.RecordBatch) -> pa.RecordBatch:
+        of_row, found, ends, flat = [], [], [0], []
+        for row, sentences in enumerate(b.column(1).to_pylist()):
+            at: dict[str, list[int]] = {}
+            for k, sentence in enumerate(sentences or ()):
+                for w in sentence.split():
+                    at.setdefault(w, []).append(k)
+            of_row.append(len(at))
+            found.extend(at)
+            for places in at.values():
+                flat += places
+                ends.append(len(flat))
+        keys = b.column(0).take(pa.array(np.repeat(np.arange(len(of_row)), of_row)))
+        return record(_key=keys, word=pa.array(found, pa.string()),
+                      places=pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())))
+
+    return map_batches(sents, each, T.StructType([
+        sents.schema["_key"], T.StructField("word", T.StringType()), T.StructField("places", T.ArrayType(T.IntegerType()))]))
+
+
 def sentence_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(_key, sidx, n_tokens, score): score = mean tf*idf over the
     sentence's tokens.  Every sentence has at least one token (pieces are
     non-empty and hold no whitespace at their ends).
 
-    One window keyed by (document, word) yields both the term frequency
-    and a first-occurrence flag; document frequencies are a partial
-    aggregate of the flags; idf is joined back by word.  That join is a
-    plain equi-join: AQE makes it a broadcast when the measured idf side
-    is small, and its skew handling splits a hot word's partition
-    otherwise."""
-    sents = df.select(F.col(key).alias("_key"),
-                      F.posexplode(split_sentences(F.col(text))).alias("sidx", "sentence"))
-    toks = sents.select("_key", "sidx", F.explode(words(F.col("sentence"))).alias("word"))
-    n_docs = df.count()
-    w = Window.partitionBy("_key", "word")
-    ranked = toks.withColumn("tf", F.count(F.lit(1)).over(w)).withColumn(
-        "_first", F.row_number().over(w.orderBy("sidx")) == 1)
-    idf = ranked.where("_first").groupBy("word").agg(
-        (F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.count(F.lit(1)))) + F.lit(1.0)).alias("idf"))
-    return ranked.join(idf, "word").groupBy("_key", "sidx").agg(
+    Term frequencies belong to a key: rows of a key that no other row has
+    are counted alone, rows of a repeated key (a null key counts as one)
+    together, by a window on (key, word)."""
+    rows = df.select(F.col(key).alias("_key"), split_sentences(F.col(text)).alias("sents"))
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    n_docs, most = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.max("_n")).first()
+    repeated = counts.where("_n > 1").select(F.col("_key").alias("_again")) if (most or 0) > 1 else None
+
+    def parted(d: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        if repeated is None:
+            return d, None
+        same = F.col("_key").eqNullSafe(F.col("_again"))
+        return d.join(repeated, same, "left_anti"), d.join(repeated, same, "left_semi")
+
+    def joined(once: DataFrame, more: DataFrame | None) -> DataFrame:
+        return once if more is None else once.unionByName(more)
+
+    once, more = parted(rows)
+    distinct = [d.select("_key", F.explode(F.array_distinct(F.flatten(F.transform("sents", words)))).alias("word"))
+                for d in (once, more) if d is not None]
+    df_words = joined(distinct[0], distinct[1].distinct() if more is not None else None)
+
+    def idf(n):
+        return F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + n)) + F.lit(1.0)
+
+    known = reliable_checkpoint(df_words.groupBy("word").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1")
+                                .select("word", idf(F.col("_df")).alias("idf")))
+    lower = F.transform("sents", F.lower)
+    tf = F.size("places")
+    alone = _word_places(once.select("_key", lower.alias("sents"))).select("_key", "word", "places", tf.cast("bigint").alias("tf"))
+    together = None if more is None else _word_places(more.select("_key", lower.alias("sents"))).select(
+        "_key", "word", "places", F.sum(tf).over(Window.partitionBy("_key", "word")).alias("tf"))
+    lookup = F.broadcast(known) if known.count() <= BROADCAST_MAX_ROWS else known
+    weighed = joined(alone, together).join(lookup, "word", "left").select(
+        "_key", (F.col("tf") * F.coalesce(F.col("idf"), idf(F.lit(1)))).alias("weight"), F.explode("places").alias("sidx"))
+    return weighed.groupBy("_key", "sidx").agg(
         F.count(F.lit(1)).alias("n_tokens"),
-        F.round(F.avg(F.col("tf") * F.col("idf")), SCORE_DIGITS).alias("score"),
+        F.round(F.avg("weight"), SCORE_DIGITS).alias("score"),
     )
 
 
