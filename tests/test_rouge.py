@@ -94,3 +94,74 @@ def test_summary_systems_are_scored_against_whole_texts(spark):
             a, b = ([t for t in re.split("[^a-z0-9]+", v.lower()) if t] for v in (x["prediction"], x["reference"]))
             hits = dp_lcs(a, b)
             assert lcs.rouge_l(x["prediction"], x["reference"])[:2] == pytest.approx((hits / max(len(a), 1), hits / max(len(b), 1)))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pairs_are_scored_without_exchanging_their_texts(spark):
+    df = pairs(spark, [("the cat sat", "the cat sat on it"), ("a b", "c d"), (None, "x")])
+    scored = R.rouge_n(df, 1)
+    assert "Aggregate" not in plan_of(scored) and "Join" not in plan_of(scored)
+    assert {r["id"]: r["precision"] for r in scored.collect()} == {0: 1.0, 1: 0.0}
+
+
+def test_rows_that_repeat_a_key_are_one_pair_to_rouge_n(spark):
+    df = spark.createDataFrame([(1, "s", "a b", "a c"), (1, "s", "c", "b b"), (1, "s", None, "a"), (2, "s", "a", "a"),
+                                (None, "s", "a", "a a"), (None, "s", "b", "a")],
+                               "id long, system string, prediction string, reference string")
+    got = {r["id"]: r for r in R.rouge_n(df, 1).collect()}
+    assert len(got) == 3 and got[2]["f1"] == 1.0
+    assert (got[1]["precision"], got[1]["recall"]) == (pytest.approx(3 / 3), pytest.approx(3 / 4))
+    assert (got[None]["precision"], got[None]["recall"]) == (pytest.approx(1 / 2), pytest.approx(1 / 3))
+    # The table counts the rows of a key that is not null, each with the key's ROUGE-N.
+    row = R.evaluate_summaries(df).collect()[0]
+    assert row["pairs"] == 4 and row["rouge1"] == pytest.approx((3 * got[1]["f1"] + 1) / 4)
+    assert R.evaluate_summaries(df, with_lcs=False).collect()[0]["pairs"] == 3
+
+
+def plain_indices(ref, can):
+    """The backtrack over the whole table."""
+    t = [[0] * (len(can) + 1) for _ in range(len(ref) + 1)]
+    for i in range(1, len(ref) + 1):
+        for j in range(1, len(can) + 1):
+            t[i][j] = t[i - 1][j - 1] + 1 if ref[i - 1] == can[j - 1] else max(t[i - 1][j], t[i][j - 1])
+    i, j, out = len(ref), len(can), []
+    while i and j:
+        if ref[i - 1] == can[j - 1]:
+            out, i, j = [i - 1, *out], i - 1, j - 1
+        elif t[i][j - 1] > t[i - 1][j]:
+            j -= 1
+        else:
+            i -= 1
+    return out
+
+
+def plain_lsum(pred, ref):
+    pred_s, ref_s = (([t for t in re.split("[^a-z0-9]+", s.lower()) if t] for s in x.split("\n") if s) for x in (pred, ref))
+    pred_s, ref_s = list(pred_s), list(ref_s)
+    p, r = Counter(t for s in pred_s for t in s), Counter(t for s in ref_s for t in s)
+    n, m, hits = p.total(), r.total(), 0
+    for s in ref_s:
+        for i in sorted({i for c in pred_s for i in plain_indices(s, c)}):
+            if p[s[i]] > 0 and r[s[i]] > 0:
+                hits, p[s[i]], r[s[i]] = hits + 1, p[s[i]] - 1, r[s[i]] - 1
+    return (hits / n, hits / m) if n and m else (0.0, 0.0)
+
+
+SENTENCES = st.lists(st.lists(st.sampled_from("abcdexy"), max_size=8).map(" ".join), max_size=5).map("\n".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(SENTENCES, SENTENCES)
+def test_lsum_equals_the_plain_union_of_backtracks(pred, ref):
+    assert lcs.rouge_lsum(pred, ref)[:2] == plain_lsum(pred, ref)
+
+
+def test_lsum_compares_only_what_can_count(monkeypatch):
+    seen, indices = [], lcs.lcs_indices
+    monkeypatch.setattr(lcs, "lcs_indices", lambda r, c: seen.append((r, c)) or indices(r, c))
+    ref = [f"w{k} x{k}" for k in range(50)] + ["w0 y", "w0 x1"]
+    assert lcs.rouge_lsum("\n".join(ref[:10]), "\n".join(ref))[0] == 1.0
+    assert len(seen) <= 3  # 520 before: every reference sentence with every predicted one
