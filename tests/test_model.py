@@ -96,3 +96,12 @@ def test_student_follows_soft_targets(spark):
     s = add_predictions(s, "teacher", out="tp").select("sp", "tp").collect()
     agree = sum(r["sp"] == r["tp"] for r in s) / len(s)
     assert agree > 0.9
+
+
+def test_a_pass_over_many_partitions_gives_few_gradients(spark):
+    feats = spark.createDataFrame([(Vectors.sparse(4, {i % 4: 1.0}), [i % 2]) for i in range(400)], ["f", "t"])
+    many = feats.repartition(90)
+    assert MF._few_tasks(many).rdd.getNumPartitions() <= max(spark.sparkContext.defaultParallelism, 16)
+    u = np.arange(5.0).reshape(5, 1) / 10
+    one, spread = (MF._gradient(d, "f", "t", u, 4, 1) for d in (feats.coalesce(1), many))
+    assert all(np.allclose(a, b) for a, b in zip(one, spread)) and spread[2] == 400

@@ -7,7 +7,8 @@ label follows the path it would follow alone, and a label that is done stays whe
 go on.
 
 A task sums its rows' gradient and gives it out in blocks of features; blocks are summed over tasks by a
-shuffle on the block, so only the sums, of the size of the weights, reach the driver.  Weights, gradient
+shuffle on the block, so only the sums, of the size of the weights, reach the driver.  Rows are read by about
+as many tasks as there are cores, so what a pass shuffles does not grow with the rows.  Weights, gradient
 and the history of directions, (2 * HISTORY + 6) * features * labels doubles, must fit in the driver;
 ``num_features`` bounds them whatever the size of the data.
 """
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 HISTORY = 6
 #: Features of a block, and non-zero entries that a pass takes at a time.
 BLOCK, SLICE = 512, 1 << 15
+#: Tasks of a pass where the session has fewer cores (or does not know them yet).
+LEAST_TASKS = 16
 
 
 @dataclass
@@ -39,6 +42,12 @@ class MatrixFit:
     losses: list[np.ndarray]
 
 
+def _few_tasks(feats: DataFrame) -> DataFrame:
+    """The same rows in no more partitions than the session has cores: every task of a pass gives out a whole
+    gradient, whatever the number of its rows."""
+    return feats.coalesce(max(feats.sparkSession.sparkContext.defaultParallelism, LEAST_TASKS))
+
+
 def _gradient(feats: DataFrame, features: str, targets: str, u: np.ndarray | None, size: int, width: int) -> tuple[np.ndarray, np.ndarray, float]:
     """Over all rows: (features + 1) x labels gradient sums, the intercept last; loss sums; number of rows.
     Without weights: the sums of squares of the features in place of the first column, the sums of the
@@ -116,7 +125,7 @@ def _gradient(feats: DataFrame, features: str, targets: str, u: np.ndarray | Non
                                           ["block", "part"])
 
     schema = "block bigint, part binary"
-    parts = feats.select(features, F.col(targets).cast("array<double>").alias("_y")).mapInArrow(rows, schema)
+    parts = _few_tasks(feats).select(features, F.col(targets).cast("array<double>").alias("_y")).mapInArrow(rows, schema)
     whole = parts.repartition("block").sortWithinPartitions("block").mapInArrow(sums, schema).collect()
     given.unpersist()
     grad, loss, n = np.zeros((size + 1, width)), np.zeros(width), 0.0
