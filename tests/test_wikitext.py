@@ -76,3 +76,15 @@ def test_extract_progress(spark):
     df = spark.createDataFrame([(1, ["Law"]), (2, []), (3, ["Law", "Life"])], "id int, categories array<string>")
     r = extract_progress(df).first()
     assert (r["pages"], r["hits"]) == (3, 2)
+
+
+def test_texts_go_to_the_markup_helpers_in_small_batches(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+        rows = spark.range(0, 3000, 1, 1).select("id", F.concat(F.lit("{{t|{{u}}}}a&amp;"), F.col("id").cast("string")).alias("text"))
+        got = rows.select("id", W.strip_markup(F.col("text")).alias("text"))
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1024
+        assert {r["id"]: r["text"] for r in got.collect()} == {i: f"a&{i}" for i in range(3000)}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)

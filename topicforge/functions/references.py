@@ -3,7 +3,8 @@
 Nesting needs a stack and the standard table of named references has some two thousand entries, so both run
 as Arrow-batched scalars over a small helper.  Only values that hold the opening character are sent to
 Python; all others never leave the JVM.  The helpers are nested functions on purpose: they travel to the
-workers by value.
+workers by value.  Their batches are small ones, for a row is a whole text and each of the two scalars has a
+worker of its own in every task.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from topicforge.functions.text import bind
+from topicforge.llm.batches import small_batches
 
 # Runs of two braces or more (templates, parameters), and the marks of tables.
 BRACES = r"\{\{+|\}\}+"
@@ -69,10 +71,12 @@ def _decoder():
 def remove_nested(c: Column) -> Column:
     """Without templates and parameters (``{{...}}``, ``{{{...}}}``), then without tables (``{|...|}``), of any
     depth.  What is opened and never closed, or closed and never opened, stays as text."""
+    small_batches()
     marked = bind(c, lambda v: F.when(F.contains(v, F.lit("{{")) | F.contains(v, F.lit("{|")), v))
     return F.coalesce(_nesting_remover()(marked), c)
 
 
 def decode_references(c: Column) -> Column:
     """Named (the whole standard table) and numeric character references, each decoded once."""
+    small_batches()
     return F.coalesce(_decoder()(bind(c, lambda v: F.when(F.contains(v, F.lit("&")), v))), c)
