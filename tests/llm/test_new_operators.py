@@ -251,3 +251,28 @@ def test_fragments_compose_in_any_order():
             made = made + c
         assert f.tail is not None and f.tail.empty
         assert (made.text, made.a.tolist(), f.head.a.tolist(), f.head.b.tolist()) == (closed.text, closed.a.tolist(), whole.head.a.tolist(), whole.head.b.tolist())
+
+
+def test_buckets_of_a_word_by_one_checksum_a_gram(monkeypatch):
+    """The plain rule, and that no gram of a plain word is encoded by itself."""
+    from topicforge.llm import quality_model as Q
+
+    def plain(word):
+        marked = f"<{word}>"
+        parts = [b"w" + word.encode()] + [b"g" + marked[i:i + n].encode() for n in Q.GRAMS for i in range(len(marked) - n + 1)]
+        return [zlib.crc32(p) % (Q.BUCKETS - 1) + 1 for p in parts]
+
+    for word in ("", "a", "the", "Größe", "日本語", "xİy", "a<b>c", "long" * 20):
+        assert Q.word_features(word) == plain(word)
+
+    class Word(str):
+        encoded = 0
+
+        def encode(self, *a):
+            Word.encoded += 1
+            return super().encode(*a)
+
+        def __format__(self, spec):
+            raise AssertionError("an ASCII word needs no marked text")
+
+    assert Q.word_features(Word("thing")) == plain("thing") and Word.encoded == 1

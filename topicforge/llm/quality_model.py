@@ -28,15 +28,20 @@ REPEAT = 0  # the bucket of a word pair whose words are the same
 TRAINING_DOCS = 2000
 
 
-def _bucket(raw: bytes) -> int:
-    return zlib.crc32(raw) % (BUCKETS - 1) + 1
+#: Checksums go on from the mark of their kind.
+_WORD, _GRAM = zlib.crc32(b"w"), zlib.crc32(b"g")
 
 
 def word_features(word: str) -> list[int]:
     """Buckets of a word and of its character n-grams, with marks at both ends."""
-    marked = f"<{word}>"
-    grams = [marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
-    return [_bucket(b"w" + word.encode())] + [_bucket(b"g" + g.encode()) for g in grams]
+    crc, most, raw = zlib.crc32, BUCKETS - 1, word.encode()
+    if word.isascii():  # characters are bytes
+        marked = b"<%b>" % raw
+        grams = [marked[i:i + n] for n in GRAMS for i in range(len(marked) - n + 1)]
+    else:
+        text = f"<{word}>"
+        grams = [text[i:i + n].encode() for n in GRAMS for i in range(len(text) - n + 1)]
+    return [crc(raw, _WORD) % most + 1] + [crc(g, _GRAM) % most + 1 for g in grams]
 
 
 class WordTable:
