@@ -69,9 +69,10 @@ def _measures(ns: Sequence[int], kinds: Sequence[str]) -> Callable[[str | None,
     from topicforge.functions import lcs
 
     def side(text: str | None) -> tuple:
-        toks = lcs.tokenize(text)
+        lines = lcs.sentence_tokens(text) if "Lsum" in kinds else None
+        toks = lcs.tokenize(text) if lines is None else [t for line in lines for t in line]
         grams = [(Counter(zip(*(toks[k:] for k in range(n)))), max(len(toks) - n + 1, 0)) for n in ns]
-        return toks, grams, lcs.sentence_tokens(text) if "Lsum" in kinds else None
+        return toks, grams, lines
 
     last, made = None, side(None)
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicforge.constants import MAX_SUMMARY_TOKENS
-from topicforge.functions.text import WS, bind, split_sentences, words
+from topicforge.functions.text import WS, bind, split_sentences
 from topicforge.llm.batches import map_batches, record
 from topicforge.operators.skew import BROADCAST_MAX_ROWS, top_k_per_group
 from topicforge.session import reliable_checkpoint
@@ -36,7 +36,7 @@ SCORE_DIGITS = 9
 def _word_places(sents: DataFrame) -> DataFrame:
     """(_key, word, places): for every row of (_key, sents) and every different word of its sentences, the
     index of the sentence of each of the word's occurrences.  Sentences come in lower case; ``str.split``
-    parts them at the whitespace that ``words`` parts them at."""
+    parts them at the characters of ``WS``."""
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
         of_row, found, ends, flat = [], [], [0], []
         for row, sentences in enumerate(b.column(1).to_pylist()):
@@ -79,21 +79,19 @@ def sentence_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     def joined(once: DataFrame, more: DataFrame | None) -> DataFrame:
         return once if more is None else once.unionByName(more)
 
-    once, more = parted(rows)
-    distinct = [d.select("_key", F.explode(F.array_distinct(F.flatten(F.transform("sents", words)))).alias("word"))
-                for d in (once, more) if d is not None]
-    df_words = joined(distinct[0], distinct[1].distinct() if more is not None else None)
+    once, more = parted(rows.select("_key", F.transform("sents", F.lower).alias("sents")))
+    alone, together = _word_places(once), None if more is None else _word_places(more)
+    df_words = joined(alone.select("word"), None if more is None else together.select("_key", "word").distinct().select("word"))
 
     def idf(n):
         return F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + n)) + F.lit(1.0)
 
     known = reliable_checkpoint(df_words.groupBy("word").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1")
                                 .select("word", idf(F.col("_df")).alias("idf")))
-    lower = F.transform("sents", F.lower)
     tf = F.size("places")
-    alone = _word_places(once.select("_key", lower.alias("sents"))).select("_key", "word", "places", tf.cast("bigint").alias("tf"))
-    together = None if more is None else _word_places(more.select("_key", lower.alias("sents"))).select(
-        "_key", "word", "places", F.sum(tf).over(Window.partitionBy("_key", "word")).alias("tf"))
+    alone = alone.withColumn("tf", tf.cast("bigint"))
+    if more is not None:
+        together = together.withColumn("tf", F.sum(tf).over(Window.partitionBy("_key", "word")))
     lookup = F.broadcast(known) if known.count() <= BROADCAST_MAX_ROWS else known
     weighed = joined(alone, together).join(lookup, "word", "left").select(
         "_key", (F.col("tf") * F.coalesce(F.col("idf"), idf(F.lit(1)))).alias("weight"), F.explode("places").alias("sidx"))
