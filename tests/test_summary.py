@@ -30,9 +30,9 @@ def test_sentence_scores(spark, keys):
     assert got == plain_scores(rows)
 
 
-@pytest.mark.parametrize("most", [0, 1 << 20])
-def test_idf_lookup_broadcast_or_not(spark, monkeypatch, most):
-    monkeypatch.setattr(S, "BROADCAST_MAX_ROWS", most)
+@pytest.mark.parametrize("most", [0, 1, 1 << 20])
+def test_idf_lookup_broadcast_whole_in_part_or_not(spark, monkeypatch, most):
+    monkeypatch.setattr(S, "BROADCAST_WORDS", most)
     rows = list(enumerate(TEXTS))
     got = {(r["_key"], r["sidx"]): (r["n_tokens"], r["score"]) for r in S.sentence_scores(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == plain_scores(rows)

@@ -10,8 +10,9 @@ words are counted where the row is (an Arrow helper that splits and
 counts; no shuffle), and come out as one row per different word with the
 sentences it is in; only rows whose key repeats are counted over a
 window.  The idf lookup holds words of two documents or more (a word
-that it lacks is in one) and is broadcast while its measured size is
-small, else joined by word.  Sentence ranking is a salted two-stage top-k
+that it lacks is in one).  Its most frequent words, which make up nearly
+all occurrences, are broadcast; only rows of rarer words are joined by
+word.  Sentence ranking is a salted two-stage top-k
 per document bounded by the budget (a sentence has at least one token, so
 at most ``max_tokens`` sentences can be kept).
 """
@@ -27,10 +28,12 @@ from pyspark.sql import types as T
 from topicforge.constants import MAX_SUMMARY_TOKENS
 from topicforge.functions.text import WS, bind, split_sentences
 from topicforge.llm.batches import map_batches, record
-from topicforge.operators.skew import BROADCAST_MAX_ROWS, top_k_per_group
+from topicforge.operators.skew import top_k_per_group
 from topicforge.session import reliable_checkpoint
 
 SCORE_DIGITS = 9
+#: Words of the idf lookup that are broadcast, the most frequent ones.
+BROADCAST_WORDS = 1_000_000
 
 
 def _word_places(sents: DataFrame) -> DataFrame:
@@ -57,6 +60,18 @@ def _word_places(sents: DataFrame) -> DataFrame:
         sents.schema["_key"], T.StructField("word", T.StringType()), T.StructField("places", T.ArrayType(T.IntegerType()))]))
 
 
+def _least_broadcast(known: DataFrame) -> int:
+    """The smallest document frequency whose words, with all more frequent ones, are ``BROADCAST_WORDS`` at
+    most."""
+    total, least = 0, 2
+    for frequency, n in sorted(((r[0], r[1]) for r in known.groupBy("_df").count().collect()), reverse=True):
+        total += n
+        if total > BROADCAST_WORDS:
+            least = frequency + 1
+            break
+    return least
+
+
 def sentence_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(_key, sidx, n_tokens, score): score = mean tf*idf over the
     sentence's tokens.  Every sentence has at least one token (pieces are
@@ -87,13 +102,19 @@ def sentence_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         return F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + n)) + F.lit(1.0)
 
     known = reliable_checkpoint(df_words.groupBy("word").agg(F.count(F.lit(1)).alias("_df")).where("_df > 1")
-                                .select("word", idf(F.col("_df")).alias("idf")))
+                                .select("word", "_df", idf(F.col("_df")).alias("idf")))
     tf = F.size("places")
     alone = alone.withColumn("tf", tf.cast("bigint"))
     if more is not None:
         together = together.withColumn("tf", F.sum(tf).over(Window.partitionBy("_key", "word")))
-    lookup = F.broadcast(known) if known.count() <= BROADCAST_MAX_ROWS else known
-    weighed = joined(alone, together).join(lookup, "word", "left").select(
+    counted, least = joined(alone, together), _least_broadcast(known)
+    often, rare = known.where(F.col("_df") >= least).select("word", "idf"), known.where(F.col("_df") < least).select("word", "idf")
+    if least <= 2:
+        looked = counted.join(F.broadcast(often), "word", "left")
+    else:
+        looked = counted.join(F.broadcast(often), "word").unionByName(
+            counted.join(F.broadcast(often.select("word")), "word", "left_anti").join(rare, "word", "left"))
+    weighed = looked.select(
         "_key", (F.col("tf") * F.coalesce(F.col("idf"), idf(F.lit(1)))).alias("weight"), F.explode("places").alias("sidx"))
     return weighed.groupBy("_key", "sidx").agg(
         F.count(F.lit(1)).alias("n_tokens"),
