@@ -28,12 +28,12 @@ from pyspark.sql import types as T
 from topicforge.constants import MAX_SUMMARY_TOKENS
 from topicforge.functions.text import WS, bind, split_sentences
 from topicforge.llm.batches import map_batches, record
-from topicforge.operators.skew import top_k_per_group
+from topicforge.operators.skew import BROADCAST_MAX_ROWS, top_k_per_group
 from topicforge.session import reliable_checkpoint
 
 SCORE_DIGITS = 9
 #: Words of the idf lookup that are broadcast, the most frequent ones.
-BROADCAST_WORDS = 1_000_000
+BROADCAST_WORDS = BROADCAST_MAX_ROWS
 
 
 def _word_places(sents: DataFrame) -> DataFrame:
@@ -109,11 +109,10 @@ def sentence_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         together = together.withColumn("tf", F.sum(tf).over(Window.partitionBy("_key", "word")))
     counted, least = joined(alone, together), _least_broadcast(known)
     often, rare = known.where(F.col("_df") >= least).select("word", "idf"), known.where(F.col("_df") < least).select("word", "idf")
-    if least <= 2:
-        looked = counted.join(F.broadcast(often), "word", "left")
-    else:
-        looked = counted.join(F.broadcast(often), "word").unionByName(
-            counted.join(F.broadcast(often.select("word")), "word", "left_anti").join(rare, "word", "left"))
+    looked = counted.join(F.broadcast(often), "word", "left")
+    if least > 2:  # both parts read the one broadcast
+        looked = looked.where("idf is not null").unionByName(
+            looked.where("idf is null").drop("idf").join(rare, "word", "left"))
     weighed = looked.select(
         "_key", (F.col("tf") * F.coalesce(F.col("idf"), idf(F.lit(1)))).alias("weight"), F.explode("places").alias("sidx"))
     return weighed.groupBy("_key", "sidx").agg(
