@@ -10,13 +10,14 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
 from test_operators import docs, empty, texts, words
 from tokenizers import Tokenizer
 
-from topicforge.llm import alignment, byte_bpe, ordered_hash, prefix_trie, queries
+from topicforge.llm import alignment, batches, byte_bpe, ordered_hash, prefix_trie, queries
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -226,6 +227,22 @@ def test_alignment_against_brute_force(spark, libraries):
     assert none.count() == 0
 
 
+def test_links_are_counted_in_their_batch(spark):
+    rows = spark.createDataFrame([([1, 1, 2], [5, 5, 6]), ([], []), ([1, 40_000], [5, 7])], "a array<int>, b array<int>").coalesce(1)
+    assert sorted(map(tuple, alignment._counted(rows).collect())) == [(1, 5, 3), (2, 6, 1), (40_000, 7, 1)]
+    assert alignment._counted(rows.limit(0)).count() == 0
+
+
+def test_texts_are_aligned_some_at_a_time(spark, monkeypatch):
+    """Batches of rows are cut by bytes, and how they are cut changes nothing."""
+    docs = spark.createDataFrame([(k, "some words, " * (k % 7) + str(k)) for k in range(60)], "doc_id long, text string").coalesce(1)
+    want = sorted(map(tuple, alignment.cross_alignment(docs, JSON, MODEL).collect()))
+    sizes = batches.map_batches(docs, lambda b: batches.record(n=pa.array([b.num_rows])), "n long", 300).collect()
+    assert sum(r.n for r in sizes) == 60 and len(sizes) > 5
+    monkeypatch.setattr(alignment, "SLICE", 300)
+    assert sorted(map(tuple, alignment.cross_alignment(docs, JSON, MODEL).collect())) == want
+
+
 def test_fragments_compose_in_any_order():
     sides = alignment.Sides(alignment.read_spec(JSON, MODEL))
     rng, text = random.Random(7), " " + long_texts()[2][1][:600]

@@ -40,13 +40,15 @@ from sentencepiece import sentencepiece_model_pb2 as pb
 from tokenizers import Tokenizer
 
 from topicforge.llm import ordered_hash
-from topicforge.llm.batches import id_text, map_arrow, map_batches, per_task, texts_of
+from topicforge.llm.batches import id_text, map_arrow, map_batches, per_task, record, texts_of
 from topicforge.llm.byte_bpe import GAP, raw_bytes, units
 from topicforge.llm.pretokens import BYTE_PIECES, Memo
 from topicforge.session import reliable_checkpoint
 
 #: Characters of a range of a long text (shorter texts are one range), and fragments composed in one step.
 CHUNK, FAN = 1 << 16, 16
+#: Bytes of text that a worker aligns at a time: as Python objects their tokens take some fifty times as much.
+SLICE = 1 << 19
 #: Rows of the table of linked pairs up to which it is broadcast, as 20 bytes a row; beyond it is joined.
 PAIRS = 4_000_000
 _NONE = np.zeros(0, dtype=np.int32)
@@ -330,7 +332,7 @@ def _whole_texts(docs: DataFrame, spec) -> DataFrame:
 
         return each
 
-    return map_batches(docs, start, ", ".join(f"{c} {t}" for c, t in _DOC.items()))
+    return map_batches(docs, start, ", ".join(f"{c} {t}" for c, t in _DOC.items()), SLICE)
 
 
 _DOC = {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "groups_sha256": "string", "a": "array<int>", "b": "array<int>"}
@@ -471,6 +473,17 @@ def _long_texts(docs: DataFrame, spec, chunk: int, fan: int) -> tuple[DataFrame,
     return out, parts.select("row", "a", "b")
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """(a, b, n) of the pairs in the link lists a, b of rows, counted within each batch before any exchange."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        a, b = (c.flatten().to_numpy().astype(np.int64) for c in batch.columns)
+        code, n = np.unique(a << 32 | b, return_counts=True)
+        return record(a=pa.array(code >> 32, pa.int32()), b=pa.array(code & 0xFFFFFFFF, pa.int32()), n=pa.array(n, pa.int64()))
+
+    return map_batches(rows.select("a", "b"), each, "a int, b int, n bigint")
+
+
 def _scored(rows: DataFrame, keep: list[str], pairs: DataFrame) -> DataFrame:
     """``keep`` columns of rows with link lists a, b, and n_best and count_sum of the links of each row, by
     a table of pairs that is broadcast, sorted by pair."""
@@ -516,8 +529,8 @@ def cross_alignment(docs: DataFrame, json_path: str, model_path: str, id_col: st
     texts = id_text(docs, id_col, text_col)
     short = reliable_checkpoint(_whole_texts(texts.where(F.length("text") < chunk), spec).withColumn("row", F.monotonically_increasing_id()))
     long, long_links = _long_texts(texts.where(F.length("text") >= chunk), spec, chunk, fan)
-    links = short.select("a", "b").unionByName(long_links.select("a", "b")).select(F.explode(F.arrays_zip("a", "b")).alias("x"))
-    pairs = reliable_checkpoint(links.groupBy("x.a", "x.b").agg(F.count("*").alias("n")))
+    counts = _counted(short).unionByName(_counted(long_links))
+    pairs = reliable_checkpoint(counts.groupBy("a", "b").agg(F.sum("n").alias("n")))
     top = pairs.groupBy("b").agg(F.max("n").alias("top"))
     pairs = reliable_checkpoint(pairs.join(top, "b").select("a", "b", "n", (F.col("n") == F.col("top")).alias("best")))
     figures = ["n_a", "n_b", "n_groups", "groups_sha256"]
