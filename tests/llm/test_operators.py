@@ -9,12 +9,13 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from topicforge.llm import (bpe, components, jaccard, line_crf, mixing, passages, quality_model, queries, token_counts,
+from topicforge.llm import (bpe, components, jaccard, line_crf, mixing, passages, pretokens, quality_model, queries, token_counts,
                             token_files, topk, toxicity)
-from topicforge.llm.pretokens import vocabulary
+from topicforge.llm.pretokens import splitter, vocabulary
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 TRICKY = ["", None, "Hello  World\n\t x", "a<|endoftext|>b <|startoftext|>C", "ΑΣ ΣΑΣ İstanbul 'S it's", "日本語 🙂🙃 ''s'sun", "a\x1cb \x85 c",
@@ -62,6 +63,36 @@ def test_token_counts_are_the_librarys(spark):
     assert len(token_counts.merge(v, v.spell("internationalisation"))) == len(lib.encode("internationalisation").ids)
 
 
+def watched(monkeypatch, module):
+    """What texts the pieces of a module are split from."""
+    calls = []
+    monkeypatch.setattr(module, "splitter", lambda path: lambda text: calls.append(text) or splitter(path)(text))
+    return calls
+
+
+def some_texts(rng):
+    return [words(rng, 40), words(rng, 30) + " 'tis, 12 <|endoftext|> z\u0323 \u023a", "", "\u65e5\u672c " + "long" * 40]
+
+
+def test_texts_are_encoded_from_one_split(monkeypatch):
+    lib, some, calls = Tokenizer.from_file(WORD), some_texts(random.Random(8)), watched(monkeypatch, token_files)
+    coder = token_files.LibraryIds(WORD, most=5)
+    for _ in range(2):
+        got = coder.encode(some, 1)
+        assert [np.frombuffer(x, "<u2").tolist() for x in got] == [[*lib.encode(t).ids, 1] for t in some]
+        assert len(coder.pieces) <= 5 and calls == some
+        calls.clear()
+
+
+def test_pieces_near_and_far_are_those_of_the_general_expression():
+    rng, near = random.Random(9), [*map(chr, (*range(0x378), *range(0x2000, 0x2065)))]
+    for pattern in (pretokens.WORD_PIECES, pretokens.BYTE_PIECES):
+        find, general = pretokens.finder(pattern), regex.compile(pattern).findall
+        for k in range(400):
+            text = "".join(rng.choice(near if rng.random() < 0.5 else "ab1 \n'st") for _ in range(60)) + "\u65e5" * (k % 4 == 0)
+            assert find(text) == general(text)
+
+
 def test_token_files_round_trip(spark, tmp_path):
     lib, rows = Tokenizer.from_file(WORD), [*texts(), (3, "again"), (None, "no id")]
     path = str(tmp_path / "ids")

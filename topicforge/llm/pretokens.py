@@ -47,6 +47,23 @@ def unassigned() -> re.Pattern:
     return re.compile("[" + "".join(ranges) + "]")
 
 
+#: Finds a character outside Latin script, its marks and common punctuation.
+_BEYOND = re.compile("[^\x00-\u0377\u2000-\u2064]").search
+
+
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    """``findall`` of a format's expression.  For texts within Latin script the classes are written out, which
+    Python's own expressions find in a third of the time."""
+    common = "".join(map(chr, (*range(0x378), *range(0x2000, 0x2065))))
+    letter, number, space = (re.escape("".join(regex.findall(c, common))) for c in (r"\p{L}", r"\p{N}", r"\s"))
+    near = pattern.replace(r"[^\s\p{L}\p{N}]", "OTHER").replace(r"[\p{L}]", r"\p{L}").replace(r"[\p{N}]", r"\p{N}")
+    for c, written in ((r"\p{L}", f"[{letter}]"), (r"\p{N}", f"[{number}]"), (r"\S", f"[^{space}]"), (r"\s", f"[{space}]"),
+                       ("OTHER", f"[^{space}{letter}{number}]")):
+        near = near.replace(c, written)
+    usual, general = re.compile(near).findall, regex.compile(pattern).findall
+    return lambda text: usual(text) if text.isascii() or not _BEYOND(text) else general(text)
+
+
 class Vocabulary:
     """A tokenizer file as bytes: ``tokens[i]`` is the byte string of id i, ``ends[i]`` whether it
     closes a word, ``merges`` the pairs of ids by rank, ``special`` the ids of special strings."""
@@ -92,9 +109,8 @@ def splitter(path: str) -> Callable[[str], list[str]]:
     v = vocabulary(path)
     special = re.compile("(" + "|".join(map(re.escape, sorted(v.special, key=len, reverse=True))) + ")") if v.special else None
     marks = [s[:2] for s in v.special]
-    beyond = re.compile("[^\x00-\u0377\u2000-\u2064]").search
     odd = unassigned().search
-    strange = lambda text: beyond(text) and odd(text)
+    strange = lambda text: _BEYOND(text) and odd(text)
     back = {c: b for b, c in enumerate(byte_letters())}
     library = Tokenizer.from_file(path)
 
@@ -103,7 +119,7 @@ def splitter(path: str) -> Callable[[str], list[str]]:
         return [bytes(map(back.__getitem__, p)).decode("utf-8") for p, _ in library.pre_tokenizer.pre_tokenize_str(text)]
 
     if v.suffix:
-        find = regex.compile(WORD_PIECES).findall
+        find = finder(WORD_PIECES)
 
         def plain(text: str) -> list[str]:
             if not text.isascii():
@@ -113,7 +129,7 @@ def splitter(path: str) -> Callable[[str], list[str]]:
                 text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
             return find(text.lower())
     else:
-        find = regex.compile(BYTE_PIECES).findall
+        find = finder(BYTE_PIECES)
 
         def plain(text: str) -> list[str]:
             return by_library(text) if not text.isascii() and strange(text) else find(text)

@@ -24,11 +24,12 @@ ignored; texts of any length are kept whole.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,10 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
 from topicforge.llm.batches import id_text, map_arrow, map_batches, per_task, record, texts_of
-from topicforge.llm.pretokens import Memo, chunker, splitter, vocabulary
+from topicforge.llm.pretokens import Memo, splitter, vocabulary
 from topicforge.session import reliable_checkpoint
 
 MAGIC = b"TIDSHRD1"
@@ -54,17 +56,31 @@ class LibraryIds:
     """Ids of texts by the library, as little-endian integers of ``width`` bytes.  A batch's new pieces
     go to the library together; the memory of pieces is bounded."""
 
-    def __init__(self, path: str, most: int = 120_000):
+    def __init__(self, path: str, most: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        v = vocabulary(path)
+        self.path, v = path, vocabulary(path)
         self.width = 2 if v.size <= 1 << 16 else 4
-        self.split, self.cut = splitter(path), chunker(path)
+        self.split = splitter(path)
         self.special = {s: self.pack([i]) for s, i in v.special.items()}
         self.final = np.array([bool(v.suffix) and v.text_of.get(i, "").endswith(v.suffix) for i in range(v.size)])
-        self.chunks, self.pieces, self.most = Memo(most=most), Memo(most=most), most
+        self.pieces, self.most = Memo(most=most), most
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
+    @cached_property
+    def bare(self) -> Tokenizer:
+        """For pieces of words, which are normalised and split already: white space alone parts them."""
+        bare = Tokenizer.from_file(self.path)
+        bare.no_truncation()
+        bare.no_padding()
+        bare.normalizer = None
+        bare.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        return bare
 
     def pack(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=f"<u{self.width}").tobytes()
@@ -73,37 +89,24 @@ class LibraryIds:
         """Ids of single pieces.  Where a vocabulary marks word ends, the pieces go to the library as one
         text of words, and the marks part its ids again."""
         if self.final.any() and pieces:
-            ids = np.array(self.library.encode(" ".join(pieces), add_special_tokens=False).ids, dtype=f"<u{self.width}")
+            ids = np.array(self.bare.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, dtype=f"<u{self.width}")
             ends = np.flatnonzero(self.final[ids]) + 1
             if len(ends) == len(pieces):
                 raw, at = ids.tobytes(), [0, *(ends * self.width).tolist()]
                 return [raw[i:j] for i, j in zip(at, at[1:])]
         return [self.pack(e.ids) for e in self.library.encode_batch(pieces, add_special_tokens=False)]
 
-    def _texts(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts that are short or rare."""
-        split = [self.split(t) for t in texts]
-        fresh = list(self.pieces.renew(p for one in split for p in one).difference(self.special))
-        now = self.special | dict(zip(fresh, self._pieces(fresh)))
-        known = self.pieces
-        out = [b"".join([now[p] if p in now else known[p] for p in one]) for one in split]
-        for p in fresh:
-            known.keep(p, now[p])
-        return out
-
     def encode(self, texts: list[str], end_id: int | None) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        known = self.chunks
-        fresh = list(known.renew(c for _, chunks, _ in cut for c in chunks))
-        mark = cut[0][2] if cut else ""
-        ids = self._texts([mark + c for c in fresh] + [head for head, _, _ in cut])
-        known.update(zip(fresh, ids))  # the long ones for now
+        split, known = list(map(self.split, texts)), self.pieces
+        fresh = list(known.renew(itertools.chain.from_iterable(split)).difference(self.special))
+        known.update(zip(fresh, self._pieces(fresh)))  # the long ones for now
+        known.update(self.special)
         tail = b"" if end_id is None else self.pack([end_id])
         get = known.__getitem__
-        out = [head + b"".join(map(get, chunks)) + tail for head, (_, chunks, _) in zip(ids[len(fresh):], cut)]
-        for c in fresh:
-            if len(c) > known.longest:
-                del known[c]
+        out = [b"".join(map(get, pieces)) + tail for pieces in split]
+        for p in fresh:
+            if len(p) > known.longest:
+                del known[p]
         if len(known) > self.most:
             known.before = dict(known)
             known.clear()
