@@ -93,6 +93,19 @@ def test_pieces_near_and_far_are_those_of_the_general_expression():
             assert find(text) == general(text)
 
 
+def test_texts_are_counted_from_one_split(monkeypatch):
+    lib, some, calls = Tokenizer.from_file(BYTE), some_texts(random.Random(8)), watched(monkeypatch, token_counts)
+    count = token_counts.counter.__wrapped__(BYTE, tuple(token_counts.whole_tokens(BYTE)))
+    assert list(map(count, some)) == [len(lib.encode(t).ids) for t in some] and calls == some
+
+
+def test_pieces_merge_alike_by_scan_and_by_heap():
+    rng, v = random.Random(10), vocabulary(BYTE)
+    for n in (*range(60), 500):
+        spelled = v.spell("".join(rng.choice("aeinrsté") for _ in range(n)))
+        assert token_counts.merge(v, spelled) == token_counts._merge_long(v, spelled)
+
+
 def test_token_files_round_trip(spark, tmp_path):
     lib, rows = Tokenizer.from_file(WORD), [*texts(), (3, "again"), (None, "no id")]
     path = str(tmp_path / "ids")

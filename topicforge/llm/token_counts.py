@@ -20,12 +20,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicforge.llm.batches import id_text, map_batches, per_task, record, texts_of
-from topicforge.llm.pretokens import Memo, Vocabulary, chunker, splitter, vocabulary
+from topicforge.llm.pretokens import Memo, Vocabulary, splitter, vocabulary
+
+
+#: Symbols of a piece up to which the lowest rank is looked for among all neighbours, which is quicker there.
+SHORT = 40
+_NONE = (1 << 62, -1)
 
 
 def merge(vocab: Vocabulary, spelled: str) -> list[int]:
-    """Merge the symbols of one piece: lowest rank first, further left first among equals.  A heap of
-    neighbouring pairs and a linked list, so a piece of n symbols takes n log n steps."""
+    """Merge the symbols of one piece: lowest rank first, further left first among equals."""
+    if len(spelled) > SHORT:
+        return _merge_long(vocab, spelled)
+    ids, of = list(map(vocab.ids.__getitem__, spelled)), vocab.merges.get
+    best = [of(p, _NONE) for p in zip(ids, ids[1:])]
+    while best and (low := min(best)) is not _NONE:
+        i = best.index(low)
+        ids[i:i + 2] = low[1:]
+        del best[i]
+        if i:
+            best[i - 1] = of((ids[i - 1], ids[i]), _NONE)
+        if i < len(best):
+            best[i] = of((ids[i], ids[i + 1]), _NONE)
+    return ids
+
+
+def _merge_long(vocab: Vocabulary, spelled: str) -> list[int]:
+    """The same by a heap of neighbouring pairs and a linked list, so a piece of n symbols takes n log n steps."""
     ids = [vocab.ids[c] for c in spelled]
     n, pairs = len(ids), vocab.merges
     after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
@@ -62,23 +83,11 @@ def whole_tokens(path: str) -> list[str]:
 
 @lru_cache(maxsize=2)
 def counter(path: str, proven: tuple[str, ...]) -> Callable[[str], int]:
-    """A function from a text to its number of tokens.  What a chunk of pre-tokens counts is remembered,
-    within bounds."""
-    v, split, cut = vocabulary(path), splitter(path), chunker(path)
+    """A function from a text to its number of tokens.  What a piece counts is remembered, within bounds."""
+    v, split = vocabulary(path), splitter(path)
     whole = frozenset(proven) | frozenset(v.special)
-    merged = Memo(lambda piece: len(merge(v, v.spell(piece))), most=100_000)
-
-    def pieces(text: str) -> int:
-        return sum([1 if p in whole else merged[p] for p in split(text)])
-
-    mark = cut("")[2]
-    known = Memo(lambda chunk: pieces(mark + chunk), most=200_000).__getitem__
-
-    def count(text: str) -> int:
-        head, chunks, _ = cut(text)
-        return pieces(head) + sum(map(known, chunks))
-
-    return count
+    merged = Memo(lambda piece: len(merge(v, v.spell(piece))), most=200_000).__getitem__
+    return lambda text: sum([1 if p in whole else merged(p) for p in split(text)])
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str = "doc_id",
