@@ -165,6 +165,36 @@ def test_jaccard_components_against_brute_force(spark):
     assert jaccard.jaccard_components(empty(spark)).count() == 0
 
 
+def test_whole_sets_travel_once_and_columns_alone(spark, monkeypatch):
+    as_bytes = lambda *h: np.array(h, dtype=np.uint64).tobytes()
+    sets = spark.createDataFrame([(1, as_bytes(1, 2, 3)), (2, as_bytes(1, 2, 3, 4)), (3, as_bytes(7, 8))], "doc_id long, cols binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    families = spark.createDataFrame([(1, 1, 1, 3), (2, 1, 2, 4), (3, 1, 3, 2)], "doc_id long, family long, component long, n long")
+    plan = lambda df: df._jdf.queryExecution().toString()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most in (jaccard.BROADCAST_IDS, 0):
+            monkeypatch.setattr(jaccard, "BROADCAST_IDS", most)
+            over, within = jaccard.overlaps(pairs, sets, 75), jaccard.family_links(families, sets, 75)
+            assert [tuple(r) for r in over.collect()] == [(1, 2, 75.0)]
+            assert [tuple(r) for r in within.collect()] == [(1, 2)]
+            for df in (over, within):
+                assert ("SortMergeJoin [doc_id" in plan(df)) == (most == 0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    reps = spark.createDataFrame([(1, 9, [5, 6, 7]), (2, 9, [6, 7]), (3, 9, [8])], "row long, n long, kept array<long>")
+    got = jaccard.shared_columns(reps)
+    assert {r.row: (sorted(r.hs), r.k) for r in got.collect()} == {1: ([6, 7], 2), 2: ([6, 7], 2)}
+
+
+def test_texts_that_repeat_a_doc_id_keep_their_own_columns(spark):
+    one, two = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    rows = [(1, one), (1, two), (2, f"{one} x"), (3, f"{two} y"), (4, "alone")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs(spark, rows)).collect()}
+    assert got == {1: (26, 1), 2: (27, 1), 3: (27, 1), 4: (1, 4)}
+
+
 def test_block_product_counts_overlaps():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 300, 80)).astype(np.uint64) for _ in range(9)]

@@ -44,7 +44,7 @@ SHINGLE, PERCENT = 5, 80
 #: frequent, which bounds what is broadcast.  Any choice gives the same links; it only moves work.
 FREQUENT, MOST_FREQUENT = 32, 400_000
 EXTRA = 8
-#: Up to so many documents, their ids are broadcast to fetch texts; beyond, texts are shuffled to the ids.
+#: Up to so many documents or pairs, their ids are broadcast to fetch texts and sets; beyond, these are shuffled to the ids.
 BROADCAST_IDS = 1_000_000
 #: Rows that have so many percent in common with the row they are first compared with form a family.
 FAMILY_PERCENT = 30
@@ -150,7 +150,9 @@ def overlaps(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     salted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(SALTS)).alias("salt"))
     wanted = (salted.select(F.col("b").alias("doc_id"), "a", "salt", F.lit(1).alias("role"))
               .unionByName(salted.select(F.col("a").alias("doc_id"), "a", "salt", F.lit(0).alias("role")).distinct()))
-    met = (wanted.join(sets, "doc_id").select("a", "salt", "role", "doc_id", "cols")
+    # Whole sets travel once, to where they are compared, and not to the pairs first.
+    side = F.broadcast(wanted) if 2 * pairs.count() <= BROADCAST_IDS else wanted
+    met = (sets.join(side, "doc_id").select("a", "salt", "role", "doc_id", "cols")
            .repartition("a", "salt").sortWithinPartitions("a", "salt", "role"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +204,9 @@ def family_links(families: DataFrame, sets: DataFrame, percent: int) -> DataFram
     component, n.  A family is cut into blocks of bounded rows and columns, and every pair of blocks is a
     task's group; of its links a spanning forest of the components comes out."""
     blocks = families.groupBy("family").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n") / BLOCK_ENTRIES)).cast("bigint").alias("blocks"))
-    placed = (families.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).join(sets, "doc_id")
+    owned = families.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    side = F.broadcast(owned) if families.count() <= BROADCAST_IDS else owned
+    placed = (sets.join(side, "doc_id")
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
               .select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                       (F.col("own") > F.col("other")).alias("second"), "doc_id", "component", "cols"))
@@ -250,6 +254,14 @@ def family_links(families: DataFrame, sets: DataFrame, percent: int) -> DataFram
     return map_arrow(dealt, run, "a bigint, b bigint").distinct()
 
 
+def shared_columns(reps: DataFrame) -> DataFrame:
+    """(row, hs array<bigint>, k): the kept columns of each row of ``reps`` (row, kept) that some other row has
+    too.  Most columns are one row's alone, so all that travels of them is the column and its row."""
+    meeting = reps.select("row", F.explode("kept").alias("h"))
+    shared = meeting.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("df > 1").drop("df")
+    return shared.groupBy("row").agg(F.collect_list("h").alias("hs")).withColumn("k", F.size("hs").cast("bigint"))
+
+
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all their columns, that stay when of each group of near duplicates the smallest
@@ -279,16 +291,15 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     sets = reliable_checkpoint(shingle_sets(rows, size, percent))
     # Of each class the row of the smallest doc_id, in one exchange that is combined before it.
     reps = reliable_checkpoint(sets.where("n > 0").groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "common", "e", "kept")).alias("r"))
-                               .select("s1", "s2", "n", F.col("r.doc_id").alias("rep"), "r.common", "r.e", "r.kept"))
+                               .select(F.monotonically_increasing_id().alias("row"), "s1", "s2", "n", F.col("r.doc_id").alias("rep"), "r.common", "r.e", "r.kept"))
     member = reliable_checkpoint(sets.select("doc_id", "n", "s1", "s2").distinct().join(reps.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"], "left")
                                  .select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")))
     # A doc_id that is repeated with other texts joins their classes.
     same = member.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    meeting = reps.select("rep", "n", "common", "e", F.explode("kept").alias("h"))
-    shared = meeting.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("df > 1").drop("df")
-    # k: kept columns that some other row has too; rows with too few to reach the threshold go
-    rich = reliable_checkpoint(shared.groupBy("rep", "n", "common", "e").agg(F.collect_list("h").alias("hs"))
-                               .withColumn("k", F.size("hs").cast("bigint")).where(F.col("k") >= least_shared(F.col("n"), percent)))
+    # k: kept columns that some other row has too; rows with too few to reach the threshold go.  A row has its own
+    # number, as texts that repeat a doc_id share a rep.
+    rich = reliable_checkpoint(shared_columns(reps).join(reps.select("row", "rep", "n", "common", "e"), "row")
+                               .where(F.col("k") >= least_shared(F.col("n"), percent)).drop("row"))
     table = rich.select("rep", "n", "common", "e", "k", F.explode("hs").alias("h"))
     pivot = table.groupBy("h").agg(F.max(F.struct((F.col("common") / F.col("n")).alias("alike"), (F.col("k") / F.col("n")).alias("own"), (-F.col("rep")).alias("first"), "rep", "n", "k", "e")).alias("p"))
     star = (table.alias("y").join(pivot.select("h", "p.rep", "p.n", "p.k", "p.e").alias("x"), "h")
