@@ -310,6 +310,65 @@ def test_ordinals_count_equal_keys_before():
     assert passages.ordinals(np.zeros(0, dtype=np.uint64)).tolist() == []
 
 
+def test_least_of_windows_is_the_first_among_equals():
+    rng = np.random.default_rng(5)
+    for n in (passages.WINDOW, passages.WINDOW + 1, 300):
+        hashes = rng.integers(0, 40, n).astype(np.uint64)
+        view = np.lib.stride_tricks.sliding_window_view(hashes, passages.WINDOW)
+        at = view.argmin(axis=1) + np.arange(len(view))
+        assert passages.least_of_windows(hashes).tolist() == at.tolist()
+        if n > passages.WINDOW:
+            assert passages.seeds_of(hashes).tolist() == np.unique(at).tolist()
+
+
+def test_least_edits_against_the_whole_table():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        a, b = (rng.integers(0, 4, rng.integers(0, 9)) for _ in range(2))
+        table = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
+        assert passages._least_edits(a, b) == table[-1, -1]
+
+
+def test_ascending_matches_are_chained_without_a_tree(monkeypatch):
+    rng = random.Random(11)
+    groups = []
+    for _ in range(40):
+        p = a = 0
+        group = []
+        for _ in range(rng.randint(2, 25)):
+            p, a = p + rng.choice([1, 7, 20, 90]), a + rng.choice([1, 7, 20, 150])
+            group.append((p, a))
+        groups.append(group)
+    got = [passages.chains(g) for g in groups]
+    # a repeated source position far off, which no chain takes, sends the same matches through the tree
+    for g, found in zip(groups, got):
+        far = [(g[-1][0] + 10_000, 0), (g[-1][0] + 20_000, 0)]
+        assert sorted(c for c in passages.chains(g + far) if c[0][0] < 10_000) == sorted(found)
+
+    def no_tree(n):
+        raise AssertionError("ascending matches need no tree")
+
+    monkeypatch.setattr(passages, "Fenwick", no_tree)
+    assert [passages.chains(g) for g in groups] == got
+
+
+def test_chains_of_pairs_that_span_batches(spark):
+    rng = random.Random(12)
+    pairs = {(d, s): sorted({(rng.randrange(60), rng.randrange(60)) for _ in range(rng.choice([1, 1, 2, 9]))}, key=lambda m: (m[0], -m[1]))
+             for d in range(20, 40) for s in range(rng.randint(1, 4))}
+    matches = spark.createDataFrame([(d, s, p, a) for (d, s), ms in pairs.items() for p, a in ms], "doc_id long, source long, pos int, source_pos int")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = sorted((r.doc_id, r.source, r.pos, r.source_pos) for r in passages._chain_table(matches).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert got == sorted((d, s, [p for p, _ in c], [a for _, a in c]) for (d, s), ms in pairs.items() for c in passages.chains(ms) if len(c) > 1)
+
+
 def test_chains_take_the_best_collinear_path():
     assert passages.chains([(0, 0), (5, 5), (6, 40), (10, 10)])[0] == [(0, 0), (5, 5), (10, 10)]
     assert passages.chains([(0, 0), (200, 200)]) == [[(0, 0)], [(200, 200)]] or len(passages.chains([(0, 0), (200, 200)])) == 2

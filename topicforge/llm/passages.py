@@ -57,16 +57,31 @@ HOT_ROWS, HOT_PROBE, MOST_HOT = 100_000, 64, 100_000
 SPANS = 64
 
 
+def least_of_windows(hashes: np.ndarray) -> np.ndarray:
+    """For each window the position of its smallest hash, the first among equals: the smaller of two shorter
+    windows' that overlap or touch, from single hashes on."""
+    at, least, span = np.arange(len(hashes)), hashes, 1
+    while span < WINDOW:
+        step = min(span, WINDOW - span)
+        at = np.where(least[step:] < least[:-step], at[step:], at[:-step])
+        least = np.minimum(least[step:], least[:-step])
+        span += step
+    return at
+
+
 def seeds_of(hashes: np.ndarray) -> np.ndarray:
     """Positions of the k-mers that are the smallest of some window, the first among equals."""
     if len(hashes) <= WINDOW:
         return np.array([int(hashes.argmin())]) if len(hashes) else np.zeros(0, dtype=np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)
-    return np.unique(view.argmin(axis=1) + np.arange(len(view)))
+    at = least_of_windows(hashes)
+    return at[np.concatenate([[True], at[1:] != at[:-1]])]  # they ascend
 
 
 def ordinals(keys: np.ndarray) -> np.ndarray:
     """How many equal keys stand before each key."""
+    held = np.sort(keys)
+    if not (held[1:] == held[:-1]).any():
+        return np.zeros(len(keys), dtype=np.int32)
     order = np.argsort(keys, kind="stable")
     held = keys[order]
     starts = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]])) if len(keys) else order
@@ -153,14 +168,24 @@ class Fenwick:
 def chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     """Collinear chains of matches (position, source position), which come in ascending position, of equal
     ones the largest source position first (so that no two of them follow each other in a chain); the best first, each match in one chain at most, parted at long gaps."""
-    rank = {a: k for k, a in enumerate(sorted({a for _, a in matches}))}
-    tree, score, came = Fenwick(len(rank)), [], []
-    for i, (p, a) in enumerate(matches):
-        v, j = tree.best(rank[a])
-        gain = v - GAP_COST * (p + a)
-        score.append(1.0 + max(0.0, gain))
-        came.append(j if gain > 0 else -1)
-        tree.put(rank[a], score[i] + GAP_COST * (p + a), i)
+    score, came = [], []
+    if all(p < q and a < b for (p, a), (q, b) in zip(matches, matches[1:])):
+        # Each match can follow the one before it, whose score without the gap's cost is the best so far by a point.
+        v = float("-inf")
+        for i, (p, a) in enumerate(matches):
+            gain = v - GAP_COST * (p + a)
+            score.append(1.0 + max(0.0, gain))
+            came.append(i - 1 if gain > 0 else -1)
+            v = score[i] + GAP_COST * (p + a)
+    else:
+        rank = {a: k for k, a in enumerate(sorted({a for _, a in matches}))}
+        tree = Fenwick(len(rank))
+        for i, (p, a) in enumerate(matches):
+            v, j = tree.best(rank[a])
+            gain = v - GAP_COST * (p + a)
+            score.append(1.0 + max(0.0, gain))
+            came.append(j if gain > 0 else -1)
+            tree.put(rank[a], score[i] + GAP_COST * (p + a), i)
     used, out = [False] * len(matches), []
     for i in sorted(range(len(matches)), key=lambda i: (-score[i], i)):
         path = []
@@ -182,29 +207,49 @@ def chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
 
 def _least_edits(a: np.ndarray, b: np.ndarray) -> int:
     """Most words of two stretches that agree in an alignment (longest common subsequence)."""
+    if len(a) > len(b):
+        a, b = b, a
+    # What agrees at both ends is in some best alignment.
+    differ = np.flatnonzero(a != b[:len(a)])
+    if not len(differ):
+        return len(a)
+    first = int(differ[0])
+    a, b = a[first:], b[first:]
+    end = len(a) - 1 - int(np.flatnonzero(a != b[len(b) - len(a):]).max(initial=-1))
+    same = first + end
+    a, b = a[:len(a) - end], b[:len(b) - end]
     row = np.zeros(len(b) + 1, dtype=np.int64)
     for x in a:
         row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == x)))
-    return int(row[-1])
+    return same + int(row[-1])
 
 
 def extension(equal: np.ndarray, percent: int) -> tuple[int, int]:
     """How many words to go on, given which of them agree, and how many of those agree: the end of the best
     score, where an agreeing word gains 100 - ``percent`` and another loses ``percent``; the furthest of
     equal ones.  So the share of ``percent`` holds in the extension and in each end piece of it."""
-    score = np.cumsum(np.where(equal, 100 - percent, -percent))[:last_word(equal, percent)]
-    if not len(score) or score.max() < 0:
-        return 0, 0
-    run = len(score) - int(score[::-1].argmax())
-    return run, int(equal[:run].sum())
+    return _extended(equal, percent)[:2]
 
 
 def last_word(equal: np.ndarray, percent: int) -> int | None:
     """The word at which an extension's score has fallen from its best by what ``LONGEST_GAP`` differing words
     lose; there it is given up, whatever follows.  None if that happens nowhere."""
+    return _extended(equal, percent)[2]
+
+
+def _extended(equal: np.ndarray, percent: int) -> tuple[int, int, int | None]:
+    """What ``extension`` and ``last_word`` give, of one score."""
+    if not len(equal):
+        return 0, 0, None
     score = np.cumsum(np.where(equal, 100 - percent, -percent))
     fallen = np.maximum(np.maximum.accumulate(score), 0) - score > percent * LONGEST_GAP
-    return int(fallen.argmax()) if fallen.any() else None
+    at = int(fallen.argmax())
+    last = at if fallen[at] else None
+    score = score[:last]
+    if not len(score) or score.max() < 0:
+        return 0, 0, last
+    run = len(score) - int(score[::-1].argmax())
+    return run, int(np.count_nonzero(equal[:run])), last
 
 
 def align(path: list[tuple[int, int]], doc: np.ndarray, doc_at: int, source: np.ndarray, source_at: int,
@@ -215,8 +260,8 @@ def align(path: list[tuple[int, int]], doc: np.ndarray, doc_at: int, source: np.
     x, y = path[0][0] - doc_at, path[0][1] - source_at
     back = min(x, y)
     before = doc[x - back:x][::-1] == source[y - back:y][::-1]
-    run, agree = extension(before, percent)
-    unfinished = doc_at > 0 and source_at > 0 and last_word(before, percent) is None
+    run, agree, last = _extended(before, percent)
+    unfinished = doc_at > 0 and source_at > 0 and last is None
     start, source_start = x - run, y - run
     for p, a in path:
         p, a = p - doc_at, a - source_at
@@ -230,13 +275,13 @@ def align(path: list[tuple[int, int]], doc: np.ndarray, doc_at: int, source: np.
             size = K
         if p > x or a > y:
             gap, other = doc[x:p], source[y:a]
-            agree += int((gap == other).sum()) if len(gap) == len(other) else _least_edits(gap, other)
+            agree += int(np.count_nonzero(gap == other)) if len(gap) == len(other) else _least_edits(gap, other)
         agree += size
         x, y = p + size, a + size
     on = min(len(doc) - x, len(source) - y)
     after = doc[x:x + on] == source[y:y + on]
-    run, added = extension(after, percent)
-    unfinished = unfinished or (more and last_word(after, percent) is None)
+    run, added, last = _extended(after, percent)
+    unfinished = unfinished or (more and last is None)
     return start + doc_at, x + run + doc_at, source_start + source_at, y + run + source_at, agree + added, unfinished
 
 
@@ -255,13 +300,21 @@ def _chain_table(matches: DataFrame) -> DataFrame:
                           pos=pa.array([r[2] for r in out], pa.list_(pa.int32())), source_pos=pa.array([r[3] for r in out], pa.list_(pa.int32())))
 
         for b in batches:
+            if not b.num_rows:
+                continue
             out = []
-            for doc, source, p, a in zip(*(c.to_pylist() for c in b.columns)):
-                if (doc, source) != at:
+            doc, source, p, a = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            starts = np.concatenate([[0], np.flatnonzero((doc[1:] != doc[:-1]) | (source[1:] != source[:-1])) + 1])
+            ends = np.append(starts[1:], len(doc))
+            # Most pairs of documents have one match, which is no chain; the first and last may go on in other batches.
+            many = ends - starts > 1
+            many[[0, -1]] = True
+            for lo, hi in zip(starts[many].tolist(), ends[many].tolist()):
+                if (pair := (int(doc[lo]), int(source[lo]))) != at:
                     if len(held) > 1:
                         out += shut()
-                    at, held = (doc, source), []
-                held.append((p, a))
+                    at, held = pair, []
+                held += zip(p[lo:hi].tolist(), a[lo:hi].tolist())
             if out:
                 yield rows(out)
         if len(held) > 1 and (out := shut()):
@@ -372,8 +425,7 @@ def whole_windows(pos: np.ndarray, kmer: np.ndarray, n_words: int, known: np.nda
     hashes[pos] = kmer.view(np.uint64)
     held = np.zeros(len(hashes), dtype=bool)
     held[known] = True
-    view = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)
-    missing = np.concatenate([[0], np.cumsum(~held[view.argmin(axis=1) + np.arange(len(view))])])
+    missing = np.concatenate([[0], np.cumsum(~held[least_of_windows(hashes)])])
     return missing[reach:] == missing[:-reach]
 
 

@@ -55,7 +55,7 @@ class Words:
         self.ends = np.concatenate([gaps, [len(raw)]]) if self.n else gaps
         up, self.down = _power(len(raw) + 1)
         self.sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[raw] * up[:-1], out=self.sums[1:])
+        np.cumsum(np.take(_BYTES, raw) * up[:-1], out=self.sums[1:])
 
     def hashes(self, size: int) -> np.ndarray:
         """The hash of the ``size`` words from each word on, as far as there are so many."""
