@@ -84,6 +84,32 @@ def test_texts_are_encoded_from_one_split(monkeypatch):
         calls.clear()
 
 
+def test_word_pieces_are_the_librarys():
+    lib, rng, split = Tokenizer.from_file(WORD), random.Random(11), splitter(WORD)
+    some = ["don't 'tis x' it's. a. b1 c9' d\u0301 e-f ab,cd ef!! gh\x1cij kl\x85mn \u2019s 'S", "\u65e5\u672c\u3002 \u03a3\u03a3. \u01c5 a\u00b2 \u00aa",
+            *("".join(rng.choice("abs't. 1,\n\x1d\u00e9\u00b2\u2019\u65e5") for _ in range(50)) for _ in range(300))]
+    back = {c: b for b, c in enumerate(pretokens.byte_letters())}
+    for text in some:
+        want = lib.pre_tokenizer.pre_tokenize_str(lib.normalizer.normalize_str(text))
+        assert split(text) == [bytes(map(back.__getitem__, p)).decode() for p, _ in want]
+
+
+def test_a_batch_does_not_read_the_whole_memory():
+    """Few new pieces beside many known ones: what a batch looks at follows its texts, not the memory."""
+    class Watched(pretokens.Memo):
+        def __iter__(self):
+            raise AssertionError("the whole memory was read")
+
+    known = Watched(most=1000)
+    known.update((str(k), k) for k in range(500))
+    known.before = {"old": 1}
+    assert known.renew(["1", "old", "new", "new"]) == {"new"} and known["old"] == 1
+    lib, coder = Tokenizer.from_file(WORD), token_files.LibraryIds(WORD)
+    coder.pieces = Watched(most=coder.most)
+    for text in some_texts(random.Random(12)):
+        assert coder.encode([text, text], None) == [np.array(lib.encode(text).ids, "<u2").tobytes()] * 2
+
+
 def test_pieces_near_and_far_are_those_of_the_general_expression():
     rng, near = random.Random(9), [*map(chr, (*range(0x378), *range(0x2000, 0x2065)))]
     for pattern in (pretokens.WORD_PIECES, pretokens.BYTE_PIECES):

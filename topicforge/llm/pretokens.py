@@ -121,13 +121,27 @@ def splitter(path: str) -> Callable[[str], list[str]]:
     if v.suffix:
         find = finder(WORD_PIECES)
 
+        def cut(text: str) -> list[str]:
+            """``find``; letters up to white space, or up to one character before it, need no expression."""
+            if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # Python splits there, the formats do not
+                return find(text)
+            out: list[str] = []
+            for chunk in text.split():
+                if chunk.isalpha():
+                    out.append(chunk)
+                elif (word := chunk[:-1]).isalpha():
+                    out += word, chunk[-1]
+                else:
+                    out += find(chunk)
+            return out
+
         def plain(text: str) -> list[str]:
             if not text.isascii():
                 if strange(text):
                     return by_library(text)
                 # The library lowers each character by itself: a final capital sigma is no exception.
                 text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-            return find(text.lower())
+            return cut(text.lower())
     else:
         find = finder(BYTE_PIECES)
 
@@ -194,7 +208,11 @@ class Memo(dict):
 
     def renew(self, keys) -> set:
         """The ``keys`` that are unknown; those known from before are taken over."""
-        lacking = set(keys).difference(self)
-        for k in lacking.intersection(self.before) if self.before else ():
-            self[k] = self.before[k]
-        return lacking.difference(self.before)
+        before, out = self.before, set()
+        for k in set(keys):  # one by one: a set's difference with a dictionary of another class reads all of it
+            if k not in self:
+                if k in before:
+                    self[k] = before[k]
+                else:
+                    out.add(k)
+        return out

@@ -24,7 +24,6 @@ ignored; texts of any length are kept whole.
 from __future__ import annotations
 
 import hashlib
-import itertools
 import json
 import os
 import zlib
@@ -50,6 +49,8 @@ LEVEL = 3
 #: The dictionary is a fitted model: it learns from the documents with the smallest hashes of doc_id, at
 #: most so many, and from at most so many bytes of each.  Every document is then compressed whole with it.
 DICT_DOCS, DICT_DOC_BYTES, DICT_BYTES = 768, 8192, 64 << 10
+#: Bytes of texts encoded together: their pieces stay near the processor, the library gets some hundred at a time.
+ENCODE_BYTES = 128 << 10
 
 
 class LibraryIds:
@@ -97,13 +98,21 @@ class LibraryIds:
         return [self.pack(e.ids) for e in self.library.encode_batch(pieces, add_special_tokens=False)]
 
     def encode(self, texts: list[str], end_id: int | None) -> list[bytes]:
-        split, known = list(map(self.split, texts)), self.pieces
-        fresh = list(known.renew(itertools.chain.from_iterable(split)).difference(self.special))
-        known.update(zip(fresh, self._pieces(fresh)))  # the long ones for now
+        known, tail = self.pieces, b"" if end_id is None else self.pack([end_id])
         known.update(self.special)
-        tail = b"" if end_id is None else self.pack([end_id])
-        get = known.__getitem__
-        out = [b"".join(map(get, pieces)) + tail for pieces in split]
+        get = known.get
+        found, lacking = [], []  # of each text: the ids of its pieces, where they are known; (position, piece) of the others
+        for text in texts:
+            pieces = self.split(text)
+            found.append(list(map(get, pieces)))
+            lacking.append([(k, pieces[k]) for k, x in enumerate(found[-1]) if x is None])
+        fresh = list(known.renew(p for some in lacking for _, p in some))
+        known.update(zip(fresh, self._pieces(fresh)))  # the long ones for now
+        out = []
+        for ids, some in zip(found, lacking):
+            for k, p in some:
+                ids[k] = known[p]
+            out.append(b"".join(ids) + tail)
         for p in fresh:
             if len(p) > known.longest:
                 del known[p]
@@ -126,7 +135,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None) -> DataFra
         lib = library_ids(tokenizer_path)
         return lambda b: record(doc_id=b.column(0), ids=pa.array(lib.encode(texts_of(b), end_id), pa.binary()))
 
-    return map_batches(docs, start, "doc_id bigint, ids binary")
+    return map_batches(docs, start, "doc_id bigint, ids binary", ENCODE_BYTES)
 
 
 def train_dictionary(samples: list[bytes], size: int = DICT_BYTES) -> bytes:
@@ -215,7 +224,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
         return each
 
-    frames = reliable_checkpoint(map_batches(rows, compress, "doc_id bigint, n_ids bigint, frame binary"))
+    frames = reliable_checkpoint(map_batches(rows, compress, "doc_id bigint, n_ids bigint, frame binary", ENCODE_BYTES))
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = (frames.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "n_ids", "frame")
              .withColumn("file", F.spark_partition_id()))
