@@ -165,3 +165,27 @@ def test_lsum_compares_only_what_can_count(monkeypatch):
     ref = [f"w{k} x{k}" for k in range(50)] + ["w0 y", "w0 x1"]
     assert lcs.rouge_lsum("\n".join(ref[:10]), "\n".join(ref))[0] == 1.0
     assert len(seen) <= 3  # 520 before: every reference sentence with every predicted one
+
+
+def test_tokens_of_every_character():
+    texts = [f"aB{chr(c)}Z9 {chr(c)}{chr(c)}" for c in range(0x110000) if not 0xd800 <= c < 0xe000]
+    assert [lcs.tokenize(t) for t in texts] == [re.sub("[^a-z0-9]+", " ", t.lower()).split() for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("abcdx"), max_size=12), st.lists(st.sampled_from("abcdy"), max_size=12))
+def test_lcs_indices_equal_the_plain_backtrack(ref, can):
+    assert lcs.lcs_indices(ref, can) == (list(range(len(ref))) if ref == can else plain_indices(ref, can))
+
+
+def test_a_used_up_prediction_ends_the_reference():
+    looked = []
+
+    class Line(list):
+        def __iter__(self):
+            looked.append(len(looked))
+            return super().__iter__()
+
+    ref = [Line([f"w{k}", "x"]) for k in range(50)]
+    assert lcs.rouge_lsum_tokens([["w0", "x"], ["w1", "x"]], ref)[:2] == (1.0, 0.04)
+    assert len(looked) <= 8  # each line was read before

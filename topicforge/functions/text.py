@@ -95,6 +95,19 @@ def clean_text(c: Column | str) -> Column:
     return strip_ws(x)
 
 
+def mark_sentences(
+    c: Column | str, abbreviations: Sequence[str] = DEFAULT_ABBREVIATIONS
+) -> Column:
+    """The stripped text with ``SENT_MARK`` in place of the whitespace
+    between sentences: its non-empty pieces are the sentences."""
+    return F.regexp_replace(strip_ws(c), java(sentence_end_pattern(abbreviations)), "$1" + SENT_MARK)
+
+
+def marked_sentences(c: Column | str) -> Column:
+    """What ``mark_sentences`` gives -> array<string> (non-empty pieces)."""
+    return F.array_remove(F.split(_col(c), SENT_MARK), "")
+
+
 def split_sentences(
     c: Column | str, abbreviations: Sequence[str] = DEFAULT_ABBREVIATIONS
 ) -> Column:
@@ -103,9 +116,7 @@ def split_sentences(
     Split after a run of ``.!?`` (plus closing quotes/brackets) followed
     by whitespace, except after an abbreviation's dot.  One regex pass
     marks the split points, then a literal split."""
-    x = strip_ws(c)
-    x = F.regexp_replace(x, java(sentence_end_pattern(abbreviations)), "$1" + SENT_MARK)
-    return F.array_remove(F.split(x, SENT_MARK), "")
+    return marked_sentences(mark_sentences(c, abbreviations))
 
 
 def lead_sentences(

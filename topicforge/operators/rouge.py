@@ -63,14 +63,14 @@ def _tagged_grams(pairs: DataFrame, keys: list[str], ns: Sequence[int], predicti
 
 
 def _measures(ns: Sequence[int], kinds: Sequence[str]) -> Callable[[str | None, str | None], list]:
-    """A function of a pair of lower-case texts: for each n the clipped overlap and the number of n-grams of
+    """A function of a pair of texts: for each n the clipped overlap and the number of n-grams of
     both sides, then the scores of each kind of LCS.  What it makes of a reference it keeps for the next
     pair, which often has the same."""
     from topicforge.functions import lcs
 
     def side(text: str | None) -> tuple:
         lines = lcs.sentence_tokens(text) if "Lsum" in kinds else None
-        toks = lcs.tokenize(text) if lines is None else [t for line in lines for t in line]
+        toks = lcs.tokenize(text) if lines is None else [t for line in lines for t in line] if ns or "L" in kinds else []
         grams = [(Counter(zip(*(toks[k:] for k in range(n)))), max(len(toks) - n + 1, 0)) for n in ns]
         return toks, grams, lines
 
@@ -111,7 +111,7 @@ def _scored(pairs: DataFrame, keys: list[str], prediction: str, reference: str,
                     [*b.schema.names[:wide + 1], *names, *kinds])
 
     rows = pairs.select(*keys, (F.col(prediction).isNotNull() & F.col(reference).isNotNull()).alias("whole"),
-                        F.lower(prediction).alias("_prediction"), F.lower(reference).alias("_reference"))
+                        F.col(prediction).alias("_prediction"), F.col(reference).alias("_reference"))
     return map_arrow(rows, run, T.StructType([*schema, T.StructField("whole", T.BooleanType()), *numbers]))
 
 

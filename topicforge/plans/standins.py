@@ -198,16 +198,16 @@ def scored_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summary_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, system, prediction, reference: lead-1, lead-3 and the extractive
     summary of every document against its whole text, a sentence a line."""
-    from topicforge.functions.text import bind, split_sentences
-    from topicforge.operators.summary import summarise
+    from topicforge.functions.text import bind
+    from topicforge.operators.summary import sentences_and_summary
 
     d = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    j = d.join(summarise(d, "id", "text", sep="\n"), "id")
+    j = sentences_and_summary(d, "id", "text", sep="\n")
 
     def rows(sents: Column) -> Column:
         predictions = {"lead1": F.array_join(F.slice(sents, 1, 1), "\n"), "lead3": F.array_join(F.slice(sents, 1, 3), "\n"), "summarise": F.col("summary")}
         return F.struct(F.array_join(sents, "\n").alias("reference"),
                         F.array(*[F.struct(F.lit(k).alias("system"), v.alias("prediction")) for k, v in predictions.items()]).alias("p"))
 
-    made = j.select("id", bind(split_sentences(F.col("text")), rows).alias("x"))
+    made = j.select("id", bind(F.col("sents"), rows).alias("x"))
     return made.select("id", F.col("x.reference").alias("reference"), F.explode("x.p").alias("p")).select("id", "p.system", "p.prediction", "reference")
