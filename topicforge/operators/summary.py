@@ -225,7 +225,7 @@ def _scored_rows(c: _Corpus, each: Callable[[pa.RecordBatch, _Scores], pa.Record
     rows, often, n_docs = c.once, c.often, c.n_docs
     found = F.lit(None).cast("array<struct<word:string,_df:bigint>>").alias("rare")
     if c.least > 2:
-        rare = _row_words(_lower_texts(rows), often).join(c.known.where(F.col("_df") < c.least).hint("shuffle_merge"), "word")
+        rare = _row_words(_lower_texts(rows), often).join(c.known.where(F.col("_df") < c.least), "word")
         found_of = rare.groupBy("_key").agg(F.collect_list(F.struct("word", "_df")).alias("rare"))
         rows, found = rows.join(found_of.withColumnRenamed("_key", "_of"), F.col("_key").eqNullSafe(F.col("_of")), "left"), F.col("rare")
     marked = rows.select("_key", mark_sentences(F.col("_text")).alias("marked"), found)
